@@ -8,6 +8,7 @@ import zlib
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,7 +49,7 @@ def crc32(data: bytes) -> int:
 def slices(batch: pa.RecordBatch, column: int = 1) -> Iterator[pa.RecordBatch]:
     """Cuts a batch so that the texts of each part come to about SLICE_BYTES (one row at least)."""
     start, size = 0, 0
-    for i, n in enumerate(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()):
+    for i, n in enumerate(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()):
         if size and size + n > SLICE_BYTES:
             yield batch.slice(start, i - start)
             start, size = i, 0
