@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import media, pii, secrets
+from . import media, pii, secrets, simhash
+from .common import stored
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +18,8 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = media.texts_to_media(table(spark, sf_dir, "documents"))
-    read = media.media_features(stored)
+    kept = stored(media.texts_to_media(table(spark, sf_dir, "documents")), "media")
+    read = media.media_features(kept)
     payload = F.col("payload")
     return read.select(
         "doc_id",
@@ -36,9 +37,14 @@ def op10_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(table(spark, sf_dir, "documents"))
 
 
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_secret_scan": op2_secret_scan,
     "op8_media_columns": op8_media_columns,
+    "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_pii_spans": op10_pii_spans,
 }
 
