@@ -80,14 +80,13 @@ def fingerprint(h: np.ndarray, words: int = 1) -> np.ndarray:
 
 def block_keys(h: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """One key for each band: ``rows`` min-hashes of the set of shingles."""
+    h = h ^ (h >> np.uint64(29))
     keys = np.zeros(bands, np.uint64)
     for b in range(bands):
         for r in range(rows):
-            k = b * rows + r + 1
-            odd = np.uint64((k * 0xD1342543DE82EF95 + 0x9E3779B97F4A7C15) & (2**64 - 1) | 1)
-            least = ((h ^ (h >> np.uint64(29))) * odd).min()
-            keys[b] = (keys[b] * np.uint64(0x100000001B3)) ^ least
-        keys[b] = mixed(keys[b : b + 1], b + 1)[0]
+            odd = np.uint64(((b * rows + r + 1) * 0xD1342543DE82EF95 + 0x9E3779B97F4A7C15) & (2**64 - 1) | 1)
+            keys[b : b + 1] = keys[b : b + 1] * np.uint64(0x100000001B3) ^ (h * odd).min()
+        keys[b : b + 1] = mixed(keys[b : b + 1], b + 1)
     return keys
 
 
