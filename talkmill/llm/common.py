@@ -12,6 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 #: Texts are handled in Python in slices of about this many bytes, whatever the Arrow batch holds.
 SLICE_BYTES = 4 << 20
@@ -36,6 +37,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows ranked in one window group come to about this many.
+RANK_ROWS = 50_000
+
+
+def ranked(rows: DataFrame, by: str, spread: str, ties: Sequence[str], buckets: int) -> DataFrame:
+    """Adds ``rank``: gapless from 0 within each value of ``by``, in a fixed order.
+
+    A bucket of the hash of ``spread`` is ranked by row numbers; counts per bucket give where it starts. So a value of ``by`` that holds
+    a large part of all rows is still ranked in many tasks.
+    """
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64(spread), F.lit(buckets)).cast("int"))
+    counts = rows.groupBy(by, "bucket").agg(F.count("*").alias("n"))
+    before = Window.partitionBy(by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(by, "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    inside = Window.partitionBy(by, "bucket").orderBy(spread, *ties)
+    return rows.join(starts, [by, "bucket"]).withColumn("rank", F.col("before") + F.row_number().over(inside) - 1).drop("bucket", "before")
+
+
 def doc_crc(doc_id: Column | str) -> Column:
     """crc32 of the id written as text, for folds."""
     col = F.col(doc_id) if isinstance(doc_id, str) else doc_id
