@@ -125,3 +125,33 @@ def free_name(columns: Sequence[str], name: str) -> str:
     while name.lower() in taken:
         name = "_" + name
     return name
+
+
+#: Documents over this many characters are left out of fitting samples (never out of scoring), so that a sample's size is bounded.
+SAMPLE_CHARS = 200_000
+
+
+def fitting_sample(rows: DataFrame, bound: int, columns: Sequence[str], salt: int = 0) -> DataFrame:
+    """(doc_id, text, *columns): about ``bound`` of the labelled ``rows`` at most, one for each doc_id, picked by a hash of doc_id.
+
+    Null ids, texts and labels are left out. Of repeated ids the least row stays, so the result does not depend on partitions.
+    """
+    whole = rows.select("doc_id", "text", *columns).dropna()
+    total = whole.count()
+    share = int(min(1.0, bound / max(total, 1)) * (1 << 30))
+    picked = whole.where((F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 30)) < share) & (F.length("text") <= SAMPLE_CHARS))
+    one = picked.groupBy("doc_id").agg(F.min(F.struct(*columns, "text")).alias("row"))
+    return stored(one.select("doc_id", "row.text", *(f"row.{c}" for c in columns)), "sample")
+
+
+class TokenRows(dict):
+    """Numbers tokens from 0 in order of first sight; ``fresh`` holds those numbered since it was last emptied."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, token: str) -> int:
+        self[token] = n = len(self)
+        self.fresh.append(token)
+        return n

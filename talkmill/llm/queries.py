@@ -5,18 +5,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import media, pii, secrets, simhash
-from .common import stored
+from . import decontaminate, language, media, packing, pii, quality, secrets, sharding, simhash, toxicity
+from .common import doc_crc, stored
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_toxicity(docs, toxicity.train_chain(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.pmod(doc_crc("doc_id"), F.lit(4)) == 2, F.lit(False))
+    model = language.train_languages(docs.where(~held_out))
+    return language.predict_languages(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.pmod(doc_crc("doc_id"), F.lit(5)) == 0, F.lit(False))
+    model = quality.train_quality(docs, labels.where(~held_out))
+    return quality.score_quality(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted", "passages")
+
+
 def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = stored(media.texts_to_media(table(spark, sf_dir, "documents")), "media")
     read = media.media_features(kept)
@@ -33,16 +64,22 @@ def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def op10_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.find_pii(table(spark, sf_dir, "documents"))
-
-
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op10_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_secret_scan": op2_secret_scan,
+    "op3_sharding": op3_sharding,
+    "op4_packing": op4_packing,
+    "op5_decontamination": op5_decontamination,
+    "op6_language_id": op6_language_id,
+    "op7_quality": op7_quality,
     "op8_media_columns": op8_media_columns,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_pii_spans": op10_pii_spans,
