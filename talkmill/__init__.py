@@ -1 +1 @@
-"""PySpark-native transcript curation, memory audit and corpus preparation."""
+"""talkmill: transcript curation and memory-store auditing as Spark DataFrame operators."""
