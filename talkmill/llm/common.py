@@ -131,16 +131,19 @@ def free_name(columns: Sequence[str], name: str) -> str:
 SAMPLE_CHARS = 200_000
 
 
-def fitting_sample(rows: DataFrame, bound: int, columns: Sequence[str], salt: int = 0) -> DataFrame:
-    """(doc_id, text, *columns): about ``bound`` of the labelled ``rows`` at most, one for each doc_id, picked by a hash of doc_id.
+def fitting_sample(docs: DataFrame, bound: int, columns: Sequence[str], salt: int = 0, labels: DataFrame | None = None) -> DataFrame:
+    """(doc_id, text, *columns): about ``bound`` labelled rows at most, one for each doc_id, picked by a hash of doc_id.
 
-    Null ids, texts and labels are left out. Of repeated ids the least row stays, so the result does not depend on partitions.
+    The label ``columns`` stand in ``docs``, or in ``labels`` (doc_id, *columns), of which the greatest row of an id counts. Null ids, texts
+    and labels are left out. Of repeated ids the least row stays, so the result does not depend on partitions. Ids are picked before texts
+    are read, so that only the sample's texts are shuffled.
     """
-    whole = rows.select("doc_id", "text", *columns).dropna()
-    total = whole.count()
-    share = int(min(1.0, bound / max(total, 1)) * (1 << 30))
-    picked = whole.where((F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 30)) < share) & (F.length("text") <= SAMPLE_CHARS))
-    one = picked.groupBy("doc_id").agg(F.min(F.struct(*columns, "text")).alias("row"))
+    given = docs.select("doc_id", *columns).dropna() if labels is None else labels.select("doc_id", *columns).dropna().groupBy("doc_id").agg(*(F.max(c).alias(c) for c in columns))
+    share = int(min(1.0, bound / max(given.count(), 1)) * (1 << 30))
+    picked = F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 30)) < share
+    rows = docs.where(picked & (F.length("text") <= SAMPLE_CHARS))
+    whole = rows.select("doc_id", "text", *columns).dropna() if labels is None else rows.select("doc_id", "text").join(given.where(picked), "doc_id")
+    one = whole.groupBy("doc_id").agg(F.min(F.struct(*columns, "text")).alias("row"))
     return stored(one.select("doc_id", "row.text", *(f"row.{c}" for c in columns)), "sample")
 
 

@@ -156,8 +156,7 @@ def fit(stats: np.ndarray, parts: np.ndarray, y: np.ndarray, steps: int = STEPS)
 
 def train_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> AttentionModel:
     """A model fitted on about ``fit_rows`` rows of ``docs`` (doc_id, text) that ``labels`` (doc_id, quality) covers."""
-    given = labels.select("doc_id", "quality").dropna().groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    sample = fitting_sample(docs.select("doc_id", "text").join(given, "doc_id"), fit_rows, ["quality"], 3)
+    sample = fitting_sample(docs, fit_rows, ["quality"], 3, labels)
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("stats", T.BinaryType())])
 
     def rows(ids, texts, encoder):

@@ -146,8 +146,7 @@ def train_chain(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
 
     Features are counted by Spark; the driver gets the chosen features and which of them each row of the sample has.
     """
-    given = labels.select("doc_id", "toxic").dropna().groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    sample = fitting_sample(docs.select("doc_id", "text").join(given, "doc_id"), fit_rows, ["toxic"], 1)
+    sample = fitting_sample(docs, fit_rows, ["toxic"], 1, labels)
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("kinds", T.ArrayType(T.IntegerType())), T.StructField("features", T.ArrayType(T.LongType()))])
 
     def rows(ids, texts, cache):
