@@ -103,5 +103,5 @@ def snapshot_changes(before: DataFrame, after: DataFrame, key: str, columns: lis
     return a.join(b, key, "full").select(key, change.alias("change")).where("change is not null")
 
 
-def suspicious(records: DataFrame, column: str = "content") -> Column:
+def suspicious(column: str = "content") -> Column:
     return X.is_suspicious_memory(F.col(column))
