@@ -36,10 +36,12 @@ def propagate(linked: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> Dat
             .agg(F.collect_list(F.struct("shard", "n")).alias("votes"), F.sum("n").alias("size"))
             .withColumn("rank", rank)
             .withColumn("best", F.array_max(F.filter("rank", lambda v: F.array_contains(is_open, v["shard"]))))
+            .where("best is not null and size(votes) > 1")
         )
+        groups = stored(groups.select("group", "size", "rank", "best"), "groups")  # joins with a stored table can split a large group
         own = F.element_at(F.filter("rank", lambda v: v["shard"] == F.col("shard")), 1)
         wish = (
-            now.join(groups.where("best is not null and size(votes) > 1"), "group")
+            now.join(groups, "group")
             .withColumn("own", own)
             .where(F.col("best") > F.col("own"))
             .select("node", "shard", F.struct(F.col("best.n") - F.col("own.n"), F.col("best.shard").alias("to"), F.when(F.col("size") > large, F.xxhash64("node", F.lit(turn))).otherwise(F.xxhash64("group", F.lit(turn))).alias("draw")).alias("wish"))
@@ -92,7 +94,7 @@ def shard_documents(docs: DataFrame, shards: int = 16, rounds: int = ROUNDS) ->
     )
     total = rows.count()
     quotas = [total // shards + (s < total % shards) for s in range(shards)]
-    sizes = rows.where("group is not null").groupBy("group").agg(F.count("*").alias("members")).where("members > 1")
+    sizes = stored(rows.where("group is not null").groupBy("group").agg(F.count("*").alias("members")).where("members > 1"), "sizes")
     linked = stored(rows.select("node", "group").join(sizes, "group"), "linked")
     members = linked.select("node", F.col("group").alias("own_group"), "members")
     placed = propagate(linked.select("node", "group"), quotas, rounds).groupBy("node").agg(F.min("shard").alias("label"))
