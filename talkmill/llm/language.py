@@ -118,6 +118,8 @@ class Lattice:
 
 def learn(index: dict[str, int], words: Sequence[str], counts: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
     """Piece probabilities (pieces, unknown characters, none) x languages from ``counts`` (words x languages)."""
+    if not counts.size:
+        return np.zeros((len(index) + 2, counts.shape[1]))
     lattice = Lattice(index, words)
     p = np.full((len(index) + 2, counts.shape[1]), 1 / (len(index) + 1))
     p[-1] = 0

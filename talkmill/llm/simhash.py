@@ -229,7 +229,7 @@ def wide_prints(docs: DataFrame, width: int) -> DataFrame:
         data = [(t or "").encode() for t in texts]
         hashes = [shingle_hashes(d, width) for d in data]
         prints = np.array([fingerprint(h, WORDS) for h in hashes], np.uint64).view(np.int64).reshape(len(data), WORDS)
-        keys = [block_keys(h, BANDS, ROWS).view(np.int64).tolist() if len(h) else [] for h in hashes]
+        keys = [block_keys(h, BANDS, ROWS).view(np.int64).tolist() if len(h) else [0] for h in hashes]  # texts without words meet in one block
         return [ids, [hashlib.md5(d).hexdigest() for d in data], *prints.T, keys]
 
     return map_texts(docs, rows, schema)
@@ -252,7 +252,7 @@ def near_duplicate_groups(docs: DataFrame, width: int = 5, radius: int = RADIUS)
 def drop_near_duplicates(docs: DataFrame, width: int = 5, radius: int = RADIUS) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: that of the smallest doc_id. All columns stay.
 
-    Repeated rows (equal doc_id and text) count as copies. Null and empty texts are copies of each other. Texts that only rows without
+    Repeated rows (equal doc_id and text) count as copies. Texts without words (null, empty, white space) are copies of each other. Texts that only rows without
     a doc_id have keep one row each.
     """
     md5 = free_name(docs.columns, "_md5")
