@@ -11,6 +11,7 @@ from ..functions import extract
 from ..functions import text as X
 from ..operators.dedupe import batch_duplicates_rejected, batch_duplicates_warned, source_duplicates
 from ..operators.rounds import strict_rounds
+from ..sources.stage import staged
 
 
 @dataclass
@@ -32,7 +33,7 @@ def clean_messages(lines: DataFrame, month: str | None = None, reject_batch_dupl
 
     ``lines``: read_transcripts. Rules and progress updates come before duplicates, and duplicates are judged in order of file and line.
     """
-    all_rows = extract.messages_of(lines)
+    all_rows = staged(extract.messages_of(lines), "messages")
     broken = all_rows.where("parse_error").withColumn("content_hash", F.lit(None).cast("string")).withColumn("content", F.col("line"))
     rows = all_rows.where("not parse_error")
     if month:
@@ -42,6 +43,7 @@ def clean_messages(lines: DataFrame, month: str | None = None, reject_batch_dupl
     rows = rows.withColumn("dedupe_key", X.dedupe_key(F.col("scope"), F.col("role"), F.col("ts_ms"), F.col("content"), F.col("message_id")))
     progress = F.when((F.col("role") == "assistant") & X.is_progress_update(F.col("content")), "assistant_progress_update")
     rows = rows.withColumn("reject", F.coalesce(X.reject_reason(F.col("role"), F.col("content")), progress))
+    rows = staged(rows, "judged")
     # File and line give the order: a hash of the file in the high bits keeps one long for both.
     good = rows.where("reject is null").withColumn("seq", F.shiftleft(F.abs(F.hash("file")).cast("long"), 31) + F.col("line_no"))
     rejects = _rejected(broken, F.lit("json_parse_error")).unionByName(_rejected(rows, F.col("reject")))

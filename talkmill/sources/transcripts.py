@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-SEED_SCHEMA = T.StructType.fromDDL(
+SEED_SCHEMA = (
     "metadata struct<month string, sourceType string, batchId string, offsetRounds int, limitRounds int>, "
     "sessions array<struct<sessionKey string, sessionId string, sourceFile string, conversations array<array<struct<role string, content string, timestamp bigint, sourceKey string, normalizedContentHash string>>>>>"
 )
-PROGRESS_SCHEMA = T.StructType.fromDDL("sessions map<string, struct<totalL0 bigint, nextOffset bigint, completed boolean>>")
+PROGRESS_SCHEMA = "sessions map<string, struct<totalL0 bigint, nextOffset bigint, completed boolean>>"
 
 
 def source_meta(path: Column) -> Column:

@@ -7,12 +7,20 @@ from pyspark.sql import functions as F
 
 from ..functions import extract
 from ..functions import text as X
+from ..sources.stage import staged
 
 
-def message_stream(spark: SparkSession, folder: str, schema: str = "file string, line_no bigint, source_type string, session_id string, session_key string, line string") -> DataFrame:
-    """A stream of transcript lines landed as JSON files, as accepted canonical messages with their hash."""
-    lines = spark.readStream.schema(schema).json(folder)
-    rows = extract.messages_of(lines).where("not parse_error").withColumn("content_hash", X.content_hash(F.col("content")))
+LINES = "file string, line_no bigint, source_type string, session_id string, session_key string, line string"
+
+
+def line_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream of transcript lines landed as JSON files."""
+    return spark.readStream.schema(LINES).json(folder)
+
+
+def accepted(lines: DataFrame) -> DataFrame:
+    """The messages of a batch of lines that the rules accept, with their hash."""
+    rows = staged(extract.messages_of(lines), "messages").where("not parse_error").withColumn("content_hash", X.content_hash(F.col("content")))
     return rows.where(X.reject_reason(F.col("role"), F.col("content")).isNull())
 
 
@@ -20,7 +28,7 @@ def append_once(stream: DataFrame, out: str, checkpoint: str):
     """Runs what is available now: every micro-batch overwrites a folder of its own, so a repeated batch changes nothing."""
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        accepted(batch).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
