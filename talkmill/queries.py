@@ -11,6 +11,7 @@ from .functions import extract
 from .functions import text as X
 from .functions.semantics import collapsed, epoch_ms, month_of, utf16_length
 from .operators import audit, capture, dedupe, inventory, rounds, state
+from .sources.stage import staged
 
 #: Decorated content: envelopes, noise, acknowledgements and repeats by conversation and turn. Valid in both dialects.
 CONTENT = """CASE (conv_id * 7 + turn) % 29
@@ -74,6 +75,11 @@ def document_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.withColumn("content_hash", X.content_hash(F.col("content")))
 
 
+def hashed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys and hashes alone, as a stored stage: duplicates are judged from these, and the patterns run once a text."""
+    return staged(document_messages(spark, sf_dir).drop("content"), "hashes")
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -231,17 +237,17 @@ def q_suspicious(spark, sf_dir):
 
 @query
 def q_dedupe_source(spark, sf_dir):
-    return dedupe.source_duplicates(document_messages(spark, sf_dir)).select("seq", "source_first")
+    return dedupe.source_duplicates(hashed_documents(spark, sf_dir)).select("seq", "source_first")
 
 
 @query
 def q_dedupe_batch_warn(spark, sf_dir):
-    return dedupe.batch_duplicates_warned(document_messages(spark, sf_dir)).select("seq", "batch_previous")
+    return dedupe.batch_duplicates_warned(hashed_documents(spark, sf_dir)).select("seq", "batch_previous")
 
 
 @query
 def q_dedupe_batch_reject(spark, sf_dir):
-    return dedupe.batch_duplicates_rejected(document_messages(spark, sf_dir)).select("seq", "verdict", "duplicate_of")
+    return dedupe.batch_duplicates_rejected(hashed_documents(spark, sf_dir)).select("seq", "verdict", "duplicate_of")
 
 
 @query
@@ -334,7 +340,7 @@ def q_input_quality(spark, sf_dir):
 
 @query
 def q_overlap(spark, sf_dir):
-    rows = document_messages(spark, sf_dir).select(F.col("seq"), F.concat(F.lit("k"), F.col("seq") % 300).alias("source_key"), F.when(F.col("content_hash") == "", "").otherwise(F.concat_ws(":", "role", "content_hash")).alias("role_hash"), F.concat(F.lit("file"), F.col("seq") % 4).alias("file"))
+    rows = hashed_documents(spark, sf_dir).select(F.col("seq"), F.concat(F.lit("k"), F.col("seq") % 300).alias("source_key"), F.when(F.col("content_hash") == "", "").otherwise(F.concat_ws(":", "role", "content_hash")).alias("role_hash"), F.concat(F.lit("file"), F.col("seq") % 4).alias("file"))
     return audit.overlap(rows.where("seq % 4 = 3"), rows.where("seq % 4 <> 3 and seq % 5 = 0"))
 
 
