@@ -214,7 +214,7 @@ def simhash_components(docs: DataFrame, width: int = 3, radius: int = 2) -> Data
 
 
 #: Wide fingerprints for a similarity of five-word shingles of 0.8: 512 bits differ in 78 places on average there (deviation 8).
-WORDS, RADIUS, BANDS, ROWS = 8, 88, 12, 2
+WORDS, RADIUS, BANDS, ROWS = 8, 92, 12, 2
 
 
 def wide_prints(docs: DataFrame, width: int) -> DataFrame:
@@ -238,7 +238,7 @@ def wide_prints(docs: DataFrame, width: int) -> DataFrame:
 def near_duplicate_groups(docs: DataFrame, width: int = 5, radius: int = RADIUS) -> DataFrame:
     """(text_md5, id, root) for each different text: its smallest doc_id and the smallest doc_id of its group of near-duplicates.
 
-    Links: wide fingerprints at most ``radius`` of 512 bits apart, which is a similarity of word shingles of about 0.79 or more; blocks
+    Links: wide fingerprints at most ``radius`` of 512 bits apart, which is a similarity of word shingles of about 0.77 or more; blocks
     by min-hash bands miss a pair at 0.8 with a chance of five in a million.
     """
     prints = [f"p{k}" for k in range(WORDS)]
