@@ -1,9 +1,11 @@
-"""Benchmark decontamination: rare n-gram seeds join training passages to test items, Smith-Waterman alignment scores each passage.
+"""Benchmark decontamination: seeds of word pairs join training passages to test items, Smith-Waterman alignment scores each passage.
 
-Words are lower-cased tokens without marks at their ends. Every test item gives word 3-grams; how many documents hold each is counted
-over the whole corpus, and in each stretch of an item the rarest become its seeds. Rarity is relative, so an item that leaked into a large
-part of all documents keeps its seeds. A passage around seed hits on neighbouring diagonals is aligned with the item word by word; a
-document is contaminated if the best alignment reaches a share of the item's own score.
+Words are lower-cased tokens without marks at their ends. A seed is a pair of an item's words that stand next to each other or with one
+word between; a document has it if the two words stand so there, with or without a word between. Seeds lose no passage that full
+alignment would find: an alignment of m words at a share s of the score of an item of n words spends 2 * (m - s * n) at most on what lies
+between its words, so at least s * n - 1 words have their next one at most one word on, in the item and in the passage. Of an
+item's places, those with the rarest pairs are its seeds, so many that every such alignment holds HITS of them close together. Rarity comes from
+a part of the documents: it sets how many passages are aligned, never which rows come out.
 
 The test items are the stated query set; they go through in blocks of bounded size, each held by every task. Documents are mapped in
 place: no shuffle of texts, no skew by passage or copy. Null and empty documents match nothing; items of under three words cannot be
@@ -13,6 +15,7 @@ are read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -24,13 +27,15 @@ from pyspark.sql import types as T
 
 from .common import free_name, map_texts, slices, text_column
 
-#: Words of a seed, and positions of an item that share one seed.
-GRAM, STRETCH = 3, 3
+#: Places from a seed's first word to its second, and seeds that a passage must hit (or as many as an alignment is sure to have).
+STEPS, HITS = (1, 2), 3
+#: One document in this many is read for the rarity of seeds.
+RARITY_PART = 16
+#: Items of fewer words match nothing.
+LEAST_WORDS = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Share of an item's own alignment score from which a passage counts as a copy.
 LEAST_SCORE = 0.5
-#: Words that a passage has before and after the item's place, and diagonals that hits of one passage may lie apart.
-MARGIN = 12
 #: Test items in a block, and alignments computed at once.
 BLOCK_ITEMS, BATCH = 20_000, 256
 #: Cells of an alignment row that a batch has, about, at most (one passage at least).
@@ -65,42 +70,63 @@ class WordIds(dict):
 
 @dataclass
 class Items:
-    """A block of test items as word ids, and their n-grams as sorted codes."""
+    """A block of test items as word ids, and their pairs as sorted codes."""
 
     ids: list[int]
     words: dict[str, int]
     texts: list[np.ndarray]
-    grams: np.ndarray
+    pairs: np.ndarray
 
     @classmethod
     def of(cls, rows: Sequence[tuple[int, str]]) -> Items:
         words: dict[str, int] = {}
         texts = [np.array([words.setdefault(w, len(words)) for t in (text or "").split() if (w := core(t))], np.int64) for _, text in rows]
         out = cls([i for i, _ in rows], words, texts, np.zeros(0, np.int64))
-        found = [out.codes(t) for t in texts]
-        out.grams = np.unique(np.concatenate([np.zeros(0, np.int64), *found]))
+        found = [out.codes(t, step) for t in texts for step in STEPS]
+        out.pairs = np.unique(np.concatenate([np.zeros(0, np.int64), *found]))
         return out
 
-    def codes(self, ids: np.ndarray) -> np.ndarray:
-        """A code for each n-gram; negative if one of its words is in no item."""
-        if len(ids) < GRAM:
-            return np.zeros(0, np.int64)
-        base, parts = len(self.words) + 1, [ids[k : len(ids) - GRAM + 1 + k] for k in range(GRAM)]
-        code = np.zeros(len(parts[0]), np.int64)
-        for p in parts:
-            code = code * base + p
-        return np.where(np.minimum.reduce(parts) < 0, -1, code)
-
-    def seeds(self, frequency: np.ndarray) -> dict[int, list[tuple[int, int]]]:
-        """code -> [(item's place, position)]: the rarest n-gram of each stretch of each item."""
-        out: dict[int, list[tuple[int, int]]] = {}
+    def codes(self, ids: np.ndarray, step: int) -> np.ndarray:
+        """A code for each pair of words ``step`` places apart; negative if one of the words is in no item."""
+        first, second = ids[:-step], ids[step:]
+        return np.where((first < 0) | (second < 0), -1, first * (len(self.words) + 1) + second)
+
+    def seeds(self, frequency: np.ndarray, least: float = LEAST_SCORE) -> Seeds:
+        """The places of each item with the rarest pairs, so many that every alignment at ``least`` has as many of them as ``hits`` says."""
+        codes, item, place = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        hits, drift = np.ones(len(self.texts), np.int64), np.zeros(len(self.texts), np.int64)
         for k, text in enumerate(self.texts):
-            codes = self.codes(text)
-            seen = frequency[np.searchsorted(self.grams, codes)]
-            for a in range(0, len(codes), STRETCH):
-                best = a + int(seen[a : a + STRETCH].argmin())
-                out.setdefault(int(codes[best]), []).append((k, best))
-        return out
+            if len(text) < LEAST_WORDS:
+                continue
+            sure = max(1, math.ceil(least * len(text) - 1e-9) - 1)
+            hits[k], drift[k] = min(sure, HITS), math.floor(2 * len(text) * (1 - least) + 1e-9)
+            found = [self.codes(text, step) for step in STEPS]
+            often = np.zeros(len(text) - 1, np.int64)
+            for c in found:
+                often[: len(c)] += frequency[np.searchsorted(self.pairs, c)]
+            chosen = np.argsort(often, kind="stable")[: len(often) - sure + hits[k]]
+            for c in found:
+                at = chosen[chosen < len(c)]
+                codes.append(c[at])
+                item.append(np.full(len(at), k))
+                place.append(at)
+        code, item, place = np.concatenate(codes), np.concatenate(item), np.concatenate(place)
+        order = np.argsort(code, kind="stable")
+        one, start, count = np.unique(code[order], return_index=True, return_counts=True)
+        return Seeds(one, start, count, item[order], place[order], hits, drift)
+
+
+@dataclass
+class Seeds:
+    """Codes, and for each its stretch of (item's place, position); for each item the hits a passage needs and how far diagonals may drift."""
+
+    codes: np.ndarray
+    start: np.ndarray
+    count: np.ndarray
+    item: np.ndarray
+    place: np.ndarray
+    hits: np.ndarray
+    drift: np.ndarray
 
 
 def find(sorted_codes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -112,21 +138,23 @@ def find(sorted_codes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.nd
     return hit, at[hit]
 
 
-def gram_frequency(docs: DataFrame, items: Items) -> np.ndarray:
-    """In how many documents each of the items' n-grams stands; the driver gets one number for each n-gram."""
+def pair_frequency(docs: DataFrame, items: Items) -> np.ndarray:
+    """In how many documents of a part each of the items' pairs stands; the driver gets one number for each pair."""
+    part = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(RARITY_PART)) == 0)
 
     def run(batches):
-        cache, counts = WordIds(items.words), np.zeros(len(items.grams), np.int64)
+        cache, counts = WordIds(items.words), np.zeros(len(items.pairs), np.int64)
         for whole in batches:
             for batch in slices(whole, 0):
                 for text in batch.column(0).to_pylist():
-                    counts[np.unique(find(items.grams, items.codes(cache.of(text)))[1])] += 1
+                    ids = cache.of(text)
+                    counts[np.unique(np.concatenate([find(items.pairs, items.codes(ids, step))[1] for step in STEPS]))] += 1
         some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(counts[some], pa.int64())], names=["gram", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(counts[some], pa.int64())], names=["pair", "n"])
 
-    out = np.zeros(len(items.grams), np.int64)
-    for r in docs.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toLocalIterator():
-        out[r.gram] = r.n
+    out = np.zeros(len(items.pairs), np.int64)
+    for r in part.select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toLocalIterator():
+        out[r.pair] = r.n
     return out
 
 
@@ -161,24 +189,39 @@ def smith_waterman(passages: Sequence[np.ndarray], items: Sequence[np.ndarray])
 class Matcher:
     """Finds the items that texts hold."""
 
-    def __init__(self, items: Items, seeds: dict[int, list[tuple[int, int]]], least: float = LEAST_SCORE):
-        self.items, self.least = items, least
-        self.codes = np.array(sorted(seeds), np.int64)
-        self.places = [seeds[int(c)] for c in self.codes]
+    def __init__(self, items: Items, seeds: Seeds, least: float = LEAST_SCORE):
+        self.items, self.seeds, self.least = items, seeds, least
+        self.size = np.array([len(t) for t in items.texts], np.int64)
         self.cache = WordIds(items.words)
 
     def passages(self, ids: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """(item's place, start, end, seed hits) of each passage that hits point at."""
-        at, which = find(self.codes, self.items.codes(ids))
-        hits = sorted((k, pos - q) for pos, w in zip(at.tolist(), which.tolist(), strict=True) for k, q in self.places[w])
-        out: list[list[int]] = []
-        for k, diagonal in hits:
-            if out and out[-1][0] == k and diagonal - out[-1][2] <= MARGIN:
-                out[-1][2], out[-1][3] = diagonal, out[-1][3] + 1
-            else:
-                out.append([k, diagonal, diagonal, 1])
-        size = [len(t) for t in self.items.texts]
-        return [(k, max(0, a - MARGIN), min(len(ids), b + size[k] + MARGIN), n) for k, a, b, n in out]
+        """(item's place, start, end, seed hits) of each passage that enough hits point at; it has room for every alignment through them."""
+        seeds = self.seeds
+        found = [find(seeds.codes, self.items.codes(ids, step)) for step in STEPS]
+        at, which = (np.concatenate(x) for x in zip(*found, strict=True))
+        count = seeds.count[which]
+        if not count.sum():
+            return []
+        of = np.repeat(seeds.start[which] - np.cumsum(count) + count, count) + np.arange(count.sum())
+        k, diagonal = seeds.item[of], np.repeat(at, count) - seeds.place[of]
+        order = np.lexsort((diagonal, k))
+        k, diagonal = k[order], diagonal[order]
+        last = np.arange(len(k)) + seeds.hits[k] - 1
+        end = np.minimum(last, len(k) - 1)
+        first = np.flatnonzero((last < len(k)) & (k[end] == k) & (diagonal[end] - diagonal <= seeds.drift[k]))
+        near = np.zeros(len(k) + 1, np.int64)
+        np.add.at(near, first, 1)
+        np.add.at(near, last[first] + 1, -1)
+        kept = np.cumsum(near[:-1]) > 0
+        k, diagonal = k[kept], diagonal[kept]
+        if not len(k):
+            return []
+        drift = seeds.drift[k]
+        starts = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (diagonal[1:] - diagonal[:-1] > drift[1:])])
+        ends = np.r_[starts[1:], len(k)]
+        a = np.maximum(diagonal[starts] - drift[starts], 0)
+        b = np.minimum(diagonal[ends - 1] + self.size[k[starts]] + drift[starts], len(ids))
+        return list(zip(k[starts].tolist(), a.tolist(), b.tolist(), (ends - starts).tolist(), strict=True))
 
     def __call__(self, texts: Sequence[str | None]) -> list[list[tuple[int, float, int, int]]]:
         """For each text [(item's place, score, seed hits, last word of the passage)], the best passage of each item that reaches the score."""
@@ -222,7 +265,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCO
     """A row for each document and test item it holds: doc_id, item_id, score (0 to 1), seed hits, and the passage's last word in the text."""
     out = docs.sparkSession.createDataFrame([], SCHEMA)
     for items in item_blocks(benchmark, block):
-        seeds = items.seeds(gram_frequency(docs, items))
+        seeds = items.seeds(pair_frequency(docs, items), least)
         matcher = docs.sparkSession.sparkContext.broadcast((items, seeds))
 
         def rows(ids, texts, match, items=items.ids):
@@ -237,7 +280,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAS
     """``docs`` without the rows that hold a test item; all columns stay as they are."""
     out = docs
     for items in item_blocks(benchmark, block):
-        seeds = items.seeds(gram_frequency(docs, items))
+        seeds = items.seeds(pair_frequency(docs, items), least)
         matcher = docs.sparkSession.sparkContext.broadcast((items, seeds))
         flag = free_name(docs.columns, "_held")
         held = text_column(F.col("text"), lambda texts, match: [bool(got) for got in match(texts)], T.BooleanType(), lambda matcher=matcher: Matcher(*matcher.value, least))

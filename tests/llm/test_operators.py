@@ -258,6 +258,28 @@ def test_decontamination_against_full_alignment(spark, docs, texts):
             assert want == {p for p in got if p[0] == d}
 
 
+def test_decontamination_of_dense_edits(spark):
+    bench = spark.read.parquet(f"{DATA}/benchmark.parquet")
+    items = [(r.item_id, r.text) for r in bench.collect()]
+    rows = []
+    for k, (_, t) in enumerate(items):
+        for every in (5, 3):
+            rows.append((10 * k + every, "before it " + " ".join("zzz" if n % every == every - 1 else w for n, w in enumerate(t.split())) + " after it"))
+        rows.append((10 * k, " ".join(f"{w} zzz" for w in t.split())))  # a word put in after each
+    rows += [(10 * len(items) + i, t) for i, t in items]  # exact copies make broken grams rarer than whole ones
+    block = decontaminate.Items.of(items)
+    cache = decontaminate.WordIds(block.words)
+    want = set()
+    for d, t in rows:
+        score, _ = decontaminate.smith_waterman([cache.of(t)] * len(items), block.texts)
+        want |= {(d, i) for i, s, w in zip(block.ids, score, block.texts, strict=True) if s >= decontaminate.LEAST_SCORE * 2 * len(w)}
+    assert len(want) >= 3 * len(items)
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(table, bench).collect()} == want
+    left = {r.doc_id for r in decontaminate.drop_contaminated(table, bench).collect()}
+    assert left == {d for d, _ in rows} - {d for d, _ in want}
+
+
 def test_smith_waterman_against_cells():
     def brute(p, t):
         h = np.zeros((len(t) + 1, len(p) + 1), int)
