@@ -4,7 +4,8 @@ Fingerprints that are equal fall together first, so copies never meet in pairs.
 blocks that lose no link:
 
 * ``simhash_components`` (64 bits, radius r): r + 1 bands of bits; two fingerprints within r bits agree in one band at least.
-* ``near_duplicate_groups`` (wide fingerprints, for a similarity of word shingles): bands of min-hashes of the same shingles.
+* ``near_duplicate_groups`` (wide fingerprints, for a similarity of word shingles): bands of min-hashes of the same shingles. What the
+  fingerprints leave are candidates; a link counts once the two sets of shingles have been compared exactly.
 
 Inside a block rows are ordered by population count and compared tile by tile; a tile whose counts differ beyond the radius is
 skipped. Blocks over ``BLOCK_ROWS`` rows are cut into chunks, and each pair of chunks is compared in its own group: exact, with no
@@ -144,14 +145,73 @@ def tile_groups(prints: np.ndarray, radius: int) -> np.ndarray:
     return out
 
 
-def links_in_blocks(keyed: DataFrame, columns: list[str], radius: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(a, b) ids linked within ``radius`` among the rows of ``keyed`` (key long, id long, fingerprint words ``columns``) with equal keys."""
+def link_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a[a != b], pa.int64()), pa.array(b[a != b], pa.int64())], names=["a", "b"])
+
+
+def tiled_links(rows: list[np.ndarray], radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links of the rows (block, id, fingerprint words) of whole blocks, to one member per group of linked rows."""
+    block, ids = rows[0], rows[1]
+    prints = np.stack(rows[2:], axis=1).view(np.uint64)
+    starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+    sizes = np.diff(np.r_[starts, len(block)])
+    i, j = small_links(starts, sizes, prints, radius)
+    a, b = [ids[i]], [ids[j]]
+    for s, n in zip(starts[sizes > SMALL], sizes[sizes > SMALL], strict=True):
+        group = tile_groups(prints[s : s + n], radius)
+        a.append(ids[s : s + n])
+        b.append(ids[s : s + n][group])
+    return np.concatenate(a), np.concatenate(b)
+
+
+def candidate_pairs(rows: list[np.ndarray], radius: int, nearest: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs within the radius in whole blocks of rows (block, id, root, fingerprint words): those whose roots differ.
+
+    All of them, or with ``nearest`` for each row the pair with the nearest row before it.
+    """
+    block, ids, roots = rows[:3]
+    prints = np.stack(rows[3:], axis=1).view(np.uint64)
+    starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+    sizes = np.diff(np.r_[starts, len(block)])
+    i, j = small_links(starts, sizes, prints, radius)
+    if nearest:
+        order = np.lexsort((np.bitwise_count(prints[i] ^ prints[j]).sum(axis=1, dtype=np.int64), j))
+        i, j = i[order], j[order]
+        first = np.r_[True, j[1:] != j[:-1]][: len(j)]
+        i, j = i[first], j[first]
+    left, right = [i], [j]
+    for s, n in zip(starts[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist(), strict=True):
+        for at in range(0, n, TILE):
+            tile, other = prints[s + at : s + min(at + TILE, n)], prints[s : s + min(at + TILE, n)]
+            differ = np.zeros((len(tile), len(other)), np.int64)
+            for w in range(prints.shape[1]):
+                differ += np.bitwise_count(tile[:, w][:, None] ^ other[:, w][None, :])
+            differ[np.arange(len(other))[None, :] >= at + np.arange(len(tile))[:, None]] = radius + 1
+            if nearest:
+                best = differ.argmin(axis=1)
+                j = np.flatnonzero(differ[np.arange(len(tile)), best] <= radius)
+                i = best[j]
+            else:
+                j, i = np.nonzero(differ <= radius)
+            left.append(s + i)
+            right.append(s + at + j)
+    i, j = np.concatenate(left), np.concatenate(right)
+    differ = roots[i] != roots[j]
+    return ids[i[differ]], ids[j[differ]]
+
+
+def links_in_blocks(keyed: DataFrame, columns: list[str], radius: int, block_rows: int = BLOCK_ROWS, found=None) -> DataFrame:
+    """(a, b) ids linked within ``radius`` among the rows of ``keyed`` (key long, id long, fingerprint words ``columns``) with equal keys.
+
+    ``found`` takes the rows (block, id, *columns) of whole blocks and returns the two sides of their links, if not ``tiled_links``.
+    """
     big = keyed.groupBy("key").count().where(F.col("count") > block_rows).select("key", F.ceil(F.col("count") / block_rows).cast("int").alias("chunks"))
     cut = keyed.join(big, "key", "left").withColumn("chunk", F.pmod(F.xxhash64("id"), F.coalesce("chunks", F.lit(1))).cast("int"))
     others = F.when(F.col("chunks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("chunks") - 1))
     parted = cut.withColumn("other", F.explode(others)).select(
         F.when(F.col("chunks").isNull(), F.col("key")).otherwise(F.xxhash64("key", F.least("chunk", "other"), F.greatest("chunk", "other"))).alias("block"), "id", *columns
     )
+    linked = found or (lambda rows: tiled_links(rows, radius))
 
     def run(batches):
         held: list[np.ndarray] | None = None
@@ -160,24 +220,10 @@ def links_in_blocks(keyed: DataFrame, columns: list[str], radius: int, block_row
             held = part if held is None else [np.concatenate(x) for x in zip(held, part, strict=True)]
             cut_at = np.searchsorted(held[0], held[0][-1]) if len(held[0]) else 0  # the last block may go on in the next batch
             if cut_at:
-                yield from linked([x[:cut_at] for x in held])
+                yield link_batch(*linked([x[:cut_at] for x in held]))
                 held = [x[cut_at:] for x in held]
         if held is not None and len(held[0]):
-            yield from linked(held)
-
-    def linked(rows: list[np.ndarray]):
-        block, ids = rows[0], rows[1]
-        prints = np.stack(rows[2:], axis=1).view(np.uint64)
-        starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
-        sizes = np.diff(np.r_[starts, len(block)])
-        i, j = small_links(starts, sizes, prints, radius)
-        a, b = [ids[i]], [ids[j]]
-        for s, n in zip(starts[sizes > SMALL], sizes[sizes > SMALL], strict=True):
-            group = tile_groups(prints[s : s + n], radius)
-            a.append(ids[s : s + n])
-            b.append(ids[s : s + n][group])
-        a, b = np.concatenate(a), np.concatenate(b)
-        yield pa.RecordBatch.from_arrays([pa.array(a[a != b], pa.int64()), pa.array(b[a != b], pa.int64())], names=["a", "b"])
+            yield link_batch(*linked(held))
 
     return parted.repartition("block").sortWithinPartitions("block").mapInArrow(run, "a long, b long")
 
@@ -213,12 +259,15 @@ def simhash_components(docs: DataFrame, width: int = 3, radius: int = 2) -> Data
     return found.join(named, "print").select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Wide fingerprints for a similarity of five-word shingles of 0.8: 512 bits differ in 78 places on average there (deviation 8).
-WORDS, RADIUS, BANDS, ROWS = 8, 92, 12, 2
+#: The similarity of word shingles (of their sets) from which two texts are near-duplicates, as a fraction.
+SIMILAR = (4, 5)
+#: Wide fingerprints for candidates: at 0.8, 512 bits differ in 78 places on average (deviation 8; at most 96 and 9, in texts of four or
+#: five shingles), so the radius lies over five deviations off; it takes pairs from about 0.46.
+WORDS, RADIUS, BANDS, ROWS = 8, 144, 12, 2
 
 
 def wide_prints(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, text_md5, p0.., keys): wide fingerprints and block keys of each row."""
+    """(doc_id, text_md5, p0.., keys): wide fingerprints over distinct shingles and block keys of each row."""
     schema = T.StructType(
         [T.StructField("doc_id", T.LongType()), T.StructField("text_md5", T.StringType())]
         + [T.StructField(f"p{k}", T.LongType()) for k in range(WORDS)]
@@ -227,7 +276,7 @@ def wide_prints(docs: DataFrame, width: int) -> DataFrame:
 
     def rows(ids, texts):
         data = [(t or "").encode() for t in texts]
-        hashes = [shingle_hashes(d, width) for d in data]
+        hashes = [np.unique(shingle_hashes(d, width)) for d in data]
         prints = np.array([fingerprint(h, WORDS) for h in hashes], np.uint64).view(np.int64).reshape(len(data), WORDS)
         keys = [block_keys(h, BANDS, ROWS).view(np.int64).tolist() if len(h) else [0] for h in hashes]  # texts without words meet in one block
         return [ids, [hashlib.md5(d).hexdigest() for d in data], *prints.T, keys]
@@ -235,17 +284,54 @@ def wide_prints(docs: DataFrame, width: int) -> DataFrame:
     return map_texts(docs, rows, schema)
 
 
+def similar_links(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+    """The rows of ``pairs`` (a, b) whose texts have sets of shingles of at least the similarity SIMILAR, compared exactly.
+
+    Only texts of candidates are shuffled, as sets of hashes. An id with several texts is similar if one of them is.
+    """
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("shingles", T.BinaryType())])
+    some = docs.select("doc_id", "text").join(needed, F.col("doc_id") == F.col("id"), "left_semi")
+    found = map_texts(some, lambda ids, texts: [ids, [np.unique(shingle_hashes((t or "").encode(), width)).tobytes() for t in texts]], schema)
+    sets = stored(found.groupBy("id").agg(F.collect_set("shingles").alias("sets")), "shingles")
+    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("sets").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("sets").alias("y")), "b")
+
+    def similar(x: bytes, y: bytes) -> bool:
+        x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        if min(len(x), len(y)) * SIMILAR[1] < max(len(x), len(y)) * SIMILAR[0]:
+            return False
+        common = len(np.intersect1d(x, y, assume_unique=True))
+        return common * SIMILAR[1] >= (len(x) + len(y) - common) * SIMILAR[0]
+
+    def run(batches):
+        for batch in batches:
+            a, b = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            kept = np.fromiter((any(similar(p.as_py(), q.as_py()) for p in x.values for q in y.values) for x, y in zip(batch.column(2), batch.column(3), strict=True)), bool, len(a))
+            yield link_batch(a[kept], b[kept])
+
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
 def near_duplicate_groups(docs: DataFrame, width: int = 5, radius: int = RADIUS) -> DataFrame:
     """(text_md5, id, root) for each different text: its smallest doc_id and the smallest doc_id of its group of near-duplicates.
 
-    Links: wide fingerprints at most ``radius`` of 512 bits apart, which is a similarity of word shingles of about 0.77 or more; blocks
-    by min-hash bands miss a pair at 0.8 with a chance of five in a million.
+    Links: an exact similarity of sets of word shingles of SIMILAR or more, among pairs that meet in a min-hash band (missed at 0.8 with
+    a chance of five in a million) with wide fingerprints at most ``radius`` bits apart. First each text is compared with the nearest
+    one before it in each block, then all pairs that are not in one group by then; so a large group gives few pairs.
     """
     prints = [f"p{k}" for k in range(WORDS)]
     found = wide_prints(docs, width)
     classes = stored(found.groupBy("text_md5").agg(F.min("doc_id").alias("id"), F.any_value(F.struct(*prints, "keys")).alias("w")), "text-classes")
-    keyed = classes.where("id is not null").select(F.explode("w.keys").alias("key"), "id", *(f"w.{p}" for p in prints))
-    roots = connected_components(links_in_blocks(keyed, prints, radius))
+    nodes, links, seen = classes.where("id is not null").withColumn("root", F.col("id")), None, None
+    for nearest in (True, False):
+        keyed = nodes.select(F.explode("w.keys").alias("key"), "id", "root", *(f"w.{p}" for p in prints))
+        blocks = links_in_blocks(keyed, ["root", *prints], radius, found=lambda rows, nearest=nearest: candidate_pairs(rows, radius, nearest))
+        pairs = blocks.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = stored(pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti"), "pairs")
+        similar = stored(similar_links(docs, pairs, width), "similar")
+        links, seen = similar if links is None else links.union(similar), pairs
+        roots = stored(connected_components(links), "roots")
+        nodes = classes.where("id is not null").join(roots, "id", "left").select("text_md5", "id", "w", F.coalesce("root", "id").alias("root"))
     return classes.join(roots, "id", "left").select("text_md5", "id", F.coalesce("root", "id").alias("root"))
 
 

@@ -178,6 +178,34 @@ def test_near_duplicates_at_five_words(spark):
     assert kept == set(range(30))
 
 
+def test_near_duplicates_against_exact_similarity(spark):
+    draw = np.random.default_rng(4)
+    words = [f"w{k}" for k in range(20_000)]
+    line = "all rights reserved by the owners of this page and of its parts".split()
+    rows = []
+    for _ in range(40):  # copies with more and more words changed: similarities of 0.3 to 1
+        base = draw.choice(words, 150).tolist()
+        for edits in range(0, 14, 2):
+            copy = list(base)
+            for at in draw.choice(150, edits, replace=False):
+                copy[at] = "changed" + str(draw.integers(10**6))
+            rows.append((len(rows), " ".join(copy)))
+    for _ in range(60):  # a line much repeated in otherwise different texts
+        rows.append((len(rows), " ".join(line * 60 + draw.choice(words, 6).tolist())))
+    for k in range(40):  # short texts: four of five, and four of six shingles in common
+        short = draw.choice(words, 9).tolist()
+        rows += [(len(rows) + i, " ".join(t)) for i, t in enumerate([short, short[:-1], [*short[:-1], f"last{k}"]])]
+    sets = [set(simhash.shingle_hashes(t.encode(), 5).tolist()) for _, t in rows]
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) and root[i] != root[j]:
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = [new if r == old else r for r in root]
+    got = simhash.near_duplicate_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.id: r.root for r in got} == dict(enumerate(root))
+
+
 def test_packing_against_the_tokenizer(spark, docs, texts):
     import public_tokenizers
     from tokenizers import Tokenizer
