@@ -35,34 +35,43 @@ FIT_ROWS = 6000
 #: Features kept: those with the greatest z of the difference between the shares of toxic and other rows.
 FEATURES, LEAST_Z, LEAST_ROWS = 1500, 4.0, 3
 FOLDS = 5
-CACHE_WORDS = 300_000
+CACHE_WORDS, CACHE_CHARS = 300_000, 66
+#: N-grams of a token are taken at so many places at once.
+PIECE = 20_000
 EDGE = "^$.,;:!?()[]{}\"'<>|*%&#-_/+=~`"
 
 
-def word_features(token: str) -> tuple[int, ...]:
-    """64-bit hashes of a token's word and of the 4- and 5-character n-grams of it with its ends marked; none if nothing is left of it."""
+def word_features(token: str, kept: dict[int, int] | None = None) -> tuple[int, ...]:
+    """64-bit hashes of a token's word and of the 4- and 5-character n-grams of it with its ends marked; none if nothing is left of it.
+
+    With ``kept``, the values of those hashes that it has. Long tokens go piece by piece, so that not all their n-grams are held at once.
+    """
     core = token.lower().strip(EDGE)
     if not core:
         return ()
-    marked = f"^{core}$"[:66]
-    grams = {marked[i : i + n] for n in (4, 5) for i in range(len(marked) - n + 1)}
-    return tuple(xxhash.xxh64_intdigest(g) - (1 << 63) for g in ["w" + core, *sorted(grams)])
+    marked = f"^{core}$"
+    grams, found = {"w" + core}, set()
+    for at in range(0, len(marked), PIECE):
+        grams |= {marked[i : i + n] for n in (4, 5) for i in range(at, min(at + PIECE, len(marked) - n + 1))}
+        hashes = (xxhash.xxh64_intdigest(g) - (1 << 63) for g in grams)
+        found.update(hashes if kept is None else (kept[h] for h in hashes if h in kept))
+        grams = set()
+    return tuple(sorted(found))
 
 
 class FeatureCache(dict):
-    """token -> its features (of those in ``kept``, if given); cleared when it has grown too large."""
+    """token -> its features (of those in ``kept``, if given); cleared when it has grown too large, and long tokens are not held."""
 
     def __init__(self, kept: dict[int, int] | None = None):
         super().__init__()
         self.kept = kept
 
     def __missing__(self, token: str) -> tuple[int, ...]:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        got = word_features(token)
-        if self.kept is not None:
-            got = tuple(self.kept[f] for f in got if f in self.kept)
-        self[token] = got
+        got = word_features(token, self.kept)
+        if len(token) <= CACHE_CHARS:
+            if len(self) >= CACHE_WORDS:
+                self.clear()
+            self[token] = got
         return got
 
     def of(self, text: str | None) -> list[int]:

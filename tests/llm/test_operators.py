@@ -400,6 +400,20 @@ def test_toxicity_out_of_fold(spark):
 # ---------------------------------------------------------------- odd rows
 
 
+def test_toxicity_of_long_tokens(spark):
+    start = "quiet-words-without-any-space-" * 4
+    token = start + "worthless" + "-and-more" * 3000
+    marked = f"^{token}$"
+    want = {marked[i : i + n] for n in (4, 5) for i in range(len(marked) - n + 1)} | {"w" + token}
+    assert set(toxicity.word_features(token)) == {xxhash.xxh64_intdigest(g) - (1 << 63) for g in want}
+    kept = {xxhash.xxh64_intdigest("thles") - (1 << 63): 0}
+    cache = toxicity.FeatureCache(kept)
+    assert cache.of(token) == [0] and cache.of("fine " + token) == [0] and cache.of(start) == [] and token not in cache
+    chain = toxicity.Chain(kept, np.full((1, 4), 8.0), np.full(4, -4.0), np.zeros((4, 4)))
+    rows = [(1, token), (2, start), (3, "a worthless text")]
+    assert {r.doc_id for r in toxicity.drop_toxic(spark.createDataFrame(rows, "doc_id long, text string"), chain).collect()} == {2}
+
+
 def test_odd_rows(spark, odd, docs):
     chain = toxicity.train_chain(docs, spark.read.parquet(f"{DATA}/labels.parquet"))
     bench = bench_of(spark, [(1, "alpha beta gamma alpha beta gamma alpha"), (2, None), (3, "two words"), (4, "")])
