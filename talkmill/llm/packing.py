@@ -10,6 +10,7 @@ Null text counts as empty: one piece with the end token alone. Repeated rows are
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Callable
@@ -42,7 +43,8 @@ class WordTokenizer:
     """Byte-level BPE ids as little-endian unsigned 32-bit bytes.
 
     The pattern that parts a text before BPE always starts a new part at a single space between two other characters, so texts are
-    encoded word by word with a cache; texts with longer runs of spaces are encoded whole.
+    encoded word by word with a cache; texts with longer runs of spaces are encoded whole. Ids are those of ``byte_bpe_50k.json`` in the
+    tokenizers library without special tokens put in: texts are cut first at the tokens which that file adds to the vocabulary.
     """
 
     def __init__(self, ranks_path: str | None = None):
@@ -55,8 +57,16 @@ class WordTokenizer:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encode = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.cache: dict[str, bytes] = {}
+        with open(tokenizer_path("byte_bpe_50k.json"), "rb") as f:
+            self.added = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in json.load(f)["added_tokens"]}
+        self.cuts = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
 
     def ids(self, text: str) -> bytes:
+        if self.cuts is None or not any(t in text for t in self.added):
+            return self.plain_ids(text)
+        return b"".join(self.added[part] if part in self.added else self.plain_ids(part) for part in self.cuts.split(text) if part)
+
+    def plain_ids(self, text: str) -> bytes:
         if _UNSURE.search(text):
             return np.array(self.encode(text), "<u4").tobytes()
         first, *words = text.split(" ")

@@ -237,6 +237,20 @@ def test_packing_against_the_tokenizer(spark, docs, texts):
     assert len(by_sequence) * packing.CAPACITY < total * 1.05 + 2 * packing.CAPACITY
 
 
+def test_packing_of_added_tokens(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"one text {end} another", end, f"{end}{end}\n\nit's  {end} ", f"word {end[:-1]} <{end}>", f"a{end}b " + f"long text {end}" * 900]
+    rows = packing.pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for i, text in enumerate(texts):
+        ids = np.array([*tok.encode(text, add_special_tokens=False).ids, 1], "<u4")
+        got = sorted((r.start, r.length, r.doc_tokens, r.ids_crc32) for r in rows if r.doc_id == i)
+        assert got == [(a, len(ids[a : a + 2048]), len(ids), zlib.crc32(ids[a : a + 2048].tobytes())) for a in range(0, len(ids), 2048)]
+
+
 def test_knapsack_and_columns():
     value, counts = packing.knapsack(np.array([0.5, 0.34, 0.26]), np.array([5, 3, 2]), 10)
     assert counts @ np.array([5, 3, 2]) <= 10 and value == pytest.approx(5 * 0.26)
