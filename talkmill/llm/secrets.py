@@ -51,7 +51,7 @@ ALLOW = (
     r"(?i).*(example|sample|placeholder|changeme|your[_-]?(key|token|secret)).*",
     r"(?i)0123456789.*|abcdefghij.*",
     r"[A-Za-z]+[0-9]{1,4}",
-    r"(?:[A-Za-z]*[-_/=]|[A-Za-z]+[0-9]{0,4}[-_/=])+(?:[A-Za-z]*[0-9]{0,4})",
+    r"(?:[A-Za-z]*(?:(?<=[A-Za-z])[0-9]{1,4})?[-_/=])+(?:[A-Za-z]*[0-9]{0,4})",  # a segment matches in one way only
 )
 
 

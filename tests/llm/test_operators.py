@@ -73,6 +73,20 @@ def test_secrets_against_plain_patterns(spark, docs, texts):
         assert (r.n_assign, r.n_access, r.n_hex) == (n["assign"], n["access"], n["hex"])
 
 
+def test_allow_list_does_not_backtrack():
+    import subprocess
+    import sys
+
+    slug = "-".join(chr(97 + k % 26) + "xyz"[k % 3] * (k % 5 + 2) for k in range(35)) + "-8f3a9c2"
+    run = f"from talkmill.llm.secrets import SecretScanner; SecretScanner()({slug!r})"
+    subprocess.run([sys.executable, "-c", run], check=True, timeout=10)
+    old, new = re.compile(r"(?:[A-Za-z]*[-_/=]|[A-Za-z]+[0-9]{0,4}[-_/=])+(?:[A-Za-z]*[0-9]{0,4})"), re.compile(secrets.ALLOW[-1])
+    draw = np.random.default_rng(6)
+    for _ in range(3000):
+        word = "".join(draw.choice(list("aZ09-_/=+"), draw.integers(1, 12)))
+        assert bool(old.fullmatch(word)) == bool(new.fullmatch(word))
+
+
 def test_window_entropy_against_recount():
     run, width = "aZ3xQ9bT7mK1pL5vN8cR2yH6wJ4dS0gFaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa", 24
 
