@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zlib
+from collections import OrderedDict
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -21,20 +22,66 @@ _own_folder: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir); one of our own only where it is unset, as in tests."""
+    """The folder that driver and executors share (spark.checkpoint.dir); one of our own only where it is unset and Spark runs on one machine, as in tests."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if where:
         return where.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not _own_folder:
         _own_folder.append(tempfile.mkdtemp(prefix="spark-shared-"))
     return "file://" + _own_folder[0]
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` as Parquet to the shared folder and reads it back: cuts the lineage, survives lost executors, and is computed once."""
+def stored(df: DataFrame, name: str, instead_of: DataFrame | None = None) -> DataFrame:
+    """Writes ``df`` as Parquet to the shared folder and reads it back: cuts the lineage, survives lost executors, and is computed once.
+
+    ``instead_of``: a stored table that nothing reads once this one is written, as between rounds; its files are removed.
+    """
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    if instead_of is not None:
+        discard(instead_of)
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Removes the files of a table that ``stored`` made and that nothing will read again."""
+    spark = df.sparkSession
+    where = spark._jvm.org.apache.hadoop.fs.Path(df.stored_path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+#: A side of a join is broadcast if it was counted to have at most this many rows of a few numbers.
+BROADCAST_ROWS = 1_000_000
+#: Keys that hold more than one in so many rows are joined by a broadcast of these keys: there are fewer of them than this.
+HOT_KEYS = 500
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A hint to broadcast ``df`` (a stored table of narrow rows) if it has at most BROADCAST_ROWS rows; else it is joined by a shuffle."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def join_with_hot_keys(rows: DataFrame, table: DataFrame, key: str, weight: str, total: int) -> DataFrame:
+    """Inner join of ``rows`` with ``table``, in which ``key`` is unique and ``weight`` counts the rows that have it; ``total`` of them in all.
+
+    Keys with over 1/HOT_KEYS of the rows never meet in a shuffle: they are fewer than HOT_KEYS, so their part of the table is broadcast.
+    """
+    is_hot = F.col(weight) * HOT_KEYS > total
+    hot = F.broadcast(table.where(is_hot))
+    return rows.join(hot, key).unionByName(rows.join(F.broadcast(table.where(is_hot).select(key)), key, "left_anti").join(table.where(~is_hot), key))
+
+
+def numbered_copies(rows: DataFrame, name: str, part: int = 10_000) -> DataFrame:
+    """Adds ``name``: a number from 0 among equal rows, so that each row is told apart whatever the partitions. Copies are counted, never gathered."""
+    counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("_copies"))
+    parts = counted.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_copies") - 1) / part))).alias("_part"))
+    spread = parts.where(F.col("_copies") <= part).unionByName(parts.where(F.col("_copies") > part).repartition(F.xxhash64("_part", *rows.columns)))
+    last = F.least(F.col("_part") * part + part, F.col("_copies")) - 1
+    return spread.select(*rows.columns, F.explode(F.sequence(F.col("_part") * part, last)).alias(name))
 
 
 #: Rows ranked in one window group come to about this many.
@@ -77,17 +124,33 @@ def slices(batch: pa.RecordBatch, column: int = 1) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start)
 
 
+#: States that a Python worker keeps from one task to the next (vocabularies, caches of what was worked out for words).
+KEPT_STATES = 2
+_states: OrderedDict[str, object] = OrderedDict()
+
+
+def kept_state(key: str, start: Callable[[], object]) -> object:
+    """The worker's state of ``key``, made by ``start`` if a task needs it for the first time."""
+    if key not in _states:
+        while len(_states) >= KEPT_STATES:
+            _states.popitem(last=False)
+        _states[key] = start()
+    _states.move_to_end(key)
+    return _states[key]
+
+
 def map_texts(docs: DataFrame, rows: Callable[[list, list], Sequence[Sequence]], schema: T.StructType, start: Callable[[], object] | None = None) -> DataFrame:
     """Maps (doc_id, text) to rows of ``schema`` without a shuffle.
 
-    ``rows(ids, texts[, state])`` gets lists and returns one list for each output column. ``start()`` makes a state once a task.
+    ``rows(ids, texts[, state])`` gets lists and returns one list for each output column. ``start()`` makes a state, once a worker.
     Only doc_id and text are read, so further columns of any name do no harm.
     """
     names = [f.name for f in schema]
+    key = uuid.uuid4().hex
 
     def run(batches):
         arrow = pa_schema(schema)
-        state = (start(),) if start else ()
+        state = (kept_state(key, start),) if start else ()
         for whole in batches:
             for batch in slices(whole):
                 columns = rows(batch.column(0).to_pylist(), batch.column(1).to_pylist(), *state)
@@ -105,12 +168,11 @@ def pa_schema(schema: T.StructType) -> pa.Schema:
 def text_column(column: str | Column, rows: Callable[..., list], returns: T.DataType, start: Callable[[], object] | None = None) -> Column:
     """A Column from an Arrow UDF over one text column, so that a stage keeps all other columns as they are."""
     out_type = pa_schema(T.StructType([T.StructField("x", returns)])).field(0).type
-    cell: list = []
+    key = uuid.uuid4().hex
 
     @F.arrow_udf(returns)
     def udf(texts: pa.Array) -> pa.Array:
-        if start and not cell:
-            cell.append(start())
+        cell = (kept_state(key, start),) if start else ()
         values, batch = [], pa.RecordBatch.from_arrays([texts], names=["t"])
         for part in slices(batch, 0):
             values += rows(part.column(0).to_pylist(), *cell)
@@ -127,24 +189,32 @@ def free_name(columns: Sequence[str], name: str) -> str:
     return name
 
 
-#: Documents over this many characters are left out of fitting samples (never out of scoring), so that a sample's size is bounded.
-SAMPLE_CHARS = 200_000
+#: Texts of a fitting sample come to at most this many bytes; documents of any length may be in it.
+FIT_BYTES = 64 << 20
 
 
-def fitting_sample(docs: DataFrame, bound: int, columns: Sequence[str], salt: int = 0, labels: DataFrame | None = None) -> DataFrame:
-    """(doc_id, text, *columns): about ``bound`` labelled rows at most, one for each doc_id, picked by a hash of doc_id.
+def fitting_sample(docs: DataFrame, bound: int, columns: Sequence[str], salt: int = 0, labels: DataFrame | None = None, most_bytes: int = FIT_BYTES) -> DataFrame:
+    """(doc_id, text, *columns): about ``bound`` labelled rows at most, of ``most_bytes`` at most, one for each doc_id, picked by a hash of doc_id.
 
     The label ``columns`` stand in ``docs``, or in ``labels`` (doc_id, *columns), of which the greatest row of an id counts. Null ids, texts
     and labels are left out. Of repeated ids the least row stays, so the result does not depend on partitions. Ids are picked before texts
-    are read, so that only the sample's texts are shuffled.
+    are read, so that only the sample's texts are shuffled. If its texts are over the bound of bytes, those that come first by the hash stay.
     """
     given = docs.select("doc_id", *columns).dropna() if labels is None else labels.select("doc_id", *columns).dropna().groupBy("doc_id").agg(*(F.max(c).alias(c) for c in columns))
     share = int(min(1.0, bound / max(given.count(), 1)) * (1 << 30))
-    picked = F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 30)) < share
-    rows = docs.where(picked & (F.length("text") <= SAMPLE_CHARS))
-    whole = rows.select("doc_id", "text", *columns).dropna() if labels is None else rows.select("doc_id", "text").join(given.where(picked), "doc_id")
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 30))
+    picked = draw < share
+    rows = docs.where(picked)
+    whole = rows.select("doc_id", "text", *columns).dropna() if labels is None else rows.select("doc_id", "text").dropna().join(given.where(picked), "doc_id")
     one = whole.groupBy("doc_id").agg(F.min(F.struct(*columns, "text")).alias("row"))
-    return stored(one.select("doc_id", "row.text", *(f"row.{c}" for c in columns)), "sample")
+    sample = stored(one.select("doc_id", "row.text", *(f"row.{c}" for c in columns)), "sample")
+    left, last = most_bytes, -1
+    for r in sample.select(draw.alias("draw"), F.octet_length("text").alias("n")).orderBy("draw", "n").collect():  # about ``bound`` pairs of numbers
+        left -= r.n
+        if left < 0:
+            return sample.where(draw <= last)
+        last = r.draw
+    return sample
 
 
 class TokenRows(dict):

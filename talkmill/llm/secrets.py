@@ -1,19 +1,21 @@
 """Secret scan: fixed patterns plus sliding-window Shannon entropy per character class, with an allow-list.
 
-A candidate is a run of token characters. For each character class the scan slides a window over the candidate's runs of that
-class and keeps the entropy by incremental counts: one count goes up and one down at each step. Windows over the class's
-threshold are merged into spans; spans that an allow-list pattern covers are suppressed.
+A candidate is a run of token characters. For each character class the scan slides windows over the candidate's runs of that class and
+keeps the entropy by incremental counts: one count goes up and one down at each step. Windows over their threshold are merged into
+spans. The allow-list is asked about the parts of a candidate between ``/``, ``=`` and ``+``: a span that lies in allowed parts alone is
+suppressed, and allowed parts at its ends are cut off, so that a key in a path or behind a name is still found.
 
-Null text counts as empty: no spans. Repeated rows give repeated results. Texts are scanned whole, at any length.
+Null text counts as empty: no spans. An empty table gives no rows. Repeated rows give repeated results, and rows are judged one by one,
+so there are no ties. Texts are scanned whole, at any length. Only doc_id and text are read, so further columns of any name do no harm.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
 import re
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -28,31 +30,31 @@ KINDS = ("assign", "access", "hex", "entropy")
 
 @dataclass(frozen=True)
 class EntropyClass:
-    """Characters, window width and the least entropy in bits of a window that counts."""
+    """Characters, and pairs of a window's width and the least entropy in bits of a window that counts."""
 
     name: str
     chars: str
-    window: int
-    bits: float
+    windows: tuple[tuple[int, float], ...]
 
 
-#: Window widths and thresholds in bits: hex windows of random digits come to about 3.3 of 4, base64 windows to about 4.0 of 4.58.
+#: Random hex digits come to about 3.3 bits in a window of 24 and 3.0 in one of 16; random letters and digits to 4.2 and 3.8.
 CLASSES = (
-    EntropyClass("hex", r"[0-9a-fA-F]", 24, 3.0),
-    EntropyClass("alnum", r"[A-Za-z0-9]", 24, 3.7),
-    EntropyClass("base64", r"[A-Za-z0-9+/=_-]", 24, 3.8),
+    EntropyClass("hex", r"[0-9a-fA-F]", ((24, 3.0), (16, 2.7))),
+    EntropyClass("alnum", r"[A-Za-z0-9]", ((24, 3.7), (16, 3.5))),
+    EntropyClass("base64", r"[A-Za-z0-9+/=_-]", ((24, 3.8), (16, 3.6))),
 )
 
-#: Candidates that are not secrets: plain words and word lists, numbers, counted sequences, one repeated unit, stated examples.
+#: Parts of candidates that are not secrets. Each pattern matches a text in one way at most, or in time linear in its length.
 ALLOW = (
-    r"[^0-9]*",
-    r"[0-9+/=_-]*",
-    r"(.{1,8}?)\1+.{0,8}",
-    r"(?i).*(example|sample|placeholder|changeme|your[_-]?(key|token|secret)).*",
-    r"(?i)0123456789.*|abcdefghij.*",
+    r"[0-9_-]*",
+    r"[a-z]+|[A-Z]+|[A-Z]?[a-z]+(?:[A-Z][a-z]{2,})*[A-Z]*",  # words, also run together by capitals
     r"[A-Za-z]+[0-9]{1,4}",
-    r"(?:[A-Za-z]*(?:(?<=[A-Za-z])[0-9]{1,4})?[-_/=])+(?:[A-Za-z]*[0-9]{0,4})",  # a segment matches in one way only
+    r"(?:(?:[A-Za-z]+[0-9]{0,4})?[-_])++[A-Za-z]*[0-9]{0,4}",  # word lists
+    r"(.{1,8}?)\1+.{0,8}",  # one unit again and again
+    r"(?i)(?:0123456789|1234567890|abcdefghijklmnopqrstuvwxyz|abcdefghij|abcdef|qwertyuiop)+[a-z0-9]{0,4}",  # counted sequences
+    r"(?i).*(?:example|sample|placeholder|changeme|your[_-]?(?:key|token|secret)).*",  # stated examples
 )
+PART = re.compile(r"[^/=+]+")
 
 
 @dataclass(frozen=True)
@@ -63,9 +65,9 @@ class SecretScanner:
 
     def _parts(self):
         if not self._made:
-            least = min(c.window for c in self.classes)
+            least = min(width for c in self.classes for width, _ in c.windows)
             self._made["candidates"] = re.compile(r"[A-Za-z0-9+/=_-]{%d,}" % least)
-            self._made["runs"] = [(c, re.compile(f"(?:{c.chars}){{{c.window},}}")) for c in self.classes]
+            self._made["runs"] = [(c, re.compile(f"(?:{c.chars}){{{min(width for width, _ in c.windows)},}}")) for c in self.classes]
             self._made["allow"] = [re.compile(p, re.S) for p in self.allow]
         return self._made
 
@@ -79,19 +81,22 @@ class SecretScanner:
             out += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
         return out + [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
 
+    def is_allowed(self, part: str) -> bool:
+        return any(p.fullmatch(part) for p in self._parts()["allow"])
+
     def entropy(self, text: str) -> list[tuple[int, int, int]]:
         made, out = self._parts(), []
         for m in made["candidates"].finditer(text):
             word = m[0]
-            if any(p.fullmatch(word) for p in made["allow"]):
+            parts = [(p.start(), p.end(), self.is_allowed(p[0])) for p in PART.finditer(word)]
+            if all(allowed for _, _, allowed in parts):
                 continue
-            hot: list[list[int]] = []
-            for c, runs in made["runs"]:
-                for r in runs.finditer(word):
-                    if not any(p.fullmatch(r[0]) for p in made["allow"]):
-                        hot += [[r.start() + a, r.start() + b] for a, b in windows_over(r[0], c.window, c.bits)]
+            hot = [[r.start() + a, r.start() + b] for c, runs in made["runs"] for r in runs.finditer(word) for width, bits in c.windows for a, b in windows_over(r[0], width, bits)]
+            suspect = [(a, b) for a, b, allowed in parts if not allowed]
             for a, b in merged(hot):
-                out.append((m.start() + a, 3, m.start() + b))
+                held = [(x, y) for x, y in suspect if x < b and a < y]
+                if held:
+                    out.append((m.start() + max(a, held[0][0]), 3, m.start() + min(b, held[-1][1])))
         return out
 
     def __call__(self, text: str | None) -> list[tuple[str, int, int]]:
@@ -103,27 +108,31 @@ class SecretScanner:
 
 
 def windows_over(run: str, width: int, bits: float) -> list[list[int]]:
-    """Merged [start, end) of the windows whose Shannon entropy is at least ``bits``; counts are updated step by step."""
-    term = [0.0] + [c * math.log2(c) for c in range(1, width + 2)]
-    counts: dict[str, int] = {}
-    total, out = 0.0, []
-    log_width = math.log2(width)
-    for i, ch in enumerate(run):
-        n = counts.get(ch, 0)
-        counts[ch] = n + 1
-        total += term[n + 1] - term[n]
-        if i >= width:
-            old = run[i - width]
-            n = counts[old]
-            counts[old] = n - 1
-            total += term[n - 1] - term[n]
-        if i >= width - 1 and log_width - total / width >= bits:
-            a = i - width + 1
-            if out and a <= out[-1][1]:
-                out[-1][1] = i + 1
-            else:
-                out.append([a, i + 1])
-    return out
+    """Merged [start, end) of the windows whose Shannon entropy is at least ``bits``.
+
+    From one window to the next the count of the character that comes in goes up and that of the one that leaves goes down. Where each
+    character stands among its like gives these counts for all steps of a run at once; the entropy is the running sum of the changes.
+    """
+    n = len(run)
+    if n < width:
+        return []
+    codes = np.frombuffer(run.encode("utf-32-le"), np.uint32).astype(np.int64)
+    at = np.arange(n)
+    key = codes * (n + 1) + at
+    order = np.sort(key)
+    rank = np.searchsorted(order, key)
+    came = rank - np.searchsorted(order, key - np.minimum(at, width))  # its like in the window before
+    term = np.r_[0.0, np.arange(1, width + 2) * np.log2(np.arange(1, width + 2))]
+    total = term[came + 1] - term[came]
+    left = at[: n - width]  # the character that leaves at each step from width on; the one that comes in is counted by then
+    stood = np.searchsorted(order, key[left] + width, "right") - rank[left]
+    total[width:] += term[stood - 1] - term[stood]
+    entropy = np.log2(width) - np.cumsum(total)[width - 1 :] / width
+    hot = np.flatnonzero(entropy >= bits - 1e-9)
+    if not len(hot):
+        return []
+    new = np.flatnonzero(np.r_[True, hot[1:] - hot[:-1] > width])
+    return np.stack([hot[new], hot[np.r_[new[1:], len(hot)] - 1] + width], axis=1).tolist()
 
 
 def merged(spans: list[list[int]]) -> list[list[int]]:
