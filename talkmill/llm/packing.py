@@ -1,19 +1,20 @@
 """Sequence packing as a cutting-stock problem, solved by column generation over the histogram of piece lengths.
 
-Documents over the capacity are cut into full pieces and a rest. The driver only sees the histogram: at most capacity / ``grain``
-length classes. A linear program chooses how often to use each pattern (a multiset of classes that fits a sequence); knapsack dynamic
-programming prices new patterns until none helps. Patterns are rounded down, what is left of the histogram is packed first-fit
+Documents over the capacity are cut into full pieces and a rest. The driver only sees the histogram of lengths, put into a few hundred
+classes. A linear program chooses how often to use each pattern (a multiset of classes that fits a sequence);
+knapsack dynamic programming prices new patterns until none helps. Patterns are rounded, what is left of the histogram is packed best-fit
 decreasing, and the pieces, ranked within their class by Spark, take their places in the patterns by arithmetic.
 
-Null text counts as empty: one piece with the end token alone. Repeated rows are packed each.
+Null text counts as empty: one piece with the end token alone. Rows with a null doc_id are packed like others, repeated rows each; equal
+rows are numbered first, so ranks have no ties and do not depend on partitions. An empty table gives no rows. Only doc_id and text are
+read, so further columns of any name do no harm.
 """
 
 from __future__ import annotations
 
-import json
 import re
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -21,109 +22,144 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import RANK_ROWS, map_texts, ranked, stored
+from .common import RANK_ROWS, map_texts, numbered_copies, ranked, stored
 
 CAPACITY = 2048
-#: Tokens to a length class: a class holds lengths of up to 8 different values, so a piece wastes 3.5 tokens on average in the program.
-GRAIN = 8
+#: (up to this length, tokens to a length class); longer pieces go by LAST_GRAIN. Sizes that are multiples of each other settle the program soon.
+GRAINS, LAST_GRAIN = ((8, 1), (16, 2), (32, 4)), 8
+#: If patterns of whole rests leave more than this share of the tokens as padding, rests are cut into parts of CUT tokens first.
+PADDING, CUT = 0.01, 256
+#: A length that would waste over this share of all tokens in its class gets a class of its own.
+WASTE = 1 / 4000
 END_ID = 1
-#: Distinct words whose ids a task keeps.
-CACHE_WORDS = 300_000
+#: Distinct words whose ids a worker keeps, and the longest that is kept, in characters.
+CACHE_WORDS, CACHE_CHARS = 300_000, 200
 
-_UNSURE = re.compile(r" (?:\s|\Z)")
+_UNSURE, _SURE = re.compile(r" (?:\s|\Z)"), re.compile(r"(?<=\S) (?=\S)")
 
 
-def tokenizer_path(name: str = "byte_bpe_50k.tiktoken") -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
 
 
 class WordTokenizer:
-    """Byte-level BPE ids as little-endian unsigned 32-bit bytes.
+    """Ids of a byte-level BPE file by the tokenizers library, without special tokens put in, as little-endian unsigned 32-bit bytes.
 
-    The pattern that parts a text before BPE always starts a new part at a single space between two other characters, so texts are
-    encoded word by word with a cache; texts with longer runs of spaces are encoded whole. Ids are those of ``byte_bpe_50k.json`` in the
-    tokenizers library without special tokens put in: texts are cut first at the tokens which that file adds to the vocabulary.
+    The pattern that parts a text before BPE always starts a new part at a single space between two other characters, so texts are cut
+    there, and words that were seen before have their ids in a cache.
     """
 
-    def __init__(self, ranks_path: str | None = None):
-        import base64
+    def __init__(self, path: str | None = None):
+        import os
 
-        import public_tokenizers
-        import tiktoken
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer
 
-        with open(ranks_path or tokenizer_path(), "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.encode = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.tokenizer = Tokenizer.from_file(path or tokenizer_path())
         self.cache: dict[str, bytes] = {}
-        with open(tokenizer_path("byte_bpe_50k.json"), "rb") as f:
-            self.added = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in json.load(f)["added_tokens"]}
-        self.cuts = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
-
-    def ids(self, text: str) -> bytes:
-        if self.cuts is None or not any(t in text for t in self.added):
-            return self.plain_ids(text)
-        return b"".join(self.added[part] if part in self.added else self.plain_ids(part) for part in self.cuts.split(text) if part)
-
-    def plain_ids(self, text: str) -> bytes:
-        if _UNSURE.search(text):
-            return np.array(self.encode(text), "<u4").tobytes()
-        first, *words = text.split(" ")
-        cache, out = self.cache, [np.array(self.encode(first), "<u4").tobytes()]
-        for w in words:
-            got = cache.get(w)
-            if got is None:
-                if len(cache) >= CACHE_WORDS:
-                    cache.clear()
-                cache[w] = got = np.array(self.encode(" " + w), "<u4").tobytes()
-            out.append(got)
-        return b"".join(out)
+
+    def many(self, texts: Sequence[str | None]) -> list[bytes]:
+        """The ids of each text (null: none)."""
+        parts = [[] if not t else _SURE.split(t) if _UNSURE.search(t) else t.split(" ") for t in texts]
+        for words in parts:
+            words[1:] = [" " + w for w in words[1:]]
+        cache = self.cache
+        if len(cache) >= CACHE_WORDS:
+            cache.clear()
+        fresh = list({w for words in parts for w in words if w not in cache})
+        found = {}
+        for at in range(0, len(fresh), 1000):
+            some = fresh[at : at + 1000]
+            found.update(zip(some, (np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(some, add_special_tokens=False)), strict=True))
+        cache.update((w, ids) for w, ids in found.items() if len(w) <= CACHE_CHARS)
+        if len(cache) < len(found):  # long words among them
+            return [b"".join([found[w] if w in found else cache[w] for w in words]) for words in parts]
+        found.update((w, cache[w]) for words in parts for w in words if w not in found)
+        return [b"".join(map(found.__getitem__, words)) for words in parts]
 
 
 PIECES = T.StructType([T.StructField(n, T.LongType()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")])
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: Callable[[], WordTokenizer] = WordTokenizer) -> DataFrame:
-    """A row per piece: full pieces of ``capacity`` ids and a rest. Ids stay in the task; only their crc32 goes on."""
+    """A row per piece: full pieces of ``capacity`` ids and a rest. Ids stay in the task; only crc32s go on, of the piece and of its parts of CUT ids."""
+    schema = T.StructType([*PIECES, T.StructField("parts", T.ArrayType(T.LongType()))])
 
     def rows(ids, texts, words):
-        out: list[list] = [[], [], [], [], []]
-        for i, text in zip(ids, texts, strict=True):
-            data = words.ids(text or "") + END_ID.to_bytes(4, "little")
+        out: list[list] = [[] for _ in schema]
+        for i, data in zip(ids, words.many(texts), strict=True):
+            data += END_ID.to_bytes(4, "little")
             n = len(data) // 4
             for a in range(0, n, capacity):
                 b = min(a + capacity, n)
-                for c, v in zip(out, (i, a, b - a, zlib.crc32(data[4 * a : 4 * b]), n), strict=True):
+                crc = zlib.crc32(data[4 * a : 4 * b])
+                parts = [zlib.crc32(data[4 * x : 4 * min(x + CUT, b)]) for x in range(a, b, CUT)] if CUT < b - a < capacity else [crc]
+                for c, v in zip(out, (i, a, b - a, crc, n, parts), strict=True):
                     c.append(v)
         return out
 
-    return map_texts(docs, rows, PIECES, tokenizer)
+    return map_texts(docs, rows, schema, tokenizer)
+
+
+def cut_to_parts(cut: DataFrame, capacity: int) -> DataFrame:
+    """The pieces with rests cut to parts of CUT ids."""
+    part = F.when((F.col("length") < capacity) & (F.col("length") > CUT), F.transform("parts", lambda crc, k: F.struct((F.col("start") + k * CUT).alias("start"), F.least(F.lit(CUT), F.col("length") - k * CUT).cast("long").alias("length"), crc.alias("crc"))))
+    whole = F.array(F.struct("start", "length", F.col("ids_crc32").alias("crc")))
+    return cut.select("doc_id", "doc_tokens", F.explode(F.coalesce(part, whole)).alias("p")).select("doc_id", "p.start", "p.length", F.col("p.crc").alias("ids_crc32"), "doc_tokens")
+
+
+def parts_of(counts: dict[int, int], capacity: int) -> dict[int, int]:
+    """The histogram of lengths that ``cut_to_parts`` gives."""
+    out: dict[int, int] = {}
+    for n, c in counts.items():
+        for size, each in ((n, 1),) if n == capacity or n <= CUT else ((CUT, n // CUT), (n % CUT, 1)):
+            if size:
+                out[size] = out.get(size, 0) + each * c
+    return out
+
+
+def length_classes(counts: dict[int, int], capacity: int) -> dict[int, int]:
+    """length -> the size in tokens that pieces of this length count with: rounded up to a grain, or the length itself if that would waste much."""
+
+    def rounded(n: int) -> int:
+        grain = next((g for most, g in GRAINS if n <= most), LAST_GRAIN)
+        return min(-(-n // grain) * grain, capacity)
+
+    total = sum(n * c for n, c in counts.items())
+    return {n: n if (rounded(n) - n) * c > WASTE * total else rounded(n) for n, c in counts.items()}
 
 
 # ---------------------------------------------------------------- the program, on the histogram
 
 
 def knapsack(values: np.ndarray, sizes: np.ndarray, room: int) -> tuple[float, np.ndarray]:
-    """The best value of a multiset of items that fits ``room``, and its counts: unbounded knapsack by dynamic programming."""
+    """The best value of a multiset of items that fits ``room``, and its counts: unbounded knapsack by dynamic programming.
+
+    Item by item, each as often as it helps: with room c it is best[c - k * size] + k * value for some k, a running maximum along c, c +
+    size, c + 2 * size and so on. Items that smaller ones can replace at no loss are passed over.
+    """
     best, last = np.zeros(room + 1), np.full(room + 1, -1)
-    order = np.argsort(sizes, kind="stable")
-    size, value = sizes[order], values[order]
-    for c in range(1, room + 1):
-        k = np.searchsorted(size, c, "right")
-        best[c] = best[c - 1]
-        if k:
-            with_item = best[c - size[:k]] + value[:k]
-            j = int(with_item.argmax())
-            if with_item[j] > best[c] + 1e-12:
-                best[c], last[c] = with_item[j], j
+    for k in np.argsort(sizes, kind="stable").tolist():
+        size, value = int(sizes[k]), float(values[k])
+        if value <= best[size] + 1e-12:
+            continue
+        rows = -(-(room + 1) // size)
+        grid = np.full(rows * size, -np.inf)
+        grid[: room + 1] = best
+        taken = (np.arange(rows) * value)[:, None]
+        new = (np.maximum.accumulate(grid.reshape(rows, size) - taken, axis=0) + taken).ravel()[: room + 1]
+        better = new > best + 1e-12
+        best = np.where(better, new, best)
+        last[better] = k
     counts, c = np.zeros(len(sizes), np.int64), room
     while c > 0:
         if last[c] < 0:
             c -= 1
         else:
-            counts[order[last[c]]] += 1
-            c -= int(size[last[c]])
+            counts[last[c]] += 1
+            c -= int(sizes[last[c]])
     return float(best[room]), counts
 
 
@@ -181,21 +217,33 @@ def column_generation(sizes: np.ndarray, demand: np.ndarray, room: int, steps: i
     return basis.T.astype(np.int64), np.maximum((inverse_of(basis) * demand).sum(axis=1), 0)
 
 
-def first_fit_decreasing(sizes: np.ndarray, left: np.ndarray, room: int) -> dict[tuple, int]:
-    """Packs what the rounded patterns leave over: at most a few items for each class."""
-    bins: list[list] = []
-    for k in np.argsort(-sizes, kind="stable"):
-        for _ in range(int(left[k])):
-            place = next((b for b in bins if b[0] >= sizes[k]), None)
-            if place is None:
-                bins.append(place := [room, {}])
-            place[0] -= int(sizes[k])
-            place[1][int(k)] = place[1].get(int(k), 0) + 1
+def best_fit_decreasing(sizes: np.ndarray, left: np.ndarray, room: int) -> list[tuple[dict[int, int], int]]:
+    """Packs what the rounded patterns leave over: [(items of a sequence, number of sequences)]; like sequences are handled together."""
+    open_: dict[int, dict[tuple, int]] = {}  # free tokens -> items -> sequences
+    for k in np.argsort(-sizes, kind="stable").tolist():
+        n, size = int(left[k]), int(sizes[k])
+        while n:
+            free = min((f for f in open_ if f >= size), default=room)
+            held = open_.get(free) or {(): n}  # or new sequences
+            items, there = next(iter(held.items()))
+            most = free // size
+            each = min(most, n)
+            used = min(there, n // each)
+            if free in open_:
+                held[items] -= used
+                if not held[items]:
+                    del held[items]
+                    if not held:
+                        del open_[free]
+            now = open_.setdefault(free - each * size, {})
+            key = (*items, (k, each))
+            now[key] = now.get(key, 0) + used
+            n -= used * each
     out: dict[tuple, int] = {}
-    for _, items in bins:
-        key = tuple(sorted(items.items()))
-        out[key] = out.get(key, 0) + 1
-    return out
+    for held in open_.values():
+        for items, count in held.items():
+            out[items] = out.get(items, 0) + count
+    return [({int(sizes[k]): n for k, n in items}, count) for items, count in out.items()]
 
 
 def plan(histogram: dict[int, int], room: int) -> list[tuple[dict[int, int], int]]:
@@ -212,8 +260,12 @@ def plan(histogram: dict[int, int], room: int) -> list[tuple[dict[int, int], int
         p = int(np.flatnonzero((patterns[:, k] > 0) & (whole > 0))[0])
         whole[p] -= 1
         left += patterns[p]
+    for p in np.argsort(whole - use, kind="stable"):  # up, where there is enough left of all that the pattern takes
+        if (patterns[p] <= left).all() and patterns[p].any():
+            whole[p] += 1
+            left = left - patterns[p]
     out = [({int(sizes[k]): int(n) for k, n in enumerate(row) if n}, int(c)) for row, c in zip(patterns, whole, strict=True) if c]
-    return out + [({int(sizes[k]): n for k, n in items}, c) for items, c in first_fit_decreasing(sizes, left, room).items()]
+    return out + best_fit_decreasing(sizes, left, room)
 
 
 def places(patterns: list[tuple[dict[int, int], int]]) -> list[tuple[int, int, int, int, int]]:
@@ -229,15 +281,29 @@ def places(patterns: list[tuple[dict[int, int], int]]) -> list[tuple[int, int, i
     return out
 
 
-def pack_documents(docs: DataFrame, capacity: int = CAPACITY, grain: int = GRAIN, tokenizer: Callable[[], WordTokenizer] = WordTokenizer) -> DataFrame:
+def planned(lengths: dict[int, int], capacity: int) -> tuple[dict[int, int], list[tuple[dict[int, int], int]], int]:
+    """(length -> class, patterns, number of sequences) for a histogram of lengths."""
+    classes, histogram = length_classes(lengths, capacity), {}
+    for n, size in classes.items():
+        histogram[size] = histogram.get(size, 0) + lengths[n]
+    patterns = plan(histogram, capacity)
+    return classes, patterns, sum(c for _, c in patterns)
+
+
+def pack_documents(docs: DataFrame, capacity: int = CAPACITY, tokenizer: Callable[[], WordTokenizer] = WordTokenizer) -> DataFrame:
     """A row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset. No sequence is over ``capacity``."""
     spark = docs.sparkSession
-    cut = stored(pieces(docs, capacity, tokenizer).withColumn("class", F.ceil(F.col("length") / grain).cast("int")), "pieces")
-    histogram = {r["class"]: r["n"] for r in cut.groupBy("class").agg(F.count("*").alias("n")).collect()}  # at most capacity / grain rows
-    rows = places(plan(histogram, capacity // grain))
+    cut = stored(pieces(docs, capacity, tokenizer), "pieces")
+    lengths = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most ``capacity`` rows
+    tokens = sum(n * c for n, c in lengths.items())
+    classes, patterns, used = planned(lengths, capacity)
+    if (used - 1) * capacity * (1 - PADDING) > tokens and (other := planned(parts_of(lengths, capacity), capacity))[2] < used:
+        (classes, patterns, used), cut = other, cut_to_parts(cut, capacity)
+    cut = cut.select(*PIECES.names).join(F.broadcast(spark.createDataFrame(list(classes.items()), "length long, class int")), "length")
+    rows = places(patterns)
     table = spark.createDataFrame(rows, "class int, first long, end long, each long, sequence long")
-    own = cut.withColumn("spread", F.xxhash64("doc_id", "start"))
-    order = ranked(own, "class", "spread", ["doc_id", "start", "ids_crc32", "length"], max(256, sum(histogram.values()) // RANK_ROWS))
+    own = numbered_copies(cut, "copy").withColumn("spread", F.xxhash64("doc_id", "start", "ids_crc32", "copy"))
+    order = ranked(own, "class", "spread", ["doc_id", "start", "ids_crc32", "doc_tokens", "copy"], max(256, tokens // (capacity * RANK_ROWS)))
     # The table of places is bounded by the number of classes and patterns, not by the corpus.
     placed = order.join(F.broadcast(table), (order["class"] == table["class"]) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("end")))
     placed = placed.withColumn("sequence_id", F.col("sequence") + F.floor((F.col("rank") - F.col("first")) / F.col("each")).cast("long")).drop(table["class"])

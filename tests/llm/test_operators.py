@@ -243,10 +243,9 @@ def test_packing_against_the_tokenizer(spark, docs, texts):
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     extra = {1_000_001: "  two  spaces \n\n tabs\t\tend  ", 1_000_002: "", 1_000_003: "it's 12,5 % — naïve 😀", 1_000_004: None}
     rows = packing.pack_documents(docs.select("doc_id", "text").union(spark.createDataFrame(list(extra.items()), "doc_id long, text string"))).collect()
-    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    by_doc, by_sequence = defaultdict(list), packed_sequences(rows)
     for r in rows:
         by_doc[r.doc_id].append(r)
-        by_sequence[r.sequence_id].append(r)
     assert by_doc.keys() == (texts | extra).keys()
     for i, text in (texts | extra).items():
         ids = np.array([*tok.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
@@ -256,14 +255,7 @@ def test_packing_against_the_tokenizer(spark, docs, texts):
             assert r.ids_crc32 == zlib.crc32(ids[at : at + r.length].tobytes())
             at += r.length
         assert at == len(ids)
-    for pieces in by_sequence.values():
-        at = 0
-        for r in sorted(pieces, key=lambda r: r.offset):
-            assert r.offset == at
-            at += r.length
-        assert at <= packing.CAPACITY
     total = sum(r.length for r in rows)
-    assert sorted(by_sequence) == list(range(len(by_sequence)))
     assert len(by_sequence) * packing.CAPACITY < total * 1.05 + 2 * packing.CAPACITY
 
 
@@ -273,7 +265,7 @@ def test_packing_of_added_tokens(spark):
 
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     end = "<|endoftext|>"
-    texts = [f"one text {end} another", end, f"{end}{end}\n\nit's  {end} ", f"word {end[:-1]} <{end}>", f"a{end}b " + f"long text {end}" * 900]
+    texts = [f"one text {end} another", end, f"{end}{end}\n\nit's  {end} ", f"word {end[:-1]} <{end}>", f"a{end}b " + f"long text {end}" * 900, "x" * 5000 + " y \n z  " * 300, "\u3000 a\x1c b\x85 c\u2028 d"]
     rows = packing.pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     for i, text in enumerate(texts):
         ids = np.array([*tok.encode(text, add_special_tokens=False).ids, 1], "<u4")
@@ -281,6 +273,40 @@ def test_packing_of_added_tokens(spark):
         assert got == [(a, len(ids[a : a + 2048]), len(ids), zlib.crc32(ids[a : a + 2048].tobytes())) for a in range(0, len(ids), 2048)]
 
 
+def packed_sequences(rows):
+    """Sequence id -> its rows by offset, after checks of the law that all packings keep."""
+    by_sequence = defaultdict(list)
+    for r in rows:
+        by_sequence[r.sequence_id].append(r)
+    for pieces in by_sequence.values():
+        pieces.sort(key=lambda r: r.offset)
+        at = 0
+        for r in pieces:
+            assert r.offset == at
+            at += r.length
+        assert at <= packing.CAPACITY
+    assert sorted(by_sequence) == list(range(len(by_sequence)))
+    return by_sequence
+
+
+def test_packing_of_short_and_awkward_texts(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    short = ["", None, *(" the" * k for k in range(7))]
+    tables = {"short": [(k, short[k % len(short)]) for k in range(6000)], "one id": [(None, "the same text")] * 3000, "over a half": [(k, " the" * 1100) for k in range(60)]}
+    for name, rows in tables.items():
+        got = packing.pack_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        total = sum(r.length for r in got)
+        assert total == sum(len(tok.encode(t or "", add_special_tokens=False).ids) + 1 for _, t in rows)
+        used = len(packed_sequences(got))
+        assert (used - 1) * packing.CAPACITY * 0.99 <= total, name
+    ids = np.array([*tok.encode(" the" * 1100, add_special_tokens=False).ids, 1], "<u4")
+    for r in got:
+        assert r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes()) and r.doc_tokens == len(ids)
+
+
 def test_knapsack_and_columns():
     value, counts = packing.knapsack(np.array([0.5, 0.34, 0.26]), np.array([5, 3, 2]), 10)
     assert counts @ np.array([5, 3, 2]) <= 10 and value == pytest.approx(5 * 0.26)
