@@ -4,18 +4,21 @@ Every language has a probability for each piece of the vocabulary. A word's prob
 segmentations into pieces, by the forward algorithm; a text's is the product over its words. The piece probabilities are learned by
 expectation maximisation (forward-backward) from word counts of a bounded sample of rows with a language.
 
-Words are runs of letters in lower case; each token's scores are computed once and kept. Null texts and texts without a letter are
-``und`` with score 0, and so is everything if nothing could be learned. Texts are read whole, at any length. Only doc_id, text and (for
-learning) lang are read. Repeated rows get equal results.
+Words are runs of letters (of any script, whole at any length) in lower case; each token's scores are computed once and kept. Null texts
+and texts without a letter are ``und`` with score 0, and so is everything if nothing could be learned, as from an empty table. Of
+languages with equal probability the first by name is taken. Texts are read whole, at any length. Only doc_id, text and (for learning)
+lang are read, so further columns of any name do no harm. Repeated rows get equal results.
 """
 
 from __future__ import annotations
 
-import re
+import math
+from collections import deque
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,16 +28,14 @@ from .common import TokenRows, fitting_sample, map_texts
 UNKNOWN = "und"
 #: Rows that the probabilities are learned from, about, at most; rounds of expectation maximisation.
 FIT_ROWS, ROUNDS = 4000, 4
-#: Longer runs of letters are cut to parts of this many characters, which are scored one after another.
+#: Words of up to this many characters go through arrays, many at once; longer ones one by one with rescaling. Learning looks at stretches of this length.
 PART = 40
-#: Longest piece used, in characters.
-PIECE = 12
-#: Tokens whose scores a task keeps; tokens scored at once.
-CACHE_TOKENS, BATCH = 400_000, 20_000
+#: Tokens whose scores a worker keeps, and their characters; tokens scored at once.
+CACHE_TOKENS, CACHE_CHARS, BATCH = 400_000, 20_000_000, 20_000
 #: Added to each piece's count: a share of its count in all languages, and a constant.
 SHARED, CONSTANT = 0.02, 0.01
 
-LETTERS = re.compile(r"[^\W\d_]+")
+LETTERS = regex.compile(r"\p{L}+")
 
 
 def vocabulary_path(name: str = "piece_bpe_32k.model") -> str:
@@ -49,73 +50,125 @@ def read_pieces(path: str | None = None) -> list[str]:
 
     sp = SentencePieceProcessor(model_file=path or vocabulary_path())
     plain = (i for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i)))
-    return sorted({p for i in plain if 0 < len(p := sp.id_to_piece(i)) <= PIECE and (p == "▁" or LETTERS.fullmatch(p.removeprefix("▁"))) and p == p.lower()})
+    return sorted({p for i in plain if (p := sp.id_to_piece(i)) and (p == "▁" or LETTERS.fullmatch(p.removeprefix("▁"))) and p == p.lower()})
 
 
-def word_parts(token: str) -> list[str]:
-    """The token's runs of letters, marked at their start and cut to parts of at most PART characters."""
-    return [m[a : a + PART] for m in ("▁" + r for r in LETTERS.findall(token.lower())) for a in range(0, len(m), PART)]
+def words_of(token: str) -> list[str]:
+    """The token's runs of letters, marked at their start."""
+    return ["▁" + r for r in LETTERS.findall(token.lower())]
+
+
+def stretches(token: str) -> list[str]:
+    """The same cut to PART characters, to learn from."""
+    return [w[a : a + PART] for w in words_of(token) for a in range(0, len(w), PART)]
+
+
+def prefix_table(index: dict[str, int]) -> dict[str, int]:
+    """Every start of a piece -> the piece's row, or -1 if it is no piece itself."""
+    out = {p[:n]: -1 for p in index for n in range(1, len(p))}
+    return out | index
 
 
 class Lattice:
     """Pieces at every place of many words, by word length: ids[word, start, length - 1] is a row of the probabilities."""
 
-    def __init__(self, index: dict[str, int], words: Sequence[str]):
+    def __init__(self, index: dict[str, int], words: Sequence[str], prefixes: dict[str, int] | None = None):
         none, unknown = len(index) + 1, len(index)
+        prefixes = prefixes or prefix_table(index)
+        get = prefixes.get
+        longest = max(map(len, index), default=1)
         by_length: dict[int, list[int]] = {}
         for k, w in enumerate(words):
             by_length.setdefault(len(w), []).append(k)
         self.count, self.groups = len(words), []
-        get = index.get
         for n, which in sorted(by_length.items()):
-            ids = np.full((len(which), n, min(n, PIECE)), none, np.int32)
+            ids = np.full((len(which), n, min(n, longest)), none, np.int32)
             for r, k in enumerate(which):
                 w = words[k]
+                row = ids[r]
                 for i in range(n):
-                    ids[r, i, 0] = get(w[i], unknown)
-                    for j in range(2, min(PIECE, n - i) + 1):
-                        if (p := get(w[i : i + j])) is not None:
-                            ids[r, i, j - 1] = p
-            self.groups.append((np.array(which), ids))
-
-    def forward(self, ids: np.ndarray, p: np.ndarray) -> np.ndarray:
+                    first = get(w[i])
+                    row[i, 0] = unknown if first is None or first < 0 else first
+                    if first is not None:
+                        for end in range(i + 2, n + 1):
+                            p = get(w[i:end])
+                            if p is None:
+                                break
+                            if p >= 0:
+                                row[i, end - i - 1] = p
+            sizes = np.flatnonzero((ids != none).any(axis=(0, 1))) + 1
+            self.groups.append((np.array(which), ids[:, :, : sizes[-1]], sizes.tolist()))
+
+    def forward(self, ids: np.ndarray, sizes: Sequence[int], p: np.ndarray) -> np.ndarray:
         """words x places x languages: the summed probability of all segmentations up to each place."""
-        words, n, longest = ids.shape
+        words, n, _ = ids.shape
         alpha = np.zeros((words, n + 1, p.shape[1]))
         alpha[:, 0] = 1
         for end in range(1, n + 1):
-            for size in range(1, min(longest, end) + 1):
-                alpha[:, end] += alpha[:, end - size] * p[ids[:, end - size, size - 1]]
+            for size in sizes:
+                if size <= end:
+                    alpha[:, end] += alpha[:, end - size] * p[ids[:, end - size, size - 1]]
         return alpha
 
     def log_scores(self, p: np.ndarray) -> np.ndarray:
         """words x languages."""
         out = np.zeros((self.count, p.shape[1]))
-        for which, ids in self.groups:
-            out[which] = np.log(self.forward(ids, p)[:, -1])
+        for which, ids, sizes in self.groups:
+            out[which] = np.log(self.forward(ids, sizes, p)[:, -1])
         return out
 
     def expected(self, p: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Expected piece counts under ``p`` when each word stands ``counts`` (words x languages) times."""
         out = np.zeros_like(p)
-        for which, ids in self.groups:
-            alpha = self.forward(ids, p)
-            words, n, longest = ids.shape
+        for which, ids, sizes in self.groups:
+            alpha = self.forward(ids, sizes, p)
+            n = ids.shape[1]
             beta = np.zeros_like(alpha)
             beta[:, n] = 1
             weight = counts[which] / alpha[:, -1]
             for start in range(n - 1, -1, -1):
-                for size in range(1, min(longest, n - start) + 1):
-                    piece = ids[:, start, size - 1]
-                    on = p[piece] * beta[:, start + size]
-                    beta[:, start] += on
-                    share = alpha[:, start] * on * weight
-                    for k in range(p.shape[1]):
-                        out[:, k] += np.bincount(piece, share[:, k], len(p))
+                for size in sizes:
+                    if size <= n - start:
+                        piece = ids[:, start, size - 1]
+                        on = p[piece] * beta[:, start + size]
+                        beta[:, start] += on
+                        share = alpha[:, start] * on * weight
+                        for k in range(p.shape[1]):
+                            out[:, k] += np.bincount(piece, share[:, k], len(p))
         out[-1] = 0
         return out
 
 
+def long_scores(word: str, prefixes: dict[str, int], unknown: int, p: list[list[float]], longest: int) -> list[float]:
+    """The log probability of a word of any length in each language: the same sums, kept for the next ``longest`` places only and rescaled."""
+    languages = range(len(p[0]))
+    log, n = [0.0 for _ in languages], len(word)
+    ahead = deque([[1.0] * len(languages)] + [[0.0] * len(languages) for _ in range(longest)])
+    for i in range(n):
+        if i % 16 == 0:
+            for k in languages:
+                scale = sum(a[k] for a in ahead)
+                log[k] += math.log(scale)
+                for a in ahead:
+                    a[k] /= scale
+        here = ahead.popleft()
+        ahead.append([0.0] * len(languages))
+        first = prefixes.get(word[i])
+        step, to = p[unknown if first is None or first < 0 else first], ahead[0]
+        for k in languages:
+            to[k] += here[k] * step[k]
+        if first is not None:
+            for end in range(i + 2, min(i + longest, n) + 1):
+                piece = prefixes.get(word[i:end])
+                if piece is None:
+                    break
+                if piece >= 0:
+                    step, to = p[piece], ahead[end - i - 1]
+                    for k in languages:
+                        to[k] += here[k] * step[k]
+    return [log[k] + math.log(ahead[0][k]) for k in languages]
+
+
 def learn(index: dict[str, int], words: Sequence[str], counts: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
     """Piece probabilities (pieces, unknown characters, none) x languages from ``counts`` (words x languages)."""
     if not counts.size:
@@ -148,15 +201,32 @@ class Scorer:
     model: LanguageModel
     tokens: TokenRows = field(default_factory=TokenRows)
     rows: list[np.ndarray] = field(default_factory=list)
+    chars: int = 0
+
+    def __post_init__(self):
+        self.prefixes, self.longest = prefix_table(self.model.index), max(map(len, self.model.index), default=1)
+        self.plain = self.model.p.tolist()
+
+    def word_scores(self, words: Sequence[str]) -> np.ndarray:
+        """words x languages, whatever their length."""
+        out = np.zeros((len(words), len(self.model.languages)))
+        short = [k for k, w in enumerate(words) if len(w) <= PART]
+        if short:
+            out[short] = Lattice(self.model.index, [words[k] for k in short], self.prefixes).log_scores(self.model.p)
+        for k, w in enumerate(words):
+            if len(w) > PART:
+                out[k] = long_scores(w, self.prefixes, len(self.model.index), self.plain, self.longest)
+        return out
 
     def _add_fresh(self) -> None:
         fresh, self.tokens.fresh = self.tokens.fresh, []
+        self.chars += sum(map(len, fresh))
         for a in range(0, len(fresh), BATCH):
             some = fresh[a : a + BATCH]
-            parts = [word_parts(t) for t in some]
+            parts = [words_of(t) for t in some]
             flat = sorted({w for ws in parts for w in ws})
             place = {w: k for k, w in enumerate(flat)}
-            score = np.vstack([Lattice(self.model.index, flat).log_scores(self.model.p), np.zeros((1, len(self.model.languages)))])
+            score = np.vstack([self.word_scores(flat), np.zeros((1, len(self.model.languages)))])
             of = np.repeat(np.arange(len(some)), [len(ws) for ws in parts])
             at = [place[w] for ws in parts for w in ws]
             sums = np.stack([np.bincount(of, score[at, k], len(some)) for k in range(score.shape[1])] + [np.bincount(of, minlength=len(some)).astype(float)], axis=1)
@@ -166,8 +236,8 @@ class Scorer:
         names, n = self.model.languages, len(self.model.languages)
         if not n:
             return [UNKNOWN] * len(texts), [0.0] * len(texts)
-        if len(self.tokens) > CACHE_TOKENS:
-            self.tokens, self.rows = TokenRows(), []
+        if len(self.tokens) > CACHE_TOKENS or self.chars > CACHE_CHARS:
+            self.tokens, self.rows, self.chars = TokenRows(), [], 0
         number = self.tokens.__getitem__
         ids = [np.fromiter(map(number, t), np.int64, len(t)) for t in ((text or "").split() for text in texts)]
         self._add_fresh()
@@ -190,7 +260,7 @@ def train_languages(docs: DataFrame, fit_rows: int = FIT_ROWS, rounds: int = ROU
     languages = sorted(shares)
     index = {p: k for k, p in enumerate(read_pieces(path))}
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("words", T.ArrayType(T.StringType()))])
-    words = map_texts(sample, lambda ids, texts: (ids, [word_parts(t) for t in texts]), schema)
+    words = map_texts(sample, lambda ids, texts: (ids, [stretches(t) for t in texts]), schema)
     counted = words.join(sample.select("doc_id", "lang"), "doc_id").select("lang", F.explode("words").alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
     place: dict[str, int] = {}
     entries = [(place.setdefault(r.word, len(place)), languages.index(r.lang), r.n) for r in counted.orderBy("word", "lang").toLocalIterator()]

@@ -411,6 +411,25 @@ def test_forward_sums_all_segmentations():
     assert (counts * language.Lattice(index, words).log_scores(learned)).sum() > before
 
 
+def test_language_of_long_runs_and_letters(spark):
+    index = {p: k for k, p in enumerate(["▁", "a", "b", "ab", "▁a", "ba", "▁ab", "abababababababab"])}
+    p = np.zeros((len(index) + 2, 2))
+    p[:-1] = np.random.default_rng(1).dirichlet(np.ones(len(index) + 1), 2).T
+    prefixes, plain = language.prefix_table(index), p.tolist()
+    for word in ("▁abab", "▁" + "abc" * 12, "▁" + "ab" * 19):
+        assert np.allclose(language.long_scores(word, prefixes, len(index), plain, 16), language.Lattice(index, [word]).log_scores(p)[0])
+    long = "▁" + "abcba" * 40_000  # all segmentations, over any cut
+    half = language.long_scores(long[: 100_001], prefixes, len(index), plain, 16)
+    assert all(2.2 * h < w < 1.9 * h for w, h in zip(language.long_scores(long, prefixes, len(index), plain, 16), half, strict=True))
+    assert language.words_of("½²① ok4ever Ⅷ_naïve 中文") == ["▁ok", "▁ever", "▁naïve", "▁中文"]
+    pieces = language.read_pieces()
+    assert max(map(len, pieces)) > 12
+    model = language.LanguageModel(["de", "en"], {p: k for k, p in enumerate(pieces)}, np.full((len(pieces) + 2, 2), 1e-5), np.log(np.array([0.5, 0.5])))
+    texts = ["½ ② ①", "12 – 34 _", "a", "文" * 5000, None, ""]
+    said = language.Scorer(model)(texts)
+    assert said[0] == ["und", "und", "de", "de", "und", "und"] and said[1][:2] == [0.0, 0.0]
+
+
 def test_attention_gradients_against_differences():
     draw = np.random.default_rng(0)
     parts, y = np.array([2, 3, 1]), np.array([1.0, 0.0, 1.0])
