@@ -480,10 +480,72 @@ def test_quality_held_out(spark):
     assert np.mean([r.predicted == r.quality for r in rows]) > 0.95
 
 
-def test_toxicity_out_of_fold(spark):
-    rows = QUERIES["op1_toxicity"](spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", F.col("toxic").alias("label")), "doc_id").collect()
-    caught = [r.toxic for r in rows if r.label]
-    assert np.mean(caught) > 0.8 and np.mean([r.toxic for r in rows if not r.label]) < 0.02
+def test_toxicity_held_out(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+    chain = toxicity.train_chain(docs, labels.where(~held_out), 3000)
+    unseen = docs.join(labels.where(held_out).select("doc_id", F.col("toxic").alias("label")), "doc_id")
+    rows = toxicity.score_toxicity(unseen, chain).join(unseen.select("doc_id", "label"), "doc_id").collect()
+    caught, wrong = np.mean([r.toxic for r in rows if r.label]), np.mean([r.toxic for r in rows if not r.label])
+    print("toxicity held out:", len(rows), caught, wrong)
+    assert caught > 0.85 and wrong < 0.01
+
+
+def test_chain_against_a_plain_loop(monkeypatch):
+    draw = np.random.default_rng(2)
+    n, width = 60, 7
+    rows = [sorted(draw.choice(width, draw.integers(0, 5), replace=False).tolist()) for _ in range(n)]
+    labels = np.array([[int(0 in r), int(1 in r), int(0 in r or 1 in r)] for r in rows])
+    chosen = draw.random((toxicity.FOLDS + 1, width)) < 0.8
+    calls = []
+
+    def fit(of, column, width, more, y, seen):
+        calls.append((of.copy(), column.copy(), more.copy(), y.copy(), seen.copy()))
+        w, v, b = real(of, column, width, more, y, seen)
+        return w, v, b
+
+    real = toxicity.fit_linear
+    monkeypatch.setattr(toxicity, "fit_linear", fit)
+    chain = toxicity.fit_chain(range(n), rows, labels, dict(enumerate(range(width))), chosen)
+    folds = [toxicity.fold_of(i) for i in range(n)]
+    outside = [[0.0] * 3 for _ in range(n)]
+    at = 0
+    for c in range(3):
+        now = [0.0] * n
+        for k in range(toxicity.FOLDS + 1):
+            of, column, more, y, seen = calls[at]
+            at += 1
+            assert [(i, f) for i, r in enumerate(rows) for f in r if chosen[k][f]] == list(zip(of.tolist(), column.tolist(), strict=True))
+            assert np.allclose(more, [o[:c] for o in outside]) and y.tolist() == labels[:, c].tolist() and seen.tolist() == [k != f for f in folds]
+            w, v, b = real(of, column, width, more, y, seen)
+            for i in range(n):
+                if folds[i] == k:
+                    now[i] = 1 / (1 + np.exp(-(b + sum(w[f] for f in rows[i] if chosen[k][f]) + sum(v[d] * outside[i][d] for d in range(c)))))
+        for i in range(n):
+            outside[i][c] = now[i]
+    got = chain.probabilities(rows)
+    for i in range(n):
+        p = []
+        for c in range(3):
+            p.append(1 / (1 + np.exp(-(chain.bias[c] + sum(chain.weights[f, c] for f in rows[i]) + sum(chain.links[c, d] * p[d] for d in range(c))))))
+        assert np.allclose(got[i], p)
+    assert ((got[:, 2] > 0.5) == labels[:, 2].astype(bool)).mean() > 0.9
+
+
+def test_linear_model_is_at_its_optimum():
+    draw = np.random.default_rng(3)
+    of, column = np.repeat(np.arange(80), 2), draw.integers(0, 6, 160)
+    y = (draw.random(80) < 0.4).astype(float)
+    w, _, b = toxicity.fit_linear(of, column, 6, np.zeros((80, 0)), y, np.ones(80, bool), steps=2000)
+    off = 1 / (1 + np.exp(-(b + np.bincount(of, w[column], 80)))) - y
+    assert np.abs(np.bincount(column, off[of], 6) + 0.5 * w).max() < 0.05 and abs(off.sum()) < 0.05
+
+
+def test_kinds_of_rows():
+    rows = [[0, 1, 2]] * 10 + [[3, 4]] * 6 + [[5, 6, 7]] * 3
+    assert toxicity.kinds_of(rows, 8).tolist() == [0] * 10 + [1] * 6 + [2] * 3
+    assert toxicity.kinds_of([[]], 8).tolist() == [0] and len(set(toxicity.kinds_of([[1]] * 4, 8).tolist())) == 1
 
 
 # ---------------------------------------------------------------- odd rows
