@@ -4,13 +4,14 @@ Words are lower-cased tokens without marks at their ends. A seed is a pair of an
 word between; a document has it if the two words stand so there, with or without a word between. Seeds lose no passage that full
 alignment would find: an alignment of m words at a share s of the score of an item of n words spends 2 * (m - s * n) at most on what lies
 between its words, so at least s * n - 1 words have their next one at most one word on, in the item and in the passage. Of an
-item's places, those with the rarest pairs are its seeds, so many that every such alignment holds HITS of them close together. Rarity comes from
-a part of the documents: it sets how many passages are aligned, never which rows come out.
-
-The test items are the stated query set; they go through in blocks of bounded size, each held by every task. Documents are mapped in
-place: no shuffle of texts, no skew by passage or copy. Null and empty documents match nothing; items of under three words cannot be
-told from chance and match nothing; repeated items are reported each, repeated documents too. Only doc_id and text (item_id and text)
-are read.
+item's places, those with the rarest pairs are its seeds, so many that every such alignment holds HITS of them close together. Pairs are
+counted over all documents; so what many items have in common is a seed of an item only as far as the item has too little of its own.
+Items of one or two words are a seed as a whole: a document has them if all their words stand so there.
+
+The test items are the stated query set; they go through in blocks of bounded bytes, each held by every task. Documents are mapped in
+place: no shuffle of texts, no skew by passage or copy. Null, empty and wordless documents and items match nothing, and so do empty
+tables; repeated items are reported each, repeated documents too; of an item's equally good passages in a document the one with most
+seeds is reported, then the first. Only doc_id and text (item_id and text) are read, so further columns of any name do no harm.
 """
 
 from __future__ import annotations
@@ -25,19 +26,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free_name, map_texts, slices, text_column
+from .common import KEPT_STATES, free_name, map_texts, slices, stored, text_column
 
 #: Places from a seed's first word to its second, and seeds that a passage must hit (or as many as an alignment is sure to have).
 STEPS, HITS = (1, 2), 3
-#: One document in this many is read for the rarity of seeds.
-RARITY_PART = 16
-#: Items of fewer words match nothing.
-LEAST_WORDS = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Share of an item's own alignment score from which a passage counts as a copy.
 LEAST_SCORE = 0.5
-#: Test items in a block, and alignments computed at once.
-BLOCK_ITEMS, BATCH = 20_000, 256
+#: Characters of the test items in a block (one item at least), and alignments computed at once. A block's seeds take about 30 times as many bytes.
+BLOCK_CHARS, BATCH = 4_000_000, 256
 #: Cells of an alignment row that a batch has, about, at most (one passage at least).
 CELLS = 100_000
 CACHE_WORDS = 400_000
@@ -82,7 +79,7 @@ class Items:
         words: dict[str, int] = {}
         texts = [np.array([words.setdefault(w, len(words)) for t in (text or "").split() if (w := core(t))], np.int64) for _, text in rows]
         out = cls([i for i, _ in rows], words, texts, np.zeros(0, np.int64))
-        found = [out.codes(t, step) for t in texts for step in STEPS]
+        found = [out.codes(t, step) for t in texts for step in STEPS] + [out.single(t) for t in texts if len(t) == 1]
         out.pairs = np.unique(np.concatenate([np.zeros(0, np.int64), *found]))
         return out
 
@@ -91,12 +88,21 @@ class Items:
         first, second = ids[:-step], ids[step:]
         return np.where((first < 0) | (second < 0), -1, first * (len(self.words) + 1) + second)
 
+    def single(self, ids: np.ndarray) -> np.ndarray:
+        """A code for each word alone, which no pair has."""
+        return np.where(ids < 0, -1, ids * (len(self.words) + 1) + len(self.words))
+
     def seeds(self, frequency: np.ndarray, least: float = LEAST_SCORE) -> Seeds:
         """The places of each item with the rarest pairs, so many that every alignment at ``least`` has as many of them as ``hits`` says."""
         codes, item, place = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         hits, drift = np.ones(len(self.texts), np.int64), np.zeros(len(self.texts), np.int64)
         for k, text in enumerate(self.texts):
-            if len(text) < LEAST_WORDS:
+            if not len(text):
+                continue
+            if len(text) == 1:
+                codes.append(self.single(text))
+                item.append(np.array([k]))
+                place.append(np.array([0]))
                 continue
             sure = max(1, math.ceil(least * len(text) - 1e-9) - 1)
             hits[k], drift[k] = min(sure, HITS), math.floor(2 * len(text) * (1 - least) + 1e-9)
@@ -139,8 +145,7 @@ def find(sorted_codes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def pair_frequency(docs: DataFrame, items: Items) -> np.ndarray:
-    """In how many documents of a part each of the items' pairs stands; the driver gets one number for each pair."""
-    part = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(RARITY_PART)) == 0)
+    """In how many documents each of the items' pairs stands; the driver gets one number for each pair."""
 
     def run(batches):
         cache, counts = WordIds(items.words), np.zeros(len(items.pairs), np.int64)
@@ -153,7 +158,7 @@ def pair_frequency(docs: DataFrame, items: Items) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(counts[some], pa.int64())], names=["pair", "n"])
 
     out = np.zeros(len(items.pairs), np.int64)
-    for r in part.select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toLocalIterator():
+    for r in docs.select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toLocalIterator():
         out[r.pair] = r.n
     return out
 
@@ -193,11 +198,14 @@ class Matcher:
         self.items, self.seeds, self.least = items, seeds, least
         self.size = np.array([len(t) for t in items.texts], np.int64)
         self.cache = WordIds(items.words)
+        self.singles = bool((self.size == 1).any())
 
     def passages(self, ids: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(item's place, start, end, seed hits) of each passage that enough hits point at; it has room for every alignment through them."""
         seeds = self.seeds
         found = [find(seeds.codes, self.items.codes(ids, step)) for step in STEPS]
+        if self.singles:
+            found.append(find(seeds.codes, self.items.single(ids)))
         at, which = (np.concatenate(x) for x in zip(*found, strict=True))
         count = seeds.count[which]
         if not count.sum():
@@ -249,19 +257,21 @@ class Matcher:
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("item_id", T.LongType()), T.StructField("score", T.DoubleType()), T.StructField("seeds", T.LongType()), T.StructField("last_word", T.LongType())])
 
 
-def item_blocks(benchmark: DataFrame, block: int = BLOCK_ITEMS):
+def item_blocks(benchmark: DataFrame, block: int = BLOCK_CHARS):
     """The test items, block by block, through the driver one at a time."""
     rows: list[tuple[int, str]] = []
+    size = 0
     for r in benchmark.select("item_id", "text").where("text is not null").toLocalIterator():
-        rows.append((r.item_id, r.text))
-        if len(rows) == block:
+        if rows and size + len(r.text) > block:
             yield Items.of(rows)
-            rows = []
+            rows, size = [], 0
+        rows.append((r.item_id, r.text))
+        size += len(r.text)
     if rows:
         yield Items.of(rows)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE, block: int = BLOCK_ITEMS) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE, block: int = BLOCK_CHARS) -> DataFrame:
     """A row for each document and test item it holds: doc_id, item_id, score (0 to 1), seed hits, and the passage's last word in the text."""
     out = docs.sparkSession.createDataFrame([], SCHEMA)
     for items in item_blocks(benchmark, block):
@@ -272,17 +282,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCO
             found = [(i, items[k], share, n, end) for i, got in zip(ids, match(texts), strict=True) for k, share, n, end in got]
             return list(zip(*found, strict=True)) if found else [[] for _ in SCHEMA]
 
-        out = out.unionByName(map_texts(docs, rows, SCHEMA, lambda matcher=matcher: Matcher(*matcher.value, least)))
+        out = out.unionByName(stored(map_texts(docs, rows, SCHEMA, lambda matcher=matcher: Matcher(*matcher.value, least)), "hits"))
+        matcher.unpersist()
     return out
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE, block: int = BLOCK_ITEMS) -> DataFrame:
-    """``docs`` without the rows that hold a test item; all columns stay as they are."""
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE, block: int = BLOCK_CHARS, least_words: int = 3) -> DataFrame:
+    """``docs`` without the rows that hold a test item of at least ``least_words`` words; all columns stay as they are.
+
+    By default an item of one or two words takes no document out: it says nothing about where a document is from. ``contaminated`` reports it.
+    """
     out = docs
-    for items in item_blocks(benchmark, block):
+    for k, items in enumerate(item_blocks(benchmark, block)):
+        if k and k % KEPT_STATES == 0:
+            out = stored(out, "clean")  # a worker keeps so many blocks at a time
         seeds = items.seeds(pair_frequency(docs, items), least)
         matcher = docs.sparkSession.sparkContext.broadcast((items, seeds))
         flag = free_name(docs.columns, "_held")
-        held = text_column(F.col("text"), lambda texts, match: [bool(got) for got in match(texts)], T.BooleanType(), lambda matcher=matcher: Matcher(*matcher.value, least))
+        counts = np.array([len(t) >= least_words for t in items.texts], bool)
+        held = text_column(F.col("text"), lambda texts, match, counts=counts: [any(counts[got[0]] for got in found) for found in match(texts)], T.BooleanType(), lambda matcher=matcher: Matcher(*matcher.value, least))
         out = out.withColumn(flag, held).where(~F.col(flag)).drop(flag)
     return out

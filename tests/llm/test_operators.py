@@ -378,6 +378,28 @@ def test_decontamination_of_dense_edits(spark):
     assert left == {d for d, _ in rows} - {d for d, _ in want}
 
 
+def test_decontamination_of_short_items_and_shared_text(spark):
+    draw = np.random.default_rng(12)
+    words = [f"w{k}" for k in range(3000)]
+    shared = "please read the passage below and answer with one of the letters".split()
+    items = [(k, " ".join([*shared, *draw.choice(words, 16)])) for k in range(60)]  # 12 of 28 words are the same in all
+    items += [(100, "yes"), (101, "Blue whale"), (102, " ... "), (103, None), (104, " ".join(shared)), (105, "yes")]
+    docs = [(k, "before " + t + " after") for k, t in items[:20]] + [(50, "x " + " ".join(shared) + " y"), (51, "he said: yes!"), (52, "a blue, whale"), (53, "blue or green whale"), (54, "a blue big whale"), (55, ""), (56, None), (57, "...")]
+    block = decontaminate.Items.of([(i, t) for i, t in items if t])
+    cache, want = decontaminate.WordIds(block.words), set()
+    for d, t in docs:
+        if t and len(cache.of(t)):
+            score, _ = decontaminate.smith_waterman([cache.of(t)] * len(block.texts), block.texts)
+            want |= {(d, i) for i, s, w in zip(block.ids, score, block.texts, strict=True) if len(w) > 2 and s >= decontaminate.LEAST_SCORE * 2 * len(w)}
+    assert {(k, k) for k in range(20)} <= want and (50, 104) in want
+    want |= {(51, 100), (51, 105), (52, 101), (54, 101)}
+    table, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for size in (10**6, 500):  # in one block and in many
+        assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(table, bench, block=size).collect()} == want
+        assert {r.doc_id for r in decontaminate.drop_contaminated(table, bench, block=size).collect()} == {51, 52, 53, 54, 55, 56, 57}
+        assert {r.doc_id for r in decontaminate.drop_contaminated(table, bench, block=size, least_words=1).collect()} == {53, 55, 56, 57}
+
+
 def test_smith_waterman_against_cells():
     def brute(p, t):
         h = np.zeros((len(t) + 1, len(p) + 1), int)
@@ -575,7 +597,7 @@ def test_odd_rows(spark, odd, docs):
     packed = packing.pack_documents(odd).collect()
     assert {r.doc_id for r in packed} == {1, 2, 3, 4, 5, 6, 7, None} and sum(r.doc_id == 5 for r in packed) == 2
     hits = decontaminate.contaminated(odd, bench).collect()
-    assert {(r.doc_id, r.item_id) for r in hits} == {(4, 1)}
+    assert {(r.doc_id, r.item_id) for r in hits} == {(4, 1)}  # item 3, "two words", stands nowhere
     model = language.train_languages(docs)
     said = {r.doc_id: r for r in language.predict_languages(odd.where("doc_id is not null"), model).collect()}
     assert [said[k].lang_pred for k in (1, 2, 3)] == ["und"] * 3 and said[1].score == 0
