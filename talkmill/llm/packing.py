@@ -32,8 +32,8 @@ PADDING, CUT = 0.01, 256
 #: A length that would waste over this share of all tokens in its class gets a class of its own.
 WASTE = 1 / 4000
 END_ID = 1
-#: Distinct words whose ids a worker keeps, and the longest that is kept, in characters.
-CACHE_WORDS, CACHE_CHARS = 300_000, 200
+#: Words of one generation of a worker's cache (two are kept), and the longest that is kept, in characters; words encoded at once.
+CACHE_WORDS, CACHE_CHARS, BATCH = 400_000, 200, 1000
 
 _UNSURE, _SURE = re.compile(r" (?:\s|\Z)"), re.compile(r"(?<=\S) (?=\S)")
 
@@ -58,26 +58,39 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path or tokenizer_path())
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.added = [t.content for t in added.values()]
+        self.between, self.between_id = (self.added[0], next(iter(added))) if added else (None, None)
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def encode(self, words: list[str]) -> list[bytes]:
+        """The ids of each word. Words are encoded at once with an added token between them, which the tokenizer cuts out before anything else."""
+        if self.between is None or any(t in w for w in words for t in self.added):
+            return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        ids = np.array(self.tokenizer.encode_batch_fast([self.between.join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = 4 * np.flatnonzero(ids == self.between_id)
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *(ends + 4).tolist()], [*ends.tolist(), len(raw)], strict=True)]
 
     def many(self, texts: Sequence[str | None]) -> list[bytes]:
         """The ids of each text (null: none)."""
         parts = [[] if not t else _SURE.split(t) if _UNSURE.search(t) else t.split(" ") for t in texts]
         for words in parts:
             words[1:] = [" " + w for w in words[1:]]
-        cache = self.cache
-        if len(cache) >= CACHE_WORDS:
-            cache.clear()
-        fresh = list({w for words in parts for w in words if w not in cache})
-        found = {}
-        for at in range(0, len(fresh), 1000):
-            some = fresh[at : at + 1000]
-            found.update(zip(some, (np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(some, add_special_tokens=False)), strict=True))
-        cache.update((w, ids) for w, ids in found.items() if len(w) <= CACHE_CHARS)
-        if len(cache) < len(found):  # long words among them
-            return [b"".join([found[w] if w in found else cache[w] for w in words]) for words in parts]
-        found.update((w, cache[w]) for words in parts for w in words if w not in found)
-        return [b"".join(map(found.__getitem__, words)) for words in parts]
+        if len(self.cache) > CACHE_WORDS:
+            self.cache, self.older = {}, self.cache
+        cache, older = self.cache, self.older
+        fresh = set().union(*parts) - cache.keys()
+        cache.update({w: older[w] for w in fresh & older.keys()})
+        new = list(fresh - cache.keys())
+        for at in range(0, len(new), BATCH):
+            cache.update(zip(new[at : at + BATCH], self.encode(new[at : at + BATCH]), strict=True))
+        out = [b"".join(map(cache.__getitem__, words)) for words in parts]
+        for w in new:
+            if len(w) > CACHE_CHARS:
+                del cache[w]
+        return out
 
 
 PIECES = T.StructType([T.StructField(n, T.LongType()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")])
