@@ -61,6 +61,7 @@ def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
         "media_bytes",
         "media_sha256",
         F.concat_ws(":", "dhash", F.sha2("tile", 256)).alias("feature"),
+        "tile",
     )
 
 

@@ -475,15 +475,89 @@ def test_attention_gradients_against_differences():
 
 
 def test_media_round_trips():
-    for n in (0, 1, 575, 576, 5000, 40_000):
+    kinds = set()
+    for n in (*range(30), 575, 576, 5000, 40_000):
         payload = media.padded(bytes(k * 7 % 251 for k in range(n)))
         assert len(payload) % 576 == 0 and payload
-        assert media.decode(media.pack_payload(payload)).tobytes() == payload
-    picture = np.random.default_rng(0).integers(0, 256, (60, 48)).astype(np.uint8)
-    assert np.allclose(media.area_resize(picture, 20, 16), picture.reshape(20, 3, 16, 3).mean(axis=(1, 3)))
-    assert media.area_resize(picture, 7, 5).mean() == pytest.approx(picture.mean())
-    with pytest.raises(ValueError):
-        media.decode(b"no picture")
+        kinds.add(media.pack_payload(payload)[:2])
+        assert media.decode(media.pack_payload(payload)).samples.tobytes() == payload
+    assert kinds == {b"P5", b"P6", b"BM"}
+    samples = np.random.default_rng(0).integers(0, 256, (60, 48)).astype(np.uint8)
+    picture = media.Picture(samples)
+    small, odd = media.area_resize(picture, (20, 16), (7, 5))
+    assert np.allclose(small, samples.reshape(20, 3, 16, 3).mean(axis=(1, 3)))
+    assert odd.mean() == pytest.approx(samples.mean())
+    fine = np.repeat(np.repeat(samples.astype(float), 7, axis=0), 5, axis=1)  # each cell of 7 x 5 is 60 x 48 of these
+    assert np.allclose(odd, fine.reshape(7, 60, 5, 48).mean(axis=(1, 3)))
+
+
+def test_media_forms(monkeypatch):
+    import struct
+
+    grey = [[0, 128, 255], [7, 8, 9]]
+    forms = {
+        b"P2 # a comment\n3 2 # more\n255\n0 128 255\n7 8 9\n": grey,
+        b"P5\n3 2\n255\n" + bytes([0, 128, 255, 7, 8, 9]): grey,
+        b"P5 3 2 65535\n" + b"".join(struct.pack(">H", 257 * v) for row in grey for v in row): grey,
+        b"P2 3 2 15 0 15 5 0 0 3": [[0, 255, 85], [0, 0, 51]],
+        b"P1\n3 2\n101 0 1 0": [[0, 255, 0], [255, 0, 255]],
+        b"P4 3 2\n" + bytes([0b10100000, 0b01000000]): [[0, 255, 0], [255, 0, 255]],
+        b"P3 1 2 255 30 60 90 1 2 3": [[60], [2]],
+        b"P6 1 2 255\n" + bytes([30, 60, 90, 1, 2, 3]): [[60], [2]],
+    }
+
+    def bmp(width, height, depth, palette, pixels):
+        start = 54 + len(palette)
+        return struct.pack("<2sIHHI", b"BM", start + len(pixels), 0, 0, start) + struct.pack("<IiiHHIIiiII", 40, width, height, 1, depth, 0, len(pixels), 0, 0, len(palette) // 4, 0) + palette + pixels
+
+    red_green = bytes([0, 0, 90, 0, 0, 150, 0, 0])  # blue, green, red, nothing: a third of 90, of 150
+    forms |= {
+        bmp(3, 2, 8, red_green, bytes([1, 1, 0, 0]) + bytes([0, 1, 0, 0])): [[30, 50, 30], [50, 50, 30]],
+        bmp(3, -2, 8, red_green, bytes([1, 1, 0, 0]) + bytes([0, 1, 0, 0])): [[50, 50, 30], [30, 50, 30]],
+        bmp(3, 1, 1, red_green, bytes([0b01100000, 0, 0, 0])): [[30, 50, 50]],
+        bmp(3, 1, 4, red_green, bytes([0x01, 0x10, 0, 0])): [[30, 50, 50]],
+        bmp(1, 1, 24, b"", bytes([3, 6, 9, 0])): [[6]],
+        bmp(2, 1, 32, b"", bytes([3, 6, 9, 255, 30, 60, 90, 0])): [[6, 60]],
+    }
+    for pixels in (1 << 18, 1):  # one band, and bands of one row
+        monkeypatch.setattr(media, "BAND_PIXELS", pixels)
+        for data, want in forms.items():
+            picture = media.decode(data)
+            assert np.allclose(media.area_resize(picture, picture.samples.shape[:2])[0], want, atol=0.01), data
+    for broken in (b"", b"no picture", b"P5 0 5 255\n", b"P5 5 0 255\n", b"P5 5 5 255\n123", b"P5 2 2 0\nabcd", b"P2 2 2 9 1 2 3", b"P2 1 1 9 10", bmp(0, 4, 24, b"", b""), bmp(4, 0, 24, b"", b""), bmp(4, 4, 24, b"", b"x"), b"BM" + bytes(60)):
+        with pytest.raises(ValueError):
+            media.decode(broken)
+        assert media.features_of(broken, True)[3:] == (None, None)
+
+
+def test_media_query_against_hashlib(spark, texts, tmp_path):
+    rows = QUERIES["op8_media_columns"](spark, DATA).collect()
+    assert {r.doc_id for r in rows} == set(texts)
+    for r in rows:
+        raw = texts[r.doc_id].encode()
+        payload = raw + b"\xff" * (576 - len(raw) % 576 if len(raw) % 576 or not raw else 0)
+        stored_form = media.pack_payload(payload)
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]))
+        assert (r.media_bytes, r.media_sha256) == (len(stored_form), hashlib.sha256(stored_form).hexdigest())
+        tile = media.read_npy(r.tile)
+        assert tile.shape == (32, 32) and r.feature.split(":")[1] == hashlib.sha256(r.tile).hexdigest()
+    for r in rows[:20]:  # tile and hash from plain sums
+        samples = media.decode(media.pack_payload(media.padded(texts[r.doc_id].encode()))).samples
+        light = (samples.mean(axis=2) if samples.ndim == 3 else samples).astype(float)
+
+        def mean(y, x, height, width, light=light):
+            def share(n, a, b):
+                return np.clip(np.minimum(np.arange(n) + 1, b) - np.maximum(np.arange(n), a), 0, None)
+
+            h, w = light.shape
+            return (share(h, y * h / height, (y + 1) * h / height)[:, None] * share(w, x * w / width, (x + 1) * w / width) * light).sum() / (h / height * w / width)
+
+        tile = media.read_npy(r.tile)
+        assert all(abs(tile[y, x] - mean(y, x, 32, 32)) <= 0.51 for y in range(0, 32, 5) for x in range(0, 32, 5))
+        bits = [mean(y, x, 8, 9) + 1e-9 < mean(y, x + 1, 8, 9) for y in range(8) for x in range(8)]
+        assert r.feature.split(":")[0] == f"{int(''.join(map(str, map(int, bits))), 2):016x}"
+    media.write_tiles(media.texts_to_media(spark.createDataFrame([(1, "abc"), (2, None)], "doc_id long, text string")), str(tmp_path / "tiles"))
+    assert {media.read_npy(r.tile).shape for r in spark.read.parquet(str(tmp_path / "tiles")).collect()} == {(32, 32)}
 
 
 # ---------------------------------------------------------------- held-out accuracy
