@@ -5,21 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import join_with_hot_keys, stored
 
 
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(id, root) for each id of ``edges`` (a, b: long), root the smallest id reachable. Ids without a link to another are left out.
 
     Every round maps the links of each id to its smallest neighbour; links become stars in about log(n) rounds. Nothing is gathered:
-    the driver sees one count and one checksum a round. Null ids are dropped.
+    the driver sees one count and one checksum a round. The links of a star's centre never meet in one task: ids with many links are few,
+    so they are joined by a broadcast. A round's table is removed once the next one is written. Null ids are dropped.
     """
     now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     before = _sum(now)
     for _ in range(rounds):
         if not before[0]:
             break
-        now = stored(_small_star(_large_star(now)), "links")
+        between = stored(_large_star(now, before[0]), "links", instead_of=now)
+        now = stored(_small_star(between, _sum(between)[0]), "links", instead_of=between)
         after = _sum(now)
         if after == before:
             break
@@ -34,13 +36,13 @@ def _sum(links: DataFrame) -> tuple:
     return row[0], row[1]
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame, n: int) -> DataFrame:
     both = links.union(links.select(F.col("b"), F.col("a")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a"), F.least("a", "m").alias("m"))
-    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    least = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n")
+    return join_with_hot_keys(both, least, "a", "n", 2 * n).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
-def _small_star(links: DataFrame) -> DataFrame:
-    least = links.groupBy("a").agg(F.min("b").alias("m"))
-    moved = links.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.union(least).distinct()
+def _small_star(links: DataFrame, n: int) -> DataFrame:
+    least = links.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+    moved = join_with_hot_keys(links, least, "a", "n", n).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return moved.union(least.select("a", "m")).distinct()

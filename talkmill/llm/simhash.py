@@ -3,7 +3,8 @@
 Fingerprints that are equal fall together first, so copies never meet in pairs. Different fingerprints are compared exactly inside
 blocks that lose no link:
 
-* ``simhash_components`` (64 bits, radius r): r + 1 bands of bits; two fingerprints within r bits agree in one band at least.
+* ``simhash_components`` (64 bits, radius r): of m bands of bits, two fingerprints within r bits agree in m - r at least. m grows with the
+  number of fingerprints; blocks that are large all the same are parted by finer bands.
 * ``near_duplicate_groups`` (wide fingerprints, for a similarity of word shingles): bands of min-hashes of the same shingles. What the
   fingerprints leave are candidates; a link counts once the two sets of shingles have been compared exactly.
 
@@ -11,13 +12,14 @@ Inside a block rows are ordered by population count and compared tile by tile; a
 skipped. Blocks over ``BLOCK_ROWS`` rows are cut into chunks, and each pair of chunks is compared in its own group: exact, with no
 group in one task beyond two chunks. A block gives links to one member per group of linked rows, never all pairs.
 
-Null and empty texts have no words: fingerprint zero, linked like any other. Repeated rows are copies.
+Null and empty texts have no words: fingerprint zero, linked like any other. Repeated rows are copies. Rows without a doc_id are linked
+like others; a group's name is the smallest doc_id in it (null if it has none). An empty table gives no rows. Only doc_id and text are
+read, so further columns of any name do no harm.
 """
 
 from __future__ import annotations
 
-import hashlib
-from itertools import accumulate
+from itertools import accumulate, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free_name, map_texts, stored
+from .common import free_name, join_with_hot_keys, map_texts, small, stored
 from .components import connected_components
 
 SEED = 42
@@ -200,17 +202,25 @@ def candidate_pairs(rows: list[np.ndarray], radius: int, nearest: bool) -> tuple
     return ids[i[differ]], ids[j[differ]]
 
 
-def links_in_blocks(keyed: DataFrame, columns: list[str], radius: int, block_rows: int = BLOCK_ROWS, found=None) -> DataFrame:
+def links_in_blocks(keyed: DataFrame, columns: list[str], radius: int, block_rows: int = BLOCK_ROWS, found=None, finer: Column | None = None) -> DataFrame:
     """(a, b) ids linked within ``radius`` among the rows of ``keyed`` (key long, id long, fingerprint words ``columns``) with equal keys.
 
     ``found`` takes the rows (block, id, *columns) of whole blocks and returns the two sides of their links, if not ``tiled_links``.
+    ``finer``: an array of keys of which linked rows share one; large blocks are parted by them before they are cut to chunks.
     """
-    big = keyed.groupBy("key").count().where(F.col("count") > block_rows).select("key", F.ceil(F.col("count") / block_rows).cast("int").alias("chunks"))
-    cut = keyed.join(big, "key", "left").withColumn("chunk", F.pmod(F.xxhash64("id"), F.coalesce("chunks", F.lit(1))).cast("int"))
-    others = F.when(F.col("chunks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("chunks") - 1))
-    parted = cut.withColumn("other", F.explode(others)).select(
-        F.when(F.col("chunks").isNull(), F.col("key")).otherwise(F.xxhash64("key", F.least("chunk", "other"), F.greatest("chunk", "other"))).alias("block"), "id", *columns
-    )
+    big = stored(keyed.groupBy("key").count().where(F.col("count") > block_rows).select("key", F.ceil(F.col("count") / block_rows).cast("int").alias("chunks")), "big-blocks")
+    if big.isEmpty():
+        parted = keyed.select(F.col("key").alias("block"), "id", *columns)
+    elif finer is not None:
+        dense = keyed.join(small(big), "key", "left_semi").withColumn("part", F.explode(finer)).select(F.xxhash64("key", "part").alias("key"), "id", *columns)
+        calm = keyed.join(small(big), "key", "left_anti")
+        return links_in_blocks(calm, columns, radius, block_rows, found).union(links_in_blocks(dense, columns, radius, block_rows, found))
+    else:
+        cut = keyed.join(small(big), "key", "left").withColumn("chunk", F.pmod(F.xxhash64("id"), F.coalesce("chunks", F.lit(1))).cast("int"))
+        others = F.when(F.col("chunks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("chunks") - 1))
+        parted = cut.withColumn("other", F.explode(others)).select(
+            F.when(F.col("chunks").isNull(), F.col("key")).otherwise(F.xxhash64("key", F.least("chunk", "other"), F.greatest("chunk", "other"))).alias("block"), "id", *columns
+        )
     linked = found or (lambda rows: tiled_links(rows, radius))
 
     def run(batches):
@@ -242,21 +252,39 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
     return map_texts(docs, rows, schema)
 
 
-def bit_bands(prints: str, radius: int) -> Column:
-    """radius + 1 keys: the band's number and its bits."""
-    edges = [64 * k // (radius + 1) for k in range(radius + 2)]
-    keys = [F.shiftrightunsigned(F.shiftleft(F.col(prints), 64 - b), 64 - (b - a)) if b - a < 64 else F.col(prints) for a, b in zip(edges, edges[1:])]
-    return F.array(*(F.xxhash64(F.lit(k), key) for k, key in enumerate(keys)))
+def bit_bands(prints: str, radius: int, bands: int) -> Column:
+    """A key for each choice of bands - radius of the bands: the choice's number and its bits."""
+    edges = [64 * k // bands for k in range(bands + 1)]
+    bits = [F.shiftrightunsigned(F.shiftleft(F.col(prints), 64 - b), 64 - (b - a)) if b - a < 64 else F.col(prints) for a, b in zip(edges, edges[1:])]
+    return F.array(*(F.xxhash64(F.lit(k), *(bits[i] for i in some)) for k, some in enumerate(combinations(range(bands), bands - radius))))
+
+
+def bands_for(n: int, radius: int) -> int:
+    """So many bands that a block has about 64 of ``n`` fingerprints at most, if their bits are spread."""
+    bands = radius + 1
+    while bands < 4 * (radius + 1) and n > 64 << (64 * (bands - radius) // bands):
+        bands += 1
+    return bands
+
+
+def named_by_least(nodes: DataFrame, links: DataFrame, node: str, ident: str, name: str) -> DataFrame:
+    """``nodes`` with ``root``, the smallest node of each one's component, and ``name``: the smallest ``ident`` in it, nulls last, and its node."""
+    roots = connected_components(links).withColumnRenamed("id", node)
+    rooted = stored(nodes.join(roots, node, "left").withColumn("root", F.coalesce("root", node)), "rooted")
+    best = rooted.groupBy("root").agg(F.count("*").alias("_n"), F.min(F.struct(F.col(ident).isNull().alias("none"), F.col(ident).alias("ident"), F.col(node).alias("node"))).alias("_best"))
+    return join_with_hot_keys(rooted, best, "root", "_n", rooted.count()).withColumn(name, F.struct("_best.ident", "_best.node")).drop("_n", "_best")
 
 
 def simhash_components(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
     """(doc_id, fingerprint, component_id) for each row: 16 hex digits, and the smallest doc_id reachable over links of at most ``radius`` bits."""
     found = stored(fingerprints(docs, width), "prints")
-    classes = stored(found.groupBy("print").agg(F.min("doc_id").alias("id")), "print-classes")
-    keyed = classes.where("id is not null").select(F.explode(bit_bands("print", radius)).alias("key"), "id", "print")
-    roots = connected_components(links_in_blocks(keyed, ["print"], radius))
-    named = classes.join(roots, "id", "left").select("print", F.coalesce("root", "id").alias("component_id"))
-    return found.join(named, "print").select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+    classes = stored(found.groupBy("print").agg(F.min("doc_id").alias("id"), F.count("*").alias("rows")), "print-classes")
+    bands = bands_for(classes.count(), radius)
+    keyed = classes.select(F.explode(bit_bands("print", radius, bands)).alias("key"), F.col("print").alias("id"), "print")
+    links = links_in_blocks(keyed, ["print"], radius, finer=bit_bands("print", radius, bands + 2))
+    named = stored(named_by_least(classes, links, "print", "id", "best").select("print", "rows", F.col("best.ident").alias("component_id")), "named")
+    out = join_with_hot_keys(found, named, "print", "rows", found.count())
+    return out.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 #: The similarity of word shingles (of their sets) from which two texts are near-duplicates, as a fraction.
@@ -266,35 +294,43 @@ SIMILAR = (4, 5)
 WORDS, RADIUS, BANDS, ROWS = 8, 144, 12, 2
 
 
+def text_node(text: str | Column = "text") -> Column:
+    """The number of a text: its XXH64. Equal texts have equal numbers, different texts different ones but for about n * n / 4e19 pairs of n texts."""
+    return F.xxhash64(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
+
+
 def wide_prints(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, text_md5, p0.., keys): wide fingerprints over distinct shingles and block keys of each row."""
+    """(doc_id, node, p0.., keys): the text's number, wide fingerprints over distinct shingles and block keys of each row."""
     schema = T.StructType(
-        [T.StructField("doc_id", T.LongType()), T.StructField("text_md5", T.StringType())]
+        [T.StructField("doc_id", T.LongType()), T.StructField("node", T.LongType())]
         + [T.StructField(f"p{k}", T.LongType()) for k in range(WORDS)]
         + [T.StructField("keys", T.ArrayType(T.LongType()))]
     )
 
     def rows(ids, texts):
         data = [(t or "").encode() for t in texts]
+        nodes = np.array([xxhash.xxh64_intdigest(d, SEED) for d in data], np.uint64).view(np.int64)
         hashes = [np.unique(shingle_hashes(d, width)) for d in data]
         prints = np.array([fingerprint(h, WORDS) for h in hashes], np.uint64).view(np.int64).reshape(len(data), WORDS)
         keys = [block_keys(h, BANDS, ROWS).view(np.int64).tolist() if len(h) else [0] for h in hashes]  # texts without words meet in one block
-        return [ids, [hashlib.md5(d).hexdigest() for d in data], *prints.T, keys]
+        return [ids, nodes, *prints.T, keys]
 
     return map_texts(docs, rows, schema)
 
 
-def similar_links(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
-    """The rows of ``pairs`` (a, b) whose texts have sets of shingles of at least the similarity SIMILAR, compared exactly.
+def similar_links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+    """The rows of ``pairs`` (a, b: nodes) whose texts have sets of shingles of at least the similarity SIMILAR, compared exactly.
 
-    Only texts of candidates are shuffled, as sets of hashes. An id with several texts is similar if one of them is.
+    Of each text in a pair one row is read, that of ``classes``' id; only sets of hashes are shuffled if there are few such texts.
     """
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("shingles", T.BinaryType())])
-    some = docs.select("doc_id", "text").join(needed, F.col("doc_id") == F.col("id"), "left_semi")
-    found = map_texts(some, lambda ids, texts: [ids, [np.unique(shingle_hashes((t or "").encode(), width)).tobytes() for t in texts]], schema)
-    sets = stored(found.groupBy("id").agg(F.collect_set("shingles").alias("sets")), "shingles")
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("sets").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("sets").alias("y")), "b")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    needed = small(stored(needed.join(classes.select("node", "id"), "node"), "needed"))
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("shingles", T.BinaryType())])
+    own = docs.select("doc_id", "text", text_node().alias("node"))
+    some = own.join(needed, (own["node"] == needed["node"]) & own["doc_id"].eqNullSafe(needed["id"]), "left_semi").select(F.col("node").alias("doc_id"), "text")
+    found = map_texts(some, lambda nodes, texts: [nodes, [np.unique(shingle_hashes((t or "").encode(), width)).tobytes() for t in texts]], schema)
+    sets = stored(found.groupBy("doc_id").agg(F.any_value("shingles").alias("set")), "shingles")  # repeated rows have one
+    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("y")), "b")
 
     def similar(x: bytes, y: bytes) -> bool:
         x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
@@ -306,14 +342,14 @@ def similar_links(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             a, b = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-            kept = np.fromiter((any(similar(p.as_py(), q.as_py()) for p in x.values for q in y.values) for x, y in zip(batch.column(2), batch.column(3), strict=True)), bool, len(a))
+            kept = np.fromiter((similar(x.as_py(), y.as_py()) for x, y in zip(batch.column(2), batch.column(3), strict=True)), bool, len(a))
             yield link_batch(a[kept], b[kept])
 
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
 def near_duplicate_groups(docs: DataFrame, width: int = 5, radius: int = RADIUS) -> DataFrame:
-    """(text_md5, id, root) for each different text: its smallest doc_id and the smallest doc_id of its group of near-duplicates.
+    """(node, id, root, kept) for each different text: its smallest doc_id, the smallest doc_id of its group of near-duplicates, and whether it is the one of its group that stays.
 
     Links: an exact similarity of sets of word shingles of SIMILAR or more, among pairs that meet in a min-hash band (missed at 0.8 with
     a chance of five in a million) with wide fingerprints at most ``radius`` bits apart. First each text is compared with the nearest
@@ -321,28 +357,43 @@ def near_duplicate_groups(docs: DataFrame, width: int = 5, radius: int = RADIUS)
     """
     prints = [f"p{k}" for k in range(WORDS)]
     found = wide_prints(docs, width)
-    classes = stored(found.groupBy("text_md5").agg(F.min("doc_id").alias("id"), F.any_value(F.struct(*prints, "keys")).alias("w")), "text-classes")
-    nodes, links, seen = classes.where("id is not null").withColumn("root", F.col("id")), None, None
+    classes = stored(found.groupBy("node").agg(F.min("doc_id").alias("id"), F.any_value(F.struct(*prints, "keys")).alias("w")), "text-classes")
+    nodes, links, seen = classes.withColumn("root", F.col("node")), None, None
     for nearest in (True, False):
-        keyed = nodes.select(F.explode("w.keys").alias("key"), "id", "root", *(f"w.{p}" for p in prints))
+        keyed = nodes.select(F.explode("w.keys").alias("key"), F.col("node").alias("id"), "root", *(f"w.{p}" for p in prints))
         blocks = links_in_blocks(keyed, ["root", *prints], radius, found=lambda rows, nearest=nearest: candidate_pairs(rows, radius, nearest))
         pairs = blocks.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = stored(pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti"), "pairs")
-        similar = stored(similar_links(docs, pairs, width), "similar")
+        similar = stored(similar_links(docs, classes, pairs, width), "similar")
         links, seen = similar if links is None else links.union(similar), pairs
-        roots = stored(connected_components(links), "roots")
-        nodes = classes.where("id is not null").join(roots, "id", "left").select("text_md5", "id", "w", F.coalesce("root", "id").alias("root"))
-    return classes.join(roots, "id", "left").select("text_md5", "id", F.coalesce("root", "id").alias("root"))
+        if nearest:
+            roots = stored(connected_components(links).withColumnRenamed("id", "node"), "roots")
+            nodes = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = named_by_least(classes.select("node", "id"), links, "node", "id", "best")
+    return named.select("node", "id", F.col("best.ident").alias("root"), (F.col("best.node") == F.col("node")).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, radius: int = RADIUS) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: that of the smallest doc_id. All columns stay.
 
-    Repeated rows (equal doc_id and text) count as copies. Texts without words (null, empty, white space) are copies of each other. Texts that only rows without
-    a doc_id have keep one row each.
+    Repeated rows (equal doc_id and text) count as copies; of rows that differ in other columns alone, one is picked by a hash. Texts
+    without words (null, empty, white space) are copies of each other. Groups without a doc_id keep one row. Texts are shuffled only
+    where more ids are dropped than a broadcast may hold, and for doc_ids that stand more than once.
     """
-    md5 = free_name(docs.columns, "_md5")
-    groups = near_duplicate_groups(docs, width, radius).where("id is null or id = root").select(F.col("text_md5").alias("_m"), F.col("id").alias("_i"))
-    marked = docs.withColumn(md5, F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
-    kept = marked.join(groups, F.col(md5).eqNullSafe(F.col("_m")) & marked["doc_id"].eqNullSafe(F.col("_i")), "left_semi")
-    return kept.dropDuplicates(["doc_id", md5]).select(*(kept[f"`{c}`"] for c in docs.columns))
+    groups = stored(near_duplicate_groups(docs, width, radius), "groups")
+    ident, node = free_name(docs.columns, "_i"), free_name(docs.columns, "_n")
+    again = stored(docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").select(F.col("doc_id").alias(ident)), "repeated-ids")
+    kept_ids = groups.where("kept").select(F.col("id").alias(ident))
+    gone = docs.select(F.col("doc_id").alias(ident)).where(F.col(ident).isNotNull()).join(kept_ids, ident, "left_anti")
+    gone = stored(gone.union(again.where(F.col(ident).isNotNull())).distinct(), "dropped-ids")
+    once = docs.where(F.col("doc_id").isNotNull()).join(small(gone), F.col("doc_id") == F.col(ident), "left_anti")
+    if again.isEmpty():
+        return once
+    # Ids that stand more than once, or none: each row is judged by its text, too.
+    of, as_ = free_name(docs.columns, "_of"), free_name(docs.columns, "_as")
+    rows = docs.join(small(again), docs["doc_id"].eqNullSafe(F.col(ident)), "left_semi").withColumn(node, text_node())
+    kept = groups.where("kept").select(F.col("node").alias(of), F.col("id").alias(as_))
+    rows = rows.join(kept, (F.col(node) == F.col(of)) & F.col("doc_id").eqNullSafe(F.col(as_)), "left_semi")
+    whole = [F.col(f"`{c}`") for c in docs.columns]
+    one = rows.groupBy("doc_id", node).agg(F.min_by(F.struct(*whole), F.xxhash64(*whole)).alias("_row"))
+    return once.unionByName(one.select("_row.*"))

@@ -16,7 +16,7 @@ from talkmill.llm.components import connected_components
 from talkmill.llm.queries import QUERIES
 
 DATA = "/root/testdata/sf0.001"
-CLASH = ("id", "key", "group", "label", "score", "print", "rank", "text_md5", "_toxic", "_md5", "_held", "shard", "class")
+CLASH = ("_m", "_i", "_n", "_of", "_as", "_row", "_rank", "node", "kept", "root", "best", "a", "b", "n", "copy", "spread", "text_crc32", "size", "y", "fold", "y.z", "id", "key", "group", "label", "score", "print", "rank", "text_md5", "_toxic", "_md5", "_held", "shard", "class")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASH)
 
 
@@ -208,6 +208,86 @@ def test_near_duplicates_at_five_words(spark):
     assert kept == set(range(30))
 
 
+def test_components_of_stars_and_chains(spark):
+    draw = np.random.default_rng(7)
+    edges = [(0, k) for k in range(1, 3000)] + [(9000, k) for k in range(5000, 7000)] + [(k, k + 1) for k in range(10_000, 10_200)] + [(20_000 + int(a), 20_000 + int(b)) for a, b in draw.integers(0, 300, (200, 2))]
+    root = {v: v for e in edges for v in e}
+
+    def top(v):
+        while root[v] != v:
+            root[v] = root[root[v]]
+            v = root[v]
+        return v
+
+    for a, b in edges:
+        x, y = sorted((top(a), top(b)))
+        root[y] = x
+    got = {r.id: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert all(got.get(v, v) == top(v) for v in root) and set(got) == {v for e in edges if e[0] != e[1] for v in e}
+
+
+def test_bands_lose_no_link(spark):
+    draw = np.random.default_rng(9)
+    base = draw.integers(-(2**63), 2**63, 60)
+    rows = [(k, int(p)) for k, p in enumerate(base)]
+    for p in base.tolist():
+        for _ in range(4):
+            flips = draw.choice(64, draw.integers(1, 4), replace=False).tolist()
+            near = p
+            for f in flips:
+                near ^= -(1 << 63) if f == 63 else 1 << f
+            rows.append((len(rows), near))
+    rows += [(len(rows) + k, int(base[0]) ^ int(x)) for k, x in enumerate(draw.integers(0, 2**12, 150))]  # a dense block
+    prints = [p & (2**64 - 1) for _, p in rows]
+    want = {(i, j) for i in range(len(rows)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 2}
+    df = spark.createDataFrame(rows, "id long, print long")
+    assert simhash.bands_for(1000, 2) == 3 < simhash.bands_for(10**10, 2) <= simhash.bands_for(10**15, 2)
+    for bands in (3, 4, 5):
+        for limit in (1024, 16):
+            keyed = df.select(F.explode(simhash.bit_bands("print", 2, bands)).alias("key"), "id", "print")
+            links = simhash.links_in_blocks(keyed, ["print"], 2, limit, finer=simhash.bit_bands("print", 2, bands + 2))
+            got = {r.id: r.root for r in connected_components(links).collect()}
+            assert all(got[i] == got[j] for i, j in want)
+            groups = len({got.get(i, i) for i in range(len(rows))})
+            root = list(range(len(rows)))
+            for i, j in want:
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = [new if r == old else r for r in root]
+            assert groups == len(set(root))
+
+
+def test_near_duplicates_of_repeated_and_missing_ids(spark):
+    words = [f"w{k}" for k in range(60)]
+    a, b, c = " ".join(words), " ".join(words[:55]), " ".join(reversed(words))
+    rows = [(7, a, "x"), (7, c, "x"), (7, a, "y"), (None, b, "x"), (None, "no one has this text or an id", "x"), (None, "no one has this text or an id", "x"), (3, c + " more", "x"), (9, "alone", "x"), (None, None, "x"), (None, "", "x"), (8, b, "z")]
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, other string")).collect()
+    got = sorted(((r.doc_id, r.text or "") for r in kept), key=str)
+    assert got == sorted([(7, a), (None, "no one has this text or an id"), (3, c + " more"), (9, "alone"), (None, "")], key=str)
+
+
+def test_near_duplicates_of_the_table_against_exact_similarity(docs, texts):
+    sets = {i: set(simhash.shingle_hashes(t.encode(), 5).tolist()) for i, t in texts.items()}
+    holders = defaultdict(set)
+    for i, s in sets.items():
+        for h in s:
+            holders[h].add(i)
+    root = {i: i for i in texts}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, s in sets.items():
+        for j in {j for h in s for j in holders[h]} if s else {j for j in sets if not sets[j]}:
+            if j < i and 5 * len(s & sets[j]) >= 4 * len(s | sets[j]):
+                x, y = sorted((top(i), top(j)))
+                root[y] = x
+    kept = {r.doc_id for r in simhash.drop_near_duplicates(docs).collect()}
+    want = {i for i in texts if top(i) == i}
+    assert len(want) < len(texts) and kept == want
+
+
 def test_near_duplicates_against_exact_similarity(spark):
     draw = np.random.default_rng(4)
     words = [f"w{k}" for k in range(20_000)]
