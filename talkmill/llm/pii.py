@@ -4,7 +4,9 @@ The CRF is trained here by maximum likelihood from a small labelled table and de
 A chain is the words of a line or sentence. Words without digit, @ or + share one feature set; ``Crf.plain_is_o`` proves from the
 trained weights that a chain of only such words decodes to O throughout, so such chains need no decoding.
 
-Null text counts as empty: no spans. Repeated rows give repeated results. Texts are read whole, at any length.
+Null text counts as empty: no spans; in ``redact_pii`` it stays null. An empty table gives no rows. Repeated rows give repeated results,
+and rows are judged one by one; of paths with equal scores Viterbi takes the first label. Texts are read whole, at any length. Only
+doc_id and text are read, so further columns of any name do no harm; ``redact_pii`` keeps them as they are.
 """
 
 from __future__ import annotations
@@ -83,13 +85,17 @@ def shape(word: str) -> str:
     return re.sub(r"([xX])[xX]*", r"\1", s)
 
 
-@lru_cache(maxsize=200_000)
 def features(word: str) -> tuple[str, ...]:
+    """Word-shape features, kept for words of usual length."""
+    return _kept_features(word) if len(word) <= 100 else _features(word)
+
+
+def _features(word: str) -> tuple[str, ...]:
     """Word-shape features. Words without digit, @ or + have the features 'plain' and, if so, 'end' (sentence mark at the end)."""
     if not MARKED.search(word):
         return ("plain", "end") if word[-1] in ".!?" else ("plain",)
     core = word.strip(".,;:!?()[]{}\"'<>|*%$&#")
-    s = shape(core)[:40]
+    s = shape(core)
     digits = sum(c.isdigit() for c in core)
     return (
         "marked",
@@ -105,6 +111,9 @@ def features(word: str) -> tuple[str, ...]:
     )
 
 
+_kept_features = lru_cache(maxsize=200_000)(_features)
+
+
 @dataclass
 class Crf:
     """Weights: emission (feature x label), transition (label x label), start (label)."""
@@ -121,7 +130,7 @@ class Crf:
             row = cache.get(w)
             if row is None:
                 row = self.emit[[k for f in features(w) if (k := self.names.get(f)) is not None]].sum(axis=0)
-                if len(cache) < 200_000:
+                if len(cache) < 200_000 and len(w) <= 100:
                     cache[w] = row
             rows.append(row)
         return np.array(rows).reshape(len(words), len(self.start))
@@ -256,6 +265,46 @@ The mill stood by the water. It was old. Nobody came.
 Key 9f8e7d6c5b4a39281706f5e4d3c2b1a0 was made on day 12.
 Build 1234567 took 89 s and 4096 MB.
 Item 20240115 costs 9.99 and item 20240116 costs 19.99.
+Send the form to {email:r.weiss@uni.example.edu} or to {email:info@shop-24.example.com} this week.
+Our clerk, {email:lena+post@home.example}, has the keys.
+Write {email:j.doe@example.org}, {email:m_l@test.example} and wait.
+You may call {phone:(646)} {phone:555-0102} or {phone:(312)} {phone:555-0199} at noon.
+The office line is {phone:503-555-0161} and the fax is {phone:503-555-0162} since May.
+Her phone, {phone:+1-415-555-0133}, is off.
+Dial {phone:+41} {phone:44} {phone:668} {phone:1800} for help.
+Dial {phone:+7} {phone:495} {phone:555} {phone:0147} for help.
+Call {phone:+353-1-677-0098} from abroad.
+Call {phone:+32.2.555.12.12} from abroad.
+The ring at {phone:555-0123} woke the whole house.
+Packets from {ip:172.16.254.1} reach {ip:198.51.100.200} in 3 ms.
+Block {ip:192.0.2.5:443} and {ip:203.0.113.7:22} at once.
+The server {ip:10.1.2.3} has been up for 42 days.
+The router answers at {ip:fe80::1ff:fe23:4567:890a} and {ip:2001:db8::ff00:42:8329} only.
+Charge {card:6011111111111117} with the rest.
+Charge {card:3566002020360505} with the rest.
+The card {card:5105-1051-0510-5100} ran out in 2019.
+The card {card:4222} {card:2222} {card:2222} {card:2220} ran out in 2019.
+Booked with {card:371449635398431} on 3 May.
+Booked with {card:3714} {card:496353} {card:98431} on 3 May.
+Her number {ident:123-45-6789} was on the list.
+The form asks for {ident:457-55-5462} and a date.
+We hold {ident:536-22-8726} on file since 2004.
+Send it to {ident:FR7630006000011234567890189} by Friday.
+The account {ident:NL91ABNA0417164300} was closed.
+The account {ident:CH9300762011623852957} was closed.
+From 1990 to 1995 it grew by 40% each year.
+The index rose 2.5 points to 1,034.7 on Monday.
+Rooms 101, 102 and 214-216 are shut until 2025.
+Python 3.13.1 and Java 17.0.2 are in use, 2.4.0 is not.
+The match ended 3-1 after 120 minutes.
+Order 5550199 has 12 parts, order 12345 has none.
+At 09:30:15 on 12/05/2023 the 4th train left.
+Chapters 3-5 and pages 12-40 are new.
+The hash 0cc175b9c0f1b6a831c399e269772661 stands in row 4.
+The ids 8842, 8843 and x99-12 are free.
+A 16-bit field of 4096 x 2160 cells, 8.8 million in all.
+See @mill_town and #3 or #14 for more, at 5@2 each.
+The sum 12+30 and the grade A+ were 1+1 too much.
 """
 
 
