@@ -1,12 +1,13 @@
 """Quality classifier by attention-based multiple-instance learning.
 
-A document is a bag of passages of about PASSAGE words. Every passage is encoded from what its words look like; gated attention weighs
-the passages' codes, and the document's score is a logistic function of the weighted code. Encoder, attention and output are learned
-together from document labels, on a bounded sample, by gradients written out in numpy.
-
-Null and empty texts are a bag of one empty passage and get a score like any other. Repeated rows get equal results. Texts are read
-whole, at any length. Only doc_id, text and (for learning) the label are read. Without labels of both values the score is the share of
-label 1, or 0.5 without any.
+A document is a bag of passages of about PASSAGE words. Every passage is encoded from what its words look like and which they are (signs
+drawn from their hashes); gated attention weighs the passages' codes, and the document's score is a logistic function of the weighted
+code. Encoder, attention and output are learned together from document labels, on a bounded sample, by gradients written out in numpy.
+
+Null and empty texts are a bag of one empty passage and get a score like any other. Repeated rows get equal results; rows are judged one
+by one, so there are no ties. Texts are read whole, at any length. Only doc_id, text and (for learning) the label are read, so further
+columns of any name do no harm. Without labels of both values, as from empty tables, the score is the share of label 1, or 0.5 without
+any; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,23 +29,26 @@ PASSAGE, FIT_ROWS = 64, 6000
 #: Width of a passage's code and of the attention.
 CODE, GATE = 16, 8
 STEPS, BAGS, RATE, L2 = 800, 256, 0.01, 1e-4
-CACHE_TOKENS = 400_000
+CACHE_TOKENS, CACHE_CHARS = 400_000, 20_000_000
+#: Signs that a word's hash gives.
+SIGNS = 8
 #: Score from which a document counts as good.
 LEAST_SCORE = 0.3
 
 _LETTER, _DIGIT, _SIGN = re.compile(r"[^\W\d_]"), re.compile(r"\d"), re.compile(r"[^\w\s]")
-TOKEN_STATS = ("length", "letters", "digits", "signs", "upper", "title", "no letter", "sentence end", "comma", "run of signs", "bar", "long", "vowels", "markup", "at or link")
+TOKEN_STATS = ("length", "letters", "digits", "signs", "upper", "title", "no letter", "sentence end", "comma", "run of signs", "bar", "long", "vowels", "markup", "at or link", *(f"sign {k}" for k in range(SIGNS)))
 STATS = (*TOKEN_STATS, "words", "distinct", "repeats", "repeats of the one before last")
 WIDTH = len(STATS)
 
 
 def token_stats(token: str) -> tuple[float, ...]:
-    n = len(token)
+    n, word = len(token), xxhash.xxh64_intdigest(token.lower().strip(".,;:!?()[]{}\"'"))
     letters, digits, signs = len(_LETTER.findall(token)), len(_DIGIT.findall(token)), len(_SIGN.findall(token))
     return (
         min(n, 30) / 10, letters / n, digits / n, signs / n,
         float(letters > 1 and token.isupper()), float(token[0].isupper()), float(not letters), float(token[-1] in ".!?"), float(token[-1] in ",;:"),
         float(bool(re.search(r"[^\w\s]{2}", token))), float("|" in token), float(n > 20), sum(c in "aeiouyAEIOUY" for c in token) / n, float(any(c in "<>{}\\" for c in token)), float("@" in token or "//" in token),
+        *(float(word >> k & 1) - 0.5 for k in range(SIGNS)),
     )
 
 
@@ -53,15 +58,17 @@ class Encoder:
 
     tokens: TokenRows = field(default_factory=TokenRows)
     table: np.ndarray = field(default_factory=lambda: np.zeros((0, len(TOKEN_STATS)), np.float32))
+    chars: int = 0
 
     def __call__(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(passages x STATS, passages of each text)."""
-        if len(self.tokens) > CACHE_TOKENS:
-            self.tokens, self.table = TokenRows(), self.table[:0]
+        if len(self.tokens) > CACHE_TOKENS or self.chars > CACHE_CHARS:
+            self.tokens, self.table, self.chars = TokenRows(), self.table[:0], 0
         number = self.tokens.__getitem__
         ids = [np.fromiter(map(number, t), np.int64, len(t)) for t in ((text or "").split() for text in texts)]
         if self.tokens.fresh:
             self.table = np.concatenate([self.table, np.array([token_stats(t) for t in self.tokens.fresh], np.float32)])
+            self.chars += sum(map(len, self.tokens.fresh))
             self.tokens.fresh = []
         parts = np.array([max(1, -(-len(i) // PASSAGE)) for i in ids], np.int64)
         out = np.zeros((int(parts.sum()), WIDTH), np.float32)
@@ -129,14 +136,16 @@ class AttentionModel:
         return {k: g + L2 * w[k] for k, g in out.items()}
 
 
-def fit(stats: np.ndarray, parts: np.ndarray, y: np.ndarray, steps: int = STEPS) -> AttentionModel:
-    """Adam over BAGS bags a step, in a fixed random order; deterministic."""
+def fit(stats: np.ndarray, parts: np.ndarray, y: np.ndarray, steps: int = STEPS, attend: bool = True) -> AttentionModel:
+    """Adam over BAGS bags a step, in a fixed random order; deterministic. Without ``attend`` all passages weigh the same."""
     stats = stats.astype(np.float64)
     draw = np.random.default_rng(7)
     mean, scale = (stats.mean(axis=0), stats.std(axis=0) + 1e-3) if len(stats) else (np.zeros(WIDTH), np.ones(WIDTH))
     share = (y.sum() + 0.5) / (len(y) + 1)
     shapes = {"e": (WIDTH, CODE), "be": (CODE,), "v": (CODE, GATE), "u": (CODE, GATE), "w": (GATE,), "c": (CODE,)}
     model = AttentionModel(mean, scale, {k: draw.normal(0, 1 / np.sqrt(s[0]), s) for k, s in shapes.items()} | {"b": np.array([np.log(share / (1 - share))])})
+    if not attend:
+        model.weights |= {"w": np.zeros(GATE)}
     if len(np.unique(y)) < 2:
         model.weights |= {"c": np.zeros(CODE)}
         return model
@@ -149,6 +158,8 @@ def fit(stats: np.ndarray, parts: np.ndarray, y: np.ndarray, steps: int = STEPS)
         bags, order = order[:BAGS], order[BAGS:]
         rows = np.concatenate([np.arange(first[b], first[b + 1]) for b in bags])
         for k, g in model.gradients(stats[rows], parts[bags], y[bags]).items():
+            if k == "w" and not attend:
+                continue
             m[k] = [0.9 * m[k][0] + 0.1 * g, 0.99 * m[k][1] + 0.01 * g**2]
             model.weights[k] = model.weights[k] - RATE * (m[k][0] / (1 - 0.9**step)) / (np.sqrt(m[k][1] / (1 - 0.99**step)) + 1e-8)
     return model

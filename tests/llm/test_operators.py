@@ -601,6 +601,27 @@ def test_attention_gradients_against_differences():
         assert (diffs[0] - diffs[1]) / 2e-5 == pytest.approx(grad[at], rel=1e-3, abs=1e-7)
 
 
+def test_attention_adds_to_the_mean():
+    draw = np.random.default_rng(5)
+    parts = draw.integers(5, 40, 900)
+    stats = draw.normal(size=(int(parts.sum()), quality.WIDTH))
+    y = (draw.random(900) < 0.5).astype(float)
+    first = np.r_[0, np.cumsum(parts)[:-1]]
+    for k in np.flatnonzero(y):  # one passage of many tells
+        stats[first[k] + draw.integers(parts[k]), 0] += 4
+
+    def right(attend):
+        cut = int(parts[:600].sum())
+        model = quality.fit(stats[:cut], parts[:600], y[:600], steps=600, attend=attend)
+        p = model.scores(stats[cut:], parts[600:])
+        good, bad = p[y[600:] == 1], p[y[600:] == 0]
+        return (good[:, None] > bad[None, :]).mean()
+
+    with_attention, mean_only = right(True), right(False)
+    print("area under the curve with attention and without:", with_attention, mean_only)
+    assert with_attention > mean_only + 0.03
+
+
 def test_media_round_trips():
     kinds = set()
     for n in (*range(30), 575, 576, 5000, 40_000):
