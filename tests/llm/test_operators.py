@@ -869,3 +869,19 @@ def test_pipeline_stages(spark, docs):
         now = out
     assert docs.count() >= seen[0] >= seen[1] >= seen[2] == seen[3] > 0
     assert corpus_pipeline.run(spark, DATA).count() == now.count()
+
+
+@pytest.mark.parametrize("table", ["odd", "nothing"])
+def test_pipeline_on_odd_and_empty_tables(spark, table, request):
+    from talkmill.llm.common import stored
+
+    now = request.getfixturevalue(table)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stored(stage(spark, now, DATA), name)
+        if name != "packing":
+            assert out.columns == now.columns and out.count() <= now.count()
+            now = out
+    assert {r.doc_id for r in out.collect()} == {r.doc_id for r in now.collect()}
+    if table == "odd":  # null, empty and blank texts are one group; repeated rows and equal texts are one row
+        assert sorted(r.doc_id for r in now.where("doc_id is not null").collect()) == [1, 4, 5, 7]
+        assert "[EMAIL]" in now.where("doc_id = 7").first().text
