@@ -1,4 +1,11 @@
-"""The corpus pipeline: toxic rows go, one row of each group of near-duplicates stays, contaminated rows go, personal data is masked, and the rest is packed."""
+"""The corpus pipeline: toxic rows go, one row of each group of near-duplicates stays, contaminated rows go, personal data is masked, and the rest is packed.
+
+All stages but the last return the columns of their input, extra ones of any name included; packing returns a row per piece. Null and
+empty texts are no stage's reason to fail: they are not toxic or contaminated unless the fitted intercepts say so, they are copies of each
+other, nothing in them is masked, and they are packed as their end token. Of repeated rows (equal doc_id and text) one stays; rows without
+a doc_id are treated like others. Empty tables of documents give empty tables; without labels nothing is toxic, without a benchmark nothing
+is contaminated.
+"""
 
 from __future__ import annotations
 
