@@ -35,6 +35,8 @@ END_ID = 1
 #: Words of one generation of a worker's cache (two are kept), and the longest that is kept, in characters; words encoded at once.
 CACHE_WORDS, CACHE_CHARS, BATCH = 400_000, 200, 1000
 
+#: Places inside words where the tokenizer's pattern starts a new part, too: before marks after letters or digits, and around single line feeds.
+_INSIDE = re.compile(r"(?<=[^\W_])(?=[.,;:!?])|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
 _UNSURE, _SURE = re.compile(r" (?:\s|\Z)"), re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -81,13 +83,16 @@ class WordTokenizer:
         if len(self.cache) > CACHE_WORDS:
             self.cache, self.older = {}, self.cache
         cache, older = self.cache, self.older
-        fresh = set().union(*parts) - cache.keys()
-        cache.update({w: older[w] for w in fresh & older.keys()})
-        new = list(fresh - cache.keys())
+        fresh = {w for w in set().union(*parts) if w not in cache}
+        cache.update({w: older[w] for w in fresh if w in older})
+        fresh = {w for w in fresh if w not in cache}
+        units = {w: p for w in fresh if (w[-1:] in ".,;:!?" or "\n" in w) and len(p := _INSIDE.split(w)) > 1 and not any(t in w for t in self.added)}
+        new = list({u for w in fresh for u in units.get(w, (w,)) if u not in cache})
         for at in range(0, len(new), BATCH):
             cache.update(zip(new[at : at + BATCH], self.encode(new[at : at + BATCH]), strict=True))
+        cache.update({w: b"".join(map(cache.__getitem__, p)) for w, p in units.items()})
         out = [b"".join(map(cache.__getitem__, words)) for words in parts]
-        for w in new:
+        for w in {*new, *fresh}:
             if len(w) > CACHE_CHARS:
                 del cache[w]
         return out
