@@ -124,8 +124,8 @@ def slices(batch: pa.RecordBatch, column: int = 1) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start)
 
 
-#: States that a Python worker keeps from one task to the next (vocabularies, caches of what was worked out for words).
-KEPT_STATES = 2
+#: States that a Python worker keeps from one task to the next (vocabularies, caches of what was worked out for words): that of the running stage.
+KEPT_STATES = 1
 _states: OrderedDict[str, object] = OrderedDict()
 
 

@@ -69,7 +69,7 @@ class FeatureCache(dict):
     def __missing__(self, token: str) -> tuple[int, ...]:
         got = word_features(token, self.kept)
         if len(token) <= CACHE_CHARS:
-            if len(self) >= CACHE_WORDS:
+            if len(self) >= (CACHE_WORDS // 10 if self.kept is None else CACHE_WORDS):  # all of a token's features take ten times as much
                 self.clear()
             self[token] = got
         return got
