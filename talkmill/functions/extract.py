@@ -32,29 +32,63 @@ def content_text(v: Column) -> Column:
     return trimmed(text_or_empty(text))
 
 
+def _object(json: Column) -> Column:
+    """The entries of a JSON object as text; none for what is no object."""
+    return F.coalesce(F.map_entries(F.from_json(json, "map<string,string>")), _no_entries())
+
+
+def _entry(name: str, value: Column) -> Column:
+    return F.array(F.struct(F.lit(name).alias("key"), value.alias("value")))
+
+
+def _no_entries() -> Column:
+    return F.array().cast("array<struct<key:string,value:string>>")
+
+
+def as_map(entries: Column) -> Column:
+    """A map of entries, without those that are null or empty; of those with equal keys the last counts."""
+    later = lambda i: F.transform(F.slice(entries, i + 2, F.size(entries)), lambda e: e["key"])
+    last = F.filter(entries, lambda e, i: ~F.array_contains(later(i), e["key"]))
+    return F.map_from_entries(F.filter(last, lambda e: F.coalesce(e["value"], F.lit("")) != ""))
+
+
 def strip_envelopes(df: DataFrame, text: str = "content", role: str = "role") -> DataFrame:
-    """Replaces ``text`` by what its sender wrote and adds ``dirty_flags`` and ``message_id`` (of the envelope, if it has one).
+    """Replaces ``text`` by what its sender wrote and adds ``dirty_flags``, ``metadata`` (of the envelopes, later ones count) and its ``message_id``.
 
     Envelopes go one after another from the start of the text; an external body replaces all that stands around it.
     """
-    steps = df.withColumn("_t", replaced(trimmed(text_or_empty(F.col(text))), ENV["reply_tag"])).withColumn("_flags", F.array().cast("array<string>")).withColumn("_meta", F.lit(None).cast("string"))
+    steps = df.withColumn("_t", replaced(trimmed(text_or_empty(F.col(text))), ENV["reply_tag"])).withColumn("_flags", F.array().cast("array<string>")).withColumn("_meta", _no_entries())
+    first_line = F.substring(F.split("_t", "\r?\n", 2)[0], 1, 300)
     for name, flags in (("conversation", ["metadata-envelope"]), ("system_sender", ["system-envelope", "metadata-envelope"]), ("sender", ["metadata-envelope"])):
         hit = found(F.col("_t"), ENV[name])
+        fields = _object(extracted(F.col("_t"), ENV[name]))
+        if name == "system_sender":
+            fields = F.concat(fields, _entry("systemEnvelope", first_line))
         steps = steps.withColumns({
-            "_meta": F.when(hit, F.coalesce(F.get_json_object(extracted(F.col("_t"), ENV[name]), "$.message_id"), F.col("_meta"))).otherwise(F.col("_meta")),
+            "_meta": F.when(hit, F.concat("_meta", fields)).otherwise(F.col("_meta")),
             "_flags": F.when(hit, F.concat("_flags", F.array(*map(F.lit, flags)))).otherwise(F.col("_flags")),
             "_t": F.when(hit, trimmed(replaced(F.col("_t"), ENV[name]))).otherwise(F.col("_t")),
         })
     line = found(F.col("_t"), ENV["system_line"])
-    steps = steps.withColumns({"_flags": F.when(line, F.concat("_flags", F.array(F.lit("system-envelope")))).otherwise(F.col("_flags")), "_t": F.when(line, trimmed(extracted(F.col("_t"), ENV["system_line"], 2))).otherwise(F.col("_t"))})
+    steps = steps.withColumns({
+        "_meta": F.when(line, F.concat("_meta", _entry("systemEnvelope", F.substring(extracted(F.col("_t"), ENV["system_line"]), 1, 300)))).otherwise(F.col("_meta")),
+        "_flags": F.when(line, F.concat("_flags", F.array(F.lit("system-envelope")))).otherwise(F.col("_flags")),
+        "_t": F.when(line, trimmed(extracted(F.col("_t"), ENV["system_line"], 2))).otherwise(F.col("_t")),
+    })
     reply = found(F.col("_t"), ENV["replied"])
-    steps = steps.withColumns({"_flags": F.when(reply, F.concat("_flags", F.array(F.lit("metadata-envelope"), F.lit("reply-context")))).otherwise(F.col("_flags")), "_t": F.when(reply, trimmed(replaced(F.col("_t"), ENV["replied"]))).otherwise(F.col("_t"))})
+    steps = steps.withColumns({
+        "_meta": F.when(reply, F.concat("_meta", _entry("repliedMessage", F.to_json(as_map(_object(extracted(F.col("_t"), ENV["replied"]))))))).otherwise(F.col("_meta")),
+        "_flags": F.when(reply, F.concat("_flags", F.array(F.lit("metadata-envelope"), F.lit("reply-context")))).otherwise(F.col("_flags")),
+        "_t": F.when(reply, trimmed(replaced(F.col("_t"), ENV["replied"]))).otherwise(F.col("_t")),
+    })
     context = found(F.col("_t"), ENV["untrusted"])
     tail = extracted(F.col("_t"), ENV["untrusted"], 0)
     body = found(tail, ENV["body"])
+    channel = F.when(context & found(tail, ENV["channel"]), F.substring(extracted(tail, ENV["channel"]), 1, 1000))
     steps = steps.withColumns({
         "_flags": F.when(context & body, F.concat("_flags", F.array(F.lit("metadata-envelope"), F.lit("external-discord-body")))).when(context, F.concat("_flags", F.array(F.lit("metadata-envelope")))).otherwise(F.col("_flags")),
-        "channel_context": F.when(context & found(tail, ENV["channel"]), F.substring(extracted(tail, ENV["channel"]), 1, 1000)),
+        "_meta": F.when(channel.isNotNull(), F.concat("_meta", _entry("channelContext", channel))).otherwise(F.col("_meta")),
+        "channel_context": channel,
         "_t": F.when(context & body, trimmed(extracted(tail, ENV["body"]))).when(context, trimmed(replaced(F.col("_t"), ENV["untrusted"]))).otherwise(F.col("_t")),
     })
     inner = trimmed(replaced(trimmed(replaced(F.col("_t"), ENV["inner_sender"], "\n")), ENV["inner_conversation"], "\n"))
@@ -64,7 +98,7 @@ def strip_envelopes(df: DataFrame, text: str = "content", role: str = "role") ->
     chunks = F.transform(F.split(replaced(F.col("_t"), ENV["queued"]), "\n---\n"), lambda c: trimmed(replaced(trimmed(c), ENV["queued_item"])))
     joined = F.array_join(F.filter(chunks, lambda c: (c != "") & noise_class(c).isNull()), "\n\n")
     steps = steps.withColumns({"_flags": F.when(queued, F.concat("_flags", F.array(F.lit("queued-envelope")))).otherwise(F.col("_flags")), "_t": F.when(queued, joined).otherwise(F.col("_t"))})
-    return steps.withColumn(text, F.col("_t")).withColumn("dirty_flags", F.array_distinct("_flags")).withColumn("message_id", F.col("_meta")).drop("_t", "_flags", "_meta")
+    return steps.withColumn(text, F.col("_t")).withColumn("dirty_flags", F.array_distinct("_flags")).withColumn("metadata", as_map(F.col("_meta"))).withColumn("message_id", F.col("metadata")["message_id"]).drop("_t", "_flags", "_meta")
 
 
 def stripped_reasons(flags: Column) -> Column:
@@ -73,7 +107,7 @@ def stripped_reasons(flags: Column) -> Column:
 
 
 def messages_of(lines: DataFrame) -> DataFrame:
-    """Canonical messages of transcript lines (source_type and line among their columns), and ``parse_error`` rows for lines that are not JSON.
+    """Canonical messages of transcript lines (source_type and line among their columns) with their metadata, and ``parse_error`` rows for lines that are not JSON.
 
     Roles other than user and assistant and rows without a time are left out, as are times of zero.
     """
@@ -88,9 +122,18 @@ def messages_of(lines: DataFrame) -> DataFrame:
         F.when(channel, get("$.role")).otherwise(first("string", "$.message.role", "$.role")).alias("role"),
         F.when(channel, get("$.content", "variant")).otherwise(first("variant", "$.message.content", "$.content", "$.message.text", "$.text")).alias("_content"),
         epoch_ms(F.when(channel, first("string", "$.ts", "$.timestamp", "$.created_at")).otherwise(first("string", "$.timestamp", "$.message.timestamp", "$.ts", "$.message.ts"))).alias("ts_ms"),
-        F.when(channel, get("$.message_id")).alias("source_message_id"),
+        source_metadata(v, channel).alias("_source"),
     )
     kept = typed.where(F.col("parse_error") | (F.col("role").isin("user", "assistant") & (F.coalesce("ts_ms", F.lit(0)) != 0)))
     flat = kept.withColumn("content", content_text(F.col("_content"))).drop("_content", "v")
     out = strip_envelopes(flat).withColumn("month", month_of(F.col("ts_ms")))
-    return out.withColumn("message_id", F.coalesce("message_id", "source_message_id")).drop("source_message_id")
+    ident = F.coalesce("message_id", as_map(F.col("_source"))["message_id"])
+    entries = F.concat(F.col("_source"), F.map_entries("metadata"), _entry("sourceMessageId", ident))
+    return out.withColumn("metadata", as_map(entries)).withColumn("message_id", ident).drop("_source")
+
+
+def source_metadata(v: Column, channel: Column) -> Column:
+    """What a transcript line says about its message, as entries: a channel's ids, or an agent's type, ids, provider and model; null for what is missing."""
+    get = lambda *paths: F.coalesce(*(F.try_variant_get(v, p, "string") for p in paths))
+    entries = lambda fields: F.concat(*(_entry(k, get(*paths)) for k, paths in fields.items()))
+    return F.when(channel, entries({k: (f"$.{k}",) for k in fixed.CHANNEL_METADATA})).otherwise(entries(fixed.AGENT_METADATA))

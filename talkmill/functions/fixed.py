@@ -139,6 +139,13 @@ STRIPPED = (
     ("reply-context", "stripped_reply_context"),
 )
 CHANNEL_METADATA = ("author", "author_id", "message_id", "channel_id", "guild_id", "thread_id")
+AGENT_METADATA = {
+    "openclawType": ("$.type",),
+    "openclawId": ("$.id",),
+    "parentId": ("$.parentId",),
+    "provider": ("$.message.provider", "$.provider"),
+    "model": ("$.message.model", "$.model"),
+}
 SESSION_FIELDS = ("sessionKey", "session_key", "source_session", "sourceSession", "metadata.sessionKey", "metadata.session_key")
 
 # Batches that may be executed, by month.

@@ -146,3 +146,8 @@ def log_warning_counts(col: Column) -> list[Column]:
     from .semantics import java
 
     return [F.regexp_count(text_or_empty(col), F.lit(java(p))).cast("long").alias(name) for name, p in fixed.LOG_WARNINGS]
+
+
+def of_month(session_key: Column, month: str, at_end: bool = False) -> Column:
+    """Whether a session key is that of a month's seed: ``seed:<month>`` anywhere in it, or ``:seed:<month>`` at its end; letters in either case."""
+    return session_key.ilike(f"%:seed:{month}" if at_end else f"%seed:{month}%")

@@ -10,24 +10,47 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions import text as X
 from ..functions.semantics import ratio, utf16_length
+from ..sources.stage import staged
+from .ordered import narrow
 
 
-def quality(messages: DataFrame) -> DataFrame:
-    """One row of counts and rates over ``messages`` (role, content, content_hash, source_key); one pass and two counts by key."""
-    user = F.col("role") == "user"
-    flags = messages.agg(
+def _rates(out: DataFrame, duplicates: str) -> DataFrame:
+    total = F.col("total_messages")
+    rates = {"duplicate_rate": (duplicates, total), "duplicate_content_rate": ("duplicate_content", total), "progress_rate": ("progress_updates", total), "user_duplicate_content_rate": ("user_duplicate_content", F.col("user_messages")), "noise_rate": ("system_noise", total), "envelope_rate": ("metadata_envelopes", total)}
+    return out.select("*", *(ratio(F.col(c), whole).alias(n) for n, (c, whole) in rates.items()))
+
+
+def _flags(messages: DataFrame) -> DataFrame:
+    return messages.agg(
         F.count("*").alias("total_messages"),
-        F.count_if(user).alias("user_messages"),
+        F.count_if(F.col("role") == "user").alias("user_messages"),
         F.count_if((F.col("role") == "assistant") & X.is_progress_update(F.col("content"))).alias("progress_updates"),
         F.count_if(X.noise_class(F.col("content")).isNotNull()).alias("system_noise"),
         F.count_if(X.has_residual_envelope(F.col("content"))).alias("metadata_envelopes"),
     )
-    surplus = lambda rows, key, name: rows.where(F.coalesce(F.col(key), F.lit("")) != "").groupBy(key).agg(F.count("*").alias("n")).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias(name))
-    parts = [surplus(messages.where(user), "source_key", "duplicate_users"), surplus(messages, "content_hash", "duplicate_content"), surplus(messages.where(user), "content_hash", "user_duplicate_content")]
-    out = reduce(lambda a, b: a.join(b, F.lit(True)), parts, flags)  # one row each
-    total = F.col("total_messages")
-    rates = {"duplicate_rate": ("duplicate_users", total), "duplicate_content_rate": ("duplicate_content", total), "progress_rate": ("progress_updates", total), "user_duplicate_content_rate": ("user_duplicate_content", F.col("user_messages")), "noise_rate": ("system_noise", total), "envelope_rate": ("metadata_envelopes", total)}
-    return out.select("*", *(ratio(F.col(c), whole).alias(n) for n, (c, whole) in rates.items()))
+
+
+def _surplus(rows: DataFrame, key: Column, name: str) -> DataFrame:
+    counts = rows.select(key.alias("_key")).where(F.coalesce("_key", F.lit("")) != "").groupBy("_key").agg(F.count("*").alias("n"))
+    return counts.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias(name))
+
+
+def quality(messages: DataFrame) -> DataFrame:
+    """One row of counts and rates over a seed input's ``messages`` (role, ts_ms, content, content_hash, source_key).
+
+    Users without a source key are told apart by role, time and content. One pass, and a count by key for each kind of duplicate.
+    """
+    users = messages.where(F.col("role") == "user")
+    key = F.coalesce(F.nullif(F.col("source_key"), F.lit("")), X.fallback_key(F.col("role"), F.col("ts_ms"), F.col("content")))
+    parts = [_surplus(users, key, "duplicate_users"), _surplus(messages, F.col("content_hash"), "duplicate_content"), _surplus(users, F.col("content_hash"), "user_duplicate_content")]
+    return _rates(reduce(lambda a, b: a.join(b, F.lit(True)), parts, _flags(messages)), "duplicate_users")  # one row each
+
+
+def output_quality(rows: DataFrame) -> DataFrame:
+    """The same for a store's rows (role, content, content_hash), which have no source keys: duplicates are those of content."""
+    users = rows.where(F.col("role") == "user")
+    parts = [_surplus(rows, F.col("content_hash"), "duplicate_content"), _surplus(users, F.col("content_hash"), "user_duplicate_content")]
+    return _rates(reduce(lambda a, b: a.join(b, F.lit(True)), parts, _flags(rows)), "duplicate_content")
 
 
 def overlap(current: DataFrame, earlier: DataFrame) -> DataFrame:
@@ -37,7 +60,7 @@ def overlap(current: DataFrame, earlier: DataFrame) -> DataFrame:
     hit = current.join(keys, "source_key", "left").join(hashes, "role_hash", "left")
     any_hit = F.col("key_owner").isNotNull() | F.col("hash_owner").isNotNull()
     out = hit.agg(F.count("*").alias("total_messages"), F.count_if(any_hit).alias("overlapping"), F.count_distinct(F.when(F.col("key_owner").isNotNull(), F.col("source_key"))).alias("key_hits"), F.count_distinct(F.when(F.col("hash_owner").isNotNull(), F.col("role_hash"))).alias("hash_hits"))
-    return out.withColumn("overlap_rate", ratio(F.col("overlapping"), F.col("total_messages"))).withColumn("warning", F.col("overlapping") > 0)
+    return out.withColumn("overlap_rate", ratio(F.col("overlapping"), F.col("total_messages"))).withColumn("warning", F.col("overlap_rate") > 0)
 
 
 def type_distribution(records: DataFrame) -> DataFrame:
@@ -49,20 +72,59 @@ def length_stats(records: DataFrame, column: str = "content") -> DataFrame:
     return records.agg(F.count("*").alias("n"), F.coalesce(F.round(F.avg(n), 1), F.lit(0.0)).alias("avg_length"), F.coalesce(F.max(n), F.lit(0)).alias("max_length"), F.count_if(n > 800).alias("over_800"), F.count_if(n > 1200).alias("over_1200"))
 
 
-def key_hits(lines: DataFrame, keys: DataFrame, pattern: str = r"[A-Za-z0-9_:./~=-]+") -> DataFrame:
-    """(file, key): keys that stand in a file's lines as tokens. Tokens and keys meet by equality, so it scales with the lines, not lines x keys."""
-    tokens = lines.select("file", F.explode(F.array_distinct(F.regexp_extract_all("line", F.lit(pattern), 0))).alias("key"))
-    return tokens.join(keys.select("key").distinct(), "key", "left_semi").select("file", "key").distinct()
+#: Characters of a key by which lines are searched for it, at most.
+GRAM = 8
+
+
+def key_seeds(keys: DataFrame) -> DataFrame:
+    """(key, seed): of each different non-empty key the run of GRAM characters (the key itself if it is shorter) that fewest keys have."""
+    distinct = keys.select("key").where(F.coalesce("key", F.lit("")) != "").distinct()
+    grams = distinct.select("key", F.explode(_grams(F.col("key"), F.least(F.lit(GRAM), F.length("key")))).alias("seed"))
+    counted = grams.groupBy("seed").agg(F.count("*").alias("n"))
+    best = grams.join(counted, "seed").groupBy("key").agg(F.min(F.struct("n", F.xxhash64("seed").alias("draw"), "seed")).alias("best"))
+    return staged(best.select("key", "best.seed"), "key-seeds")
+
+
+def _grams(text: Column, size: Column) -> Column:
+    """The different runs of ``size`` characters."""
+    last = F.length(text) - size + 1
+    return F.when(last >= 1, F.array_distinct(F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(text, i, size)))).otherwise(F.array().cast("array<string>"))
 
 
-def pollution(lines: DataFrame, keys: DataFrame, pattern: str = r"[A-Za-z0-9_:./~=-]+") -> DataFrame:
-    """(file, line_no, key, match_kind): session_field if one of the line's JSON session fields is the key, else content_mention."""
+def lines_with_keys(lines: DataFrame, keys: DataFrame) -> DataFrame:
+    """``lines`` (line among their columns) joined with each ``key`` that stands in them as a substring.
+
+    Each key is looked for by its rarest run of characters, which meets the lines' runs by equality; ``contains`` then decides. So nothing
+    is lost, and no line meets a key that it has no run of.
+    """
+    seeds = key_seeds(keys)
+    sizes = [r.n for r in seeds.select(F.length("seed").alias("n")).distinct().collect()]  # at most GRAM numbers
+    runs = F.flatten(F.array(*(_grams(F.col("line"), F.lit(n)) for n in sizes))) if sizes else F.array().cast("array<string>")
+    near = lines.select("*", F.explode(runs).alias("seed")).join(narrow(seeds), "seed")
+    return near.where(F.contains("line", "key")).drop("seed")
+
+
+def key_hits(lines: DataFrame, keys: DataFrame) -> DataFrame:
+    """(file, key): keys that stand in one of a file's lines."""
+    return lines_with_keys(lines.select("file", "line"), keys).select("file", "key").distinct()
+
+
+def pollution(lines: DataFrame, keys: DataFrame) -> DataFrame:
+    """(file, line_no, key, match_kind): session_field if one of the line's JSON session fields is the key, else content_mention if the line contains it."""
     value = F.try_parse_json(F.col("line"))
-    fields = F.array_compact(F.array(*(F.try_variant_get(value, f"$.{f}", "string") for f in fixed.SESSION_FIELDS)))
-    tokens = F.array_distinct(F.concat(F.regexp_extract_all("line", F.lit(pattern), 0), fields))
-    seen = lines.select("file", "line_no", fields.alias("_fields"), F.explode(tokens).alias("key"))
-    hit = seen.join(keys.select("key").distinct(), "key", "left_semi")
-    return hit.select("file", "line_no", "key", F.when(F.array_contains("_fields", F.col("key")), "session_field").otherwise("content_mention").alias("match_kind"))
+    field = lambda f: F.when(F.schema_of_variant(F.try_variant_get(value, f"$.{f}", "variant")) == "STRING", F.try_variant_get(value, f"$.{f}", "string"))
+    fields = lines.select("file", "line_no", F.explode(F.array_distinct(F.array_compact(F.array(*map(field, fixed.SESSION_FIELDS))))).alias("key"))
+    wanted = keys.select("key").where(F.coalesce("key", F.lit("")) != "").distinct()
+    named = fields.join(wanted, "key", "left_semi").select("file", "line_no", "key", F.lit(True).alias("named"))
+    mentioned = lines_with_keys(lines.select("file", "line_no", "line"), wanted).select("file", "line_no", "key", F.lit(False).alias("named"))
+    hits = named.unionByName(mentioned).groupBy("file", "line_no", "key").agg(F.max("named").alias("named"))
+    return hits.select("file", "line_no", "key", F.when(F.col("named"), "session_field").otherwise("content_mention").alias("match_kind"))
+
+
+def pollution_summary(hits: DataFrame) -> DataFrame:
+    """One row: whether the store is polluted (a session field is a key), field hits and mentions."""
+    fields = F.count_if(F.col("match_kind") == "session_field")
+    return hits.agg((fields > 0).alias("polluted"), fields.alias("field_hits"), F.count_if(F.col("match_kind") != "session_field").alias("mentions"))
 
 
 def coverage(rows: DataFrame, index: DataFrame, key: str, by: list[str]) -> DataFrame:
@@ -81,19 +143,35 @@ def live_verify(l0: DataFrame, l1: DataFrame, l1_index: DataFrame, key: str = "r
     return out.withColumn("passed", (F.col("l0") > 0) & (F.col("l1") > 0) & (F.col("l1_indexed") == F.col("l1")))
 
 
+def missing_embeddings(l1: DataFrame, by: list[str]) -> DataFrame:
+    """Per group: records, and those whose embedding is null or empty."""
+    return l1.groupBy(*by).agg(F.count("*").alias("n"), F.count_if(F.col("embedding").isNull() | (F.octet_length("embedding") == 0)).alias("missing"))
+
+
 def session_progress(stored: DataFrame, progress: DataFrame) -> DataFrame:
-    """Per session of either side: rows there, total, next offset, completed, and status (completed, running, queued)."""
+    """Per session of either side: rows there, total (the store's rows, else the stated ones), offset (the total at most), and status.
+
+    A session is completed if it is flagged so and its offset has reached a total that is not zero; running if it has an offset; else queued.
+    """
     both = stored.join(progress, "session_key", "full")
-    total = F.coalesce(F.col("total_l0"), F.col("l0"), F.lit(0))
-    done = F.when(F.coalesce("completed", F.lit(False)), total).otherwise(F.least(F.coalesce("next_offset", F.lit(0)), total))
-    status = F.when(F.coalesce("completed", F.lit(False)), "completed").when(F.coalesce("next_offset", F.lit(0)) > 0, "running").otherwise("queued")
-    return both.select("session_key", F.coalesce("l0", F.lit(0)).alias("l0"), total.alias("total"), done.alias("done"), status.alias("status"))
+    total = F.coalesce(F.nullif(F.col("l0"), F.lit(0)), F.col("total_l0"), F.lit(0))
+    stated = F.coalesce("next_offset", F.lit(0))
+    rows = both.select("session_key", F.coalesce("l0", F.lit(0)).alias("l0"), total.alias("total"), F.when(total > 0, F.least(stated, total)).otherwise(stated).alias("offset"), F.coalesce("completed", F.lit(False)).alias("_flag"))
+    done = F.col("_flag") & ((F.col("total") == 0) | (F.col("offset") >= F.col("total")))
+    return rows.withColumn("status", F.when(done, "completed").when(F.col("offset") > 0, "running").otherwise("queued")).drop("_flag")
+
+
+def progress_order(sessions: DataFrame) -> DataFrame:
+    """Sessions that are at work first, then queued ones, then completed ones; by offset and total, largest first, then by key."""
+    return sessions.orderBy(F.col("status") == "completed", F.col("offset") == 0, F.desc("offset"), F.desc("total"), "session_key")
 
 
 def progress_rollup(sessions: DataFrame, by: list[str]) -> DataFrame:
+    """Per group (all of them if ``by`` is empty): sessions by status and left, rows done (offsets), total and remaining, and the share in whole percent, halves to even."""
     count = lambda s: F.count_if(F.col("status") == s).alias(s)
-    out = sessions.groupBy(*by).agg(count("completed"), count("running"), count("queued"), F.sum("done").alias("done"), F.sum("total").alias("total"))
-    return out.withColumn("remaining", F.col("total") - F.col("done")).withColumn("percent", F.when(F.col("total") > 0, F.bround(F.col("done") * 100.0 / F.col("total"), 0)).otherwise(0.0))
+    out = sessions.groupBy(*by).agg(count("completed"), count("running"), count("queued"), F.coalesce(F.sum("offset"), F.lit(0)).alias("done"), F.coalesce(F.sum("total"), F.lit(0)).alias("total"))
+    left = F.greatest(F.col("total") - F.col("done"), F.lit(0))
+    return out.withColumn("remaining", left).withColumn("percent", F.when(F.col("total") > 0, F.bround(F.col("done") * 100.0 / F.col("total"), 0)).otherwise(0.0))
 
 
 def snapshot_changes(before: DataFrame, after: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -105,3 +183,25 @@ def snapshot_changes(before: DataFrame, after: DataFrame, key: str, columns: lis
 
 def suspicious(column: str = "content") -> Column:
     return X.is_suspicious_memory(F.col(column))
+
+
+def latest_progress(files: DataFrame, now_ms: int) -> DataFrame:
+    """One row over files' stats: the newest change and its age in words."""
+    out = files.agg(F.max("modified_ms").alias("modified_ms"))
+    age = F.floor((F.lit(now_ms) - F.col("modified_ms")) / 1000)
+    words = F.when(age < 60, F.concat(age.cast("string"), F.lit("s ago"))).when(age < 3600, F.concat(F.floor(age / 60).cast("string"), F.lit("m ago"))).otherwise(F.concat(F.floor(age / 3600).cast("string"), F.lit("h "), F.floor(age % 3600 / 60).cast("string"), F.lit("m ago")))
+    return out.withColumn("age", F.coalesce(words, F.lit("-")))
+
+
+def snapshot(l0: DataFrame, l1: DataFrame, files: DataFrame) -> DataFrame:
+    """One row: the store's counts and its files' number, size and newest change."""
+    parts = [l0.agg(F.count("*").alias("l0")), l1.agg(F.count("*").alias("l1")), files.agg(F.count("*").alias("files"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"), F.max("modified_ms").alias("modified_ms"))]
+    return reduce(lambda a, b: a.join(b, F.lit(True)), parts)  # one row each
+
+
+def samples(records: DataFrame, n: int = 20, suspicious_n: int = 50) -> DataFrame:
+    """The first records in order of time and id, and the first suspicious ones cut to 240 characters, with their kind."""
+    order = ["created_ms", "record_id"]
+    first = records.orderBy(*order).limit(n).select(F.lit("sample").alias("kind"), "record_id", "type", "content")
+    odd = records.where(suspicious()).orderBy(*order).limit(suspicious_n).select(F.lit("suspicious").alias("kind"), "record_id", "type", F.substring("content", 1, 240).alias("content"))
+    return first.unionByName(odd)

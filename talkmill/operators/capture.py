@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.semantics import sha24, utf16_length
 from .dedupe import duplicate_surplus  # noqa: F401
+from .ordered import chunk_of, running_sum
 
 
 def expected_capture(raw: DataFrame) -> DataFrame:
@@ -26,8 +29,26 @@ def capture_counts(expected: DataFrame) -> DataFrame:
 def planned_rows(expected: DataFrame) -> DataFrame:
     """The kept rows as they would be written, with stable record ids."""
     fingerprint = F.coalesce(F.nullif(F.col("hash"), F.lit("")), sha24(F.col("captured")))
-    kept = expected.where("filter_reason is null")
-    return kept.withColumn("record_id", X.stable_record_id(F.col("session_key"), F.col("role"), F.col("ts_ms"), fingerprint)).withColumn("chars", utf16_length(F.col("captured")))
+    kept = expected.where("filter_reason is null").withColumn("fingerprint", fingerprint)
+    return kept.withColumn("record_id", X.stable_record_id(F.col("session_key"), F.col("role"), F.col("ts_ms"), F.col("fingerprint"))).withColumn("chars", utf16_length(F.col("captured")))
+
+
+def numbered_plan(planned: DataFrame, order: str, tokenize: Callable[[Column], Column] = lambda text: text) -> DataFrame:
+    """``planned`` with their ordinal from 0 by the long column ``order``, the message id (the source key, else fast_l0_<ordinal>_<hash6>), index text and JSON record.
+
+    ``tokenize`` makes the index text from the captured text, as a Column; by default it is the text itself.
+    """
+    numbered = running_sum(planned, [], chunk_of(F.col(order)), [F.col(order)], F.lit(1), "upto").withColumn("ordinal", F.col("upto") - 1).drop("upto")
+    ident = F.coalesce(F.nullif(F.col("source_key"), F.lit("")), F.concat(F.lit("fast_l0_"), F.col("ordinal").cast("string"), F.lit("_"), F.substring("fingerprint", 1, 6)))
+    named = numbered.withColumn("message_id", ident).withColumn("fts_text", tokenize(F.col("captured")))
+    record = F.to_json(F.struct(F.col("session_key").alias("sessionKey"), F.coalesce("session_id", F.lit("")).alias("sessionId"), F.col("message_id").alias("id"), "role", F.col("captured").alias("content"), F.coalesce("ts_ms", F.lit(0)).alias("timestamp")))
+    return named.withColumn("record", record)
+
+
+def import_summary(plan: DataFrame, batch_id: str) -> DataFrame:
+    """The rows of an import's summary: what identifies each planned row, without its text."""
+    empty_to_null = lambda c: F.nullif(F.col(c), F.lit(""))
+    return plan.select(F.lit(batch_id).alias("batchId"), F.col("record_id").alias("recordId"), F.col("session_key").alias("sessionKey"), "role", F.coalesce("ts_ms", F.lit(0)).alias("timestamp"), F.col("fingerprint").alias("contentHash"), empty_to_null("session_id").alias("sessionId"), "chars", empty_to_null("source_key").alias("sourceKey"))
 
 
 def multiset_difference(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -8,15 +8,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.semantics import ratio
+from .ordered import running_sum
 
 
 def inventory(messages: DataFrame) -> DataFrame:
-    """A row per month, source_type, file and session_id. Dirty users count only if accepted, dirty assistants always."""
+    """A row per month, source_type, file and session_id. Users and assistants count if accepted; dirty users, too, dirty assistants always."""
     user, accepted, dirty = F.col("role") == "user", F.col("reject").isNull(), F.col("dirty")
     rows = messages.groupBy("month", "source_type", "file", "session_id").agg(
         F.count("*").alias("message_count"),
-        F.count_if(user).alias("user_count"),
-        F.count_if(~user).alias("assistant_count"),
+        F.count_if(user & accepted).alias("user_count"),
+        F.count_if(~user & accepted).alias("assistant_count"),
         F.count_if(accepted).alias("accepted_count"),
         F.count_if(~accepted).alias("rejected_count"),
         F.count_if(dirty & (~user | accepted)).alias("dirty_count"),
@@ -57,3 +58,32 @@ def page_rounds(rounds: DataFrame, files: DataFrame, batch_size: int, batch_inde
     touched = starts.where((F.col("before") < offset + batch_size) & (F.col("before") + F.col("n") > offset)).select("month", "file", "before")
     placed = rounds.join(touched, ["month", "file"]).withColumn("place", F.col("before") + F.row_number().over(inside) - 1).drop("before")
     return placed.where((F.col("place") >= offset) & (F.col("place") < offset + batch_size))
+
+
+def ordered_inventory(rows: DataFrame) -> DataFrame:
+    """By month, source type and file, by Unicode collation."""
+    return rows.orderBy(*(F.collate(F.col(c), "UNICODE") for c in ("month", "source_type", "file")))
+
+
+def place_files(messages: DataFrame) -> DataFrame:
+    """(file, before): how many line numbers the files before this one take up in batch order (channels first, then by messages, then by path).
+
+    A row for each file is put in order, by chunks of files with equally many messages.
+    """
+    files = messages.groupBy("file").agg(F.count("*").alias("n"), F.max("line_no").alias("lines"), F.max("source_type").alias("source_type"))
+    rank = F.when(F.col("source_type") == "discord", 0).otherwise(1)
+    placed = running_sum(files, [], rank * F.lit(1 << 40) - F.col("n"), [F.col("file")], F.col("lines") + 1, "upto")
+    return placed.select("file", (F.col("upto") - F.col("lines") - 1).alias("before"))
+
+
+def offset_rejects(rounds_available: int, month: str, batch_id: str, offset_rounds: int, spark) -> DataFrame:
+    """The reject of a page that begins beyond the rounds there are; no row otherwise."""
+    rows = [("offset_beyond_available_rounds", month, batch_id, offset_rounds, rounds_available)] if 0 < rounds_available <= offset_rounds else []
+    return spark.createDataFrame(rows, "reason string, month string, batch_id string, offset_rounds long, total_available_rounds long")
+
+
+def input_summary(seed: DataFrame) -> DataFrame:
+    """One row of a seed input's sessions, rounds and messages, from the nested form; missing parts count nothing."""
+    per = seed.select(F.explode("sessions").alias("s")).select(F.col("s.conversations").alias("c"))
+    sizes = F.aggregate(F.col("c"), F.lit(0).cast("long"), lambda n, r: n + F.coalesce(F.size(r), F.lit(0)))
+    return per.agg(F.count("*").alias("sessions"), F.coalesce(F.sum(F.when(F.col("c").isNotNull(), F.size("c")).otherwise(0)), F.lit(0)).cast("long").alias("rounds"), F.coalesce(F.sum(sizes), F.lit(0)).alias("messages"))

@@ -3,12 +3,41 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Consecutive numbers of an order column that make a chunk.
 CHUNK = 50_000
+#: Keys with more rows than this are joined by a broadcast; there is at most one such key for each so many rows.
+HOT_ROWS = 1_000_000
+#: A counted side of narrow rows is broadcast up to this many.
+BROADCAST_ROWS = 1_000_000
+
+
+def narrow(df: DataFrame) -> DataFrame:
+    """A hint to broadcast ``df`` (computed once, a few short columns) if it has at most BROADCAST_ROWS rows; else it is joined by a shuffle."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def join_null_safe(rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """A join on ``keys`` in which nulls equal nulls; ``table`` gives its other columns."""
+    renamed = table.select(*(F.col(k).alias(f"_k_{k}") for k in keys), *(c for c in table.columns if c not in keys))
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys))
+    joined = rows.join(renamed, same, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*(f"_k_{k}" for k in keys))
+
+
+def join_unique(rows: DataFrame, table: DataFrame, keys: Sequence[str], weight: str) -> DataFrame:
+    """``rows`` with the columns of ``table``, which has a row for each of their ``keys`` and in ``weight`` the rows that have it.
+
+    Keys with over HOT_ROWS rows never meet in a shuffle: their part of the table is broadcast. ``weight`` is dropped.
+    """
+    hot = table.where(F.col(weight) > HOT_ROWS)
+    cold = table.where(F.col(weight) <= HOT_ROWS)
+    calm = join_null_safe(rows, F.broadcast(hot.select(*keys)), keys, "left_anti")
+    return join_null_safe(rows, F.broadcast(hot), keys).unionByName(join_null_safe(calm, cold, keys)).drop(weight)
 
 
 def chunk_of(order: Column, size: int = CHUNK) -> Column:
@@ -16,12 +45,12 @@ def chunk_of(order: Column, size: int = CHUNK) -> Column:
 
 
 def running_sum(rows: DataFrame, keys: Sequence[str], chunk: Column, order: Sequence[Column], value: Column, name: str) -> DataFrame:
-    """Adds the sum of ``value`` up to each row in its group. ``chunk`` must not fall along ``order``."""
+    """Adds the sum of ``value`` up to each row in its group. ``chunk`` must not fall along ``order``. Null keys are groups like others."""
     cut = rows.withColumn("_chunk", chunk).withColumn("_value", value)
     earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     before = cut.groupBy(*keys, "_chunk").agg(F.sum("_value").alias("_sum")).select(*keys, "_chunk", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
     within = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return cut.join(before, [*keys, "_chunk"]).withColumn(name, F.col("_before") + F.sum("_value").over(within)).drop("_chunk", "_value", "_before")
+    return join_null_safe(cut, before, [*keys, "_chunk"]).withColumn(name, F.col("_before") + F.sum("_value").over(within)).drop("_chunk", "_value", "_before")
 
 
 def previous_row(rows: DataFrame, keys: Sequence[str], order: str, payload: Column, name: str, size: int = CHUNK) -> DataFrame:
@@ -31,10 +60,10 @@ def previous_row(rows: DataFrame, keys: Sequence[str], order: str, payload: Colu
     ends = cut.groupBy(*keys, "_chunk").agg(F.max_by("_payload", order).alias("_end"))
     ends = ends.select(*keys, "_chunk", F.lag("_end").over(earlier).alias("_before"))
     within = Window.partitionBy(*keys, "_chunk").orderBy(order)
-    return cut.join(ends, [*keys, "_chunk"]).withColumn(name, F.coalesce(F.lag("_payload").over(within), F.col("_before"))).drop("_chunk", "_payload", "_before")
+    return join_null_safe(cut, ends, [*keys, "_chunk"]).withColumn(name, F.coalesce(F.lag("_payload").over(within), F.col("_before"))).drop("_chunk", "_payload", "_before")
 
 
 def first_rows(rows: DataFrame, keys: Sequence[str], order: str, payload: Column, name: str) -> DataFrame:
-    """Adds ``payload`` of the group's first row: a partial aggregate joined back, which skewed joins can split."""
-    firsts = rows.groupBy(*keys).agg(F.min_by(payload, order).alias(name))
-    return rows.join(firsts, list(keys))
+    """Adds ``payload`` of the group's first row: a partial aggregate joined back, large groups by broadcast."""
+    firsts = rows.groupBy(*keys).agg(F.min_by(payload, order).alias(name), F.count("*").alias("_rows"))
+    return join_unique(rows, firsts, list(keys), "_rows")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from .functions import fixed
 from .functions.semantics import re2
-from .queries import KEPT_ROLES, MESSAGES
+from .queries import KEPT_ROLES, LINE, LIVE, MESSAGES, PLAIN, STATED
 
 
 def q(text: str) -> str:
@@ -89,32 +89,67 @@ def filter_reason(x: str, t: str) -> str:
     return f"CASE WHEN {t} = '' THEN 'empty after sanitize/stripCodeBlocks' WHEN {framework(t)} THEN 'framework noise' WHEN starts_with({x}, '/') THEN 'slash command' END"
 
 
-M = "m AS (SELECT " + ", ".join(f"{e} AS {n}" for n, e in MESSAGES.items()) + f" FROM conversations WHERE {KEPT_ROLES})"
+def messages(name: str, columns: dict[str, str]) -> str:
+    return f"{name} AS (SELECT " + ", ".join(f"{e} AS {n}" for n, e in columns.items()) + f" FROM conversations WHERE {KEPT_ROLES})"
+
+
+M = messages("m", MESSAGES)
 # Stages are separate CTEs so that each expression stands once.
 T = f"{M}, t AS (SELECT *, {trimmed('content')} AS t, {collapsed('content')} AS flat, {normalised('content')} AS norm, strftime(make_timestamp(ts_ms * 1000), '%Y-%m') AS month FROM m), r AS (SELECT *, {reject('role', 't')} AS reject FROM t)"
 D = f"d AS (SELECT doc_id AS seq, source AS scope, CASE WHEN doc_id % 2 = 0 THEN 'user' ELSE 'assistant' END AS role, text AS content, {normalised('text')} AS norm FROM documents), dm AS (SELECT *, {hashed('norm')} AS h FROM d)"
-C = (
-    f"{M}, c1 AS MATERIALIZED (SELECT *, {captured('role', 'content')} AS captured FROM m), c2 AS MATERIALIZED (SELECT *, {normalised('content')} AS n1, {normalised('captured')} AS n2, {trimmed('captured')} AS ct FROM c1), "
-    f"c3 AS (SELECT *, {hashed('n1')} AS raw_hash, {hashed('n2')} AS hash, {filter_reason('captured', 'ct')} AS filter_reason FROM c2), "
-    "x AS (SELECT *, captured <> content OR raw_hash <> hash AS transformed, concat_ws(chr(9), session_key, role, CAST(ts_ms AS VARCHAR), hash) AS compare_key FROM c3)"
-)
+def capture(x: str, columns: dict[str, str]) -> str:
+    """CTEs that end in ``x``: what capture keeps of the messages."""
+    return (
+        f"{messages(x + 'm', columns)}, {x}1 AS MATERIALIZED (SELECT *, {captured('role', 'content')} AS captured FROM {x}m), {x}2 AS MATERIALIZED (SELECT *, {normalised('content')} AS n1, {normalised('captured')} AS n2, {trimmed('captured')} AS ct FROM {x}1), "
+        f"{x}3 AS (SELECT *, {hashed('n1')} AS raw_hash, {hashed('n2')} AS hash, {filter_reason('captured', 'ct')} AS filter_reason FROM {x}2), "
+        f"{x} AS (SELECT *, captured <> content OR raw_hash <> hash AS transformed, concat_ws(chr(9), session_key, role, CAST(ts_ms AS VARCHAR), hash) AS compare_key, CASE WHEN hash = '' THEN substr(sha256(captured), 1, 24) ELSE hash END AS fingerprint FROM {x}3)"
+    )
+
+
+C = capture("x", MESSAGES)
+BOTH = f"{C}, {capture('y', LIVE)}"
+RECORD_ID = "'l0_' || substr(sha256(concat_ws('|', session_key, role, CAST(ts_ms AS VARCHAR), fingerprint)), 1, 12)"
 R = """rr AS (SELECT *, session_key || '|' || content AS k, sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY file ORDER BY ts_ms, line_no ROWS UNBOUNDED PRECEDING) AS rid FROM m),
 u AS (SELECT file, rid, row_number() OVER (PARTITION BY file, k ORDER BY ts_ms, line_no) > 1 AS again FROM rr WHERE role = 'user'),
 a AS (SELECT file, rid, count(*) FILTER (role <> 'user') AS na FROM rr GROUP BY ALL),
 j AS (SELECT rr.*, CASE WHEN role = 'user' AND again THEN 'duplicate_user_message' WHEN role = 'user' AND na = 0 THEN 'unpaired_user_without_assistant' WHEN role <> 'user' AND (rr.rid = 0 OR again) THEN 'assistant_only_without_user' END AS reject
  FROM rr JOIN a ON a.file = rr.file AND a.rid = rr.rid LEFT JOIN u ON u.file = rr.file AND u.rid = rr.rid)"""
 L1 = "l1 AS (SELECT d.doc_id AS record_id, CASE WHEN toxic = 1 THEN 'warning' WHEN quality = 1 THEN 'fact' ELSE '' END AS type, source AS session_key, text AS content FROM documents d JOIN labels USING (doc_id))"
-INV = """i AS (SELECT month, source_type, file, session_id, count(*) AS message_count, count(*) FILTER (role = 'user') AS user_count, count(*) FILTER (role <> 'user') AS assistant_count,
+INV = """i AS (SELECT month, source_type, file, session_id, count(*) AS message_count, count(*) FILTER (role = 'user' AND reject IS NULL) AS user_count, count(*) FILTER (role <> 'user' AND reject IS NULL) AS assistant_count,
  count(*) FILTER (reject IS NULL) AS accepted_count, count(*) FILTER (reject IS NOT NULL) AS rejected_count, count(*) FILTER (starts_with(content, '[') AND (role <> 'user' OR reject IS NULL)) AS dirty_count,
  min(ts_ms) AS first_ts, max(ts_ms) AS last_ts, arg_min(substr(content, 1, 300), line_no) FILTER (role = 'user' AND reject IS NULL AND content <> '') AS sample_user_text FROM r GROUP BY ALL)"""
-LINES = """ll AS (SELECT file, line_no, CASE WHEN conv_id % 3 = 0 THEN '{"sessionKey":"' || session_key || '","n":1}' WHEN conv_id % 3 = 1 THEN 'note about ' || session_key || ' here' ELSE 'nothing' END AS line, conv_id FROM m),
-kk AS (SELECT DISTINCT session_key AS key FROM m WHERE conv_id % 4 = 0),
-hits AS (SELECT DISTINCT file, line_no, key, CASE WHEN json_valid(line) AND json_extract_string(CASE WHEN json_valid(line) THEN line END, '$.sessionKey') = key THEN 'session_field' ELSE 'content_mention' END AS match_kind
- FROM (SELECT *, unnest(regexp_extract_all(line, '[A-Za-z0-9_:./~=-]+')) AS token FROM ll) JOIN kk ON token = key)"""
-PROGRESS = """s AS (SELECT o_custkey AS session_key, count(*) AS l0 FROM orders WHERE o_custkey % 3 <> 0 GROUP BY 1),
-p AS (SELECT c_custkey AS session_key, c_custkey % 17 + 3 AS total_l0, c_custkey % 5 AS next_offset, c_custkey % 6 = 0 AS completed FROM customer WHERE c_custkey % 4 <> 0),
-sp AS (SELECT session_key, coalesce(l0, 0) AS l0, coalesce(total_l0, l0, 0) AS total, CASE WHEN coalesce(completed, false) THEN coalesce(total_l0, l0, 0) ELSE least(coalesce(next_offset, 0), coalesce(total_l0, l0, 0)) END AS done,
- CASE WHEN coalesce(completed, false) THEN 'completed' WHEN coalesce(next_offset, 0) > 0 THEN 'running' ELSE 'queued' END AS status FROM s FULL JOIN p USING (session_key))"""
+FIELD = lambda path: f"coalesce(json_extract_string(j, '{path}') = key, false)"
+LINES = f"""ll AS (SELECT file, line_no, {LINE} AS line FROM m), kk AS (SELECT DISTINCT session_key AS key FROM m),
+pairs AS (SELECT file, line_no, key, contains(line, key) AS mentioned, CASE WHEN json_valid(line) THEN line END AS j FROM ll, kk),
+hits AS (SELECT file, line_no, key, CASE WHEN named THEN 'session_field' ELSE 'content_mention' END AS match_kind
+ FROM (SELECT *, {FIELD('$.sessionKey')} OR {FIELD('$.metadata.session_key')} AS named FROM pairs) WHERE named OR mentioned)"""
+PROGRESS = f"""s AS (SELECT CASE WHEN o_custkey % 3 = 0 THEN o_custkey + 10000000 ELSE o_custkey END AS session_key, count(*) AS l0 FROM orders GROUP BY 1),
+p AS (SELECT {', '.join(f'{e} AS {n}' for n, e in STATED.items())} FROM customer),
+st AS (SELECT session_key, coalesce(l0, 0) AS l0, CASE WHEN coalesce(l0, 0) > 0 THEN l0 ELSE coalesce(total_l0, 0) END AS total, coalesce(next_offset, 0) AS stated, coalesce(completed, false) AS flag FROM s FULL JOIN p USING (session_key)),
+so AS (SELECT *, CASE WHEN total > 0 AND stated > total THEN total ELSE stated END AS "offset" FROM st),
+sp AS (SELECT session_key, l0, total, "offset", CASE WHEN flag AND (total = 0 OR "offset" >= total) THEN 'completed' WHEN "offset" > 0 THEN 'running' ELSE 'queued' END AS status FROM so)"""
+SUMS = """count(*) FILTER (status = 'completed') AS completed, count(*) FILTER (status = 'running') AS running, count(*) FILTER (status = 'queued') AS queued, CAST(sum("offset") AS BIGINT) AS done, CAST(sum(total) AS BIGINT) AS total"""
+LEFT = "greatest(total - done, 0) AS remaining, CASE WHEN total > 0 THEN round_even(done * 100.0 / total, 0) ELSE 0.0 END::DOUBLE AS percent"
+# Curation of plain lines: rules, then duplicates in batch order, then rounds.
+PLAIN_ROWS = f"""{messages('pm', MESSAGES | {'content': PLAIN})}, pt AS (SELECT *, {trimmed('content')} AS t FROM pm), pf AS (SELECT *, {collapsed('t')} AS flat, {normalised('t')} AS norm FROM pt),
+pj AS (SELECT *, {hashed('norm')} AS h, coalesce({reject('role', 't')}, CASE WHEN role = 'assistant' AND {progress('flat')} THEN 'assistant_progress_update' END) AS reject FROM pf),
+fl AS (SELECT file, CASE WHEN max(source_type) = 'discord' THEN 0 ELSE 1 END AS channel, count(*) AS n, max(line_no) AS lines FROM pj GROUP BY 1),
+pl AS (SELECT file, coalesce(sum(lines + 1) OVER (ORDER BY channel, n DESC, file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM fl),
+g AS (SELECT pj.* EXCLUDE (seq), CAST(before + line_no AS BIGINT) AS seq FROM pj JOIN pl USING (file) WHERE reject IS NULL)"""
+
+
+def paired(rows: str) -> str:
+    """CTEs that end in ``pr``: the rows with what rounds reject (no user repeats another's key here)."""
+    return f"""p1 AS (SELECT *, sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY file ORDER BY ts_ms, line_no ROWS UNBOUNDED PRECEDING) AS rid FROM {rows}),
+p2 AS (SELECT file, rid, count(*) FILTER (role <> 'user') AS na FROM p1 GROUP BY ALL),
+pr AS (SELECT p1.*, CASE WHEN role = 'user' AND na = 0 THEN 'unpaired_user_without_assistant' WHEN role <> 'user' AND rid = 0 THEN 'assistant_only_without_user' END AS unfit FROM p1 JOIN p2 USING (file, rid))"""
+
+
+WARNED = f"""{PLAIN_ROWS}, g1 AS (SELECT *, CASE WHEN h <> '' THEN min(seq) OVER (PARTITION BY session_key, role, h) ELSE seq END AS fs FROM g), k1 AS (SELECT * FROM g1 WHERE seq = fs),
+k2 AS (SELECT *, CASE WHEN h <> '' THEN lag(seq) OVER (PARTITION BY role, h ORDER BY seq) END AS previous FROM k1), {paired('k2')}"""
+REJECTED = f"""{PLAIN_ROWS}, g1 AS (SELECT *, CASE WHEN h <> '' THEN min(seq) OVER (PARTITION BY role, h) ELSE seq END AS fs, first_value(session_key) OVER (PARTITION BY role, h ORDER BY seq) AS fscope FROM g), k1 AS (SELECT * FROM g1 WHERE seq = fs), {paired('k1')}"""
+JUDGED = "SELECT reject AS reason, file, line_no, role, CAST(NULL AS VARCHAR) AS duplicate_scope, CAST(NULL AS BIGINT) AS duplicate_of FROM pj WHERE reject IS NOT NULL UNION ALL SELECT unfit, file, line_no, role, NULL, NULL FROM pr WHERE unfit IS NOT NULL"
+KEPT = "kp AS (SELECT session_key || ':seed:2024-01' AS sessionKey, count(DISTINCT rid) AS rounds, count(*) AS messages, md5(string_agg(role || ':' || t, chr(10) ORDER BY ts_ms, line_no)) AS digest FROM pr WHERE unfit IS NULL GROUP BY 1)"
 
 
 def rate(part: str, whole: str) -> str:
@@ -157,18 +192,18 @@ ORACLE = {
     "q_dup_surplus": f"WITH {D}, n AS (SELECT h, count(*) AS n FROM dm WHERE h <> '' GROUP BY 1) SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS surplus, count(*) FILTER (n > 1) AS repeated_hashes FROM n",
     "q_top_duplicates": f"WITH {D} SELECT h AS content_hash, count(*) AS n, min(seq) AS first_seq, arg_min(substr(norm, 1, 180), seq) AS content FROM dm WHERE h <> '' GROUP BY 1 HAVING count(*) > 1 ORDER BY n DESC, first_seq LIMIT 10",
     "q_capture_split": f"WITH {C} SELECT count(*) AS raw, count(*) FILTER (filter_reason IS NULL) AS kept, count(*) FILTER (filter_reason IS NOT NULL) AS filtered, count(*) FILTER (filter_reason IS NULL AND transformed) AS transformed FROM x",
-    "q_planned_rows": f"WITH {C} SELECT conv_id, line_no, 'l0_' || substr(sha256(concat_ws('|', session_key, role, CAST(ts_ms AS VARCHAR), CASE WHEN hash = '' THEN substr(sha256(captured), 1, 24) ELSE hash END)), 1, 12) AS record_id, {units('captured')} AS chars, compare_key FROM x WHERE filter_reason IS NULL",
-    "q_compare_multiset": f"WITH {C}, n AS (SELECT compare_key, count(*) FILTER (conv_id % 10 <> 3) AS l, count(*) FILTER (conv_id % 10 <> 7) AS r FROM x GROUP BY 1), s AS (SELECT CAST(coalesce(sum(greatest(l - r, 0)), 0) AS BIGINT) AS missing, CAST(coalesce(sum(greatest(r - l, 0)), 0) AS BIGINT) AS extra, CAST(coalesce(sum(l), 0) AS BIGINT) AS expected_rows, CAST(coalesce(sum(r), 0) AS BIGINT) AS live_rows FROM n) SELECT *, missing = 0 AND extra = 0 AND expected_rows = live_rows AS complete FROM s",
-    "q_relaxed_compare": f"WITH {C}, y AS (SELECT *, concat_ws(':', role, hash) AS role_hash FROM x), ye AS (SELECT * FROM y WHERE conv_id % 2 = 0), yo AS (SELECT * FROM y WHERE conv_id % 2 = 1) {differ('ye', 'yo', 'role_hash')}",
+    "q_planned_rows": f"WITH {C} SELECT conv_id, line_no, {RECORD_ID} AS record_id, {units('captured')} AS chars, compare_key FROM x WHERE filter_reason IS NULL",
+    "q_compare_multiset": f"WITH {BOTH}, a AS (SELECT compare_key, count(*) AS l FROM x GROUP BY 1), b AS (SELECT compare_key, count(*) AS r FROM y GROUP BY 1), n AS (SELECT coalesce(l, 0) AS l, coalesce(r, 0) AS r FROM a FULL JOIN b USING (compare_key)), s AS (SELECT CAST(coalesce(sum(greatest(l - r, 0)), 0) AS BIGINT) AS missing, CAST(coalesce(sum(greatest(r - l, 0)), 0) AS BIGINT) AS extra, CAST(coalesce(sum(l), 0) AS BIGINT) AS expected_rows, CAST(coalesce(sum(r), 0) AS BIGINT) AS live_rows FROM n) SELECT *, missing = 0 AND extra = 0 AND expected_rows = live_rows AS complete FROM s",
+    "q_relaxed_compare": f"WITH {BOTH}, xe AS (SELECT concat_ws(':', role, hash) AS role_hash FROM x), ye AS (SELECT concat_ws(':', role, hash) AS role_hash FROM y) {differ('xe', 'ye', 'role_hash')}",
     "q_dataset_hash": f"WITH {C} SELECT session_key, substr(sha256(string_agg(compare_key, chr(10) ORDER BY compare_key)), 1, 24) AS dataset_hash FROM x GROUP BY 1",
     "q_dataset_digest": f"WITH {C} SELECT role, count(*) AS n, CAST(sum(CAST('0x' || substr(md5(compare_key), 1, 15) AS BIGINT)) AS VARCHAR) AS digest FROM x GROUP BY 1",
-    "q_existing_keys": f"WITH {C} SELECT DISTINCT compare_key FROM x WHERE conv_id % 2 = 0 AND compare_key IN (SELECT compare_key FROM x WHERE conv_id % 4 = 0)",
-    "q_missing_keys": f"WITH {C} SELECT DISTINCT compare_key FROM x WHERE conv_id % 2 = 0 AND compare_key NOT IN (SELECT compare_key FROM x WHERE conv_id % 4 = 0)",
+    "q_existing_keys": f"WITH {BOTH} SELECT DISTINCT compare_key FROM x WHERE compare_key IN (SELECT compare_key FROM y)",
+    "q_missing_keys": f"WITH {BOTH} SELECT DISTINCT compare_key FROM x WHERE compare_key NOT IN (SELECT compare_key FROM y)",
     "q_session_counts": f"WITH {C} SELECT session_key, count(*) AS n FROM x WHERE filter_reason IS NULL GROUP BY 1",
-    "q_import_gate": f"WITH {C}, pl AS (SELECT * FROM x WHERE conv_id % 3 = 1), b AS (SELECT * FROM x WHERE conv_id % 3 = 0), af AS (SELECT * FROM b UNION ALL SELECT * FROM pl WHERE conv_id % 7 <> 0), g AS (SELECT (SELECT count(*) FROM pl) AS planned, (SELECT count(DISTINCT compare_key) FROM pl) AS planned_keys, (SELECT count(*) FROM b) AS before, (SELECT count(*) FROM af) AS after, (SELECT count(DISTINCT compare_key) FROM pl WHERE compare_key IN (SELECT compare_key FROM b)) AS already_live, (SELECT count(DISTINCT compare_key) FROM pl WHERE compare_key NOT IN (SELECT compare_key FROM af)) AS missing_after) SELECT *, after - before AS delta, before = 0 AND already_live = 0 AND planned > 0 AS may_run, after - before = planned AND missing_after = 0 AS verified FROM g",
+    "q_import_gate": f"WITH {BOTH}, g AS (SELECT (SELECT count(*) FROM x) AS planned, (SELECT count(DISTINCT compare_key) FROM x) AS planned_keys, (SELECT count(*) FROM documents) AS before, (SELECT count(*) FROM documents) + (SELECT count(*) FROM y) AS after, 0::BIGINT AS already_live, (SELECT count(DISTINCT compare_key) FROM x WHERE compare_key NOT IN (SELECT compare_key FROM y)) AS missing_after, (SELECT count(*) FROM x) + (SELECT count(*) FROM y) AS delta_fts) SELECT *, after - before AS delta, greatest(after - before - planned, 0) AS extra, before = 0 AND planned > 0 AS may_run, before = 0 AND after - before = planned AND delta_fts = planned AND missing_after = 0 AS verified FROM g",
     "q_runtime_estimate": "SELECT source, CAST(greatest(5, ceil(count(*) * 0.01)) AS BIGINT) AS l0_seconds, CAST(greatest(60, ceil(count(*) * 0.12)) AS BIGINT) AS l0_embedding_seconds FROM documents GROUP BY 1",
     "q_input_quality": f"WITH {T}, z AS (SELECT *, {hashed('norm')} AS h, concat_ws('|', session_id, substr(content, 1, 3)) AS sk FROM t), s AS (SELECT count(*) AS total_messages, count(*) FILTER (role = 'user') AS user_messages, count(*) FILTER (role = 'assistant' AND {progress('flat')}) AS progress_updates, count(*) FILTER (CASE {noise_rules('t')} END IS NOT NULL) AS system_noise, count(*) FILTER ({has('content', fixed.RESIDUAL)}) AS metadata_envelopes, count(*) FILTER (role = 'user' AND sk <> '') - count(DISTINCT sk) FILTER (role = 'user' AND sk <> '') AS duplicate_users, count(*) FILTER (h <> '') - count(DISTINCT h) FILTER (h <> '') AS duplicate_content, count(*) FILTER (role = 'user' AND h <> '') - count(DISTINCT h) FILTER (role = 'user' AND h <> '') AS user_duplicate_content FROM z) SELECT *, {rate('duplicate_users', 'total_messages')} AS duplicate_rate, {rate('duplicate_content', 'total_messages')} AS duplicate_content_rate, {rate('progress_updates', 'total_messages')} AS progress_rate, {rate('user_duplicate_content', 'user_messages')} AS user_duplicate_content_rate, {rate('system_noise', 'total_messages')} AS noise_rate, {rate('metadata_envelopes', 'total_messages')} AS envelope_rate FROM s",
-    "q_overlap": f"WITH {D}, y AS (SELECT seq, 'k' || CAST(seq % 300 AS VARCHAR) AS sk, CASE WHEN h = '' THEN '' ELSE role || ':' || h END AS rh FROM dm), cur AS (SELECT *, sk IN (SELECT sk FROM y WHERE seq % 4 <> 3 AND seq % 5 = 0) AS kh, rh <> '' AND rh IN (SELECT rh FROM y WHERE seq % 4 <> 3 AND seq % 5 = 0) AS hh FROM y WHERE seq % 4 = 3), s AS (SELECT count(*) AS total_messages, count(*) FILTER (kh OR hh) AS overlapping, count(DISTINCT sk) FILTER (kh) AS key_hits, count(DISTINCT rh) FILTER (hh) AS hash_hits FROM cur) SELECT *, {rate('overlapping', 'total_messages')} AS overlap_rate, overlapping > 0 AS warning FROM s",
+    "q_overlap": f"WITH {D}, y AS (SELECT seq, 'k' || CAST(seq % 300 AS VARCHAR) AS sk, CASE WHEN h = '' THEN '' ELSE role || ':' || h END AS rh FROM dm), e AS (SELECT 'k' || CAST(seq % 700 + 150 AS VARCHAR) AS sk, CASE WHEN rh = '' THEN '' WHEN seq % 4 = 3 THEN rh ELSE 'earlier ' || rh END AS rh FROM y), cur AS (SELECT *, sk IN (SELECT sk FROM e) AS kh, rh <> '' AND rh IN (SELECT rh FROM e) AS hh FROM y), s AS (SELECT count(*) AS total_messages, count(*) FILTER (kh OR hh) AS overlapping, count(DISTINCT sk) FILTER (kh) AS key_hits, count(DISTINCT rh) FILTER (hh) AS hash_hits FROM cur), r AS (SELECT *, {rate('overlapping', 'total_messages')} AS overlap_rate FROM s) SELECT *, overlap_rate > 0 AS warning FROM r",
     "q_type_distribution": f"WITH {L1} SELECT coalesce(nullif(type, ''), 'unknown') AS type, count(*) AS n FROM l1 GROUP BY 1",
     "q_length_stats": f"WITH {L1}, n AS (SELECT {units('content')} AS n FROM l1) SELECT count(*) AS n, coalesce(round(avg(n.n), 1), 0.0) AS avg_length, coalesce(max(n.n), 0) AS max_length, count(*) FILTER (n.n > 800) AS over_800, count(*) FILTER (n.n > 1200) AS over_1200 FROM n",
     "q_key_hits": f"WITH {M}, {LINES} SELECT DISTINCT file, key FROM hits",
@@ -176,13 +211,27 @@ ORACLE = {
     "q_log_warnings": "WITH l AS (SELECT event_type, ['LLM extraction failed', 'Embedding FAILED now', 'metadata-only write', 'a Safety valve', 'fine', 'Background embedding failed; metadata-only'][event_id % 6 + 1] AS line FROM events) SELECT event_type, "
     + ", ".join(f"CAST(sum(len(regexp_extract_all(line, {q(re2(p))}))) AS BIGINT) AS {name}" for name, p in fixed.LOG_WARNINGS)
     + " FROM l GROUP BY 1",
-    "q_snapshot_compare": "WITH b AS (SELECT doc_id, source, n_chars FROM documents WHERE doc_id % 10 <> 3), a AS (SELECT doc_id, source, CASE WHEN doc_id % 10 = 2 THEN n_chars + 1 ELSE n_chars END AS n_chars FROM documents WHERE doc_id % 10 <> 1) SELECT doc_id, CASE WHEN b.source IS NULL THEN 'added' WHEN a.source IS NULL THEN 'removed' ELSE 'changed' END AS change FROM b FULL JOIN a USING (doc_id) WHERE b.source IS DISTINCT FROM a.source OR b.n_chars IS DISTINCT FROM a.n_chars",
-    "q_fts_coverage": "WITH x AS (SELECT doc_id, source, CASE WHEN doc_id % 10 <> 0 THEN 1 ELSE 0 END + CASE WHEN doc_id % 7 = 0 THEN 1 ELSE 0 END AS n FROM documents) SELECT source, count(*) AS n, CAST(sum(x.n) AS BIGINT) AS joined, count(*) FILTER (x.n > 0) AS covered FROM x GROUP BY 1",
+    "q_snapshot_compare": "WITH b AS (SELECT doc_id, source, n_chars FROM documents), a AS (SELECT CASE WHEN doc_id % 10 = 1 THEN -doc_id ELSE doc_id END AS doc_id, source, CASE WHEN doc_id % 10 = 2 THEN n_chars + 1 ELSE n_chars END AS n_chars FROM documents) SELECT doc_id, CASE WHEN b.source IS NULL THEN 'added' WHEN a.source IS NULL THEN 'removed' ELSE 'changed' END AS change FROM b FULL JOIN a USING (doc_id) WHERE b.source IS DISTINCT FROM a.source OR b.n_chars IS DISTINCT FROM a.n_chars",
+    "q_fts_coverage": "WITH i AS (SELECT CASE WHEN doc_id % 10 = 0 THEN -doc_id - 1 ELSE doc_id END AS id FROM documents UNION ALL SELECT CASE WHEN doc_id % 7 = 0 THEN doc_id ELSE -doc_id - 1 END FROM documents), c AS (SELECT id, count(*) AS n FROM i GROUP BY 1), x AS (SELECT source, coalesce(n, 0) AS n FROM documents LEFT JOIN c ON id = doc_id) SELECT source, count(*) AS n, CAST(sum(x.n) AS BIGINT) AS joined, count(*) FILTER (x.n > 0) AS covered FROM x GROUP BY 1",
     "q_vec_coverage": "SELECT lang, count(*) AS n, count(vec_id) AS joined, count(vec_id) AS covered FROM documents LEFT JOIN embeddings ON vec_id = doc_id GROUP BY 1",
-    "q_live_verify": f"WITH {L1}, s AS (SELECT (SELECT count(*) FROM documents) AS l0, (SELECT count(*) FROM l1) AS l1, (SELECT count(*) FROM l1 WHERE record_id % 5 <= 1) AS missing_embedding, (SELECT count(*) FROM documents WHERE doc_id % 2 = 0 AND doc_id IN (SELECT record_id FROM l1)) AS l1_indexed) SELECT *, l0 > 0 AND l1 > 0 AND l1_indexed = l1 AS passed FROM s",
+    "q_live_verify": f"WITH {L1}, s AS (SELECT (SELECT count(*) FROM documents) AS l0, (SELECT count(*) FROM l1) AS l1, (SELECT count(*) FROM l1 WHERE record_id % 5 <= 1) AS missing_embedding, (SELECT count(*) FROM documents WHERE CASE WHEN doc_id % 2 = 0 THEN doc_id ELSE -doc_id END IN (SELECT record_id FROM l1)) AS l1_indexed) SELECT *, l0 > 0 AND l1 > 0 AND l1_indexed = l1 AS passed FROM s",
     "q_session_progress": f"WITH {PROGRESS} SELECT * FROM sp",
-    "q_dashboard_month": f"WITH {PROGRESS}, g AS (SELECT '2024-0' || CAST(session_key % 9 + 1 AS VARCHAR) AS month, count(*) FILTER (status = 'completed') AS completed, count(*) FILTER (status = 'running') AS running, count(*) FILTER (status = 'queued') AS queued, CAST(sum(done) AS BIGINT) AS done, CAST(sum(total) AS BIGINT) AS total FROM sp GROUP BY 1) SELECT *, total - done AS remaining, CASE WHEN total > 0 THEN round_even(done * 100.0 / total, 0) ELSE 0.0 END::DOUBLE AS percent FROM g",
-    "q_manifest_upsert": "SELECT o_orderkey AS batch_id, CASE WHEN o_orderkey % 3 = 0 OR o_orderkey % 5 = 0 THEN 'accepted' ELSE o_orderstatus END AS status FROM orders",
-    "q_index_merge": "SELECT c_custkey, coalesce(CASE WHEN c_custkey % 4 = 0 THEN 'execute' END, CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END) AS mode, CASE WHEN c_custkey % 3 <> 0 THEN c_name END AS report FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0",
+    "q_dashboard_month": f"WITH {PROGRESS}, g AS (SELECT '2024-0' || CAST(session_key % 9 + 1 AS VARCHAR) AS month, {SUMS} FROM sp GROUP BY 1) SELECT *, {LEFT} FROM g",
+    "q_manifest_upsert": "WITH n AS (SELECT CASE WHEN o_orderkey % 3 = 0 OR o_orderkey % 5 = 0 THEN o_orderkey ELSE -o_orderkey END AS batch_id FROM orders) SELECT batch_id, 'accepted' AS status FROM n UNION ALL SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey NOT IN (SELECT batch_id FROM n)",
+    "q_index_merge": "WITH o AS (SELECT CASE WHEN c_custkey % 3 = 0 THEN -c_custkey ELSE c_custkey END AS c_custkey, c_mktsegment, c_name FROM customer), n AS (SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'execute' END AS mode FROM customer) SELECT c_custkey, coalesce(mode, c_mktsegment) AS mode, c_name AS report FROM o FULL JOIN n USING (c_custkey)",
     "q_journal_latest": "SELECT user_id, max(event_id) AS seq, arg_max(event_type, event_id) AS phase, arg_max(value, event_id) AS value FROM events GROUP BY 1",
+    "q_accept_existing": f"WITH {BOTH}, g AS (SELECT (SELECT count(*) FROM x) AS planned, (SELECT count(DISTINCT compare_key) FROM x) AS planned_keys, (SELECT count(*) FROM y) AS live, (SELECT count(*) FROM x) AS fts, (SELECT count(DISTINCT compare_key) FROM x WHERE compare_key IN (SELECT compare_key FROM y)) AS there) SELECT *, live AS delta, fts AS delta_fts, planned_keys - there AS missing, live = planned AND fts = planned AND planned_keys = there AS acceptable FROM g",
+    "q_missing_embedding": f"WITH {L1} SELECT type, count(*) AS n, count(*) FILTER (record_id % 5 <= 1) AS missing FROM l1 GROUP BY 1",
+    "q_dashboard_total": f"WITH {PROGRESS}, g AS (SELECT {SUMS} FROM sp) SELECT *, {LEFT} FROM g",
+    "q_rejects": f"WITH {REJECTED} {JUDGED} UNION ALL SELECT CASE WHEN session_key = fscope THEN 'duplicate_normalized_content' ELSE 'duplicate_normalized_content_warning' END, file, line_no, role, CASE WHEN session_key = fscope THEN 'source_session' ELSE 'batch' END, fs FROM g1 WHERE seq <> fs",
+    "q_rejects_warned": f"WITH {WARNED} {JUDGED} UNION ALL SELECT 'duplicate_normalized_content', file, line_no, role, 'source_session', fs FROM g1 WHERE seq <> fs UNION ALL SELECT 'duplicate_normalized_content_warning', file, line_no, role, 'batch', previous FROM k2 WHERE previous IS NOT NULL",
+    "q_seed_sessions_nested": f"WITH {WARNED}, {KEPT} SELECT * FROM kp",
+    "q_input_summary": f"WITH {WARNED}, {KEPT} SELECT count(*) AS sessions, CAST(coalesce(sum(rounds), 0) AS BIGINT) AS rounds, CAST(coalesce(sum(messages), 0) AS BIGINT) AS messages FROM kp",
+    "q_message_metadata": f"WITH {M} SELECT file, line_no, CASE WHEN source_type = 'discord' THEN 'author=a,message_id=' || CAST(line_no AS VARCHAR) || ',sourceMessageId=' || CAST(line_no AS VARCHAR) ELSE 'model=m1,openclawId=' || CAST(line_no AS VARCHAR) END AS metadata FROM m",
+    "q_output_quality": f"WITH {T}, z AS (SELECT *, {hashed('norm')} AS h FROM t), s AS (SELECT count(*) AS total_messages, count(*) FILTER (role = 'user') AS user_messages, count(*) FILTER (role = 'assistant' AND {progress('flat')}) AS progress_updates, count(*) FILTER (CASE {noise_rules('t')} END IS NOT NULL) AS system_noise, count(*) FILTER ({has('content', fixed.RESIDUAL)}) AS metadata_envelopes, count(*) FILTER (h <> '') - count(DISTINCT h) FILTER (h <> '') AS duplicate_content, count(*) FILTER (role = 'user' AND h <> '') - count(DISTINCT h) FILTER (role = 'user' AND h <> '') AS user_duplicate_content FROM z) SELECT *, {rate('duplicate_content', 'total_messages')} AS duplicate_rate, {rate('duplicate_content', 'total_messages')} AS duplicate_content_rate, {rate('progress_updates', 'total_messages')} AS progress_rate, {rate('user_duplicate_content', 'user_messages')} AS user_duplicate_content_rate, {rate('system_noise', 'total_messages')} AS noise_rate, {rate('metadata_envelopes', 'total_messages')} AS envelope_rate FROM s",
+    "q_session_like": f"WITH {M}, k AS (SELECT conv_id, line_no, session_key || CASE WHEN conv_id % 3 = 0 THEN ':seed:2024-01' WHEN conv_id % 3 = 1 THEN ':Seed:2024-01-x' ELSE 'seed:2024-02' END AS key FROM m) SELECT conv_id, line_no, key ILIKE '%seed:2024-01%' AS of_month, key ILIKE '%:seed:2024-01' AS at_end FROM k",
+    "q_planned_ids": f"WITH {C}, o AS (SELECT *, row_number() OVER (ORDER BY seq) - 1 AS ordinal FROM x WHERE filter_reason IS NULL), i AS (SELECT *, CASE WHEN conv_id % 2 = 0 THEN 's' || CAST(seq AS VARCHAR) ELSE 'fast_l0_' || CAST(ordinal AS VARCHAR) || '_' || substr(fingerprint, 1, 6) END AS message_id FROM o) SELECT ordinal, message_id, message_id AS record_message, captured AS content, captured AS fts_text FROM i",
+    "q_import_summary": f"WITH {C} SELECT 'batch-001' AS batchId, {RECORD_ID} AS recordId, session_key AS sessionKey, role, ts_ms AS timestamp, fingerprint AS contentHash, session_id AS sessionId, {units('captured')} AS chars, CAST(NULL AS VARCHAR) AS sourceKey FROM x WHERE filter_reason IS NULL",
+    "q_pollution_summary": f"WITH {M}, {LINES} SELECT count(*) FILTER (match_kind = 'session_field') > 0 AS polluted, count(*) FILTER (match_kind = 'session_field') AS field_hits, count(*) FILTER (match_kind <> 'session_field') AS mentions FROM hits",
+    "q_samples": f"WITH {M} (SELECT 'sample' AS kind, seq AS record_id, role AS type, content FROM m ORDER BY ts_ms, seq LIMIT 20) UNION ALL (SELECT 'suspicious', seq, role, substr(content, 1, 240) FROM m WHERE {has('content', fixed.SUSPICIOUS[0])} OR {has('content', fixed.SUSPICIOUS[1])} ORDER BY ts_ms, seq LIMIT 50)",
 }

@@ -11,6 +11,7 @@ from .functions import extract
 from .functions import text as X
 from .functions.semantics import collapsed, epoch_ms, month_of, utf16_length
 from .operators import audit, capture, dedupe, inventory, rounds, state
+from .plans import curate
 from .sources.stage import staged
 
 #: Decorated content: envelopes, noise, acknowledgements and repeats by conversation and turn. Valid in both dialects.
@@ -46,7 +47,7 @@ CONTENT = """CASE (conv_id * 7 + turn) % 29
 
 MESSAGES = {
     "conv_id": "conv_id",
-    "role": "role",
+    "role": "CASE WHEN (conv_id * 5 + turn) % 11 = 0 THEN CASE role WHEN 'user' THEN 'assistant' ELSE 'user' END ELSE role END",
     "content": CONTENT,
     "ts_ms": "1704067200000 + conv_id * 86400000 + (turn + 1) * 60000",
     "line_no": "turn + 1",
@@ -56,17 +57,27 @@ MESSAGES = {
     "source_type": "CASE WHEN conv_id % 3 = 0 THEN 'discord' ELSE 'agent:x' END",
     "file": "'f' || lpad(CAST(conv_id AS STRING), 9, '0')",
 }
-KEPT_ROLES = "role IN ('user', 'assistant') AND (conv_id * 5 + turn) % 11 <> 0"
+KEPT_ROLES = "role IN ('user', 'assistant')"
+#: What a store holds of them: some texts were edited.
+LIVE = MESSAGES | {"content": f"CASE WHEN (conv_id + turn) % 5 = 0 THEN 'edited ' || ({CONTENT}) ELSE {CONTENT} END"}
+#: Plain content for curation: noise, progress, repeats within and across sessions; no envelopes.
+PLAIN = """CASE (conv_id * 7 + turn) % 8
+ WHEN 1 THEN 'stdout ' || text
+ WHEN 2 THEN 'shared text ' || CAST(conv_id % 3 AS STRING)
+ WHEN 3 THEN 'shared text ' || CAST(turn % 2 AS STRING)
+ WHEN 4 THEN '我看一下'
+ WHEN 5 THEN 'OK, ' || text
+ ELSE text END"""
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations as canonical messages, some turns left out so that orphans and unpaired users occur."""
+def messages(spark: SparkSession, sf_dir: str, columns: dict[str, str] = MESSAGES) -> DataFrame:
+    """Conversations as canonical messages; some turns change sides so that orphans and unpaired users occur."""
     rows = table(spark, sf_dir, "conversations").where(KEPT_ROLES)
-    return rows.selectExpr(*(f"{expr} AS {name}" for name, expr in MESSAGES.items()))
+    return rows.selectExpr(*(f"{expr} AS {name}" for name, expr in columns.items()))
 
 
 def document_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +91,22 @@ def hashed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged(document_messages(spark, sf_dir).drop("content"), "hashes")
 
 
+#: A run log's lines.
+LINE = """CASE conv_id % 6
+ WHEN 0 THEN '{"sessionKey":"' || session_key || '","n":1}'
+ WHEN 1 THEN 'note about ' || session_key || ' here'
+ WHEN 2 THEN 'see /x/' || session_key || ':5/log, or ' || session_key || '.'
+ WHEN 3 THEN '{"metadata":{"session_key":"' || session_key || '"},"text":"before ' || session_key || '0"}'
+ WHEN 4 THEN '关于' || session_key || '的记录@+'
+ ELSE 'nothing' END"""
+#: What customers state of their progress.
+STATED = {
+    "session_key": "CASE WHEN c_custkey % 4 = 0 THEN c_custkey + 20000000 ELSE c_custkey END",
+    "total_l0": "CASE WHEN c_custkey % 7 = 0 THEN 0 ELSE c_custkey % 17 + 3 END",
+    "next_offset": "c_custkey % 19",
+    "completed": "c_custkey % 2 = 0",
+}
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -101,8 +128,7 @@ def q_strict_rounds(spark, sf_dir):
 @query
 def q_round_replies(spark, sf_dir):
     rows = messages(spark, sf_dir).withColumn("dedupe_key", F.concat_ws("|", "session_key", "content"))
-    nested = rounds.nested_rounds(rounds.strict_rounds(rows))
-    return nested.select("file", "round_id", F.size("messages").cast("bigint").alias("n"), "first_user", "last_assistant")
+    return rounds.round_replies(rounds.strict_rounds(rows))
 
 
 @query
@@ -181,7 +207,7 @@ def q_timestamp_forms(spark, sf_dir):
 def q_content_flatten(spark, sf_dir):
     """Content as a string, an array of parts with a tool part, or an object, by turn."""
     text = F.to_json(F.struct(F.col("content").alias("c")))
-    quoted = F.substring(text, 6, 1_000_000).substr(F.lit(1), F.length(text) - 6)
+    quoted = text.substr(F.lit(6), F.length(text) - 6)
     shape = F.when(F.col("line_no") % 3 == 0, quoted).when(F.col("line_no") % 3 == 1, F.concat(F.lit('["a",{"type":"text","text":'), quoted, F.lit('},{"type":"tool_use","content":"no"}]'))).otherwise(F.concat(F.lit('{"text":'), quoted, F.lit("}")))
     return messages(spark, sf_dir).select("conv_id", "line_no", extract.content_text(F.try_parse_json(shape)).alias("flat"))
 
@@ -263,8 +289,13 @@ def q_top_duplicates(spark, sf_dir):
 # ---------------------------------------------------------------- capture and import
 
 
-def expected(spark, sf_dir):
-    return capture.expected_capture(messages(spark, sf_dir))
+def expected(spark, sf_dir, columns=MESSAGES):
+    return capture.expected_capture(messages(spark, sf_dir, columns))
+
+
+def both_captures(spark, sf_dir):
+    """What capture keeps of the messages, and what the store holds; each computed once."""
+    return staged(expected(spark, sf_dir), "expected"), staged(expected(spark, sf_dir, LIVE), "live")
 
 
 @query
@@ -279,14 +310,13 @@ def q_planned_rows(spark, sf_dir):
 
 @query
 def q_compare_multiset(spark, sf_dir):
-    rows = expected(spark, sf_dir)
-    return capture.compare_multisets(rows.where("conv_id % 10 <> 3"), rows.where("conv_id % 10 <> 7"), "compare_key")
+    return capture.compare_multisets(*both_captures(spark, sf_dir), "compare_key")
 
 
 @query
 def q_relaxed_compare(spark, sf_dir):
-    rows = expected(spark, sf_dir).withColumn("role_hash", F.concat_ws(":", "role", "hash"))
-    return capture.multiset_difference(rows.where("conv_id % 2 = 0"), rows.where("conv_id % 2 = 1"), "role_hash")
+    raw, live = (rows.withColumn("role_hash", F.concat_ws(":", "role", "hash")) for rows in both_captures(spark, sf_dir))
+    return capture.multiset_difference(raw, live, "role_hash")
 
 
 @query
@@ -301,14 +331,14 @@ def q_dataset_digest(spark, sf_dir):
 
 @query
 def q_existing_keys(spark, sf_dir):
-    rows = expected(spark, sf_dir).select("conv_id", "compare_key").where("conv_id % 2 = 0")
-    return rows.join(expected(spark, sf_dir).where("conv_id % 4 = 0").select("compare_key"), "compare_key", "left_semi").select("compare_key").distinct()
+    planned, live = (rows.select("compare_key") for rows in both_captures(spark, sf_dir))
+    return planned.join(live, "compare_key", "left_semi").distinct()
 
 
 @query
 def q_missing_keys(spark, sf_dir):
-    rows = expected(spark, sf_dir).select("conv_id", "compare_key").where("conv_id % 2 = 0")
-    return rows.join(expected(spark, sf_dir).where("conv_id % 4 = 0").select("compare_key"), "compare_key", "left_anti").select("compare_key").distinct()
+    planned, live = (rows.select("compare_key") for rows in both_captures(spark, sf_dir))
+    return planned.join(live, "compare_key", "left_anti").distinct()
 
 
 @query
@@ -318,9 +348,16 @@ def q_session_counts(spark, sf_dir):
 
 @query
 def q_import_gate(spark, sf_dir):
-    rows = expected(spark, sf_dir)
-    before, planned = rows.where("conv_id % 3 = 0"), rows.where("conv_id % 3 = 1")
-    return state.import_gate(planned, before, before.unionByName(planned.where("conv_id % 7 <> 0")), 0)
+    """A store that held documents gets the messages, some of them edited."""
+    planned, live = (rows.select("compare_key") for rows in both_captures(spark, sf_dir))
+    before = table(spark, sf_dir, "documents").select(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("compare_key"))
+    return state.import_gate(planned, before, before.unionByName(live), 0, fts_after=before.unionByName(planned).unionByName(live))
+
+
+@query
+def q_accept_existing(spark, sf_dir):
+    planned, live = (rows.select("compare_key") for rows in both_captures(spark, sf_dir))
+    return state.accept_existing(planned, live, planned, 0)
 
 
 @query
@@ -341,7 +378,10 @@ def q_input_quality(spark, sf_dir):
 @query
 def q_overlap(spark, sf_dir):
     rows = hashed_documents(spark, sf_dir).select(F.col("seq"), F.concat(F.lit("k"), F.col("seq") % 300).alias("source_key"), F.when(F.col("content_hash") == "", "").otherwise(F.concat_ws(":", "role", "content_hash")).alias("role_hash"), F.concat(F.lit("file"), F.col("seq") % 4).alias("file"))
-    return audit.overlap(rows.where("seq % 4 = 3"), rows.where("seq % 4 <> 3 and seq % 5 = 0"))
+    # Earlier inputs: other source keys, and some roles exchanged.
+    role = F.when(F.col("seq") % 4 == 3, F.col("role_hash")).otherwise(F.concat(F.lit("earlier "), "role_hash"))
+    earlier = rows.select(F.concat(F.lit("k"), F.col("seq") % 700 + 150).alias("source_key"), F.when(F.col("role_hash") == "", "").otherwise(role).alias("role_hash"), "file")
+    return audit.overlap(rows, earlier)
 
 
 @query
@@ -355,14 +395,12 @@ def q_length_stats(spark, sf_dir):
 
 
 def log_lines(spark, sf_dir):
-    """Lines of JSON with session fields, plain lines that mention keys, and lines without either."""
-    m = messages(spark, sf_dir)
-    line = F.when(F.col("conv_id") % 3 == 0, F.concat(F.lit('{"sessionKey":"'), F.col("session_key"), F.lit('","n":1}'))).when(F.col("conv_id") % 3 == 1, F.concat(F.lit("note about "), F.col("session_key"), F.lit(" here"))).otherwise(F.lit("nothing"))
-    return m.select("file", "line_no", line.alias("line"))
+    """Lines of JSON with session fields, lines that mention keys in paths, at ends of sentences and within longer words, and lines without either."""
+    return messages(spark, sf_dir).selectExpr("file", "line_no", f"{LINE} AS line")
 
 
 def wanted_keys(spark, sf_dir):
-    return messages(spark, sf_dir).where("conv_id % 4 = 0").select(F.col("session_key").alias("key"))
+    return messages(spark, sf_dir).select(F.col("session_key").alias("key"))
 
 
 @query
@@ -386,8 +424,8 @@ def q_log_warnings(spark, sf_dir):
 @query
 def q_snapshot_compare(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
-    after = docs.where("doc_id % 10 <> 1").withColumn("n_chars", F.when(F.col("doc_id") % 10 == 2, F.col("n_chars") + 1).otherwise(F.col("n_chars")))
-    return audit.snapshot_changes(docs.where("doc_id % 10 <> 3"), after, "doc_id", ["source", "n_chars"])
+    after = docs.selectExpr("CASE WHEN doc_id % 10 = 1 THEN -doc_id ELSE doc_id END AS doc_id", "source", "CASE WHEN doc_id % 10 = 2 THEN n_chars + 1 ELSE n_chars END AS n_chars")
+    return audit.snapshot_changes(docs, after, "doc_id", ["source", "n_chars"])
 
 
 # ---------------------------------------------------------------- coverage, progress and state
@@ -402,7 +440,7 @@ def l1_records(spark, sf_dir):
 @query
 def q_fts_coverage(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("record_id"), "source")
-    index = docs.where("record_id % 10 <> 0").select("record_id").unionByName(docs.where("record_id % 7 = 0").select("record_id"))
+    index = docs.selectExpr("CASE WHEN record_id % 10 = 0 THEN -record_id - 1 ELSE record_id END AS record_id").unionByName(docs.selectExpr("CASE WHEN record_id % 7 = 0 THEN record_id ELSE -record_id - 1 END AS record_id"))
     return audit.coverage(docs, index, "record_id", ["source"])
 
 
@@ -415,14 +453,22 @@ def q_vec_coverage(spark, sf_dir):
 @query
 def q_live_verify(spark, sf_dir):
     l0 = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("record_id"))
-    l1 = l1_records(spark, sf_dir).withColumn("embedding", F.when(F.col("record_id") % 5 == 0, F.lit(None)).when(F.col("record_id") % 5 == 1, F.lit("")).otherwise(F.lit("x")).cast("binary"))
-    return audit.live_verify(l0, l1, l0.where("record_id % 2 = 0"))
+    return audit.live_verify(l0, with_embedding(spark, sf_dir), l0.selectExpr("CASE WHEN record_id % 2 = 0 THEN record_id ELSE -record_id END AS record_id"))
+
+
+def with_embedding(spark, sf_dir):
+    return l1_records(spark, sf_dir).withColumn("embedding", F.when(F.col("record_id") % 5 == 0, F.lit(None)).when(F.col("record_id") % 5 == 1, F.lit("")).otherwise(F.lit("x")).cast("binary"))
+
+
+@query
+def q_missing_embedding(spark, sf_dir):
+    return audit.missing_embeddings(with_embedding(spark, sf_dir), ["type"])
 
 
 def progress_sessions(spark, sf_dir):
-    stored = table(spark, sf_dir, "orders").where("o_custkey % 3 <> 0").groupBy(F.col("o_custkey").alias("session_key")).agg(F.count("*").alias("l0"))
-    customers = table(spark, sf_dir, "customer")
-    progress = customers.where("c_custkey % 4 <> 0").select(F.col("c_custkey").alias("session_key"), (F.col("c_custkey") % 17 + 3).alias("total_l0"), (F.col("c_custkey") % 5).alias("next_offset"), (F.col("c_custkey") % 6 == 0).alias("completed"))
+    """Orders as a store's rows, customers as the stated progress; some keys of either side are not in the other."""
+    stored = table(spark, sf_dir, "orders").groupBy(F.expr("CASE WHEN o_custkey % 3 = 0 THEN o_custkey + 10000000 ELSE o_custkey END").alias("session_key")).agg(F.count("*").alias("l0"))
+    progress = table(spark, sf_dir, "customer").selectExpr(*(f"{e} AS {n}" for n, e in STATED.items()))
     return audit.session_progress(stored, progress)
 
 
@@ -436,20 +482,107 @@ def q_dashboard_month(spark, sf_dir):
     return audit.progress_rollup(progress_sessions(spark, sf_dir).withColumn("month", F.concat(F.lit("2024-0"), F.col("session_key") % 9 + 1)), ["month"])
 
 
+@query
+def q_dashboard_total(spark, sf_dir):
+    return audit.progress_rollup(progress_sessions(spark, sf_dir), [])
+
+
 @query
 def q_manifest_upsert(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("batch_id"), F.col("o_orderstatus").alias("status"))
-    return state.upsert(orders.where("batch_id % 3 <> 0"), orders.where("batch_id % 3 = 0 or batch_id % 5 = 0").withColumn("status", F.lit("accepted")), ["batch_id"])
+    new = orders.selectExpr("CASE WHEN batch_id % 3 = 0 OR batch_id % 5 = 0 THEN batch_id ELSE -batch_id END AS batch_id", "'accepted' AS status")
+    return state.upsert(orders, new, ["batch_id"])
 
 
 @query
 def q_index_merge(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
-    old = c.where("c_custkey % 3 <> 0").select("c_custkey", F.col("c_mktsegment").alias("mode"), F.col("c_name").alias("report"))
-    new = c.where("c_custkey % 2 = 0").select("c_custkey", F.when(F.col("c_custkey") % 4 == 0, "execute").alias("mode"), F.lit(None).cast("string").alias("report"))
+    old = c.selectExpr("CASE WHEN c_custkey % 3 = 0 THEN -c_custkey ELSE c_custkey END AS c_custkey", "c_mktsegment AS mode", "c_name AS report")
+    new = c.select("c_custkey", F.when(F.col("c_custkey") % 4 == 0, "execute").alias("mode"), F.lit(None).cast("string").alias("report"))
     return state.merge_fields(old, new, ["c_custkey"])
 
 
 @query
 def q_journal_latest(spark, sf_dir):
     return state.latest_phase(table(spark, sf_dir, "events").select("user_id", F.col("event_id").alias("seq"), F.col("event_type").alias("phase"), "value"), ["user_id"])
+
+
+# ---------------------------------------------------------------- curation and its inputs
+
+
+def transcript_lines(spark, sf_dir):
+    """Conversations as transcript lines of both kinds, with plain content."""
+    m = messages(spark, sf_dir, MESSAGES | {"content": PLAIN})
+    said = F.when(F.col("source_type") == "discord", F.to_json(F.struct("role", "content", F.col("ts_ms").alias("ts"), F.col("line_no").alias("message_id"), F.lit("a").alias("author"))))
+    line = said.otherwise(F.to_json(F.struct(F.struct("role", "content", F.lit("m1").alias("model")).alias("message"), F.col("ts_ms").alias("timestamp"), F.col("line_no").alias("id"))))
+    return m.select("file", "line_no", "source_type", "session_id", "session_key", line.alias("line"))
+
+
+@query
+def q_rejects(spark, sf_dir):
+    rows = curate.curate(transcript_lines(spark, sf_dir), reject_batch_duplicates=True).rejects
+    return rows.select("reason", "file", "line_no", "role", "duplicate_scope", "duplicate_of")
+
+
+@query
+def q_rejects_warned(spark, sf_dir):
+    rows = curate.curate(transcript_lines(spark, sf_dir)).rejects
+    return rows.select("reason", "file", "line_no", "role", "duplicate_scope", "duplicate_of")
+
+
+@query
+def q_seed_sessions_nested(spark, sf_dir):
+    """The nested seed, flattened again: a row per session with its rounds, messages and a digest of the contents in order."""
+    seed = curate.seed_sessions(curate.curate(transcript_lines(spark, sf_dir)).messages, "2024-01")
+    flat = F.flatten("conversations")
+    return seed.select("sessionKey", F.size("conversations").cast("bigint").alias("rounds"), F.size(flat).cast("bigint").alias("messages"), F.md5(F.array_join(F.transform(flat, lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "\n").cast("binary")).alias("digest"))
+
+
+@query
+def q_input_summary(spark, sf_dir):
+    seed = curate.seed_sessions(curate.curate(transcript_lines(spark, sf_dir)).messages, "2024-01")
+    return inventory.input_summary(seed.select(F.array(F.struct("sessionKey", "conversations")).alias("sessions")))
+
+
+@query
+def q_message_metadata(spark, sf_dir):
+    rows = extract.messages_of(transcript_lines(spark, sf_dir))
+    entries = F.array_sort(F.transform(F.map_entries("metadata"), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
+    return rows.select("file", "line_no", F.array_join(entries, ",").alias("metadata"))
+
+
+@query
+def q_output_quality(spark, sf_dir):
+    rows = staged(messages(spark, sf_dir).withColumn("content_hash", X.content_hash(F.col("content"))), "hashes")
+    return audit.output_quality(rows)
+
+
+@query
+def q_session_like(spark, sf_dir):
+    key = F.concat("session_key", F.when(F.col("conv_id") % 3 == 0, ":seed:2024-01").when(F.col("conv_id") % 3 == 1, ":Seed:2024-01-x").otherwise("seed:2024-02"))
+    return messages(spark, sf_dir).select("conv_id", "line_no", X.of_month(key, "2024-01").alias("of_month"), X.of_month(key, "2024-01", at_end=True).alias("at_end"))
+
+
+@query
+def q_planned_ids(spark, sf_dir):
+    rows = expected(spark, sf_dir).withColumn("source_key", F.when(F.col("conv_id") % 2 == 0, F.concat(F.lit("s"), F.col("seq").cast("string"))))
+    plan = capture.numbered_plan(capture.planned_rows(rows), "seq")
+    return plan.select("ordinal", "message_id", F.get_json_object("record", "$.id").alias("record_message"), F.get_json_object("record", "$.content").alias("content"), "fts_text")
+
+
+@query
+def q_import_summary(spark, sf_dir):
+    rows = expected(spark, sf_dir).withColumn("source_key", F.lit(None).cast("string"))
+    return capture.import_summary(capture.planned_rows(rows), "batch-001").withColumn("chars", F.col("chars").cast("bigint"))
+
+
+@query
+def q_pollution_summary(spark, sf_dir):
+    return audit.pollution_summary(audit.pollution(log_lines(spark, sf_dir), wanted_keys(spark, sf_dir)))
+
+
+@query
+def q_samples(spark, sf_dir):
+    """The first records and the first suspicious ones."""
+    rows = messages(spark, sf_dir).select(F.col("seq").alias("record_id"), F.col("role").alias("type"), "content", F.col("ts_ms").alias("created_ms"))
+    return audit.samples(rows)

@@ -22,9 +22,10 @@ def write_rejects(rejects: DataFrame, path: str) -> None:
     rejects.write.mode("errorifexists").json(path)
 
 
-def write_dated_lines(rows: DataFrame, path: str, ts: str = "ts_ms") -> None:
-    """JSON lines in a folder for each date."""
-    rows.withColumn("rec_date", F.date_format(F.timestamp_millis(ts), "yyyy-MM-dd")).write.mode("append").partitionBy("rec_date").json(path)
+def write_dated_lines(rows: DataFrame, path: str, ts: str = "ts_ms", batch_id: str = "batch-001") -> None:
+    """JSON lines in a folder for each date and batch; writing a batch again replaces its lines and no others."""
+    dated = rows.withColumn("rec_date", F.date_format(F.timestamp_millis(ts), "yyyy-MM-dd")).withColumn("batch_id", F.lit(batch_id))
+    dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("rec_date", "batch_id").json(path)
 
 
 def write_batch(rows: DataFrame, path: str, month: str, batch_id: str) -> None:

@@ -11,10 +11,12 @@ _own: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; a folder of our own only where it is unset, as in tests."""
+    """spark.checkpoint.dir; a folder of our own only where it is unset and Spark runs on one machine, as in tests."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if where:
         return where.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not _own:
         _own.append(tempfile.mkdtemp(prefix="spark-stage-"))
     return "file://" + _own[0]

@@ -41,6 +41,23 @@ def read_transcripts(spark: SparkSession, root: str) -> DataFrame:
     return lines.where("meta is not null").select("file", "line_no", "line", "meta.*")
 
 
+def unsupported_paths(spark: SparkSession, root: str) -> DataFrame:
+    """A reject for each JSON lines file under ``root`` that is no transcript, trajectories aside; nothing of the files is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").load(root).select(F.col("path").alias("file"))
+    odd = files.where(source_meta(F.col("file")).isNull() & ~F.col("file").endswith(".trajectory.jsonl"))
+    return odd.select(F.lit("unsupported_source_path").alias("reason"), "file")
+
+
+def read_run_log(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of a run's log."""
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+def read_run_summary(spark: SparkSession, path: str) -> DataFrame:
+    """A run's exit codes and whether it fell back; nulls for what is missing."""
+    return spark.read.schema("officialExitCode long, fallbackUsed boolean, processExitCode long").json(path, multiLine=True).withColumn("officialCliFallbackUsed", F.coalesce("fallbackUsed", F.lit(False)))
+
+
 def read_seed_input(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SEED_SCHEMA).json(path, multiLine=True)
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from talkmill.functions import extract
 from talkmill.functions import text as X
 from talkmill.functions.semantics import collapsed, epoch_ms, redacted_path, trimmed, utf16_length
-from talkmill.operators import audit, capture, dedupe, ordered, rounds, state
+from talkmill.operators import audit, capture, dedupe, inventory, ordered, rounds, state
 from talkmill.plans.curate import clean_messages, curate, seed_sessions
 from talkmill.sources import sinks, transcripts
 from talkmill.streaming import ingest
@@ -263,9 +263,145 @@ def test_sources_and_sinks(spark, root, tmp_path):
 
 
 def test_pollution_kinds(spark):
-    lines = spark.createDataFrame([("f", 1, '{"session_key":"k1"}'), ("f", 2, "about k1 here"), ("f", 3, '{"metadata":{"sessionKey":"k2"},"x":"k1"}'), ("f", 4, "k11")], "file string, line_no long, line string")
-    keys = spark.createDataFrame([("k1",), ("k2",)], "key string")
-    assert {(r.line_no, r.key, r.match_kind) for r in audit.pollution(lines, keys).collect()} == {(1, "k1", "session_field"), (2, "k1", "content_mention"), (3, "k2", "session_field"), (3, "k1", "content_mention")}
+    texts = ['{"session_key":"k1"}', "about k1 here", '{"metadata":{"sessionKey":"k2"},"x":"k1"}', "k11", '{"sessionKey":5}', '{"source_session":"\\u006b1"}', "nothing"]
+    lines = spark.createDataFrame([("f", n + 1, t) for n, t in enumerate(texts)], "file string, line_no long, line string")
+    keys = spark.createDataFrame([("k1",), ("k2",), ("",), (None,), ("5",)], "key string")
+    got = {(r.line_no, r.key, r.match_kind) for r in audit.pollution(lines, keys).collect()}
+    assert got == {(1, "k1", "session_field"), (2, "k1", "content_mention"), (3, "k2", "session_field"), (3, "k1", "content_mention"), (4, "k1", "content_mention"), (5, "5", "content_mention"), (6, "k1", "session_field")}
+    summary = audit.pollution_summary(audit.pollution(lines, keys)).first()
+    assert (summary.polluted, summary.field_hits, summary.mentions) == (True, 3, 4)
+
+
+def test_keys_are_found_as_substrings(spark):
+    keys = ["agent:a1:5", "key:seed:2024-01", "关于键", "a key with spaces", "x", "agent:a1:5:seed:2024-01", "@odd%+"]
+    texts = ["see agent:a1:5.", "/x/agent:a1:5/log", "agent:a1:5:seed:2024-01 and more", "a=key:seed:2024-01;", "文关于键文", "here is a key with spaces!", "m@odd%+n", "", "agent:a1", "seed:2024-01"]
+    lines = spark.createDataFrame([(f"f{n}", t) for n, t in enumerate(texts)], "file string, line string")
+    got = {(r.file, r.key) for r in audit.key_hits(lines, spark.createDataFrame([(k,) for k in keys * 2], "key string")).collect()}
+    assert got == {(f"f{n}", k) for n, t in enumerate(texts) for k in keys if k in t}
+    assert audit.key_hits(lines, spark.createDataFrame([], "key string")).count() == 0
+
+
+def test_progress_of_sessions(spark):
+    """Store rows first, then the stated total; completed only with the flag and an offset that has reached the total."""
+    stored = spark.createDataFrame([("a", 10), ("b", 10), ("c", 10), ("d", 4), ("g", 0)], "session_key string, l0 long")
+    progress = spark.createDataFrame([("a", 3, 10, True), ("b", 10, 4, True), ("c", None, 0, None), ("e", 7, 9, True), ("f", 0, 0, True), ("g", 6, 2, False), ("h", None, 3, False)], "session_key string, total_l0 long, next_offset long, completed boolean")
+    rows = audit.session_progress(stored, progress)
+    got = {r.session_key: (r.l0, r.total, r.offset, r.status) for r in rows.collect()}
+    assert got == {"a": (10, 10, 10, "completed"), "b": (10, 10, 4, "running"), "c": (10, 10, 0, "queued"), "d": (4, 4, 0, "queued"), "e": (0, 7, 7, "completed"), "f": (0, 0, 0, "completed"), "g": (0, 6, 2, "running"), "h": (0, 0, 3, "running")}
+    assert [r.session_key for r in audit.progress_order(rows).collect()] == ["b", "h", "g", "c", "d", "a", "e", "f"]
+    total = audit.progress_rollup(rows, []).first()
+    assert (total.completed, total.running, total.queued, total.done, total.total, total.remaining, total.percent) == (3, 3, 2, 26, 47, 21, 55.0)
+
+
+def test_inventory_counts(spark):
+    """Rejected messages count as messages only; dirty users only if accepted, dirty assistants always."""
+    rows = [("user", "good", None, False), ("user", "", "empty", True), ("user", "dirty", None, True), ("assistant", "fine", None, False), ("assistant", "noise", "tool_noise", True), ("assistant", "dirty", None, True)]
+    table = spark.createDataFrame([("2024-01", "discord", "f", "s", n, 1000 * n, *r) for n, r in enumerate(rows)], "month string, source_type string, file string, session_id string, line_no long, ts_ms long, role string, content string, reject string, dirty boolean")
+    inv = inventory.inventory(table)
+    r = inv.first()
+    assert (r.message_count, r.user_count, r.assistant_count, r.accepted_count, r.rejected_count, r.dirty_count, r.sample_user_text) == (6, 2, 2, 4, 2, 3, "good")
+    assert [tuple(x) for x in inventory.month_rollup(inv, ["2023-12"]).orderBy("month").collect()] == [("2023-12", 0, 0, 0, 0, 0), ("2024-01", 1, 6, 2, 2, 2)]
+    assert inventory.ordered_inventory(inv).count() == 1
+
+
+def test_null_keys_are_kept(spark):
+    rows = spark.createDataFrame([(0, None, "user", "h"), (1, None, "user", "h"), (2, "s", None, "h"), (3, "s", None, "h"), (4, "s", "user", None)], "seq long, scope string, role string, content_hash string")
+    assert {r.seq: r.source_first for r in dedupe.source_duplicates(rows).collect()} == {0: 0, 1: 0, 2: 2, 3: 2, 4: None}
+    assert {r.seq: r.batch_previous for r in dedupe.batch_duplicates_warned(rows).collect()} == {0: None, 2: None, 4: None}
+    assert {r.seq: r.verdict for r in dedupe.batch_duplicates_rejected(rows).collect()} == {0: "keep", 1: "duplicate_source", 2: "keep", 3: "duplicate_source", 4: "keep"}
+    said = spark.createDataFrame([(None, 1, "user", "a", 1000), (None, 2, "assistant", "b", 2000), (None, 3, "assistant", "c", None), ("f", 1, "user", None, 1000)], "file string, line_no long, role string, dedupe_key string, ts_ms long")
+    assert {(r.file, r.line_no): r.reject for r in rounds.strict_rounds(said).collect()} == {(None, 1): None, (None, 2): None, (None, 3): "assistant_only_without_user", ("f", 1): "unpaired_user_without_assistant"}
+
+
+def test_hot_keys_are_joined_by_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "HOT_ROWS", 5)
+    rows = spark.createDataFrame([(None if k % 3 == 0 else k % 7, k) for k in range(60)], "g long, o long")
+    got = {r.o: r.first for r in ordered.first_rows(rows, ["g"], "o", F.col("o"), "first").collect()}
+    first = {}
+    assert got == {k: first.setdefault(None if k % 3 == 0 else k % 7, k) for k in range(60)}
+
+
+def test_batch_order_of_duplicates(spark):
+    """Channels first, then files with more messages, then by path; the first in that order stays."""
+    said = lambda text, n: json.dumps({"role": "user", "content": text, "ts": 1_704_067_200_000 + n})
+    agent = lambda text, n: json.dumps({"message": {"role": "user", "content": text, "provider": "p"}, "timestamp": 1_704_067_200_000 + n, "id": f"i{n}", "parentId": None})
+    rows = [(f, n, "agent:x", f, f, agent(t, n)) for f, ts in {"b": ["same words", "own b"], "a": ["same words", "own a"], "big": ["one", "two", "same words", "same words"]}.items() for n, t in enumerate(ts, 1)]
+    rows += [("z", 1, "discord", "z", "z", said("same words", 1))]
+    lines = spark.createDataFrame(rows, "file string, line_no long, source_type string, session_id string, session_key string, line string")
+    kept = clean_messages(lines, reject_batch_duplicates=True)
+    assert [(r.file, r.line_no) for r in kept.messages.where("content = 'same words'").collect()] == [("z", 1)]
+    assert [r.file for r in kept.messages.dropDuplicates(["file"]).orderBy(F.expr("seq - line_no")).collect()] == ["z", "big", "a", "b"]
+    seq = {(r.file, r.line_no): r.seq for r in clean_messages(lines).messages.collect()}
+    got = {(r.reason, r.file, r.line_no): (r.duplicate_scope, r.duplicate_of) for r in kept.rejects.collect()}
+    assert got == {("duplicate_normalized_content_warning", f, n): ("batch", seq["z", 1]) for f, n in (("a", 1), ("b", 1), ("big", 3), ("big", 4))}
+    warned = {(r.reason, r.file, r.line_no): (r.duplicate_scope, r.duplicate_of) for r in clean_messages(lines).rejects.collect()}
+    assert warned == {
+        ("duplicate_normalized_content_warning", "big", 3): ("batch", seq["z", 1]),
+        ("duplicate_normalized_content", "big", 4): ("source_session", seq["big", 3]),
+        ("duplicate_normalized_content_warning", "a", 1): ("batch", seq["big", 3]),
+        ("duplicate_normalized_content_warning", "b", 1): ("batch", seq["a", 1]),
+    }
+    assert {r.file: r.metadata for r in kept.messages.where("line_no = 2 and file = 'a'").collect()} == {"a": {"openclawId": "i2", "provider": "p"}}
+
+
+def test_envelope_metadata(spark):
+    fence = 'Conversation info (untrusted metadata):\n```json\n{"message_id":"m1","chat":"c","none":null,"empty":""}\n```\n'
+    sender = 'Sender (untrusted metadata):\n```json\n{"name":"n","chat":"later"}\n```\n'
+    replied = 'Replied message (untrusted, for context):\n```json\n{"body":"b"}\n```\nhello'
+    texts = [fence + sender + replied, "System: one two\nbody", "System: [x] y\nSender (untrusted metadata):\n```json\n[1]\n```\nbody", "plain"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, content string").withColumn("role", F.lit("user"))
+    got = {r.i: (r.metadata, r.content) for r in extract.strip_envelopes(rows).collect()}
+    assert got[0] == ({"message_id": "m1", "chat": "later", "name": "n", "repliedMessage": '{"body":"b"}'}, "hello")
+    assert got[1] == ({"systemEnvelope": "one two"}, "body")
+    assert got[2] == ({"systemEnvelope": "System: [x] y"}, "body")
+    assert got[3] == ({}, "plain")
+
+
+def test_pages_beyond_the_rounds(spark):
+    assert inventory.offset_rejects(10, "2024-01", "batch-001", 10, spark).first().reason == "offset_beyond_available_rounds"
+    assert inventory.offset_rejects(10, "2024-01", "batch-001", 9, spark).count() == inventory.offset_rejects(0, "2024-01", "batch-001", 5, spark).count() == 0
+
+
+def test_stores_without_a_shared_folder_or_with_odd_facts(spark):
+    files = spark.createDataFrame([("a", 10, 1_000), ("b", 5, 61_000)], "name string, size long, modified_ms long")
+    assert audit.latest_progress(files, 61_000 + 59_000).first().age == "59s ago" and audit.latest_progress(files, 61_000 + 7_320_000).first().age == "2h 2m ago"
+    one = audit.snapshot(files.select("name"), files.limit(0), files).first()
+    assert (one.l0, one.l1, one.files, one.bytes, one.modified_ms) == (2, 0, 2, 15, 61_000)
+    log = state.journal_entry(spark, "2024-01", "batch-001", "planned", 1).union(state.journal_entry(spark, "2024-01", "batch-001", "verified-ok", 2, after="5"))
+    last = state.latest_phase(log, ["month", "batch_id"]).first()
+    assert (last.phase, last.facts) == ("verified-ok", {"after": "5"})
+    for bad in (lambda: state.journal_entry(spark, "2024-01", "batch-001", "done", 1), lambda: state.valid_count(0), lambda: state.valid_count(True), lambda: state.valid_identifier("a b")):
+        with pytest.raises(ValueError):
+            bad()
+    assert state.valid_count(3) == 3 and state.valid_identifier("l0_fts") == "l0_fts"
+    keys = lambda s: spark.createDataFrame([(x,) for x in s], "compare_key string")
+    assert state.accept_existing(keys("aab"), keys("aabxy"), keys("aabxy"), 2).first().acceptable  # a key repeated within the batch
+    assert not state.accept_existing(keys("aab"), keys("aabxy"), keys("aabx"), 2).first().acceptable
+    assert not state.import_gate(keys("cd"), keys("ab"), keys("abcd"), 1).first().verified  # not at the accepted total
+
+
+def test_planned_rows_are_numbered(spark):
+    raw = spark.createDataFrame([(9, "k", "user", 5, "second", None), (3, "k", "user", 4, "first", "sk"), (5, "k", "user", 4, "/new", None)], "seq long, session_key string, role string, ts_ms long, content string, source_key string").withColumn("session_id", F.lit("s"))
+    plan = capture.numbered_plan(capture.planned_rows(capture.expected_capture(raw)), "seq", tokenize=F.upper).orderBy("ordinal").collect()
+    assert [(r.ordinal, r.message_id, r.fts_text) for r in plan] == [(0, "sk", "FIRST"), (1, f"fast_l0_1_{plan[1].fingerprint[:6]}", "SECOND")]
+    assert json.loads(plan[1].record) == {"sessionKey": "k", "sessionId": "s", "id": plan[1].message_id, "role": "user", "content": "second", "timestamp": 5}
+
+
+def test_seed_summary(spark):
+    seed = spark.read.schema(transcripts.SEED_SCHEMA).json(spark.sparkContext.parallelize([json.dumps({"sessions": [{"sessionKey": "a", "conversations": [[{"role": "user"}, {"role": "assistant"}], [{"role": "user"}]]}, {"sessionKey": "b"}]})]))
+    assert tuple(inventory.input_summary(seed).first()) == (2, 2, 3)
+
+
+def test_source_rejects_and_logs(spark, root, tmp_path):
+    assert [(r.reason, r.file.endswith("agents/odd/s2.jsonl")) for r in transcripts.unsupported_paths(spark, str(root)).collect()] == [("unsupported_source_path", True)]
+    (tmp_path / "run.log").write_text("one\nmetadata-only write\n")
+    (tmp_path / "summary.json").write_text(json.dumps({"officialExitCode": 1, "fallbackUsed": True}))
+    assert transcripts.read_run_log(spark, str(tmp_path / "run.log")).agg(*(F.sum(c) for c in X.log_warning_counts(F.col("line")))).first()[3] == 1
+    assert tuple(transcripts.read_run_summary(spark, str(tmp_path / "summary.json")).first()) == (1, True, None, True)
+    rows = spark.createDataFrame([("k", 1_704_067_200_000)], "session_key string, ts_ms long")
+    for batch in ("batch-001", "batch-001", "batch-002"):
+        sinks.write_dated_lines(rows, str(tmp_path / "lines"), batch_id=batch)
+    assert spark.read.json(str(tmp_path / "lines")).count() == 2
 
 
 def test_stream_appends_once(spark, root, tmp_path):
