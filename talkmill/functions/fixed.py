@@ -9,6 +9,9 @@ from __future__ import annotations
 # White space (tab to carriage return, spaces, line and paragraph separators, byte order mark).
 WHITE = r"\t\n\x0B\f\r \x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}"
 
+# The same characters as text.
+WHITE_CHARS = "\t\n\x0b\f\r \u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
+
 # Fixed value: the first 24 hex digits of the SHA-256 of nothing.
 EMPTY_SHA24 = "e3b0c44298fc1c149afbf4c8"
 

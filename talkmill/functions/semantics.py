@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .fixed import WHITE
+from .fixed import WHITE, WHITE_CHARS
 
 
 def java(pattern: str) -> str:
@@ -38,7 +38,7 @@ def text_or_empty(col: Column) -> Column:
 
 def trimmed(col: Column) -> Column:
     """Without white space of any kind at both ends."""
-    return replaced(col, r"^{s}+|{s}+\z")
+    return F.btrim(col, F.lit(WHITE_CHARS))
 
 
 def collapsed(col: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SEED_SCHEMA = (
@@ -26,13 +26,19 @@ def source_meta(path: Column) -> Column:
 def read_lines(spark: SparkSession, root: str, glob: str = "*.jsonl") -> DataFrame:
     """(file, line_no, line): non-blank trimmed lines of all files under ``root``; line numbers count blank lines and start at 1.
 
-    A transcript is read whole by one task, so a file is bounded by a task's memory; files spread over tasks.
+    Large files are read by many tasks, split by split. Lines are numbered within their split as they are read and stored; the counts of a
+    file's splits give where each begins.
     """
     from ..functions.semantics import trimmed
-
-    whole = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root, wholetext=True)
-    lines = whole.select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\r\n|\n|\r")).alias("pos", "line"))
-    return lines.select("file", (F.col("pos") + 1).cast("long").alias("line_no"), trimmed(F.col("line")).alias("line")).where("line <> ''")
+    from ..operators.ordered import narrow
+    from .stage import staged
+
+    read = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root)
+    lines = staged(read.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("id"), F.col("value").alias("line")), "lines")
+    splits = lines.groupBy("file", "split").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = narrow(staged(splits.select("file", "split", (before - F.col("first") + 1).alias("shift")), "splits"))
+    return lines.join(starts, ["file", "split"]).select("file", (F.col("id") + F.col("shift")).alias("line_no"), trimmed(F.col("line")).alias("line")).where("line <> ''")
 
 
 def read_transcripts(spark: SparkSession, root: str) -> DataFrame:

@@ -233,6 +233,25 @@ def test_transcripts_to_seed(spark, root):
     assert clean_messages(lines, "2023-12").messages.count() == 0
 
 
+def test_lines_of_split_files(spark, tmp_path):
+    draw = random.Random(5)
+    want = {}
+    for name, end in (("a", "\n"), ("b", "\r\n"), ("c", "\n")):
+        lines = ["" if draw.random() < 0.2 else " ".join(f"w{draw.randint(0, 99)}" for _ in range(draw.randint(1, 20))) + " é" for _ in range(400 if name != "c" else 1)]
+        path = tmp_path / f"deep/{name}.jsonl"
+        path.parent.mkdir(exist_ok=True)
+        path.write_bytes((end.join(lines) + (end if name == "a" else "")).encode())
+        want |= {(name, n): x for n, x in enumerate(lines, 1) if x}
+    (tmp_path / "deep/empty.jsonl").write_text("")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+        got = transcripts.read_lines(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert {(r.file[-7], r.line_no): r.line for r in got} == want
+
+
 def test_sources_and_sinks(spark, root, tmp_path):
     (tmp_path / "inputs").mkdir()
     doc = {"metadata": {"month": "2024-01"}, "sessions": [{"sessionKey": "k", "sessionId": "s", "sourceFile": "f", "conversations": [[{"role": "user", "content": "u", "timestamp": 5}, {"role": "assistant", "content": "a", "timestamp": 6}]]}]}
