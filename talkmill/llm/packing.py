@@ -33,7 +33,7 @@ PADDING, CUT = 0.01, 256
 WASTE = 1 / 4000
 END_ID = 1
 #: Words of one generation of a worker's cache (two are kept), and the longest that is kept, in characters; words encoded at once.
-CACHE_WORDS, CACHE_CHARS, BATCH = 200_000, 200, 1000
+CACHE_WORDS, CACHE_CHARS, BATCH = 120_000, 200, 1000
 
 #: Places inside words where the tokenizer's pattern starts a new part, too: before marks after letters or digits, and around single line feeds.
 _INSIDE = re.compile(r"(?<=[^\W_])(?=[.,;:!?])|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")

@@ -5,8 +5,8 @@ blocks that lose no link:
 
 * ``simhash_components`` (64 bits, radius r): of m bands of bits, two fingerprints within r bits agree in m - r at least. m grows with the
   number of fingerprints; blocks that are large all the same are parted by finer bands.
-* ``near_duplicate_groups`` (wide fingerprints, for a similarity of word shingles): bands of min-hashes of the same shingles. What the
-  fingerprints leave are candidates; a link counts once the two sets of shingles have been compared exactly.
+* ``near_duplicate_groups`` (wide fingerprints, for a similarity of word shingles): bands of min-hashes of the same shingles. Texts whose
+  fingerprints are near come into one cluster; inside a cluster the sets of shingles of near texts are compared exactly.
 
 Inside a block rows are ordered by population count and compared tile by tile; a tile whose counts differ beyond the radius is
 skipped. Blocks over ``BLOCK_ROWS`` rows are cut into chunks, and each pair of chunks is compared in its own group: exact, with no
@@ -166,46 +166,60 @@ def tiled_links(rows: list[np.ndarray], radius: int) -> tuple[np.ndarray, np.nda
     return np.concatenate(a), np.concatenate(b)
 
 
-def candidate_pairs(rows: list[np.ndarray], radius: int, nearest: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs within the radius in whole blocks of rows (block, id, root, fingerprint words): those whose roots differ.
+def similar_rows(rows: list[np.ndarray], radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links of the rows (block, id, part, shingles, fingerprint words) of whole blocks, to one member per group of similar rows.
 
-    All of them, or with ``nearest`` for each row the pair with the nearest row before it.
+    Rows are similar if their sets of shingles are, compared exactly; sets are compared where fingerprints are within the radius and the
+    sets' sizes allow it. In a block of two parts only rows of different parts are compared.
     """
-    block, ids, roots = rows[:3]
-    prints = np.stack(rows[3:], axis=1).view(np.uint64)
+    block, ids, parts, sets = rows[:4]
+    prints = np.stack(rows[4:], axis=1).view(np.uint64)
     starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
-    sizes = np.diff(np.r_[starts, len(block)])
-    i, j = small_links(starts, sizes, prints, radius)
-    if nearest:
-        order = np.lexsort((np.bitwise_count(prints[i] ^ prints[j]).sum(axis=1, dtype=np.int64), j))
-        i, j = i[order], j[order]
-        first = np.r_[True, j[1:] != j[:-1]][: len(j)]
-        i, j = i[first], j[first]
-    left, right = [i], [j]
-    for s, n in zip(starts[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist(), strict=True):
-        for at in range(0, n, TILE):
-            tile, other = prints[s + at : s + min(at + TILE, n)], prints[s : s + min(at + TILE, n)]
-            differ = np.zeros((len(tile), len(other)), np.int64)
-            for w in range(prints.shape[1]):
-                differ += np.bitwise_count(tile[:, w][:, None] ^ other[:, w][None, :])
-            differ[np.arange(len(other))[None, :] >= at + np.arange(len(tile))[:, None]] = radius + 1
-            if nearest:
-                best = differ.argmin(axis=1)
-                j = np.flatnonzero(differ[np.arange(len(tile)), best] <= radius)
-                i = best[j]
-            else:
-                j, i = np.nonzero(differ <= radius)
-            left.append(s + i)
-            right.append(s + at + j)
-    i, j = np.concatenate(left), np.concatenate(right)
-    differ = roots[i] != roots[j]
-    return ids[i[differ]], ids[j[differ]]
-
-
-def links_in_blocks(keyed: DataFrame, columns: list[str], radius: int, block_rows: int = BLOCK_ROWS, found=None, finer: Column | None = None) -> DataFrame:
+    a, b = [ids[:0]], [ids[:0]]
+    for s, n in zip(starts.tolist(), np.diff(np.r_[starts, len(block)]).tolist(), strict=True):
+        if n > 1:
+            group = similar_groups(prints[s : s + n], [np.frombuffer(x, np.uint64) for x in sets[s : s + n]], parts[s : s + n], radius)
+            a.append(ids[s : s + n])
+            b.append(ids[s : s + n][group])
+    return np.concatenate(a), np.concatenate(b)
+
+
+def similar_groups(prints: np.ndarray, sets: list[np.ndarray], parts: np.ndarray, radius: int) -> np.ndarray:
+    """For each row the place of one row of its group of rows linked by similarity. Rows that are reached leave the rest, as in ``tile_groups``."""
+    sizes = np.array([len(x) for x in sets], np.int64)
+    flat, begin = np.concatenate(sets), np.r_[0, np.cumsum(sizes)[:-1]]
+    across = len(np.unique(parts)) > 1
+    group, rest = np.full(len(prints), -1, np.int64), np.arange(len(prints))
+    while len(rest):
+        seed, rest = rest[0], rest[1:]
+        group[seed] = seed
+        reached = [seed]
+        while reached and len(rest):
+            i = reached.pop()
+            near = np.bitwise_count(prints[rest] ^ prints[i]).sum(axis=1, dtype=np.int64) <= radius
+            near &= np.minimum(sizes[rest], sizes[i]) * SIMILAR[1] >= np.maximum(sizes[rest], sizes[i]) * SIMILAR[0]
+            if across:
+                near &= parts[rest] != parts[i]
+            some = rest[near]
+            if not len(some):
+                continue
+            n = sizes[some]
+            common = np.zeros(len(some), np.int64)
+            if sizes[i]:
+                ends = np.cumsum(n)
+                element = flat[np.repeat(begin[some] - (ends - n), n) + np.arange(ends[-1])]
+                at = np.minimum(np.searchsorted(sets[i], element), sizes[i] - 1)
+                common = np.bincount(np.repeat(np.arange(len(some)), n), sets[i][at] == element, len(some)).astype(np.int64)
+            new = some[common * SIMILAR[1] >= (n + sizes[i] - common) * SIMILAR[0]]
+            group[new] = seed
+            reached += new.tolist()
+            rest = rest[group[rest] < 0]
+    return group
+
+
+def links_in_blocks(keyed: DataFrame, columns: list[str], radius: int, block_rows: int = BLOCK_ROWS, finer: Column | None = None) -> DataFrame:
     """(a, b) ids linked within ``radius`` among the rows of ``keyed`` (key long, id long, fingerprint words ``columns``) with equal keys.
 
-    ``found`` takes the rows (block, id, *columns) of whole blocks and returns the two sides of their links, if not ``tiled_links``.
     ``finer``: an array of keys of which linked rows share one; large blocks are parted by them before they are cut to chunks.
     """
     big = stored(keyed.groupBy("key").count().where(F.col("count") > block_rows).select("key", F.ceil(F.col("count") / block_rows).cast("int").alias("chunks")), "big-blocks")
@@ -214,14 +228,18 @@ def links_in_blocks(keyed: DataFrame, columns: list[str], radius: int, block_row
     elif finer is not None:
         dense = keyed.join(small(big), "key", "left_semi").withColumn("part", F.explode(finer)).select(F.xxhash64("key", "part").alias("key"), "id", *columns)
         calm = keyed.join(small(big), "key", "left_anti")
-        return links_in_blocks(calm, columns, radius, block_rows, found).union(links_in_blocks(dense, columns, radius, block_rows, found))
+        return links_in_blocks(calm, columns, radius, block_rows).union(links_in_blocks(dense, columns, radius, block_rows))
     else:
         cut = keyed.join(small(big), "key", "left").withColumn("chunk", F.pmod(F.xxhash64("id"), F.coalesce("chunks", F.lit(1))).cast("int"))
         others = F.when(F.col("chunks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("chunks") - 1))
         parted = cut.withColumn("other", F.explode(others)).select(
             F.when(F.col("chunks").isNull(), F.col("key")).otherwise(F.xxhash64("key", F.least("chunk", "other"), F.greatest("chunk", "other"))).alias("block"), "id", *columns
         )
-    linked = found or (lambda rows: tiled_links(rows, radius))
+    return links_of_blocks(parted, lambda rows: tiled_links(rows, radius))
+
+
+def links_of_blocks(parted: DataFrame, linked) -> DataFrame:
+    """(a, b) of all blocks; ``linked`` takes the rows (block first) of whole blocks and returns the two sides of their links."""
 
     def run(batches):
         held: list[np.ndarray] | None = None
@@ -290,7 +308,7 @@ def simhash_components(docs: DataFrame, width: int = 3, radius: int = 2) -> Data
 #: The similarity of word shingles (of their sets) from which two texts are near-duplicates, as a fraction.
 SIMILAR = (4, 5)
 #: Wide fingerprints for candidates: at 0.8, 512 bits differ in 78 places on average (deviation 8; at most 96 and 9, in texts of four or
-#: five shingles), so the radius lies over five deviations off; it takes pairs from about 0.46.
+#: five shingles), so the radius lies over five deviations off; it takes pairs from about 0.46. Sets are compared exactly after that.
 WORDS, RADIUS, BANDS, ROWS = 8, 144, 12, 2
 
 
@@ -318,57 +336,47 @@ def wide_prints(docs: DataFrame, width: int) -> DataFrame:
     return map_texts(docs, rows, schema)
 
 
-def similar_links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
-    """The rows of ``pairs`` (a, b: nodes) whose texts have sets of shingles of at least the similarity SIMILAR, compared exactly.
+#: Bytes of sets of shingles of a cluster that are compared in one task; larger clusters are cut, and each pair of their parts compared.
+BLOCK_BYTES = 16 << 20
 
-    Of each text in a pair one row is read, that of ``classes``' id; only sets of hashes are shuffled if there are few such texts.
-    """
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    needed = small(stored(needed.join(classes.select("node", "id"), "node"), "needed"))
+
+def shingle_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """(node, shingles): the set of hashes of each text of ``nodes`` (node, id), read from the one row of that doc_id. Only sets are shuffled if there are few such texts."""
+    needed = small(nodes)
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("shingles", T.BinaryType())])
     own = docs.select("doc_id", "text", text_node().alias("node"))
     some = own.join(needed, (own["node"] == needed["node"]) & own["doc_id"].eqNullSafe(needed["id"]), "left_semi").select(F.col("node").alias("doc_id"), "text")
-    found = map_texts(some, lambda nodes, texts: [nodes, [np.unique(shingle_hashes((t or "").encode(), width)).tobytes() for t in texts]], schema)
-    sets = stored(found.groupBy("doc_id").agg(F.any_value("shingles").alias("set")), "shingles")  # repeated rows have one
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("y")), "b")
-
-    def similar(x: bytes, y: bytes) -> bool:
-        x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-        if min(len(x), len(y)) * SIMILAR[1] < max(len(x), len(y)) * SIMILAR[0]:
-            return False
-        common = len(np.intersect1d(x, y, assume_unique=True))
-        return common * SIMILAR[1] >= (len(x) + len(y) - common) * SIMILAR[0]
+    found = map_texts(some, lambda ids, texts: [ids, [np.unique(shingle_hashes((t or "").encode(), width)).tobytes() for t in texts]], schema)
+    return found.groupBy(F.col("doc_id").alias("node")).agg(F.any_value("shingles").alias("shingles"))  # repeated rows have one
 
-    def run(batches):
-        for batch in batches:
-            a, b = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-            kept = np.fromiter((similar(x.as_py(), y.as_py()) for x, y in zip(batch.column(2), batch.column(3), strict=True)), bool, len(a))
-            yield link_batch(a[kept], b[kept])
 
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+def similar_links(clustered: DataFrame, prints: list[str], radius: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(a, b): links of similar texts inside each cluster of ``clustered`` (cluster, node, shingles, fingerprint words), to one member per group."""
+    sizes = clustered.groupBy("cluster").agg(F.sum(F.octet_length("shingles") + 100).alias("bytes"))
+    big = small(stored(sizes.where(F.col("bytes") > block_bytes).select("cluster", F.ceil(F.col("bytes") / block_bytes).cast("int").alias("chunks")), "big-clusters"))
+    cut = clustered.join(big, "cluster", "left").withColumn("part", F.pmod(F.xxhash64("node"), F.coalesce("chunks", F.lit(1))).cast("int"))
+    each = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("chunks", F.lit(1)) - 1)))
+    block = F.xxhash64("cluster", F.least("part", "other"), F.greatest("part", "other"))
+    parted = each.select(block.alias("block"), "node", "part", "shingles", *prints)
+    return links_of_blocks(parted, lambda rows: similar_rows(rows, radius))
 
 
 def near_duplicate_groups(docs: DataFrame, width: int = 5, radius: int = RADIUS) -> DataFrame:
     """(node, id, root, kept) for each different text: its smallest doc_id, the smallest doc_id of its group of near-duplicates, and whether it is the one of its group that stays.
 
-    Links: an exact similarity of sets of word shingles of SIMILAR or more, among pairs that meet in a min-hash band (missed at 0.8 with
-    a chance of five in a million) with wide fingerprints at most ``radius`` bits apart. First each text is compared with the nearest
-    one before it in each block, then all pairs that are not in one group by then; so a large group gives few pairs.
+    Links: an exact similarity of sets of word shingles of SIMILAR or more. Texts that meet in a min-hash band (missed at 0.8 with a chance
+    of five in a million) with wide fingerprints at most ``radius`` bits apart make clusters; the texts of a cluster are compared with each
+    other. Blocks and clusters give one link for each of their rows at most, so groups of copies give no more than they have rows.
     """
     prints = [f"p{k}" for k in range(WORDS)]
     found = wide_prints(docs, width)
     classes = stored(found.groupBy("node").agg(F.min("doc_id").alias("id"), F.any_value(F.struct(*prints, "keys")).alias("w")), "text-classes")
-    nodes, links, seen = classes.withColumn("root", F.col("node")), None, None
-    for nearest in (True, False):
-        keyed = nodes.select(F.explode("w.keys").alias("key"), F.col("node").alias("id"), "root", *(f"w.{p}" for p in prints))
-        blocks = links_in_blocks(keyed, ["root", *prints], radius, found=lambda rows, nearest=nearest: candidate_pairs(rows, radius, nearest))
-        pairs = blocks.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = stored(pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti"), "pairs")
-        similar = stored(similar_links(docs, classes, pairs, width), "similar")
-        links, seen = similar if links is None else links.union(similar), pairs
-        if nearest:
-            roots = stored(connected_components(links).withColumnRenamed("id", "node"), "roots")
-            nodes = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    keyed = classes.select(F.explode("w.keys").alias("key"), F.col("node").alias("id"), *(f"w.{p}" for p in prints))
+    clusters = connected_components(links_in_blocks(keyed, prints, radius)).select(F.col("id").alias("node"), F.col("root").alias("cluster"))
+    near = stored(clusters.join(classes, "node").select("node", "cluster", "id", *(f"w.{p}" for p in prints)), "near")
+    sets = shingle_sets(docs, near.select("node", "id"), width)
+    clustered = stored(near.drop("id").join(sets, "node"), "clustered")
+    links = similar_links(clustered, prints, radius)
     named = named_by_least(classes.select("node", "id"), links, "node", "id", "best")
     return named.select("node", "id", F.col("best.ident").alias("root"), (F.col("best.node") == F.col("node")).alias("kept"))
 
