@@ -17,6 +17,8 @@ import zlib
 from collections.abc import Callable, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,11 +35,13 @@ PADDING, CUT = 0.01, 256
 WASTE = 1 / 4000
 END_ID = 1
 #: Words of one generation of a worker's cache (two are kept), and the longest that is kept, in characters; words encoded at once.
-CACHE_WORDS, CACHE_CHARS, BATCH = 120_000, 200, 1000
+CACHE_WORDS, CACHE_CHARS, BATCH = 150_000, 200, 1000
 
-#: Places inside words where the tokenizer's pattern starts a new part, too: before marks after letters or digits, and around single line feeds.
-_INSIDE = re.compile(r"(?<=[^\W_])(?=[.,;:!?])|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
-_UNSURE, _SURE = re.compile(r" (?:\s|\Z)"), re.compile(r"(?<=\S) (?=\S)")
+#: A character that marks, while a text is cut, a part without a space before it; texts that hold it themselves are cut without it.
+NO_SPACE = "\x01"
+#: No white space of any kind, in Arrow's patterns.
+_SOLID = r"[^\s\p{Z}\x0b\x{85}\x1c-\x1f]"
+_UNSURE, _SURE = re.compile(r" (?:\s|\Z)|\x01"), re.compile(r"(?<=\S) (?=\S)")
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -49,8 +53,9 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 class WordTokenizer:
     """Ids of a byte-level BPE file by the tokenizers library, without special tokens put in, as little-endian unsigned 32-bit bytes.
 
-    The pattern that parts a text before BPE always starts a new part at a single space between two other characters, so texts are cut
-    there, and words that were seen before have their ids in a cache.
+    The pattern that parts a text before BPE always starts a new part at a single space between two other characters, before a mark that
+    follows a letter or digit, and on both sides of a single line feed between other characters. So texts are cut there, and parts that
+    were seen before have their ids in a cache.
     """
 
     def __init__(self, path: str | None = None):
@@ -75,28 +80,52 @@ class WordTokenizer:
         raw = ids.tobytes()
         return [raw[a:b] for a, b in zip([0, *(ends + 4).tolist()], [*ends.tolist(), len(raw)], strict=True)]
 
-    def many(self, texts: Sequence[str | None]) -> list[bytes]:
-        """The ids of each text (null: none)."""
-        parts = [[] if not t else _SURE.split(t) if _UNSURE.search(t) else t.split(" ") for t in texts]
-        for words in parts:
-            words[1:] = [" " + w for w in words[1:]]
+    def ids_of(self, words: list[str]) -> list[bytes]:
+        """The ids of each of the different ``words``, each encoded as one part of a text: from the cache, or by the tokenizer."""
         if len(self.cache) > CACHE_WORDS:
             self.cache, self.older = {}, self.cache
         cache, older = self.cache, self.older
-        fresh = {w for w in set().union(*parts) if w not in cache}
-        cache.update({w: older[w] for w in fresh if w in older})
-        fresh = {w for w in fresh if w not in cache}
-        units = {w: p for w in fresh if (w[-1:] in ".,;:!?" or "\n" in w) and len(p := _INSIDE.split(w)) > 1 and not any(t in w for t in self.added)}
-        new = list({u for w in fresh for u in units.get(w, (w,)) if u not in cache})
+        for w in [w for w in words if w not in cache]:
+            if (ids := older.get(w)) is not None:
+                cache[w] = ids
+        new = [w for w in words if w not in cache]
         for at in range(0, len(new), BATCH):
             cache.update(zip(new[at : at + BATCH], self.encode(new[at : at + BATCH]), strict=True))
-        cache.update({w: b"".join(map(cache.__getitem__, p)) for w, p in units.items()})
-        out = [b"".join(map(cache.__getitem__, words)) for words in parts]
-        for w in {*new, *fresh}:
+        out = list(map(cache.__getitem__, words))
+        for w in new:
             if len(w) > CACHE_CHARS:
                 del cache[w]
         return out
 
+    def many(self, texts: Sequence[str | None]) -> list[bytes]:
+        """The ids of each text (null: none). Texts are cut to parts and parts counted up by Arrow; each different part is looked up once."""
+        out = [b""] * len(texts)
+        odd = [k for k, t in enumerate(texts) if t and (_UNSURE.search(t) or any(x in t for x in self.added))]
+        plain = sorted({k for k, t in enumerate(texts) if t} - set(odd))
+        for k in odd:
+            first, *words = _SURE.split(texts[k])
+            words = [first, *(" " + w for w in words)]
+            different = list(dict.fromkeys(words))
+            found = dict(zip(different, self.ids_of(different), strict=True))
+            out[k] = b"".join(map(found.__getitem__, words))
+        if plain:
+            marked = pa.array([NO_SPACE + texts[k] for k in plain])
+            marked = pc.replace_substring_regex(marked, r"([\p{L}\p{N}])([.,;:!?])", rf"\1 {NO_SPACE}\2")
+            marked = pc.replace_substring_regex(marked, rf"({_SOLID})\n({_SOLID})", f"\\1 {NO_SPACE}\n {NO_SPACE}\\2")
+            cut = pc.split_pattern(marked, " ")
+            coded = cut.flatten().dictionary_encode()
+            which = np.asarray(coded.indices)
+            found = self.ids_of([w[1:] if w[:1] == NO_SPACE else " " + w for w in coded.dictionary.to_pylist()])
+            sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+            ids, start = np.frombuffer(b"".join(found), "<u4"), np.r_[0, np.cumsum(sizes)[:-1]]
+            length = sizes[which]
+            end = np.cumsum(length)
+            ids = ids[np.repeat(start[which] - (end - length), length) + np.arange(end[-1])]
+            upto = np.r_[0, end][np.asarray(cut.offsets)]
+            for k, a, b in zip(plain, upto[:-1].tolist(), upto[1:].tolist(), strict=True):
+                out[k] = ids[a:b].tobytes()
+        return out
+
 
 PIECES = T.StructType([T.StructField(n, T.LongType()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")])
 
