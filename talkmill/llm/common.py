@@ -112,11 +112,11 @@ def crc32(data: bytes) -> int:
     return zlib.crc32(data) & 0xFFFFFFFF
 
 
-def slices(batch: pa.RecordBatch, column: int = 1) -> Iterator[pa.RecordBatch]:
-    """Cuts a batch so that the texts of each part come to about SLICE_BYTES (one row at least)."""
+def slices(batch: pa.RecordBatch, column: int = 1, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cuts a batch so that the texts of each part come to about ``most`` bytes (one row at least)."""
     start, size = 0, 0
     for i, n in enumerate(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()):
-        if size and size + n > SLICE_BYTES:
+        if size and size + n > most:
             yield batch.slice(start, i - start)
             start, size = i, 0
         size += n
@@ -139,7 +139,7 @@ def kept_state(key: str, start: Callable[[], object]) -> object:
     return _states[key]
 
 
-def map_texts(docs: DataFrame, rows: Callable[[list, list], Sequence[Sequence]], schema: T.StructType, start: Callable[[], object] | None = None) -> DataFrame:
+def map_texts(docs: DataFrame, rows: Callable[[list, list], Sequence[Sequence]], schema: T.StructType, start: Callable[[], object] | None = None, most: int = SLICE_BYTES) -> DataFrame:
     """Maps (doc_id, text) to rows of ``schema`` without a shuffle.
 
     ``rows(ids, texts[, state])`` gets lists and returns one list for each output column. ``start()`` makes a state, once a worker.
@@ -152,9 +152,10 @@ def map_texts(docs: DataFrame, rows: Callable[[list, list], Sequence[Sequence]],
         arrow = pa_schema(schema)
         state = (kept_state(key, start),) if start else ()
         for whole in batches:
-            for batch in slices(whole):
+            for batch in slices(whole, most=most):
                 columns = rows(batch.column(0).to_pylist(), batch.column(1).to_pylist(), *state)
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, arrow, strict=True)], names=names)
+        pa.default_memory_pool().release_unused()  # the worker goes on to other stages
 
     return docs.select(F.col("doc_id"), F.col("text")).mapInArrow(run, schema)
 

@@ -37,7 +37,7 @@ LEAST_SCORE = 0.5
 BLOCK_CHARS, BATCH = 4_000_000, 256
 #: Cells of an alignment row that a batch has, about, at most (one passage at least).
 CELLS = 100_000
-CACHE_WORDS = 150_000
+CACHE_WORDS = 80_000
 EDGE = ".,;:!?()[]{}\"'<>|*%&#$-_/+=~`^«»“”‘’…"
 
 

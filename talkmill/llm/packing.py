@@ -35,7 +35,9 @@ PADDING, CUT = 0.01, 256
 WASTE = 1 / 4000
 END_ID = 1
 #: Words of one generation of a worker's cache (two are kept), and the longest that is kept, in characters; words encoded at once.
-CACHE_WORDS, CACHE_CHARS, BATCH = 150_000, 200, 1000
+CACHE_WORDS, CACHE_CHARS, BATCH = 200_000, 200, 1000
+#: Bytes of texts that are tokenized at once; what that takes is many times as much.
+SLICE_BYTES = 2 << 20
 
 #: A character that marks, while a text is cut, a part without a space before it; texts that hold it themselves are cut without it.
 NO_SPACE = "\x01"
@@ -58,7 +60,7 @@ class WordTokenizer:
     were seen before have their ids in a cache.
     """
 
-    def __init__(self, path: str | None = None):
+    def __init__(self, path: str | None = None, cache_words: int = CACHE_WORDS):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -68,6 +70,7 @@ class WordTokenizer:
         added = self.tokenizer.get_added_tokens_decoder()
         self.added = [t.content for t in added.values()]
         self.between, self.between_id = (self.added[0], next(iter(added))) if added else (None, None)
+        self.cache_words = cache_words
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -82,7 +85,7 @@ class WordTokenizer:
 
     def ids_of(self, words: list[str]) -> list[bytes]:
         """The ids of each of the different ``words``, each encoded as one part of a text: from the cache, or by the tokenizer."""
-        if len(self.cache) > CACHE_WORDS:
+        if len(self.cache) > self.cache_words:
             self.cache, self.older = {}, self.cache
         cache, older = self.cache, self.older
         for w in [w for w in words if w not in cache]:
@@ -147,7 +150,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: Callable[[], Wo
                     c.append(v)
         return out
 
-    return map_texts(docs, rows, schema, tokenizer)
+    return map_texts(docs, rows, schema, tokenizer, SLICE_BYTES)
 
 
 def cut_to_parts(cut: DataFrame, capacity: int) -> DataFrame:

@@ -86,11 +86,6 @@ def shape(word: str) -> str:
 
 
 def features(word: str) -> tuple[str, ...]:
-    """Word-shape features, kept for words of usual length."""
-    return _kept_features(word) if len(word) <= 100 else _features(word)
-
-
-def _features(word: str) -> tuple[str, ...]:
     """Word-shape features. Words without digit, @ or + have the features 'plain' and, if so, 'end' (sentence mark at the end)."""
     if not MARKED.search(word):
         return ("plain", "end") if word[-1] in ".!?" else ("plain",)
@@ -111,9 +106,6 @@ def _features(word: str) -> tuple[str, ...]:
     )
 
 
-_kept_features = lru_cache(maxsize=200_000)(_features)
-
-
 @dataclass
 class Crf:
     """Weights: emission (feature x label), transition (label x label), start (label)."""
@@ -130,7 +122,7 @@ class Crf:
             row = cache.get(w)
             if row is None:
                 row = self.emit[[k for f in features(w) if (k := self.names.get(f)) is not None]].sum(axis=0)
-                if len(cache) < 200_000 and len(w) <= 100:
+                if len(cache) < 50_000 and len(w) <= 100:
                     cache[w] = row
             rows.append(row)
         return np.array(rows).reshape(len(words), len(self.start))

@@ -19,7 +19,6 @@ from dataclasses import dataclass, field
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import TokenRows, fitting_sample, map_texts

@@ -35,7 +35,7 @@ FEATURES, LEAST_Z, LEAST_ROWS = 1500, 4.0, 3
 #: Rounds of clustering.
 MOVES = 20
 FOLDS = 5
-CACHE_WORDS, CACHE_CHARS = 150_000, 66
+CACHE_WORDS, CACHE_CHARS = 80_000, 66
 #: N-grams of a token are taken at so many places at once.
 PIECE = 20_000
 EDGE = "^$.,;:!?()[]{}\"'<>|*%&#-_/+=~`"
