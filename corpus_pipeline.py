@@ -36,7 +36,8 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs)
+    # Workers have held other stages' states before, so this one's cache of words is kept small.
+    return packing.pack_documents(docs, tokenizer=lambda: packing.WordTokenizer(cache_words=40_000))
 
 
 STAGES = [
