@@ -37,7 +37,8 @@ LEAST_SCORE = 0.5
 BLOCK_CHARS, BATCH = 4_000_000, 256
 #: Cells of an alignment row that a batch has, about, at most (one passage at least).
 CELLS = 100_000
-CACHE_WORDS = 80_000
+#: Words that a worker keeps; fewer where documents are dropped, as other stages run in the same workers.
+CACHE_WORDS, CACHE_WORDS_DROP = 400_000, 80_000
 EDGE = ".,;:!?()[]{}\"'<>|*%&#$-_/+=~`^«»“”‘’…"
 
 
@@ -48,12 +49,12 @@ def core(token: str) -> str:
 class WordIds(dict):
     """token -> id of its word among the items' words, -1 for other words, -2 for tokens without a word."""
 
-    def __init__(self, words: dict[str, int]):
+    def __init__(self, words: dict[str, int], most: int = CACHE_WORDS):
         super().__init__()
-        self.words = words
+        self.words, self.most = words, most
 
     def __missing__(self, token: str) -> int:
-        if len(self) >= CACHE_WORDS:
+        if len(self) >= self.most:
             self.clear()
         word = core(token)
         self[token] = n = self.words.get(word, -1) if word else -2
@@ -194,10 +195,10 @@ def smith_waterman(passages: Sequence[np.ndarray], items: Sequence[np.ndarray])
 class Matcher:
     """Finds the items that texts hold."""
 
-    def __init__(self, items: Items, seeds: Seeds, least: float = LEAST_SCORE):
+    def __init__(self, items: Items, seeds: Seeds, least: float = LEAST_SCORE, most: int = CACHE_WORDS):
         self.items, self.seeds, self.least = items, seeds, least
         self.size = np.array([len(t) for t in items.texts], np.int64)
-        self.cache = WordIds(items.words)
+        self.cache = WordIds(items.words, most)
         self.singles = bool((self.size == 1).any())
 
     def passages(self, ids: np.ndarray) -> list[tuple[int, int, int, int]]:
@@ -300,6 +301,6 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAS
         matcher = docs.sparkSession.sparkContext.broadcast((items, seeds))
         flag = free_name(docs.columns, "_held")
         counts = np.array([len(t) >= least_words for t in items.texts], bool)
-        held = text_column(F.col("text"), lambda texts, match, counts=counts: [any(counts[got[0]] for got in found) for found in match(texts)], T.BooleanType(), lambda matcher=matcher: Matcher(*matcher.value, least))
+        held = text_column(F.col("text"), lambda texts, match, counts=counts: [any(counts[got[0]] for got in found) for found in match(texts)], T.BooleanType(), lambda matcher=matcher: Matcher(*matcher.value, least, CACHE_WORDS_DROP))
         out = out.withColumn(flag, held).where(~F.col(flag)).drop(flag)
     return out

@@ -35,7 +35,7 @@ FEATURES, LEAST_Z, LEAST_ROWS = 1500, 4.0, 3
 #: Rounds of clustering.
 MOVES = 20
 FOLDS = 5
-CACHE_WORDS, CACHE_CHARS = 80_000, 66
+CACHE_WORDS, CACHE_CHARS = 300_000, 66
 #: N-grams of a token are taken at so many places at once.
 PIECE = 20_000
 EDGE = "^$.,;:!?()[]{}\"'<>|*%&#-_/+=~`"
@@ -62,14 +62,14 @@ def word_features(token: str, kept: dict[int, int] | None = None) -> tuple[int,
 class FeatureCache(dict):
     """token -> its features (of those in ``kept``, if given); cleared when it has grown too large, and long tokens are not held."""
 
-    def __init__(self, kept: dict[int, int] | None = None):
+    def __init__(self, kept: dict[int, int] | None = None, most: int = CACHE_WORDS):
         super().__init__()
-        self.kept = kept
+        self.kept, self.most = kept, most
 
     def __missing__(self, token: str) -> tuple[int, ...]:
         got = word_features(token, self.kept)
         if len(token) <= CACHE_CHARS:
-            if len(self) >= (CACHE_WORDS // 10 if self.kept is None else CACHE_WORDS):  # all of a token's features take ten times as much
+            if len(self) >= (self.most // 10 if self.kept is None else self.most):  # all of a token's features take ten times as much
                 self.clear()
             self[token] = got
         return got
@@ -245,5 +245,5 @@ def score_toxicity(docs: DataFrame, chain: Chain) -> DataFrame:
 def drop_toxic(docs: DataFrame, chain: Chain) -> DataFrame:
     """``docs`` without toxic rows; all columns stay as they are."""
     flag = free_name(docs.columns, "_toxic")
-    is_toxic = text_column(F.col("text"), lambda texts, cache: (chain.probabilities([cache.of(t) for t in texts])[:, -1] >= chain.threshold).tolist(), T.BooleanType(), lambda: FeatureCache(chain.columns))
+    is_toxic = text_column(F.col("text"), lambda texts, cache: (chain.probabilities([cache.of(t) for t in texts])[:, -1] >= chain.threshold).tolist(), T.BooleanType(), lambda: FeatureCache(chain.columns, CACHE_WORDS // 2))
     return docs.withColumn(flag, is_toxic).where(~F.col(flag)).drop(flag)
