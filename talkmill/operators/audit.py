@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions import text as X
 from ..functions.semantics import ratio, utf16_length
-from ..sources.stage import staged
-from .ordered import narrow
+from .keysearch import lines_with_keys
 
 
 def _rates(out: DataFrame, duplicates: str) -> DataFrame:
@@ -72,38 +71,6 @@ def length_stats(records: DataFrame, column: str = "content") -> DataFrame:
     return records.agg(F.count("*").alias("n"), F.coalesce(F.round(F.avg(n), 1), F.lit(0.0)).alias("avg_length"), F.coalesce(F.max(n), F.lit(0)).alias("max_length"), F.count_if(n > 800).alias("over_800"), F.count_if(n > 1200).alias("over_1200"))
 
 
-#: Characters of a key by which lines are searched for it, at most.
-GRAM = 8
-
-
-def key_seeds(keys: DataFrame) -> DataFrame:
-    """(key, seed): of each different non-empty key the run of GRAM characters (the key itself if it is shorter) that fewest keys have."""
-    distinct = keys.select("key").where(F.coalesce("key", F.lit("")) != "").distinct()
-    grams = distinct.select("key", F.explode(_grams(F.col("key"), F.least(F.lit(GRAM), F.length("key")))).alias("seed"))
-    counted = grams.groupBy("seed").agg(F.count("*").alias("n"))
-    best = grams.join(counted, "seed").groupBy("key").agg(F.min(F.struct("n", F.xxhash64("seed").alias("draw"), "seed")).alias("best"))
-    return staged(best.select("key", "best.seed"), "key-seeds")
-
-
-def _grams(text: Column, size: Column) -> Column:
-    """The different runs of ``size`` characters."""
-    last = F.length(text) - size + 1
-    return F.when(last >= 1, F.array_distinct(F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(text, i, size)))).otherwise(F.array().cast("array<string>"))
-
-
-def lines_with_keys(lines: DataFrame, keys: DataFrame) -> DataFrame:
-    """``lines`` (line among their columns) joined with each ``key`` that stands in them as a substring.
-
-    Each key is looked for by its rarest run of characters, which meets the lines' runs by equality; ``contains`` then decides. So nothing
-    is lost, and no line meets a key that it has no run of.
-    """
-    seeds = key_seeds(keys)
-    sizes = [r.n for r in seeds.select(F.length("seed").alias("n")).distinct().collect()]  # at most GRAM numbers
-    runs = F.flatten(F.array(*(_grams(F.col("line"), F.lit(n)) for n in sizes))) if sizes else F.array().cast("array<string>")
-    near = lines.select("*", F.explode(runs).alias("seed")).join(narrow(seeds), "seed")
-    return near.where(F.contains("line", "key")).drop("seed")
-
-
 def key_hits(lines: DataFrame, keys: DataFrame) -> DataFrame:
     """(file, key): keys that stand in one of a file's lines."""
     return lines_with_keys(lines.select("file", "line"), keys).select("file", "key").distinct()

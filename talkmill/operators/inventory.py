@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.semantics import ratio
-from .ordered import running_sum
+from .ordered import chunk_of, narrow, prefix_sums, running_sum
 
 
 def inventory(messages: DataFrame) -> DataFrame:
@@ -42,7 +42,7 @@ def select_files(rows: DataFrame, month: str, **equal: str) -> DataFrame:
     picked = rows.where(F.col("month") == month)
     for column, value in equal.items():
         picked = picked.where(F.col(column) == value)
-    return picked.orderBy(F.when(F.col("source_type") == "discord", 0).otherwise(1), F.desc("message_count"), "file")
+    return picked.orderBy(*_batch_order("source_type", "message_count"))
 
 
 def page_rounds(rounds: DataFrame, files: DataFrame, batch_size: int, batch_index: int) -> DataFrame:
@@ -51,13 +51,19 @@ def page_rounds(rounds: DataFrame, files: DataFrame, batch_size: int, batch_inde
     Only a file's number of rounds is summed up in order; rounds get their place from where their file starts.
     """
     counts = rounds.groupBy("month", "file").agg(F.count("*").alias("n"))
-    order = Window.partitionBy("month").orderBy(F.when(F.col("source_type") == "discord", 0).otherwise(1), F.desc("message_count"), "file").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.join(files.select("month", "file", "source_type", "message_count"), ["month", "file"]).withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0)))
-    inside = Window.partitionBy("month", "file").orderBy("round_id")
+    placed = prefix_sums(counts.join(files.select("month", "file", "source_type", "message_count"), ["month", "file"]), [F.col("month"), *_batch_order("source_type", "message_count")], F.col("n"), "upto")
+    months = placed.groupBy("month").agg(F.min("upto").alias("first"))
+    starts = placed.join(narrow(months), "month").withColumn("before", F.col("upto") - F.col("first"))
     offset = (batch_index - 1) * batch_size
     touched = starts.where((F.col("before") < offset + batch_size) & (F.col("before") + F.col("n") > offset)).select("month", "file", "before")
-    placed = rounds.join(touched, ["month", "file"]).withColumn("place", F.col("before") + F.row_number().over(inside) - 1).drop("before")
-    return placed.where((F.col("place") >= offset) & (F.col("place") < offset + batch_size))
+    near = rounds.join(touched, ["month", "file"])
+    numbered = running_sum(near, ["month", "file"], chunk_of(F.col("round_id")), [F.col("round_id")], F.lit(1), "upto")
+    return numbered.withColumn("place", F.col("before") + F.col("upto") - 1).drop("before", "upto").where((F.col("place") >= offset) & (F.col("place") < offset + batch_size))
+
+
+def _batch_order(source_type: str, size: str, file: str = "file") -> list[Column]:
+    """Channels first, then by size, then by path."""
+    return [F.when(F.col(source_type) == "discord", 0).otherwise(1), F.desc(size), F.col(file)]
 
 
 def ordered_inventory(rows: DataFrame) -> DataFrame:
@@ -68,12 +74,10 @@ def ordered_inventory(rows: DataFrame) -> DataFrame:
 def place_files(messages: DataFrame) -> DataFrame:
     """(file, before): how many line numbers the files before this one take up in batch order (channels first, then by messages, then by path).
 
-    A row for each file is put in order, by chunks of files with equally many messages.
+    A row for each file is put in order, by ranges of that order.
     """
     files = messages.groupBy("file").agg(F.count("*").alias("n"), F.max("line_no").alias("lines"), F.max("source_type").alias("source_type"))
-    rank = F.when(F.col("source_type") == "discord", 0).otherwise(1)
-    placed = running_sum(files, [], rank * F.lit(1 << 40) - F.col("n"), [F.col("file")], F.col("lines") + 1, "upto")
-    return placed.select("file", (F.col("upto") - F.col("lines") - 1).alias("before"))
+    return prefix_sums(files, _batch_order("source_type", "n"), F.coalesce("lines", F.lit(0)) + 1, "before").select("file", "before")
 
 
 def offset_rejects(rounds_available: int, month: str, batch_id: str, offset_rounds: int, spark) -> DataFrame:

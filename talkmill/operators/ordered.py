@@ -4,9 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from itertools import accumulate
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..sources.stage import staged
 
 #: Consecutive numbers of an order column that make a chunk.
 CHUNK = 50_000
@@ -32,12 +38,15 @@ def join_null_safe(rows: DataFrame, table: DataFrame, keys: Sequence[str], how:
 def join_unique(rows: DataFrame, table: DataFrame, keys: Sequence[str], weight: str) -> DataFrame:
     """``rows`` with the columns of ``table``, which has a row for each of their ``keys`` and in ``weight`` the rows that have it.
 
-    Keys with over HOT_ROWS rows never meet in a shuffle: their part of the table is broadcast. ``weight`` is dropped.
+    The table is computed once, as a stage. If it has keys with over HOT_ROWS rows, these never meet in a shuffle: their part of the table
+    is broadcast. ``weight`` is dropped.
     """
-    hot = table.where(F.col(weight) > HOT_ROWS)
-    cold = table.where(F.col(weight) <= HOT_ROWS)
-    calm = join_null_safe(rows, F.broadcast(hot.select(*keys)), keys, "left_anti")
-    return join_null_safe(rows, F.broadcast(hot), keys).unionByName(join_null_safe(calm, cold, keys)).drop(weight)
+    table = staged(table, "unique")
+    if not table.where(F.col(weight) > HOT_ROWS).isEmpty():
+        hot, cold = table.where(F.col(weight) > HOT_ROWS), table.where(F.col(weight) <= HOT_ROWS)
+        calm = join_null_safe(rows, F.broadcast(hot.select(*keys)), keys, "left_anti")
+        return join_null_safe(rows, F.broadcast(hot), keys).unionByName(join_null_safe(calm, cold, keys)).drop(weight)
+    return join_null_safe(rows, table, keys).drop(weight)
 
 
 def chunk_of(order: Column, size: int = CHUNK) -> Column:
@@ -53,6 +62,32 @@ def running_sum(rows: DataFrame, keys: Sequence[str], chunk: Column, order: Sequ
     return join_null_safe(cut, before, [*keys, "_chunk"]).withColumn(name, F.col("_before") + F.sum("_value").over(within)).drop("_chunk", "_value", "_before")
 
 
+def prefix_sums(rows: DataFrame, order: Sequence[Column], value: Column, name: str) -> DataFrame:
+    """Adds ``name``: the sum of ``value`` (a long that is never null) over all rows before a row, by ``order``, which should be total.
+
+    Rows go to ranges of the order and are summed up along each range as they come; the ranges' totals, one for each partition, give where
+    a range begins. No window is over more than that, whatever the keys. The result is a stage.
+    """
+    kept = list(rows.columns)
+    dealt = rows.withColumn("_value", value.cast("long")).repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
+    schema = T.StructType([*dealt.schema.fields, T.StructField("_before", T.LongType())])
+
+    def run(batches):
+        total = 0
+        for batch in batches:
+            values = batch.column(len(kept)).to_numpy(zero_copy_only=False)
+            upto = total + np.cumsum(values)
+            if len(values):
+                total = int(upto[-1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(upto - values, pa.int64())], names=schema.names)
+
+    summed = staged(dealt.mapInArrow(run, schema), "ranges")
+    totals = sorted((r._part, r.total) for r in summed.groupBy("_part").agg(F.sum("_value").alias("total")).collect())  # a row for each partition
+    starts = zip((p for p, _ in totals), accumulate((t for _, t in totals), initial=0))
+    table = rows.sparkSession.createDataFrame(list(starts), "_part int, _start long")
+    return summed.join(F.broadcast(table), "_part").select(*kept, (F.col("_start") + F.col("_before")).alias(name))
+
+
 def previous_row(rows: DataFrame, keys: Sequence[str], order: str, payload: Column, name: str, size: int = CHUNK) -> DataFrame:
     """Adds ``payload`` of the row before in the group, by the long column ``order``; null for the first."""
     cut = rows.withColumn("_chunk", chunk_of(F.col(order), size)).withColumn("_payload", payload)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.stage import staged
 from .ordered import first_rows, join_null_safe, join_unique, running_sum
 
 
@@ -17,10 +18,10 @@ def strict_rounds(messages: DataFrame, file: str = "file", ts: str = "ts_ms", li
     is_user = (F.col("role") == "user").cast("int")
     by_hour = F.floor(F.col(ts) / 3_600_000) if chunk is None else chunk
     numbered = running_sum(messages, [file], by_hour, [F.col(ts), F.col(line)], is_user, "round_id")
-    place = F.struct(F.col(ts), F.col(line))
-    users = first_rows(numbered.where("role = 'user'").withColumn("_place", place), [file, key], "_place", F.col("_place"), "_first")
+    told = staged(numbered.select(file, "round_id", key, is_user.alias("_user"), F.struct(F.col(ts), F.col(line)).alias("_place")), "places")
+    users = first_rows(told.where("_user = 1"), [file, key], "_place", F.col("_place"), "_first")
     openers = users.select(file, "round_id", (F.col("_place") != F.col("_first")).alias("_again"))
-    sizes = numbered.groupBy(file, "round_id").agg(F.sum(F.lit(1) - is_user).alias("_assistants"), F.count("*").alias("_rows"))
+    sizes = told.groupBy(file, "round_id").agg(F.sum(F.lit(1) - F.col("_user")).alias("_assistants"), F.count("*").alias("_rows"))
     heads = join_null_safe(sizes, openers, [file, "round_id"], "left")
     reject = (
         F.when((F.col("role") == "user") & F.col("_again"), "duplicate_user_message")
