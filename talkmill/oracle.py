@@ -216,6 +216,7 @@ ORACLE = {
     "q_vec_coverage": "SELECT lang, count(*) AS n, count(vec_id) AS joined, count(vec_id) AS covered FROM documents LEFT JOIN embeddings ON vec_id = doc_id GROUP BY 1",
     "q_live_verify": f"WITH {L1}, s AS (SELECT (SELECT count(*) FROM documents) AS l0, (SELECT count(*) FROM l1) AS l1, (SELECT count(*) FROM l1 WHERE record_id % 5 <= 1) AS missing_embedding, (SELECT count(*) FROM documents WHERE CASE WHEN doc_id % 2 = 0 THEN doc_id ELSE -doc_id END IN (SELECT record_id FROM l1)) AS l1_indexed) SELECT *, l0 > 0 AND l1 > 0 AND l1_indexed = l1 AS passed FROM s",
     "q_session_progress": f"WITH {PROGRESS} SELECT * FROM sp",
+    "q_stream_progress": f"WITH {PROGRESS} SELECT * FROM sp",
     "q_dashboard_month": f"WITH {PROGRESS}, g AS (SELECT '2024-0' || CAST(session_key % 9 + 1 AS VARCHAR) AS month, {SUMS} FROM sp GROUP BY 1) SELECT *, {LEFT} FROM g",
     "q_manifest_upsert": "WITH n AS (SELECT CASE WHEN o_orderkey % 3 = 0 OR o_orderkey % 5 = 0 THEN o_orderkey ELSE -o_orderkey END AS batch_id FROM orders) SELECT batch_id, 'accepted' AS status FROM n UNION ALL SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey NOT IN (SELECT batch_id FROM n)",
     "q_index_merge": "WITH o AS (SELECT CASE WHEN c_custkey % 3 = 0 THEN -c_custkey ELSE c_custkey END AS c_custkey, c_mktsegment, c_name FROM customer), n AS (SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'execute' END AS mode FROM customer) SELECT c_custkey, coalesce(mode, c_mktsegment) AS mode, c_name AS report FROM o FULL JOIN n USING (c_custkey)",

@@ -22,8 +22,19 @@ def shared_folder(spark: SparkSession) -> str:
     return "file://" + _own[0]
 
 
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A new folder among those of this application, which ``discard_stages`` removes."""
+    return f"{shared_folder(spark)}/stages-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Long pattern chains are computed once: filters on what follows are not pushed into them, and lost executors cost only reads."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = stage_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard_stages(spark: SparkSession) -> None:
+    """Removes every stage of this application. Frames that read them are of no use after that: write their results first."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/stages-{spark.sparkContext.applicationId}")
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
