@@ -192,6 +192,8 @@ ORACLE = {
     "q_dup_surplus": f"WITH {D}, n AS (SELECT h, count(*) AS n FROM dm WHERE h <> '' GROUP BY 1) SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS surplus, count(*) FILTER (n > 1) AS repeated_hashes FROM n",
     "q_top_duplicates": f"WITH {D} SELECT h AS content_hash, count(*) AS n, min(seq) AS first_seq, arg_min(substr(norm, 1, 180), seq) AS content FROM dm WHERE h <> '' GROUP BY 1 HAVING count(*) > 1 ORDER BY n DESC, first_seq LIMIT 10",
     "q_capture_split": f"WITH {C} SELECT count(*) AS raw, count(*) FILTER (filter_reason IS NULL) AS kept, count(*) FILTER (filter_reason IS NOT NULL) AS filtered, count(*) FILTER (filter_reason IS NULL AND transformed) AS transformed FROM x",
+    "q_import_published": f"WITH {C} SELECT {RECORD_ID} AS record_id, session_key, role, ts_ms, captured AS message_text, captured AS fts_text, compare_key FROM x WHERE filter_reason IS NULL",
+    "q_import_journal": f"WITH {C}, n AS (SELECT count(*) FILTER (conv_id % 2 = 0) AS even, count(*) FILTER (conv_id % 2 = 1) AS odd FROM x WHERE filter_reason IS NULL) SELECT batch, seq, phase, planned, accepted_before FROM n, LATERAL (VALUES ('2024-01-batch-001', 3, 'verified-ok', even, 0), ('2024-01-batch-002', 3, 'verified-ok', odd, even), ('2024-01-batch-003', 3, 'stop', even, even + odd)) AS v(batch, seq, phase, planned, accepted_before)",
     "q_planned_rows": f"WITH {C} SELECT conv_id, line_no, {RECORD_ID} AS record_id, {units('captured')} AS chars, compare_key FROM x WHERE filter_reason IS NULL",
     "q_compare_multiset": f"WITH {BOTH}, a AS (SELECT compare_key, count(*) AS l FROM x GROUP BY 1), b AS (SELECT compare_key, count(*) AS r FROM y GROUP BY 1), n AS (SELECT coalesce(l, 0) AS l, coalesce(r, 0) AS r FROM a FULL JOIN b USING (compare_key)), s AS (SELECT CAST(coalesce(sum(greatest(l - r, 0)), 0) AS BIGINT) AS missing, CAST(coalesce(sum(greatest(r - l, 0)), 0) AS BIGINT) AS extra, CAST(coalesce(sum(l), 0) AS BIGINT) AS expected_rows, CAST(coalesce(sum(r), 0) AS BIGINT) AS live_rows FROM n) SELECT *, missing = 0 AND extra = 0 AND expected_rows = live_rows AS complete FROM s",
     "q_relaxed_compare": f"WITH {BOTH}, xe AS (SELECT concat_ws(':', role, hash) AS role_hash FROM x), ye AS (SELECT concat_ws(':', role, hash) AS role_hash FROM y) {differ('xe', 'ye', 'role_hash')}",

@@ -13,6 +13,7 @@ from .functions.semantics import collapsed, epoch_ms, month_of, utf16_length
 from .operators import audit, capture, dedupe, inventory, rounds, state
 from .plans import curate
 from .sources.stage import stage_path, staged
+from .streaming import importer
 from .streaming import progress as streaming_progress
 
 #: Decorated content: envelopes, noise, acknowledgements and repeats by conversation and turn. Valid in both dialects.
@@ -361,6 +362,30 @@ def q_accept_existing(spark, sf_dir):
     return state.accept_existing(planned, live, planned, 0)
 
 
+def imported(spark, sf_dir):
+    """A store that got the even conversations, then the odd ones, and refused the even ones a second time."""
+    planned = staged(capture.planned_rows(staged(expected(spark, sf_dir), "expected")).select("conv_id", "record_id", "session_key", "session_id", "role", "captured", "ts_ms", "compare_key"), "planned")
+    store = importer.open_store(spark, stage_path(spark, "store"))
+    for k, batch in enumerate(("batch-001", "batch-002", "batch-003")):
+        importer.import_batch(store, planned.where(F.col("conv_id") % 2 == k % 2), "2024-01", batch)
+    return store
+
+
+@query
+def q_import_published(spark, sf_dir):
+    """What readers of the store's newest version see: rows joined with their index."""
+    store = imported(spark, sf_dir)
+    return store.read("rows").join(store.read("index").select("record_id", "fts_text"), "record_id").select("record_id", "session_key", "role", "ts_ms", "message_text", "fts_text", "compare_key")
+
+
+@query
+def q_import_journal(spark, sf_dir):
+    """The last phase of each import, and the planned rows of its first one."""
+    entries = imported(spark, sf_dir).journals()
+    planned = entries.where("phase = 'planned'").select("batch", F.col("facts")["planned"].cast("bigint").alias("planned"), F.col("facts")["accepted_total"].cast("bigint").alias("accepted_before"))
+    return state.latest_phase(entries, ["batch"]).select("batch", "seq", "phase").join(planned, "batch")
+
+
 @query
 def q_runtime_estimate(spark, sf_dir):
     n = table(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("n"))
