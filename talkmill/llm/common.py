@@ -192,30 +192,35 @@ def free_name(columns: Sequence[str], name: str) -> str:
 
 #: Texts of a fitting sample come to at most this many bytes; documents of any length may be in it.
 FIT_BYTES = 64 << 20
+#: Of a longer text, a sample has one passage of so many characters, from a place that a hash of its id picks.
+FIT_CHARS = 200_000
 
 
-def fitting_sample(docs: DataFrame, bound: int, columns: Sequence[str], salt: int = 0, labels: DataFrame | None = None, most_bytes: int = FIT_BYTES) -> DataFrame:
+def fitting_sample(docs: DataFrame, bound: int, columns: Sequence[str], salt: int = 0, labels: DataFrame | None = None, most_bytes: int = FIT_BYTES, most_chars: int = FIT_CHARS) -> DataFrame:
     """(doc_id, text, *columns): about ``bound`` labelled rows at most, of ``most_bytes`` at most, one for each doc_id, picked by a hash of doc_id.
 
     The label ``columns`` stand in ``docs``, or in ``labels`` (doc_id, *columns), of which the greatest row of an id counts. Null ids, texts
     and labels are left out. Of repeated ids the least row stays, so the result does not depend on partitions. Ids are picked before texts
-    are read, so that only the sample's texts are shuffled. If its texts are over the bound of bytes, those that come first by the hash stay.
+    are read, so that only the sample's texts are shuffled. Texts of over ``most_chars`` characters are in it with a passage of that length.
+    If its texts are over the bound of bytes, they are taken in order of the hash, and one that does not fit any more is left out alone.
     """
     given = docs.select("doc_id", *columns).dropna() if labels is None else labels.select("doc_id", *columns).dropna().groupBy("doc_id").agg(*(F.max(c).alias(c) for c in columns))
     share = int(min(1.0, bound / max(given.count(), 1)) * (1 << 30))
     draw = F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 30))
     picked = draw < share
-    rows = docs.where(picked)
+    spare = F.greatest(F.length("text") - most_chars, F.lit(0))
+    passage = F.when(spare > 0, F.substring("text", 1 + F.pmod(F.xxhash64("doc_id", F.lit(salt + 1)), spare + 1).cast("int"), F.lit(most_chars))).otherwise(F.col("text"))
+    rows = docs.where(picked).withColumn("text", passage)
     whole = rows.select("doc_id", "text", *columns).dropna() if labels is None else rows.select("doc_id", "text").dropna().join(given.where(picked), "doc_id")
     one = whole.groupBy("doc_id").agg(F.min(F.struct(*columns, "text")).alias("row"))
     sample = stored(one.select("doc_id", "row.text", *(f"row.{c}" for c in columns)), "sample")
-    left, last = most_bytes, -1
+    left, without = most_bytes, []
     for r in sample.select(draw.alias("draw"), F.octet_length("text").alias("n")).orderBy("draw", "n").collect():  # about ``bound`` pairs of numbers
-        left -= r.n
-        if left < 0:
-            return sample.where(draw <= last)
-        last = r.draw
-    return sample
+        if r.n <= left:
+            left -= r.n
+        else:
+            without.append(r.draw)
+    return sample.where(~draw.isin(without)) if without else sample
 
 
 class TokenRows(dict):

@@ -92,9 +92,9 @@ def _netpbm(media: bytes, form: int, width: int, height: int, at: int) -> Pictur
     size = height * width * (3 if form in (3, 6) else 1)
     if text:
         body = re.sub(rb"#[^\n\r]*", b"", media[at:])
-        values = np.frombuffer(body, np.uint8)[np.isin(np.frombuffer(body, np.uint8), (48, 49))] - 48 if bits else np.array(body.split()[:size], np.int64)
-        if len(values) < size or (values[:size] > most).any():
-            raise ValueError("too few samples, or too great ones")
+        values = np.frombuffer(body, np.uint8)[np.isin(np.frombuffer(body, np.uint8), (48, 49))] - 48 if bits else _whole_numbers(body.split()[:size])
+        if len(values) < size or (values[:size] > most).any() or (values[:size] < 0).any():
+            raise ValueError("too few samples, or ones out of range")
         samples = values[:size].astype(np.uint8 if most < 256 else np.uint16).reshape(shape)
         return Picture(1 - samples if bits else samples, most)
     at += 1  # one white-space character
@@ -105,7 +105,17 @@ def _netpbm(media: bytes, form: int, width: int, height: int, at: int) -> Pictur
     if bits:
         rows = np.frombuffer(media, np.uint8, stride * height, at).reshape(height, stride)
         return Picture(1 - np.unpackbits(rows, axis=1)[:, :width], 1)  # 1 is black
-    return Picture(np.frombuffer(media, np.uint8 if wide == 1 else ">u2", size, at).reshape(shape), most)
+    samples = np.frombuffer(media, np.uint8 if wide == 1 else ">u2", size, at).reshape(shape)
+    if most not in (255, 65535) and (samples > most).any():
+        raise ValueError("samples out of range")
+    return Picture(samples, most)
+
+
+def _whole_numbers(words: list[bytes]) -> np.ndarray:
+    try:
+        return np.array(words, np.int64)
+    except OverflowError:
+        raise ValueError("samples out of range") from None
 
 
 def _bitmap(media: bytes) -> Picture:

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -49,12 +50,14 @@ ALLOW = (
     r"[0-9_-]*",
     r"[a-z]+|[A-Z]+|[A-Z]?[a-z]+(?:[A-Z][a-z]{2,})*[A-Z]*",  # words, also run together by capitals
     r"[A-Za-z]+[0-9]{1,4}",
-    r"(?:(?:[A-Za-z]+[0-9]{0,4})?[-_])++[A-Za-z]*[0-9]{0,4}",  # word lists
+    r"(?:(?:[A-Za-z]+[0-9]{0,4})?[-_])++(?:[A-Za-z]*[0-9]{0,4}|[0-9]{5,20})",  # word lists, with a number at their end
     r"(.{1,8}?)\1+.{0,8}",  # one unit again and again
     r"(?i)(?:0123456789|1234567890|abcdefghijklmnopqrstuvwxyz|abcdefghij|abcdef|qwertyuiop)+[a-z0-9]{0,4}",  # counted sequences
-    r"(?i).*(?:example|sample|placeholder|changeme|your[_-]?(?:key|token|secret)).*",  # stated examples
+    r"(?i)[^_-]*(?:example|sample|placeholder|changeme|your[_-]?(?:key|token|secret))[^_-]*",  # stated examples
 )
 PART = re.compile(r"[^/=+]+")
+#: The words of a part that state an example: they are left out, and the rest of the part is judged by itself.
+EXAMPLE = re.compile(r"(?:^|(?<=[_-]))" + ALLOW[-1].removeprefix("(?i)") + r"(?:[_-]|$)", re.I)
 
 
 @dataclass(frozen=True)
@@ -67,7 +70,7 @@ class SecretScanner:
         if not self._made:
             least = min(width for c in self.classes for width, _ in c.windows)
             self._made["candidates"] = re.compile(r"[A-Za-z0-9+/=_-]{%d,}" % least)
-            self._made["runs"] = [(c, re.compile(f"(?:{c.chars}){{{min(width for width, _ in c.windows)},}}")) for c in self.classes]
+            self._made["others"] = [(c, re.compile(f"(?!{c.chars}).", re.S)) for c in self.classes]
             self._made["allow"] = [re.compile(p, re.S) for p in self.allow]
         return self._made
 
@@ -88,15 +91,29 @@ class SecretScanner:
         made, out = self._parts(), []
         for m in made["candidates"].finditer(text):
             word = m[0]
-            parts = [(p.start(), p.end(), self.is_allowed(p[0])) for p in PART.finditer(word)]
-            if all(allowed for _, _, allowed in parts):
+            suspect = [(a, b) for a, b in self.parts(word) if not self.is_allowed(word[a:b])]
+            if not suspect:
                 continue
-            hot = [[r.start() + a, r.start() + b] for c, runs in made["runs"] for r in runs.finditer(word) for width, bits in c.windows for a, b in windows_over(r[0], width, bits)]
-            suspect = [(a, b) for a, b, allowed in parts if not allowed]
+            hot = [span for c, other in made["others"] for width, bits in c.windows for span in windows_over(word, other, width, bits)]
+            starts, ends = [a for a, _ in suspect], [b for _, b in suspect]
             for a, b in merged(hot):
-                held = [(x, y) for x, y in suspect if x < b and a < y]
-                if held:
-                    out.append((m.start() + max(a, held[0][0]), 3, m.start() + min(b, held[-1][1])))
+                first, last = bisect_right(ends, a), bisect_left(starts, b) - 1
+                if first <= last:
+                    out.append((m.start() + max(a, starts[first]), 3, m.start() + min(b, ends[last])))
+        return out
+
+    @staticmethod
+    def parts(word: str) -> list[tuple[int, int]]:
+        """The parts of a candidate that are judged, in order: between slashes and the like, and without words that state an example."""
+        out = []
+        for p in PART.finditer(word):
+            at = p.start()
+            for e in EXAMPLE.finditer(p[0]):
+                if p.start() + e.start() > at:
+                    out.append((at, p.start() + e.start()))
+                at = p.start() + e.end()
+            if p.end() > at:
+                out.append((at, p.end()))
         return out
 
     def __call__(self, text: str | None) -> list[tuple[str, int, int]]:
@@ -107,28 +124,41 @@ class SecretScanner:
         return [(KINDS[k], a, b) for a, k, b in sorted(base + more)]
 
 
-def windows_over(run: str, width: int, bits: float) -> list[list[int]]:
-    """Merged [start, end) of the windows whose Shannon entropy is at least ``bits``.
+#: Starts of windows that are gone through at once.
+STRETCH = 1 << 15
 
-    From one window to the next the count of the character that comes in goes up and that of the one that leaves goes down. Where each
-    character stands among its like gives these counts for all steps of a run at once; the entropy is the running sum of the changes.
+
+def _hot_starts(codes: np.ndarray, width: int, bits: float) -> np.ndarray:
+    """Where windows of at least ``bits`` begin, of those without a code 0.
+
+    From one window to the next the count of the character that comes in goes up and that of the one that leaves goes down. Comparing the
+    codes with themselves, 1 to ``width`` places on, gives these counts for all steps at once; the entropy is the running sum of the changes.
     """
-    n = len(run)
-    if n < width:
-        return []
-    codes = np.frombuffer(run.encode("utf-32-le"), np.uint32).astype(np.int64)
-    at = np.arange(n)
-    key = codes * (n + 1) + at
-    order = np.sort(key)
-    rank = np.searchsorted(order, key)
-    came = rank - np.searchsorted(order, key - np.minimum(at, width))  # its like in the window before
+    n = len(codes)
+    came, stays = np.zeros(n, np.int8 if width < 120 else np.int32), np.zeros(n - width, np.int8 if width < 120 else np.int32)
+    for d in range(1, width + 1):
+        same = codes[d:] == codes[: n - d]
+        came[d:] += same  # its like in the window before
+        stays += same[: n - width]  # the like of the character that leaves, counted with the one that comes in
     term = np.r_[0.0, np.arange(1, width + 2) * np.log2(np.arange(1, width + 2))]
-    total = term[came + 1] - term[came]
-    left = at[: n - width]  # the character that leaves at each step from width on; the one that comes in is counted by then
-    stood = np.searchsorted(order, key[left] + width, "right") - rank[left]
-    total[width:] += term[stood - 1] - term[stood]
+    step = np.diff(term)
+    total = step[came]
+    total[width:] -= step[stays]
     entropy = np.log2(width) - np.cumsum(total)[width - 1 :] / width
-    hot = np.flatnonzero(entropy >= bits - 1e-9)
+    other = np.cumsum(np.r_[0, codes == 0])
+    return np.flatnonzero((entropy >= bits - 1e-9) & (other[width:] == other[:-width]))
+
+
+def windows_over(word: str, other: re.Pattern, width: int, bits: float) -> list[list[int]]:
+    """Merged [start, end) of the windows whose Shannon entropy is at least ``bits`` and that hold no character that ``other`` matches.
+
+    A word is gone through in stretches, in linear time and fixed memory.
+    """
+    if len(word) < width:
+        return []
+    clean = other.sub("\0", word)
+    codes = np.frombuffer(clean.encode(), np.uint8) if clean.isascii() else np.frombuffer(clean.encode("utf-32-le"), np.uint32)
+    hot = np.concatenate([a + _hot_starts(codes[a : a + STRETCH + width - 1], width, bits) for a in range(0, len(codes) - width + 1, STRETCH)])
     if not len(hot):
         return []
     new = np.flatnonzero(np.r_[True, hot[1:] - hot[:-1] > width])
