@@ -235,4 +235,4 @@ def drop_exact_duplicates(docs: DataFrame, **options) -> DataFrame:
     mine = docs.withColumn(name, F.sha2(text.cast("binary"), 256))
     held = mine.join(once, mine["doc_id"].eqNullSafe(once[f"{name}_id"]) & (mine[name] == once[f"{name}_sha"]))
     first = Window.partitionBy("doc_id", name).orderBy(F.desc(F.length("text")))
-    return held.withColumn(f"{name}_row", F.row_number().over(first)).where(F.col(f"{name}_row") == 1).select(*(mine[c] for c in docs.columns))
+    return held.withColumn(f"{name}_row", F.row_number().over(first)).where(F.col(f"{name}_row") == 1).select(*(F.col(f"`{c}`") for c in docs.columns))
