@@ -214,6 +214,9 @@ ORACLE = {
     + ", ".join(f"CAST(sum(len(regexp_extract_all(line, {q(re2(p))}))) AS BIGINT) AS {name}" for name, p in fixed.LOG_WARNINGS)
     + " FROM l GROUP BY 1",
     "q_snapshot_compare": "WITH b AS (SELECT doc_id, source, n_chars FROM documents), a AS (SELECT CASE WHEN doc_id % 10 = 1 THEN -doc_id ELSE doc_id END AS doc_id, source, CASE WHEN doc_id % 10 = 2 THEN n_chars + 1 ELSE n_chars END AS n_chars FROM documents) SELECT doc_id, CASE WHEN b.source IS NULL THEN 'added' WHEN a.source IS NULL THEN 'removed' ELSE 'changed' END AS change FROM b FULL JOIN a USING (doc_id) WHERE b.source IS DISTINCT FROM a.source OR b.n_chars IS DISTINCT FROM a.n_chars",
+    "q_fts_terms": "WITH t AS (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[\\x{3400}-\\x{4dbf}\\x{4e00}-\\x{9fff}\\x{f900}-\\x{faff}]|[\\p{L}\\p{N}]+')) AS term FROM documents) SELECT term, count(DISTINCT doc_id) AS records, count(*) AS occurrences FROM t GROUP BY 1",
+    "q_fts_search": "WITH t AS (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[\\p{L}\\p{N}]+')) AS term FROM documents) SELECT doc_id, 2 AS terms, count(*) AS n FROM t WHERE term IN ('the', 'of') GROUP BY 1 HAVING count(DISTINCT term) = 2",
+    "q_index_text": f"WITH {messages('m', MESSAGES)}, t AS (SELECT conv_id, line_no, regexp_extract_all(content, '[\\x{{4e00}}-\\x{{9fff}}]+|[a-zA-Z0-9À-ÿ]+') AS w FROM m) SELECT conv_id, line_no, array_to_string([CASE x WHEN '我看一下' THEN '我 一下 看一下' WHEN '我先看' THEN '我 先看' ELSE x END FOR x IN w], ' ') AS terms FROM t",
     "q_fts_coverage": "WITH i AS (SELECT CASE WHEN doc_id % 10 = 0 THEN -doc_id - 1 ELSE doc_id END AS id FROM documents UNION ALL SELECT CASE WHEN doc_id % 7 = 0 THEN doc_id ELSE -doc_id - 1 END FROM documents), c AS (SELECT id, count(*) AS n FROM i GROUP BY 1), x AS (SELECT source, coalesce(n, 0) AS n FROM documents LEFT JOIN c ON id = doc_id) SELECT source, count(*) AS n, CAST(sum(x.n) AS BIGINT) AS joined, count(*) FILTER (x.n > 0) AS covered FROM x GROUP BY 1",
     "q_vec_coverage": "SELECT lang, count(*) AS n, count(vec_id) AS joined, count(vec_id) AS covered FROM documents LEFT JOIN embeddings ON vec_id = doc_id GROUP BY 1",
     "q_live_verify": f"WITH {L1}, s AS (SELECT (SELECT count(*) FROM documents) AS l0, (SELECT count(*) FROM l1) AS l1, (SELECT count(*) FROM l1 WHERE record_id % 5 <= 1) AS missing_embedding, (SELECT count(*) FROM documents WHERE CASE WHEN doc_id % 2 = 0 THEN doc_id ELSE -doc_id END IN (SELECT record_id FROM l1)) AS l1_indexed) SELECT *, l0 > 0 AND l1 > 0 AND l1_indexed = l1 AS passed FROM s",

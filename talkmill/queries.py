@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .functions import extract
 from .functions import text as X
 from .functions.semantics import collapsed, epoch_ms, month_of, utf16_length
-from .operators import audit, capture, dedupe, inventory, rounds, state
+from .operators import audit, capture, dedupe, fulltext, inventory, rounds, state
 from .plans import curate
 from .sources.stage import stage_path, staged
 from .streaming import importer
@@ -470,6 +470,31 @@ def q_fts_coverage(spark, sf_dir):
     return audit.coverage(docs, index, "record_id", ["source"])
 
 
+def document_postings(spark, sf_dir):
+    return fulltext.postings(table(spark, sf_dir, "documents"), {}, "doc_id", "text")
+
+
+@query
+def q_fts_terms(spark, sf_dir):
+    """The index's terms over all documents: records and occurrences."""
+    return fulltext.term_counts(document_postings(spark, sf_dir))
+
+
+@query
+def q_fts_search(spark, sf_dir):
+    """Documents that hold all of two terms, from an index in which frequent terms are dealt over salts."""
+    path = stage_path(spark, "index")
+    fulltext.write_index(document_postings(spark, sf_dir), path, "doc_id", most=200)
+    return fulltext.search(spark, path, ["the", "of"], "doc_id")
+
+
+@query
+def q_index_text(spark, sf_dir):
+    """Messages' index text with a small dictionary; Han words by the likeliest path."""
+    words = {"收到": 50, "我": 90, "先看": 30, "看": 60, "一下": 40, "看一下": 20, "我看": 5}
+    return messages(spark, sf_dir).select("conv_id", "line_no", fulltext.index_text(spark, words)(F.col("content")).alias("terms"))
+
+
 @query
 def q_vec_coverage(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("record_id"), "lang")
