@@ -162,6 +162,7 @@ def differ(left: str, right: str, key: str) -> str:
 
 WARN = """kept AS (SELECT * FROM (SELECT *, CASE WHEN h <> '' THEN row_number() OVER (PARTITION BY scope, role, h ORDER BY seq) ELSE 1 END AS k FROM dm) WHERE k = 1)"""
 
+KEY_DELTAS = "a AS (SELECT compare_key AS key, count(*) AS n FROM x GROUP BY 1), b AS (SELECT compare_key AS key, count(*) AS n FROM y GROUP BY 1), d AS (SELECT key, coalesce(a.n, 0) - coalesce(b.n, 0) AS delta FROM a FULL JOIN b USING (key) WHERE key IS NOT NULL AND coalesce(a.n, 0) <> coalesce(b.n, 0))"
 ORACLE = {
     "q_strict_rounds": f"WITH {M}, {R} SELECT file, count(*) FILTER (reject IS NULL AND role = 'user') AS rounds, count(*) FILTER (reject = 'assistant_only_without_user') AS orphans, count(*) FILTER (reject = 'unpaired_user_without_assistant') AS unpaired, count(*) FILTER (reject = 'duplicate_user_message') AS duplicate_users, count(*) FILTER (reject IS NULL) AS kept FROM j GROUP BY file",
     "q_round_replies": f"WITH {M}, {R} SELECT file, CAST(rid AS BIGINT) AS round_id, count(*) AS n, arg_min(content, line_no) AS first_user, arg_max(content, line_no) AS last_assistant FROM j WHERE reject IS NULL GROUP BY file, rid",
@@ -199,6 +200,9 @@ ORACLE = {
     "q_relaxed_compare": f"WITH {BOTH}, xe AS (SELECT concat_ws(':', role, hash) AS role_hash FROM x), ye AS (SELECT concat_ws(':', role, hash) AS role_hash FROM y) {differ('xe', 'ye', 'role_hash')}",
     "q_dataset_hash": f"WITH {C} SELECT session_key, substr(sha256(string_agg(compare_key, chr(10) ORDER BY compare_key)), 1, 24) AS dataset_hash FROM x GROUP BY 1",
     "q_dataset_digest": f"WITH {C} SELECT role, count(*) AS n, CAST(sum(CAST('0x' || substr(md5(compare_key), 1, 15) AS BIGINT)) AS VARCHAR) AS digest FROM x GROUP BY 1",
+    "q_merkle_roots": f"WITH {C}, c AS (SELECT role, compare_key AS k, count(*) AS n FROM x WHERE compare_key IS NOT NULL GROUP BY 1, 2), leaf AS (SELECT role, left(md5(k), 2) AS p, sha256(string_agg(k || ':' || CAST(n AS VARCHAR), chr(10) ORDER BY k || ':' || CAST(n AS VARCHAR))) AS h FROM c GROUP BY 1, 2), up AS (SELECT role, left(p, 1) AS p1, sha256(string_agg(p || '=' || h, chr(10) ORDER BY p)) AS h FROM leaf GROUP BY 1, 2) SELECT role, sha256(string_agg(p1 || '=' || h, chr(10) ORDER BY p1)) AS hash FROM up GROUP BY 1",
+    "q_merkle_difference": f"WITH {BOTH}, {KEY_DELTAS} SELECT key, delta FROM d",
+    "q_compare_report": f"WITH {BOTH}, {KEY_DELTAS}, r AS (SELECT CASE WHEN delta > 0 THEN 'missing' ELSE 'extra' END AS direction, key, abs(delta) AS delta FROM d), s AS (SELECT *, row_number() OVER (PARTITION BY direction ORDER BY delta DESC, key) AS n FROM r) SELECT direction, count(key) AS keys, CAST(coalesce(sum(delta), 0) AS BIGINT) AS total, coalesce(string_agg(key || '=' || CAST(delta AS VARCHAR), ';' ORDER BY n) FILTER (n <= 20), '') AS samples FROM (VALUES ('missing'), ('extra')) AS v(direction) LEFT JOIN s USING (direction) GROUP BY 1",
     "q_existing_keys": f"WITH {BOTH} SELECT DISTINCT compare_key FROM x WHERE compare_key IN (SELECT compare_key FROM y)",
     "q_missing_keys": f"WITH {BOTH} SELECT DISTINCT compare_key FROM x WHERE compare_key NOT IN (SELECT compare_key FROM y)",
     "q_session_counts": f"WITH {C} SELECT session_key, count(*) AS n FROM x WHERE filter_reason IS NULL GROUP BY 1",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .functions import extract
 from .functions import text as X
 from .functions.semantics import collapsed, epoch_ms, month_of, utf16_length
-from .operators import audit, capture, dedupe, fulltext, inventory, rounds, state
+from .operators import audit, capture, dedupe, fulltext, inventory, merkle, rounds, state
 from .plans import curate
 from .sources.stage import stage_path, staged
 from .streaming import importer
@@ -331,6 +331,27 @@ def q_dataset_digest(spark, sf_dir):
     return capture.dataset_digest(expected(spark, sf_dir), by=["role"])
 
 
+@query
+def q_merkle_roots(spark, sf_dir):
+    """The root of each role's tree over the captured messages' keys."""
+    return merkle.tree(expected(spark, sf_dir), by=["role"], digits=2).roots()
+
+
+@query
+def q_merkle_difference(spark, sf_dir):
+    """Keys that only one of two captures holds, from the leaves in which their trees differ."""
+    raw, live = (merkle.tree(rows, digits=3) for rows in both_captures(spark, sf_dir))
+    return merkle.difference(raw, live)
+
+
+@query
+def q_compare_report(spark, sf_dir):
+    """Missing and extra keys with their first samples, as text."""
+    raw, live = (merkle.tree(rows, digits=3) for rows in both_captures(spark, sf_dir))
+    shown = F.array_join(F.transform("samples", lambda s: F.concat(s["key"], F.lit("="), s["delta"].cast("string"))), ";")
+    return merkle.comparison(raw, live).withColumn("samples", shown)
+
+
 @query
 def q_existing_keys(spark, sf_dir):
     planned, live = (rows.select("compare_key") for rows in both_captures(spark, sf_dir))
