@@ -233,6 +233,7 @@ ORACLE = {
     "q_accept_existing": f"WITH {BOTH}, g AS (SELECT (SELECT count(*) FROM x) AS planned, (SELECT count(DISTINCT compare_key) FROM x) AS planned_keys, (SELECT count(*) FROM y) AS live, (SELECT count(*) FROM x) AS fts, (SELECT count(DISTINCT compare_key) FROM x WHERE compare_key IN (SELECT compare_key FROM y)) AS there) SELECT *, live AS delta, fts AS delta_fts, planned_keys - there AS missing, live = planned AND fts = planned AND planned_keys = there AS acceptable FROM g",
     "q_missing_embedding": f"WITH {L1} SELECT type, count(*) AS n, count(*) FILTER (record_id % 5 <= 1) AS missing FROM l1 GROUP BY 1",
     "q_dashboard_total": f"WITH {PROGRESS}, g AS (SELECT {SUMS} FROM sp) SELECT *, {LEFT} FROM g",
+    "q_stream_lines": f"WITH {messages('m', MESSAGES)} SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY line_no) AS line_no, role || ' ' || CAST(line_no AS VARCHAR) || ' ' || md5(content) AS line FROM m",
     "q_rejects": f"WITH {REJECTED} {JUDGED} UNION ALL SELECT CASE WHEN session_key = fscope THEN 'duplicate_normalized_content' ELSE 'duplicate_normalized_content_warning' END, file, line_no, role, CASE WHEN session_key = fscope THEN 'source_session' ELSE 'batch' END, fs FROM g1 WHERE seq <> fs",
     "q_rejects_warned": f"WITH {WARNED} {JUDGED} UNION ALL SELECT 'duplicate_normalized_content', file, line_no, role, 'source_session', fs FROM g1 WHERE seq <> fs UNION ALL SELECT 'duplicate_normalized_content_warning', file, line_no, role, 'batch', previous FROM k2 WHERE previous IS NOT NULL",
     "q_seed_sessions_nested": f"WITH {WARNED}, {KEPT} SELECT * FROM kp",

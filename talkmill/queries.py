@@ -13,7 +13,7 @@ from .functions.semantics import collapsed, epoch_ms, month_of, utf16_length
 from .operators import audit, capture, dedupe, fulltext, inventory, merkle, rounds, state
 from .plans import curate
 from .sources.stage import stage_path, staged
-from .streaming import importer
+from .streaming import growing, importer
 from .streaming import progress as streaming_progress
 
 #: Decorated content: envelopes, noise, acknowledgements and repeats by conversation and turn. Valid in both dialects.
@@ -101,6 +101,8 @@ LINE = """CASE conv_id % 6
  WHEN 3 THEN '{"metadata":{"session_key":"' || session_key || '"},"text":"before ' || session_key || '0"}'
  WHEN 4 THEN '关于' || session_key || '的记录@+'
  ELSE 'nothing' END"""
+#: A line of a conversation's file.
+LINE_TEXT = "role || ' ' || CAST(line_no AS STRING) || ' ' || md5(content)"
 #: What customers state of their progress.
 STATED = {
     "session_key": "CASE WHEN c_custkey % 4 = 0 THEN c_custkey + 20000000 ELSE c_custkey END",
@@ -609,6 +611,18 @@ def transcript_lines(spark, sf_dir):
     return m.select("file", "line_no", "source_type", "session_id", "session_key", line.alias("line"))
 
 
+@query
+def q_stream_lines(spark, sf_dir):
+    """A file of lines for each conversation, read by the stream over growing files."""
+    out = stage_path(spark, "growing")
+    lines = messages(spark, sf_dir).selectExpr("conv_id", "line_no", f"{LINE_TEXT} AS line")
+    lines.repartition("conv_id").sortWithinPartitions("conv_id", "line_no").select("conv_id", "line").write.partitionBy("conv_id").text(f"{out}/files")
+    stream = growing.growing_lines(spark, f"{out}/files", suffix=".txt")
+    stream.writeStream.format("parquet").option("path", f"{out}/lines").option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    read = spark.read.schema("file string, line_no bigint, line string").parquet(f"{out}/lines")
+    return read.select(F.regexp_extract("file", "conv_id=(-?[0-9]+)", 1).cast("bigint").alias("conv_id"), "line_no", "line")
+
+
 @query
 def q_rejects(spark, sf_dir):
     rows = curate.curate(transcript_lines(spark, sf_dir), reject_batch_duplicates=True).rejects

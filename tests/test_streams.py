@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from talkmill.operators import audit
-from talkmill.streaming import progress
+from talkmill.sources import transcripts
+from talkmill.streaming import growing, progress
 
 
 def test_cursors_give_what_a_batch_gives(spark, tmp_path):
@@ -29,3 +30,56 @@ def test_cursors_give_what_a_batch_gives(spark, tmp_path):
             last[e[0]] = max(last.get(e[0], e), e, key=lambda x: x[2])
         stated = spark.createDataFrame([(e[0], *e[3:]) for e in last.values()], "session_key string, total_l0 long, next_offset long, completed boolean")
         assert sorted(map(tuple, progress.latest_progress(spark, str(tmp_path / "out")).collect())) == sorted(map(tuple, audit.session_progress(stored, stated).collect()))
+
+
+def test_growing_files_give_each_line_once(spark, tmp_path):
+    """Lines are appended, one of them in two parts; a file is added, one is blank at first; numbers are those of a batch read."""
+    sessions = tmp_path / "state" / "agents" / "mill" / "sessions"
+    sessions.mkdir(parents=True)
+    other = sessions / "b.trajectory.jsonl"
+    other.write_text('{"no":1}\n')
+    draw = random.Random(6)
+    steps = [
+        {"a": '{"n":1}\n\n  {"n":2} \r\n{"n":', "b": "\n\n"},
+        {"a": '3}\n{"n":4}\n', "c": "".join(f'{{"n":{k},"t":"{"é" * draw.randrange(90)}"}}\n' for k in range(400))},
+        {},
+        {"a": '{"n":5}', "b": '{"n":6}\n', "c": '{"n":7}\n'},
+        {"a": "\n"},
+    ]
+    for step in steps:
+        for name, text in step.items():
+            with open(sessions / f"{name}.jsonl", "ab") as f:
+                f.write(text.encode())
+        stream = growing.growing_transcripts(spark, f"file://{tmp_path}/state", splitBytes=1000)
+        stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start().awaitTermination(120)
+    got = spark.read.parquet(str(tmp_path / "out"))
+    want = transcripts.read_transcripts(spark, str(tmp_path / "state"))
+    columns = ["line_no", "line", "source_type", "session_id", "session_key"]
+    assert sorted(map(tuple, got.select(*columns).collect())) == sorted(map(tuple, want.select(*columns).collect()))
+    assert got.count() == 6 + 401 and {r.session_id for r in got.select("session_id").distinct().collect()} == {"a", "b", "c"}
+
+
+def test_lines_of_splits(tmp_path):
+    """Whatever the splits, each line belongs to one of them; a line may be longer than many."""
+    draw = random.Random(7)
+    lines = [b"x" * draw.choice([0, 1, 5, 300]) for _ in range(80)]
+    path = tmp_path / "f"
+    path.write_bytes(b"".join(x + b"\n" for x in lines) + b"unfinished")
+    size = path.stat().st_size
+    with open(path, "rb") as f:
+        end = growing.end_of_lines(f, size)
+        assert end == size - len(b"unfinished") and growing.end_of_lines(f, 0) == 0
+        first = sum(len(x) + 1 for x in lines[:7])
+        for split in (1, 2, 7, 64, 1000, 10**6):
+            got = [x for a in range(first, end, split) for x in growing.split_lines(f, a, min(a + split, end), first)]
+            assert got == list(enumerate(lines, 1))[7:]
+
+
+def test_replaced_files_are_read_again(tmp_path):
+    reader = growing.GrowingLinesReader(f"file://{tmp_path}", ".jsonl", 100)
+    (tmp_path / "a.jsonl").write_bytes(b"one\ntwo\n")
+    first = reader.latestOffset()
+    (tmp_path / "a.jsonl").write_bytes(b"new\n")
+    second = reader.latestOffset()
+    assert [list(reader.read(p))[0][1:] for p in reader.partitions(first, second)] == [(1, "new")]
+    assert reader.partitions(second, second) == [] and len(reader.partitions(reader.initialOffset(), second)) == 1
