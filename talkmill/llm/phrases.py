@@ -1,8 +1,9 @@
 """Phrase collocations, mined SPAM-style: compressed position bitmaps of words are shifted and combined, popcounts are summed over shards.
 
-A shard is a slice of a task's texts. Its words have position bitmaps of which only the 64-bit words that are not zero are kept; a place
-between pieces belongs to no word, so a phrase never leaves its piece. A phrase's bitmap, shifted by one and combined (AND) with a word's,
-is the bitmap of the longer phrase, and its popcount is the phrase's occurrences in the shard. Phrases grow depth-first.
+A shard is a slice of a task's texts. Its words have position bitmaps of which only the 64-bit words that are not zero are kept, or, where
+they have few positions, these; a place between pieces belongs to no word, so a phrase never leaves its piece. A phrase's bitmap, shifted by
+one and combined (AND) with a word's, is the bitmap of the longer phrase, and its popcount is the phrase's occurrences in the shard. Phrases
+grow depth-first, those of few positions together.
 
 No phrase is more frequent than its parts, so three passes over the texts suffice, each with less to count than all phrases there are:
 
@@ -21,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,11 +32,13 @@ from .common import TokenRows, slices, stored
 
 SEED = 42
 #: Texts of a shard come to about this many bytes; a longer text is a shard of its own.
-SHARD_BYTES = 12 << 20
+SHARD_BYTES = 4 << 20
 #: Texts are taken apart by so many bytes at once.
-PART_BYTES = 2 << 20
+PART_BYTES = 1 << 20
 #: Words whose counts a task holds before it gives them out.
-HELD_WORDS = 400_000
+HELD_WORDS = 200_000
+#: Phrases of so many positions in a shard keep them as a list, and others as bits; a list is combined with a word's bits by looking its places up.
+FEW = 256
 #: Marks between pieces become a full stop, which no word holds then; the tab becomes a space; A-Z are lower-cased.
 _MARKS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", b"." * 10 + b" ")
 
@@ -61,6 +65,7 @@ def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray,
                 numbers = TokenRows()
                 numbers[b"."]
                 yield lang, np.concatenate([numbered_words(texts[i].as_py() or b"", numbers) for i, x in enumerate(langs) if x == lang]), numbers
+        pa.default_memory_pool().release_unused()
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -78,6 +83,18 @@ def word_hash() -> Column:
     return F.xxhash64(F.concat("lang", F.lit("\t"), "phrase"))
 
 
+#: Positions whose pairs are hashed at once.
+SPAN = 1 << 18
+
+
+def spans(ids: np.ndarray, fit: np.ndarray, hashes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(positions, hashes) of the pairs of words that ``fit``, a span of positions at a time."""
+    for a in range(0, len(ids) - 1, SPAN):
+        part = ids[a : a + SPAN + 1]
+        at = np.flatnonzero(fit[part[:-1]] & fit[part[1:]])
+        yield a + at, pair_hashes(hashes[part[at]], hashes[part[at + 1]])
+
+
 def pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     x = first * np.uint64(0xC2B2AE3D27D4EB4F) + (second ^ (second >> np.uint64(31))) * np.uint64(0x165667B19E3779F9)
     return x ^ (x >> np.uint64(33))
@@ -116,8 +133,7 @@ def pair_sums(docs: DataFrame, words) -> DataFrame:
             h = word_hashes(lang, numbers)
             fit = passes(words.value, h)
             fit[0] = False
-            both = fit[ids[:-1]] & fit[ids[1:]]
-            codes, n = np.unique(pair_hashes(h[ids[:-1][both]], h[ids[1:][both]]), return_counts=True)
+            codes, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *(codes for _, codes in spans(ids, fit, h))]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64)), pa.array(n, pa.int32())], names=["pair", "n"])
 
     return _texts(docs).mapInArrow(run, "pair long, n int").groupBy("pair").agg(F.sum("n").alias("f"))
@@ -159,37 +175,69 @@ class Bitmap:
         there = np.flatnonzero((many.at[place] == few.at) & (bits != 0))
         return Bitmap(few.at[there], bits[there])
 
+    def positions(self) -> np.ndarray:
+        row, bit = np.nonzero(np.unpackbits(self.bits.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
+        return (self.at[row] << 6) + bit
+
     def count(self) -> int:
         return int(np.bitwise_count(self.bits).sum())
 
 
-def mined(ids: np.ndarray, hashes: np.ndarray, pairs: np.ndarray, longest: int) -> Iterator[tuple[tuple[int, ...], int]]:
-    """(words of a phrase, occurrences) for phrases of 2 to ``longest`` words of a shard, along pairs that pass the filter ``pairs``."""
-    left, right = ids[:-1].astype(np.int64), ids[1:].astype(np.int64)
-    inside = np.flatnonzero((left > 0) & (right > 0))
-    inside = inside[passes(pairs, pair_hashes(hashes[left[inside]], hashes[right[inside]]))]
-    codes = np.unique(left[inside] << 32 | right[inside])
-    first, second = codes >> 32, codes & 0xFFFFFFFF
-    of, start = np.unique(first, return_index=True)
-    follow = dict(zip(of.tolist(), np.split(second, start[1:])))
-    # Positions of words that stand in a pair; a word's are next to each other, in order.
-    used = np.unique(np.concatenate([first, second]))
-    places = np.flatnonzero(np.isin(ids, used))
-    places = places[np.argsort(ids[places], kind="stable")]
-    begin = np.flatnonzero(np.diff(ids[places], prepend=-1))
-    bitmaps = {int(ids[p[0]]): Bitmap.of(p) for p in np.split(places, begin[1:]) if len(p)}
-
-    def longer(phrase: tuple[int, ...], bitmap: Bitmap) -> Iterator[tuple[tuple[int, ...], int]]:
-        moved = bitmap.shifted()
-        for word in follow.get(phrase[-1], np.zeros(0, np.int64)).tolist():
-            both = moved & bitmaps[word]
-            if len(both.at):
-                yield (*phrase, word), both.count()
-                if len(phrase) + 1 < longest:
-                    yield from longer((*phrase, word), both)
-
-    for word in follow:
-        yield from longer((word,), bitmaps[word])
+def grouped(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different values, how often each stands, and the places in order of value, then of place."""
+    order = np.argsort(values, kind="stable")
+    first = np.flatnonzero(np.diff(values[order], prepend=-1))
+    return values[order[first]], np.diff(first, append=len(values)), order
+
+
+class Shard:
+    """Mines phrases of 2 to ``longest`` words along pairs that pass the filter ``pairs``; ``found[n]`` has (words, occurrences) of those of n words."""
+
+    def __init__(self, ids: np.ndarray, hashes: np.ndarray, pairs: np.ndarray, longest: int):
+        self.ids, self.longest = ids, longest
+        self.found: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(longest + 1)]
+        # Phrases of few positions wait here: words, numbers of positions, and these one after the other (the phrase's last word).
+        self.few: list[list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = [[] for _ in range(longest + 1)]
+        self.goes_on = np.zeros(len(ids), bool)  # where a word and the next one are a pair that passes
+        for at, codes in spans(ids, np.arange(len(hashes)) > 0, hashes):
+            self.goes_on[at[passes(pairs, codes)]] = True
+        used = np.flatnonzero(self.goes_on | np.concatenate([[False], self.goes_on[:-1]]))
+        words, sizes, order = grouped(ids[used])
+        places, many = used[order], sizes > FEW
+        self.few[1].append((words[~many, None], sizes[~many], places[np.repeat(~many, sizes)]))
+        ends = np.cumsum(sizes)
+        self.bitmaps = {int(words[k]): Bitmap.of(places[ends[k] - sizes[k] : ends[k]]) for k in np.flatnonzero(many)}
+        for word, bitmap in self.bitmaps.items():
+            self.extend((word,), bitmap)
+        for length in range(1, longest):
+            self.extend_few(length)
+
+    def extend(self, phrase: tuple[int, ...], bitmap: Bitmap) -> None:
+        """Depth-first: the bitmap is shifted, and combined with that of each word of many positions that follows; what has few positions waits."""
+        ends, moved, longer = bitmap.positions(), bitmap.shifted(), len(phrase) + 1
+        ends = ends[self.goes_on[ends]] + 1
+        words, sizes, order = grouped(self.ids[ends])
+        few = sizes <= FEW
+        names = np.column_stack([np.tile(np.array(phrase, words.dtype), (few.sum(), 1)), words[few]])
+        self.found[longer].append((names, sizes[few]))
+        self.few[longer].append((names, sizes[few], ends[order][np.repeat(few, sizes)]))
+        for word in words[~few].tolist():
+            both = moved & self.bitmaps[word]
+            self.found[longer].append((np.array([(*phrase, word)], words.dtype), np.array([both.count()])))
+            if longer < self.longest:
+                self.extend((*phrase, word), both)
+
+    def extend_few(self, length: int) -> None:
+        """All phrases of few positions of a length at once: a position is looked up in the next word's, and runs of equal phrases are counted."""
+        names, sizes, ends = (np.concatenate(x) for x in zip(*self.few[length]))
+        phrase = np.repeat(np.arange(len(names)), sizes)
+        on = self.goes_on[ends]
+        phrase, ends = phrase[on], ends[on] + 1
+        code, n, order = grouped(phrase << 32 | self.ids[ends])
+        longer = np.column_stack([names[code >> 32], (code & 0xFFFFFFFF).astype(names.dtype)])
+        self.found[length + 1].append((longer, n))
+        if length + 1 < self.longest:
+            self.few[length + 1].append((longer, n, ends[order]))
 
 
 def phrase_counts(docs: DataFrame, pairs, longest: int) -> DataFrame:
@@ -197,9 +245,11 @@ def phrase_counts(docs: DataFrame, pairs, longest: int) -> DataFrame:
 
     def run(batches):
         for lang, ids, numbers in shards(batches):
-            names = [w.decode() for w in numbers]
-            found = list(mined(ids, word_hashes(lang, numbers), pairs.value, longest))
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array([" ".join(map(names.__getitem__, p)) for p, _ in found], pa.string()), pa.array([n for _, n in found], pa.int64()), pa.array([len(p) for p, _ in found], pa.int32())], names=["lang", "phrase", "n", "words"])
+            words = pa.array(list(numbers), pa.binary()).cast(pa.string())
+            for found in Shard(ids, word_hashes(lang, numbers), pairs.value, longest).found[2:]:
+                names, n = (np.concatenate(x) for x in zip(*found))
+                phrase = pc.binary_join_element_wise(*(words.take(pa.array(column)) for column in names.T), " ")
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), phrase, pa.array(n, pa.int64()), pa.array(np.full(len(n), names.shape[1], np.int32))], names=["lang", "phrase", "n", "words"])
 
     return _texts(docs).mapInArrow(run, "lang string, phrase string, n long, words int").groupBy("lang", "phrase").agg(F.sum("n").alias("f"), F.max("words").alias("words"))
 
