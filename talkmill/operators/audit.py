@@ -152,12 +152,40 @@ def suspicious(column: str = "content") -> Column:
     return X.is_suspicious_memory(F.col(column))
 
 
-def latest_progress(files: DataFrame, now_ms: int) -> DataFrame:
-    """One row over files' stats: the newest change and its age in words."""
+def age_words(seconds: Column) -> Column:
+    """An age as 5s, 5m 7s or 2h 5m ago; what lies ahead is 0s ago, and null is a dash."""
+    n = F.greatest(F.floor(seconds), F.lit(0)).cast("long")
+    two = lambda big, small, a, b: F.concat(F.floor(n / big).cast("string"), F.lit(a + " "), F.floor(n % big / small).cast("string"), F.lit(b + " ago"))
+    return F.when(seconds.isNull(), "-").when(n < 60, F.concat(n.cast("string"), F.lit("s ago"))).when(n < 3600, two(60, 1, "m", "s")).otherwise(two(3600, 60, "h", "m"))
+
+
+def latest_progress(files: DataFrame, now_ms: int, active_months: DataFrame | None = None) -> DataFrame:
+    """One row over progress files' stats (name, modified_ms): the newest change and its age in words.
+
+    ``active_months`` (month): if there are any, only files named after one of them count.
+    """
+    if active_months is not None:
+        months = active_months.select("month").where("month <> '-'").distinct()
+        if not months.isEmpty():
+            files = files.withColumn("month", F.substring("name", 1, 7)).where(F.substring("name", 8, 1) == "-").join(months, "month", "left_semi")
     out = files.agg(F.max("modified_ms").alias("modified_ms"))
-    age = F.floor((F.lit(now_ms) - F.col("modified_ms")) / 1000)
-    words = F.when(age < 60, F.concat(age.cast("string"), F.lit("s ago"))).when(age < 3600, F.concat(F.floor(age / 60).cast("string"), F.lit("m ago"))).otherwise(F.concat(F.floor(age / 3600).cast("string"), F.lit("h "), F.floor(age % 3600 / 60).cast("string"), F.lit("m ago")))
-    return out.withColumn("age", F.coalesce(words, F.lit("-")))
+    return out.withColumn("age", age_words((F.lit(now_ms) - F.col("modified_ms")) / 1000))
+
+
+def active_months(commands: DataFrame) -> DataFrame:
+    """(month): months that running importers were started with, from their command lines."""
+    month = F.regexp_extract("command", r"--month\s+(\d{4}-\d{2})", 1)
+    return commands.select(month.alias("month")).where("month <> ''").distinct()
+
+
+def ordered_types(records: DataFrame) -> DataFrame:
+    """The histogram of types, most frequent first; equal ones by name."""
+    return type_distribution(records).orderBy(F.desc("n"), "type")
+
+
+def session_report(planned: DataFrame) -> DataFrame:
+    """A plan's rows per session, in order of the session's key by Unicode collation."""
+    return planned.groupBy("session_key").agg(F.count("*").alias("n")).orderBy(F.collate(F.col("session_key"), "UNICODE"))
 
 
 def snapshot(l0: DataFrame, l1: DataFrame, files: DataFrame) -> DataFrame:

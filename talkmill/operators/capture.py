@@ -46,9 +46,11 @@ def numbered_plan(planned: DataFrame, order: str, tokenize: Callable[[Column], C
 
 
 def import_summary(plan: DataFrame, batch_id: str) -> DataFrame:
-    """The rows of an import's summary: what identifies each planned row, without its text."""
+    """The rows of an import's summary: what identifies each planned row, without its text. Its file and line are null if the plan has none."""
     empty_to_null = lambda c: F.nullif(F.col(c), F.lit(""))
-    return plan.select(F.lit(batch_id).alias("batchId"), F.col("record_id").alias("recordId"), F.col("session_key").alias("sessionKey"), "role", F.coalesce("ts_ms", F.lit(0)).alias("timestamp"), F.col("fingerprint").alias("contentHash"), empty_to_null("session_id").alias("sessionId"), "chars", empty_to_null("source_key").alias("sourceKey"))
+    file = empty_to_null("source_file") if "source_file" in plan.columns else F.lit(None).cast("string")
+    line = F.nullif(F.col("source_line").cast("long"), F.lit(0).cast("long")) if "source_line" in plan.columns else F.lit(None).cast("long")
+    return plan.select(F.lit(batch_id).alias("batchId"), F.col("record_id").alias("recordId"), F.col("session_key").alias("sessionKey"), "role", F.coalesce("ts_ms", F.lit(0)).alias("timestamp"), F.col("fingerprint").alias("contentHash"), empty_to_null("session_id").alias("sessionId"), "chars", empty_to_null("source_key").alias("sourceKey"), file.alias("sourceFile"), line.alias("sourceLine"))
 
 
 def multiset_difference(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

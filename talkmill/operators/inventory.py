@@ -54,11 +54,15 @@ def page_rounds(rounds: DataFrame, files: DataFrame, batch_size: int, batch_inde
     placed = prefix_sums(counts.join(files.select("month", "file", "source_type", "message_count"), ["month", "file"]), [F.col("month"), *_batch_order("source_type", "message_count")], F.col("n"), "upto")
     months = placed.groupBy("month").agg(F.min("upto").alias("first"))
     starts = placed.join(narrow(months), "month").withColumn("before", F.col("upto") - F.col("first"))
-    offset = (batch_index - 1) * batch_size
-    touched = starts.where((F.col("before") < offset + batch_size) & (F.col("before") + F.col("n") > offset)).select("month", "file", "before")
-    near = rounds.join(touched, ["month", "file"])
-    numbered = running_sum(near, ["month", "file"], chunk_of(F.col("round_id")), [F.col("round_id")], F.lit(1), "upto")
-    return numbered.withColumn("place", F.col("before") + F.col("upto") - 1).drop("before", "upto").where((F.col("place") >= offset) & (F.col("place") < offset + batch_size))
+    return rounds_between(rounds, starts, ["month", "file"], (batch_index - 1) * batch_size, batch_size)
+
+
+def rounds_between(rounds: DataFrame, starts: DataFrame, keys: list[str], offset: int, size: int) -> DataFrame:
+    """The rounds with a ``place`` from ``offset`` on, ``size`` of them; ``starts``: (*keys, n, before) of files. Rounds of other files are not put in order."""
+    touched = starts.where((F.col("before") < offset + size) & (F.col("before") + F.col("n") > offset)).select(*keys, "before")
+    numbered = running_sum(rounds.join(touched, keys), keys, chunk_of(F.col("round_id")), [F.col("round_id")], F.lit(1), "upto")
+    placed = numbered.withColumn("place", F.col("before") + F.col("upto") - 1).drop("before", "upto")
+    return placed.where((F.col("place") >= offset) & (F.col("place") < offset + size))
 
 
 def _batch_order(source_type: str, size: str, file: str = "file") -> list[Column]:

@@ -162,6 +162,8 @@ def differ(left: str, right: str, key: str) -> str:
 
 WARN = """kept AS (SELECT * FROM (SELECT *, CASE WHEN h <> '' THEN row_number() OVER (PARTITION BY scope, role, h ORDER BY seq) ELSE 1 END AS k FROM dm) WHERE k = 1)"""
 
+# The same for one month's lines only.
+OF_MONTH = WARNED.replace("FROM pm)", "FROM pm WHERE strftime(make_timestamp(ts_ms * 1000), '%Y-%m') = '2024-01')", 1)
 KEY_DELTAS = "a AS (SELECT compare_key AS key, count(*) AS n FROM x GROUP BY 1), b AS (SELECT compare_key AS key, count(*) AS n FROM y GROUP BY 1), d AS (SELECT key, coalesce(a.n, 0) - coalesce(b.n, 0) AS delta FROM a FULL JOIN b USING (key) WHERE key IS NOT NULL AND coalesce(a.n, 0) <> coalesce(b.n, 0))"
 ORACLE = {
     "q_strict_rounds": f"WITH {M}, {R} SELECT file, count(*) FILTER (reject IS NULL AND role = 'user') AS rounds, count(*) FILTER (reject = 'assistant_only_without_user') AS orphans, count(*) FILTER (reject = 'unpaired_user_without_assistant') AS unpaired, count(*) FILTER (reject = 'duplicate_user_message') AS duplicate_users, count(*) FILTER (reject IS NULL) AS kept FROM j GROUP BY file",
@@ -191,6 +193,9 @@ ORACLE = {
     "q_dedupe_batch_warn": f"WITH {D}, {WARN} SELECT seq, CASE WHEN h <> '' THEN lag(seq) OVER (PARTITION BY role, h ORDER BY seq) END AS batch_previous FROM kept",
     "q_dedupe_batch_reject": f"WITH {D}, f AS (SELECT *, min(seq) OVER (PARTITION BY role, h) AS fs, first_value(scope) OVER (PARTITION BY role, h ORDER BY seq) AS fscope FROM dm) SELECT seq, CASE WHEN h = '' OR seq = fs THEN 'keep' WHEN scope = fscope THEN 'duplicate_source' ELSE 'duplicate_batch' END AS verdict, CASE WHEN h <> '' AND seq <> fs THEN fs END AS duplicate_of FROM f",
     "q_dup_surplus": f"WITH {D}, n AS (SELECT h, count(*) AS n FROM dm WHERE h <> '' GROUP BY 1) SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS surplus, count(*) FILTER (n > 1) AS repeated_hashes FROM n",
+    "q_progress_ages": "WITH a AS (SELECT event_id, greatest(event_id % 20000 - 500, 0) AS n FROM events) SELECT event_id, CASE WHEN event_id % 50 = 7 THEN '-' WHEN n < 60 THEN n || 's ago' WHEN n < 3600 THEN (n // 60) || 'm ' || (n % 60) || 's ago' ELSE (n // 3600) || 'h ' || (n % 3600 // 60) || 'm ago' END AS age FROM a",
+    "q_session_report": f"WITH {C} SELECT session_key, count(*) AS n FROM x WHERE filter_reason IS NULL GROUP BY 1",
+    "q_output_top_duplicates": f"WITH {T}, h AS (SELECT *, {hashed('norm')} AS h FROM t) SELECT h AS content_hash, count(*) AS n, min(seq) AS first_seq, arg_min(substr(norm, 1, 180), seq) AS content FROM h WHERE h <> '' GROUP BY 1 HAVING count(*) > 1 ORDER BY n DESC, first_seq LIMIT 10",
     "q_top_duplicates": f"WITH {D} SELECT h AS content_hash, count(*) AS n, min(seq) AS first_seq, arg_min(substr(norm, 1, 180), seq) AS content FROM dm WHERE h <> '' GROUP BY 1 HAVING count(*) > 1 ORDER BY n DESC, first_seq LIMIT 10",
     "q_capture_split": f"WITH {C} SELECT count(*) AS raw, count(*) FILTER (filter_reason IS NULL) AS kept, count(*) FILTER (filter_reason IS NOT NULL) AS filtered, count(*) FILTER (filter_reason IS NULL AND transformed) AS transformed FROM x",
     "q_import_published": f"WITH {C} SELECT {RECORD_ID} AS record_id, session_key, role, ts_ms, captured AS message_text, captured AS fts_text, compare_key FROM x WHERE filter_reason IS NULL",
@@ -236,13 +241,14 @@ ORACLE = {
     "q_stream_lines": f"WITH {messages('m', MESSAGES)} SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY line_no) AS line_no, role || ' ' || CAST(line_no AS VARCHAR) || ' ' || md5(content) AS line FROM m",
     "q_rejects": f"WITH {REJECTED} {JUDGED} UNION ALL SELECT CASE WHEN session_key = fscope THEN 'duplicate_normalized_content' ELSE 'duplicate_normalized_content_warning' END, file, line_no, role, CASE WHEN session_key = fscope THEN 'source_session' ELSE 'batch' END, fs FROM g1 WHERE seq <> fs",
     "q_rejects_warned": f"WITH {WARNED} {JUDGED} UNION ALL SELECT 'duplicate_normalized_content', file, line_no, role, 'source_session', fs FROM g1 WHERE seq <> fs UNION ALL SELECT 'duplicate_normalized_content_warning', file, line_no, role, 'batch', previous FROM k2 WHERE previous IS NOT NULL",
+    "q_seed_page": f"WITH {OF_MONTH}, sr AS (SELECT session_key || ':seed:2024-01' AS sessionKey, file, rid, count(*) AS messages, md5(string_agg(role || ':' || t, chr(10) ORDER BY ts_ms, line_no)) AS digest FROM pr WHERE unfit IS NULL GROUP BY ALL), sp AS (SELECT sr.*, row_number() OVER (ORDER BY before, rid) - 1 AS place, count(*) OVER () AS total FROM sr JOIN pl USING (file)) SELECT sessionKey, file, place, messages, digest, 4 AS rangeStartRound, least(total, 6) AS rangeEndRound, total AS totalAvailableRounds FROM sp WHERE place >= 3 AND place < 6",
     "q_seed_sessions_nested": f"WITH {WARNED}, {KEPT} SELECT * FROM kp",
     "q_input_summary": f"WITH {WARNED}, {KEPT} SELECT count(*) AS sessions, CAST(coalesce(sum(rounds), 0) AS BIGINT) AS rounds, CAST(coalesce(sum(messages), 0) AS BIGINT) AS messages FROM kp",
     "q_message_metadata": f"WITH {M} SELECT file, line_no, CASE WHEN source_type = 'discord' THEN 'author=a,message_id=' || CAST(line_no AS VARCHAR) || ',sourceMessageId=' || CAST(line_no AS VARCHAR) ELSE 'model=m1,openclawId=' || CAST(line_no AS VARCHAR) END AS metadata FROM m",
     "q_output_quality": f"WITH {T}, z AS (SELECT *, {hashed('norm')} AS h FROM t), s AS (SELECT count(*) AS total_messages, count(*) FILTER (role = 'user') AS user_messages, count(*) FILTER (role = 'assistant' AND {progress('flat')}) AS progress_updates, count(*) FILTER (CASE {noise_rules('t')} END IS NOT NULL) AS system_noise, count(*) FILTER ({has('content', fixed.RESIDUAL)}) AS metadata_envelopes, count(*) FILTER (h <> '') - count(DISTINCT h) FILTER (h <> '') AS duplicate_content, count(*) FILTER (role = 'user' AND h <> '') - count(DISTINCT h) FILTER (role = 'user' AND h <> '') AS user_duplicate_content FROM z) SELECT *, {rate('duplicate_content', 'total_messages')} AS duplicate_rate, {rate('duplicate_content', 'total_messages')} AS duplicate_content_rate, {rate('progress_updates', 'total_messages')} AS progress_rate, {rate('user_duplicate_content', 'user_messages')} AS user_duplicate_content_rate, {rate('system_noise', 'total_messages')} AS noise_rate, {rate('metadata_envelopes', 'total_messages')} AS envelope_rate FROM s",
     "q_session_like": f"WITH {M}, k AS (SELECT conv_id, line_no, session_key || CASE WHEN conv_id % 3 = 0 THEN ':seed:2024-01' WHEN conv_id % 3 = 1 THEN ':Seed:2024-01-x' ELSE 'seed:2024-02' END AS key FROM m) SELECT conv_id, line_no, key ILIKE '%seed:2024-01%' AS of_month, key ILIKE '%:seed:2024-01' AS at_end FROM k",
     "q_planned_ids": f"WITH {C}, o AS (SELECT *, row_number() OVER (ORDER BY seq) - 1 AS ordinal FROM x WHERE filter_reason IS NULL), i AS (SELECT *, CASE WHEN conv_id % 2 = 0 THEN 's' || CAST(seq AS VARCHAR) ELSE 'fast_l0_' || CAST(ordinal AS VARCHAR) || '_' || substr(fingerprint, 1, 6) END AS message_id FROM o) SELECT ordinal, message_id, message_id AS record_message, captured AS content, captured AS fts_text FROM i",
-    "q_import_summary": f"WITH {C} SELECT 'batch-001' AS batchId, {RECORD_ID} AS recordId, session_key AS sessionKey, role, ts_ms AS timestamp, fingerprint AS contentHash, session_id AS sessionId, {units('captured')} AS chars, CAST(NULL AS VARCHAR) AS sourceKey FROM x WHERE filter_reason IS NULL",
+    "q_import_summary": f"WITH {C} SELECT 'batch-001' AS batchId, {RECORD_ID} AS recordId, session_key AS sessionKey, role, ts_ms AS timestamp, fingerprint AS contentHash, session_id AS sessionId, {units('captured')} AS chars, CAST(NULL AS VARCHAR) AS sourceKey, file AS sourceFile, nullif(line_no - 1, 0) AS sourceLine FROM x WHERE filter_reason IS NULL",
     "q_pollution_summary": f"WITH {M}, {LINES} SELECT count(*) FILTER (match_kind = 'session_field') > 0 AS polluted, count(*) FILTER (match_kind = 'session_field') AS field_hits, count(*) FILTER (match_kind <> 'session_field') AS mentions FROM hits",
     "q_samples": f"WITH {M} (SELECT 'sample' AS kind, seq AS record_id, role AS type, content FROM m ORDER BY ts_ms, seq LIMIT 20) UNION ALL (SELECT 'suspicious', seq, role, substr(content, 1, 240) FROM m WHERE {has('content', fixed.SUSPICIOUS[0])} OR {has('content', fixed.SUSPICIOUS[1])} ORDER BY ts_ms, seq LIMIT 50)",
 }

@@ -18,8 +18,11 @@ from ..sources.stage import staged
 
 @dataclass
 class Curated:
+    """``places``: (file, before), where each file begins in batch order."""
+
     messages: DataFrame
     rejects: DataFrame
+    places: DataFrame
 
 
 REJECT = ("reason", "file", "session_key", "line_no", "role", "ts_ms", "content_hash", "preview", "duplicate_scope", "duplicate_of")
@@ -65,14 +68,14 @@ def clean_messages(lines: DataFrame, month: str | None = None, reject_batch_dupl
         rejects = rejects.unionByName(_rejected(warned.where("batch_previous is not null"), warning, "batch", F.col("batch_previous")))
         kept = warned.drop("source_first", "batch_previous")
     warnings = kept.withColumn("_reason", F.explode(extract.stripped_reasons(F.col("dirty_flags"))))
-    return Curated(kept, rejects.unionByName(_rejected(warnings, F.col("_reason"))))
+    return Curated(kept, rejects.unionByName(_rejected(warnings, F.col("_reason"))), places)
 
 
 def curate(lines: DataFrame, month: str | None = None, reject_batch_duplicates: bool = False) -> Curated:
     """Clean messages with ``round_id`` and ``reject``; the rejects of rounds join those of cleaning."""
     clean = clean_messages(lines, month, reject_batch_duplicates)
     paired = strict_rounds(clean.messages.drop("reject"))
-    return Curated(paired, clean.rejects.unionByName(_rejected(paired.where("reject is not null"), F.col("reject"))))
+    return Curated(paired, clean.rejects.unionByName(_rejected(paired.where("reject is not null"), F.col("reject"))), clean.places)
 
 
 def seed_rounds(rounds: DataFrame, month: str) -> DataFrame:

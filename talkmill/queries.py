@@ -11,7 +11,7 @@ from .functions import extract
 from .functions import text as X
 from .functions.semantics import collapsed, epoch_ms, month_of, utf16_length
 from .operators import audit, capture, dedupe, fulltext, inventory, merkle, rounds, state
-from .plans import curate
+from .plans import curate, seeds
 from .sources.stage import stage_path, staged
 from .streaming import growing, importer
 from .streaming import progress as streaming_progress
@@ -438,6 +438,25 @@ def q_type_distribution(spark, sf_dir):
     return audit.type_distribution(l1_records(spark, sf_dir))
 
 
+@query
+def q_progress_ages(spark, sf_dir):
+    """Ages of events in words, as of one moment; some lie ahead of it."""
+    seconds = F.when(F.col("event_id") % 50 != 7, F.col("event_id") % 20000 - 500)
+    return table(spark, sf_dir, "events").select("event_id", audit.age_words(seconds).alias("age"))
+
+
+@query
+def q_session_report(spark, sf_dir):
+    return audit.session_report(expected(spark, sf_dir).where("filter_reason is null"))
+
+
+@query
+def q_output_top_duplicates(spark, sf_dir):
+    """The store's most frequent repeated contents."""
+    rows = staged(messages(spark, sf_dir).withColumn("normalised", X.normalised_content(F.col("content"))).withColumn("content_hash", X.content_hash(F.col("content"))).select("seq", "content_hash", "normalised"), "hashes")
+    return dedupe.top_duplicates(rows)
+
+
 @query
 def q_length_stats(spark, sf_dir):
     return audit.length_stats(l1_records(spark, sf_dir))
@@ -643,6 +662,15 @@ def q_seed_sessions_nested(spark, sf_dir):
     return seed.select("sessionKey", F.size("conversations").cast("bigint").alias("rounds"), F.size(flat).cast("bigint").alias("messages"), F.md5(F.array_join(F.transform(flat, lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "\n").cast("binary")).alias("digest"))
 
 
+@query
+def q_seed_page(spark, sf_dir):
+    """The second page of three rounds of a month, with what its document's metadata say."""
+    page = seeds.seed_page(transcript_lines(spark, sf_dir), "2024-01", 3, 2)
+    said = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "\n")
+    of = {k: page.metadata[k] for k in ("rangeStartRound", "rangeEndRound", "totalAvailableRounds")}
+    return page.rounds.select("sessionKey", F.col("sourceFile").alias("file"), "place", F.size("messages").cast("bigint").alias("messages"), F.md5(said.cast("binary")).alias("digest"), *(F.lit(v).cast("bigint").alias(k) for k, v in of.items()))
+
+
 @query
 def q_input_summary(spark, sf_dir):
     seed = curate.seed_sessions(curate.curate(transcript_lines(spark, sf_dir)).messages, "2024-01")
@@ -677,7 +705,7 @@ def q_planned_ids(spark, sf_dir):
 
 @query
 def q_import_summary(spark, sf_dir):
-    rows = expected(spark, sf_dir).withColumn("source_key", F.lit(None).cast("string"))
+    rows = expected(spark, sf_dir).withColumn("source_key", F.lit(None).cast("string")).withColumn("source_file", F.col("file")).withColumn("source_line", F.col("line_no") - 1)
     return capture.import_summary(capture.planned_rows(rows), "batch-001").withColumn("chars", F.col("chars").cast("bigint"))
 
 
