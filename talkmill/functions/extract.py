@@ -52,10 +52,11 @@ def as_map(entries: Column) -> Column:
     return F.map_from_entries(F.filter(last, lambda e: F.coalesce(e["value"], F.lit("")) != ""))
 
 
-def strip_envelopes(df: DataFrame, text: str = "content", role: str = "role") -> DataFrame:
+def strip_envelopes(df: DataFrame, text: str = "content", role: str = "role", queued_parts: bool = False) -> DataFrame:
     """Replaces ``text`` by what its sender wrote and adds ``dirty_flags``, ``metadata`` (of the envelopes, later ones count) and its ``message_id``.
 
-    Envelopes go one after another from the start of the text; an external body replaces all that stands around it.
+    Envelopes go one after another from the start of the text; an external body replaces all that stands around it. ``queued_parts``: adds
+    the parts of queued messages as they stand, for ``plans.queued``, which strips them in turn.
     """
     steps = df.withColumn("_t", replaced(trimmed(text_or_empty(F.col(text))), ENV["reply_tag"])).withColumn("_flags", F.array().cast("array<string>")).withColumn("_meta", _no_entries())
     first_line = F.substring(F.split("_t", "\r?\n", 2)[0], 1, 300)
@@ -96,7 +97,10 @@ def strip_envelopes(df: DataFrame, text: str = "content", role: str = "role") ->
     # Queued messages: the header goes, then each part that is not noise stays, joined by blank lines.
     queued = (F.col(role) == "user") & found(F.col("_t"), ENV["queued"])
     chunks = F.transform(F.split(replaced(F.col("_t"), ENV["queued"]), "\n---\n"), lambda c: trimmed(replaced(trimmed(c), ENV["queued_item"])))
-    joined = F.array_join(F.filter(chunks, lambda c: (c != "") & noise_class(c).isNull()), "\n\n")
+    parts = F.filter(chunks, lambda c: (c != "") & noise_class(c).isNull())
+    joined = F.array_join(parts, "\n\n")
+    if queued_parts:
+        steps = steps.withColumn("queued_parts", F.when(queued, parts).otherwise(F.array().cast("array<string>")))
     steps = steps.withColumns({"_flags": F.when(queued, F.concat("_flags", F.array(F.lit("queued-envelope")))).otherwise(F.col("_flags")), "_t": F.when(queued, joined).otherwise(F.col("_t"))})
     return steps.withColumn(text, F.col("_t")).withColumn("dirty_flags", F.array_distinct("_flags")).withColumn("metadata", as_map(F.col("_meta"))).withColumn("message_id", F.col("metadata")["message_id"]).drop("_t", "_flags", "_meta")
 
@@ -106,7 +110,7 @@ def stripped_reasons(flags: Column) -> Column:
     return F.array_compact(F.array(*(F.when(F.array_contains(flags, flag), F.lit(reason)) for flag, reason in fixed.STRIPPED)))
 
 
-def messages_of(lines: DataFrame) -> DataFrame:
+def messages_of(lines: DataFrame, queued_parts: bool = False) -> DataFrame:
     """Canonical messages of transcript lines (source_type and line among their columns) with their metadata, and ``parse_error`` rows for lines that are not JSON.
 
     Roles other than user and assistant and rows without a time are left out, as are times of zero.
@@ -126,7 +130,7 @@ def messages_of(lines: DataFrame) -> DataFrame:
     )
     kept = typed.where(F.col("parse_error") | (F.col("role").isin("user", "assistant") & (F.coalesce("ts_ms", F.lit(0)) != 0)))
     flat = kept.withColumn("content", content_text(F.col("_content"))).drop("_content", "v")
-    out = strip_envelopes(flat).withColumn("month", month_of(F.col("ts_ms")))
+    out = strip_envelopes(flat, queued_parts=queued_parts).withColumn("month", month_of(F.col("ts_ms")))
     ident = F.coalesce("message_id", as_map(F.col("_source"))["message_id"])
     entries = F.concat(F.col("_source"), F.map_entries("metadata"), _entry("sourceMessageId", ident))
     return out.withColumn("metadata", as_map(entries)).withColumn("message_id", ident).drop("_source")

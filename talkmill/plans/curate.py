@@ -14,6 +14,7 @@ from ..operators.inventory import place_files
 from ..operators.ordered import join_null_safe, narrow
 from ..operators.rounds import strict_rounds
 from ..sources.stage import staged
+from .queued import unnest_queued
 
 
 @dataclass
@@ -41,7 +42,7 @@ def clean_messages(lines: DataFrame, month: str | None = None, reject_batch_dupl
     then files with more messages, then by path, and by line within a file. ``seq`` is a message's place in that order, and ``duplicate_of``
     the seq of the message that a duplicate repeats; its scope is the source session or the batch.
     """
-    all_rows = staged(extract.messages_of(lines), "messages")
+    all_rows = unnest_queued(staged(extract.messages_of(lines, queued_parts=True), "messages"))
     broken = all_rows.where("parse_error").withColumn("content_hash", F.lit(None).cast("string")).withColumn("content", F.col("line"))
     rows = all_rows.where("not parse_error")
     if month:

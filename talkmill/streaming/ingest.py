@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import extract
 from ..functions import text as X
+from ..plans.queued import unnest_queued
 from ..sources.stage import staged
 
 
@@ -20,7 +21,7 @@ def line_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 def accepted(lines: DataFrame) -> DataFrame:
     """The messages of a batch of lines that the rules accept, with their hash."""
-    rows = staged(extract.messages_of(lines), "messages").where("not parse_error").withColumn("content_hash", X.content_hash(F.col("content")))
+    rows = unnest_queued(staged(extract.messages_of(lines, queued_parts=True), "messages")).where("not parse_error").withColumn("content_hash", X.content_hash(F.col("content")))
     return rows.where(X.reject_reason(F.col("role"), F.col("content")).isNull())
 
 
