@@ -153,3 +153,7 @@ SESSION_FIELDS = ("sessionKey", "session_key", "source_session", "sourceSession"
 
 # Batches that may be executed, by month.
 EXECUTABLE_BATCHES = {"2026-02": 6, "2026-03": 12, "2026-04": 7}
+
+# What a run's output folder may hold from an attempt that wrote no output, and what output looks like.
+RUN_LEFTOVERS = ("live-before.json", "live-after.json", "run.log", "run-summary.json")
+RUN_OUTPUTS = ("vectors.db", "conversations", "records")

@@ -53,6 +53,12 @@ def import_summary(plan: DataFrame, batch_id: str) -> DataFrame:
     return plan.select(F.lit(batch_id).alias("batchId"), F.col("record_id").alias("recordId"), F.col("session_key").alias("sessionKey"), "role", F.coalesce("ts_ms", F.lit(0)).alias("timestamp"), F.col("fingerprint").alias("contentHash"), empty_to_null("session_id").alias("sessionId"), "chars", empty_to_null("source_key").alias("sourceKey"), file.alias("sourceFile"), line.alias("sourceLine"))
 
 
+def live_keys(rows: DataFrame, month: str, text: str = "message_text") -> DataFrame:
+    """(compare_key) of a store's rows of one month: one scan of the columns that keys are made of, with the month's filter beside it."""
+    of_month = rows.where(X.of_month(F.col("session_key"), month))
+    return of_month.select(X.compare_key(F.col("session_key"), F.col("role"), F.col("ts_ms"), X.content_hash(F.col(text))).alias("compare_key"))
+
+
 def multiset_difference(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """(key, delta): how many more times each key stands on the left. Counts meet, not rows."""
     a = left.groupBy(key).agg(F.count("*").alias("_l"))

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import json
 import os
+import time
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import fixed
+from .files import Files
+
 
 def writable(path: str, roots: list[str], never: list[str] = ()) -> str:
     """``path`` if it lies under one of ``roots`` and under none of ``never``; ValueError otherwise."""
@@ -18,6 +22,22 @@ def writable(path: str, roots: list[str], never: list[str] = ()) -> str:
     return real
 
 
+def claim_folder(spark: SparkSession, folder: str, archive: str) -> list[str]:
+    """Makes ``folder`` ready for a run's output: new or empty, or with leftovers of a run that wrote none, which go to a new folder under ``archive``.
+
+    Returns the names that were put away. ValueError if the folder holds output, or anything else that a run would not leave behind.
+    """
+    files = Files(spark, folder.rstrip("/"))
+    names = files.names("")
+    odd = [n for n in names if n in fixed.RUN_OUTPUTS] or [n for n in names if n not in fixed.RUN_LEFTOVERS]
+    if odd:
+        raise ValueError(f"not a folder to write into, it holds {', '.join(odd)}: {folder}")
+    attempt = f"{archive.rstrip('/')}/failed-attempt-{time.time_ns() // 1_000_000}"
+    for name in names:
+        files.move(name, attempt)
+    return names
+
+
 def write_rejects(rejects: DataFrame, path: str) -> None:
     rejects.write.mode("errorifexists").json(path)
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from talkmill.operators import capture, state
-from talkmill.sources import versions
+from talkmill.sources import sinks, versions
 from talkmill.streaming import importer
 
 
@@ -113,3 +113,33 @@ def test_a_stream_of_imports_is_lost_and_begun_again(spark, tmp_path, planned, m
     run()
     store = importer.open_store(spark, root)
     assert content(store) == sorted(r.captured for r in planned.collect()) and store.current().number == 3
+
+
+def test_output_folders_are_not_used_twice(spark, tmp_path):
+    """Leftovers of a run without output are put away; output, or anything unknown, is left as it is and refused."""
+    out, archive = tmp_path / "out", tmp_path / "away"
+    claim = lambda: sinks.claim_folder(spark, f"file://{out}", f"file://{archive}")
+    assert claim() == []
+    out.mkdir()
+    (out / "run.log").write_text("failed")
+    (out / "live-before.json").write_text("{}")
+    assert claim() == ["live-before.json", "run.log"] and not list(out.iterdir())
+    (attempt,) = archive.iterdir()
+    assert (attempt / "run.log").read_text() == "failed"
+    for name in ("records", "notes.txt"):
+        (out / name).mkdir()
+        (out / "run.log").write_text("kept")
+        with pytest.raises(ValueError, match=name):
+            claim()
+        (out / name).rmdir()
+    assert (out / "run.log").read_text() == "kept"
+
+
+def test_keys_of_a_month_are_one_pruned_scan(spark, tmp_path):
+    rows = [("agent:a:1:seed:2024-01", "user", 5, "Some text", "x"), ("agent:a:1:seed:2024-02", "user", 5, "Some text", "y"), ("agent:a:1", "user", 5, "Some text", "z")]
+    spark.createDataFrame(rows, "session_key string, role string, ts_ms long, message_text string, session_id string").write.parquet(str(tmp_path / "rows"))
+    found = capture.live_keys(spark.read.parquet(str(tmp_path / "rows")), "2024-01")
+    said = capture.expected_capture(spark.createDataFrame([("agent:a:1:seed:2024-01", "user", 5, "Some text")], "session_key string, role string, ts_ms long, content string"))
+    assert [r.compare_key for r in found.collect()] == [r.compare_key for r in said.collect()]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "session_id" not in plan and "Exchange" not in plan and "PushedFilters: [IsNotNull(session_key)" in plan
