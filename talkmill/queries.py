@@ -576,7 +576,7 @@ def progress_events(spark, sf_dir):
     stated = table(spark, sf_dir, "customer").selectExpr(*(f"CAST({STATED[n]} AS {t}) AS {n}" for n, t in (("session_key", "STRING"), ("total_l0", "BIGINT"), ("next_offset", "BIGINT"), ("completed", "BOOLEAN"))))
     older = stated.selectExpr("session_key", "CAST(NULL AS BIGINT) AS n", "1L AS seq", "99L AS total_l0", "1L AS next_offset", "true AS completed")
     newer = stated.selectExpr("session_key", "CAST(NULL AS BIGINT) AS n", "2L AS seq", "total_l0", "next_offset", "completed")
-    return staged(rows.unionByName(newer).unionByName(older).repartition(3, F.xxhash64("session_key", "seq", F.spark_partition_id())), "events")
+    return staged(rows.unionByName(newer).unionByName(older).repartition(2, F.xxhash64("session_key", "seq", F.spark_partition_id())), "events")
 
 
 @query
