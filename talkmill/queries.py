@@ -571,19 +571,19 @@ def q_session_progress(spark, sf_dir):
 
 
 def progress_events(spark, sf_dir):
-    """Orders as stored rows and customers as statements, in one stage of a few files; earlier statements of a session are older ones."""
+    """Orders as stored rows and customers as statements, in one stage with a file for each task; earlier statements of a session are older ones."""
     rows = table(spark, sf_dir, "orders").selectExpr("CAST(CASE WHEN o_custkey % 3 = 0 THEN o_custkey + 10000000 ELSE o_custkey END AS STRING) AS session_key", "1L AS n", "CAST(NULL AS BIGINT) AS seq", "CAST(NULL AS BIGINT) AS total_l0", "CAST(NULL AS BIGINT) AS next_offset", "CAST(NULL AS BOOLEAN) AS completed")
     stated = table(spark, sf_dir, "customer").selectExpr(*(f"CAST({STATED[n]} AS {t}) AS {n}" for n, t in (("session_key", "STRING"), ("total_l0", "BIGINT"), ("next_offset", "BIGINT"), ("completed", "BOOLEAN"))))
     older = stated.selectExpr("session_key", "CAST(NULL AS BIGINT) AS n", "1L AS seq", "99L AS total_l0", "1L AS next_offset", "true AS completed")
     newer = stated.selectExpr("session_key", "CAST(NULL AS BIGINT) AS n", "2L AS seq", "total_l0", "next_offset", "completed")
-    return staged(rows.unionByName(newer).unionByName(older).repartition(2, F.xxhash64("session_key", "seq", F.spark_partition_id())), "events")
+    return staged(rows.unionByName(newer).unionByName(older), "events")
 
 
 @query
 def q_stream_progress(spark, sf_dir):
-    """The same facts as events, file by file through a stream that keeps a cursor for each session."""
-    events = progress_events(spark, sf_dir)
-    source = spark.readStream.schema(streaming_progress.EVENTS).option("maxFilesPerTrigger", 1).parquet(events.inputFiles()[0].rsplit("/", 1)[0])
+    """The same facts as events, half of the files at a time through a stream that keeps a cursor for each session."""
+    files = progress_events(spark, sf_dir).inputFiles()
+    source = spark.readStream.schema(streaming_progress.EVENTS).option("maxFilesPerTrigger", (len(files) + 1) // 2).parquet(files[0].rsplit("/", 1)[0])
     out = stage_path(spark, "progress")
     streaming_progress.keep_states(source, f"{out}/states", f"{out}/checkpoint").awaitTermination()
     return streaming_progress.latest_progress(spark, f"{out}/states").withColumn("session_key", F.col("session_key").cast("bigint"))

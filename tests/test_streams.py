@@ -83,3 +83,19 @@ def test_replaced_files_are_read_again(tmp_path):
     second = reader.latestOffset()
     assert [list(reader.read(p))[0][1:] for p in reader.partitions(first, second)] == [(1, "new")]
     assert reader.partitions(second, second) == [] and len(reader.partitions(reader.initialOffset(), second)) == 1
+
+
+def test_cursors_are_moved_without_python(spark, tmp_path):
+    """Sessions by the thousand cost no call of Python each; the columns of a session's last statement are those of one statement."""
+    said = spark.range(20_000).selectExpr("concat('s', id % 5000) AS session_key", "CAST(NULL AS LONG) AS n", "id DIV 5000 AS seq", "IF(id % 3 = 0, NULL, id) AS total_l0", "id + 1 AS next_offset", "id % 2 = 0 AS completed")
+    said.unionByName(said.selectExpr("session_key", "2L AS n", *(f"CAST(NULL AS {t}) AS {c}" for c, t in (("seq", "LONG"), ("total_l0", "LONG"), ("next_offset", "LONG"), ("completed", "BOOLEAN"))))).write.parquet(str(tmp_path / "in"))
+    source = spark.readStream.schema(progress.EVENTS).option("maxFilesPerTrigger", 3).parquet(str(tmp_path / "in"))
+    plan = progress.session_states(source)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+    progress.keep_states(source, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination(120)
+    states = spark.read.parquet(str(tmp_path / "out"))
+    last = {r.session_key: r for r in states.orderBy("batch").collect()}
+    assert states.select("batch").distinct().count() > 1 and len(last) == 5000
+    for k in range(5000):
+        n, r = 15_000 + k, last[f"s{k}"]
+        assert (r.stored, r.seq, r.total_l0, r.next_offset, r.completed) == (8, 3, None if n % 3 == 0 else n, n + 1, n % 2 == 0)
