@@ -12,6 +12,7 @@ from .functions import text as X
 from .functions.semantics import collapsed, epoch_ms, month_of, utf16_length
 from .operators import audit, capture, dedupe, fulltext, inventory, merkle, rounds, state
 from .plans import curate, seeds
+from .sources import sinks
 from .sources.stage import stage_path, staged
 from .streaming import growing, importer
 from .streaming import progress as streaming_progress
@@ -635,7 +636,8 @@ def q_stream_lines(spark, sf_dir):
     """A file of lines for each conversation, read by the stream over growing files."""
     out = stage_path(spark, "growing")
     lines = messages(spark, sf_dir).selectExpr("conv_id", "line_no", f"{LINE_TEXT} AS line")
-    lines.repartition("conv_id").sortWithinPartitions("conv_id", "line_no").select("conv_id", "line").write.partitionBy("conv_id").text(f"{out}/files")
+    dealt = lines.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "conv_id").sortWithinPartitions("conv_id", "line_no")
+    sinks.write_line_files(dealt.select(F.concat(F.lit("conv_id="), "conv_id", F.lit(".txt")).alias("file"), "line"), f"{out}/files")
     stream = growing.growing_lines(spark, f"{out}/files", suffix=".txt")
     stream.writeStream.format("parquet").option("path", f"{out}/lines").option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     read = spark.read.schema("file string, line_no bigint, line string").parquet(f"{out}/lines")

@@ -1,7 +1,8 @@
 """A streaming source over files of lines that grow: whole lines arrive once, with the numbers that they have in their file.
 
 The offset is the end of the last whole line of each file, in bytes; a line that is still being written waits. New bytes are cut into splits
-that tasks read for themselves; a line belongs to the split in which it begins, and its number comes from counting the line ends before it.
+that tasks read for themselves, small files many to a task; a line belongs to the split in which it begins, and its number comes from
+counting the line ends before it. Files that have changed are looked into by several threads.
 A file that became shorter was replaced and is read from its start. Files are reached by ``pyarrow.fs``, so any store that it knows will do.
 """
 
@@ -9,6 +10,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -19,12 +21,30 @@ from ..functions.semantics import trimmed
 from ..sources.transcripts import source_meta
 
 SPLIT_BYTES = 32 << 20
+#: Files that one task reads, at most: each counts at least as so small a part of a split. Threads that look for ends of lines.
+FILES, THREADS = 256, 16
 _BLOCK = 1 << 20
 
 
-class Split(InputPartition):
-    def __init__(self, file: str, start: int, end: int, first: int):
-        self.file, self.start, self.end, self.first = file, start, end, first
+class Splits(InputPartition):
+    """What one task reads: (file, start, end, where the file's new bytes begin) of each piece."""
+
+    def __init__(self, pieces: list[tuple[str, int, int, int]]):
+        self.pieces = pieces
+
+
+def packed(pieces: list[tuple[str, int, int, int]], split: int) -> list[Splits]:
+    """Pieces of files put together, in order, up to about ``split`` bytes or FILES pieces a task."""
+    out: list[list] = []
+    room = 0.0
+    for piece in pieces:
+        cost = max(piece[2] - piece[1], split / FILES)
+        if not out or cost > room:
+            out.append([])
+            room = float(split)
+        out[-1].append(piece)
+        room -= cost
+    return [Splits(p) for p in out]
 
 
 def end_of_lines(stream, size: int) -> int:
@@ -91,31 +111,39 @@ class GrowingLinesReader(DataSourceStreamReader):
         return {"ends": "{}"}
 
     def latestOffset(self) -> dict:
-        ends = {}
+        ends, changed = {}, []
         for info in self.store.get_file_info(fs.FileSelector(self.root, recursive=True, allow_not_found=True)):
             name = info.path.rsplit("/", 1)[-1]
             if info.type != fs.FileType.File or not name.endswith(self.suffix) or name.startswith((".", "_")):
                 continue
             size, end = self._seen.get(info.path, (-1, 0))
             if size != info.size:  # only files that have changed are looked into
-                with self.store.open_input_file(info.path) as stream:
-                    end = end_of_lines(stream, info.size)
-                self._seen[info.path] = info.size, end
+                changed.append((info.path, info.size))
             ends[info.path] = end
+
+        def look(path: str, size: int) -> int:
+            with self.store.open_input_file(path) as stream:
+                return end_of_lines(stream, size)
+
+        with ThreadPoolExecutor(THREADS) as threads:
+            for (path, size), end in zip(changed, threads.map(lambda f: look(*f), changed), strict=True):
+                self._seen[path] = size, end
+                ends[path] = end
         return {"ends": json.dumps(ends, sort_keys=True)}
 
-    def partitions(self, start: dict, end: dict) -> list[Split]:
+    def partitions(self, start: dict, end: dict) -> list[Splits]:
         before, out = json.loads(start["ends"]), []
         for file, last in json.loads(end["ends"]).items():
             first = before.get(file, 0)
             first = 0 if last < first else first
-            out += [Split(file, a, min(a + self.split, last), first) for a in range(first, last, self.split)]
-        return out
-
-    def read(self, partition: Split) -> Iterator[tuple]:
-        with self.store.open_input_file(partition.file) as stream:
-            for number, line in split_lines(stream, partition.start, partition.end, partition.first):
-                yield partition.file, number, line.decode("utf-8", "replace")
+            out += [(file, a, min(a + self.split, last), first) for a in range(first, last, self.split)]
+        return packed(out, self.split)
+
+    def read(self, partition: Splits) -> Iterator[tuple]:
+        for file, start, end, first in partition.pieces:
+            with self.store.open_input_file(file) as stream:
+                for number, line in split_lines(stream, start, end, first):
+                    yield file, number, line.decode("utf-8", "replace")
 
     def __getstate__(self) -> dict:
         return {"path": self.path, "suffix": self.suffix, "split": self.split}

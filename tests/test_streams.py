@@ -99,3 +99,21 @@ def test_cursors_are_moved_without_python(spark, tmp_path):
     for k in range(5000):
         n, r = 15_000 + k, last[f"s{k}"]
         assert (r.stored, r.seq, r.total_l0, r.next_offset, r.completed) == (8, 3, None if n % 3 == 0 else n, n + 1, n % 2 == 0)
+
+
+def test_small_files_share_tasks(tmp_path):
+    """A thousand files of a line are a handful of tasks, and a large file among them still is cut; each line is read once."""
+    want = {}
+    for k in range(1000):
+        (tmp_path / f"{k}.jsonl").write_bytes(b"%d\nrest" % k)
+        want[f"{tmp_path}/{k}.jsonl"] = [(1, str(k))]
+    (tmp_path / "large.jsonl").write_bytes(b"".join(b"%05d\n" % n for n in range(20_000)))
+    want[f"{tmp_path}/large.jsonl"] = [(n + 1, f"{n:05d}") for n in range(20_000)]
+    reader = growing.GrowingLinesReader(f"file://{tmp_path}", ".jsonl", 50_000)
+    parts = reader.partitions(reader.initialOffset(), reader.latestOffset())
+    assert 4 <= len(parts) <= 10
+    got = {}
+    for p in parts:
+        for file, number, line in reader.read(p):
+            got.setdefault(file, []).append((number, line))
+    assert {f: sorted(rows) for f, rows in got.items()} == want
