@@ -26,6 +26,7 @@ from .ordered import narrow
 
 _HAN = "㐀-䶿一-鿿豈-﫿"
 _RUN = re.compile(f"([{_HAN}]+)|([^\\W_{_HAN}]+)")
+_ANY_HAN, _PLAIN = re.compile(f"[{_HAN}]"), re.compile("[^\\W_]+")
 #: Records of a term that one salt holds.
 SALT_RECORDS = 1_000_000
 #: Buckets of an index, by the term's hash.
@@ -58,8 +59,10 @@ class Segmenter:
         return out
 
     def terms(self, text: str | None, search: bool = True) -> list[str]:
+        if not text or not _ANY_HAN.search(text):  # without Han runs, letters and digits are all there is
+            return _PLAIN.findall(text or "")
         out = []
-        for m in _RUN.finditer(text or ""):
+        for m in _RUN.finditer(text):
             if m[2]:
                 out.append(m[2])
                 continue
@@ -134,8 +137,8 @@ def salted(found: DataFrame, key: str = "record_id", most: int = SALT_RECORDS) -
 
 
 def write_index(found: DataFrame, path: str, key: str = "record_id", most: int = SALT_RECORDS) -> None:
-    """An inverted index as Parquet: a folder for each bucket, rows in order of term, large terms in many files."""
-    dealt = salted(staged(found, "postings"), key, most).repartition("bucket", "salt", F.pmod(F.xxhash64("term"), F.lit(BUCKETS * 16))).sortWithinPartitions("bucket", "term", key)
+    """An inverted index as Parquet: a folder for each bucket, rows in order of term, large terms in many files. Tasks take ranges of buckets, so there is a file for each bucket and one more for each task at most."""
+    dealt = salted(staged(found, "postings"), key, most).repartitionByRange("bucket", "salt", "term", key).sortWithinPartitions("bucket", "term", key)
     dealt.write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 

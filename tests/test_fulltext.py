@@ -75,3 +75,19 @@ def test_index_text_of_a_plan(spark):
     said = spark.createDataFrame([("s", "1", "user", 1000 * n, t, "", n) for n, t in enumerate(["我看一下 the mill", "收到"])], "session_key string, session_id string, role string, ts_ms long, content string, source_key string, seq long")
     plan = capture.numbered_plan(capture.planned_rows(capture.expected_capture(said)), "seq", fulltext.index_text(spark, WORDS))
     assert [r.fts_text for r in plan.orderBy("seq").collect()][:1] == ["我 一下 看一下 the mill"]
+
+
+def test_an_index_has_few_files(spark, tmp_path):
+    """A file for each bucket and one more for each task at most, where tasks are not put together; texts with and without Han runs are cut alike."""
+    rows = spark.range(2000).selectExpr("id AS record_id", "concat('every w', id % 700, ' v', id, IF(id % 2 = 0, ' 磨坊', '')) AS content").repartition(8)
+    found = fulltext.postings(rows, WORDS)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        fulltext.write_index(found, str(tmp_path / "index"), most=50)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    index = spark.read.parquet(str(tmp_path / "index"))
+    assert len(index.inputFiles()) <= fulltext.BUCKETS + int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(map(tuple, index.select("record_id", "term", "n").collect())) == sorted(map(tuple, found.collect()))
+    cut = fulltext.Segmenter(WORDS).terms
+    assert cut("v2_x été, OK") == cut("v2_x été, OK 磨坊")[:-1]
